@@ -2,16 +2,34 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyweave.llm import substring_dedup
+from tallyweave.llm import packing, secret_scan, substring_dedup
+
+
+def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def _listed(spans) -> Column:
+    return F.array_join(F.transform(spans, lambda x: F.concat_ws(":", x["kind"], x["start"], x["end"])), ",")
+
+
+def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secret_scan.scan(_documents(spark, sf_dir))
+    count = lambda kind: F.size(F.filter("base", lambda x: x["kind"] == kind)).cast("long").alias(f"n_{kind}")
+    rank = lambda x: F.array_position(F.array(*map(F.lit, secret_scan.KINDS)), x["kind"])
+    every = F.array_sort(F.concat("base", "random"), lambda a, b: F.when(a["start"] != b["start"], a["start"] - b["start"]).otherwise((rank(a) - rank(b)).cast("int")))
+    return found.select("doc_id", *map(count, secret_scan.KINDS[:3]), F.sha2(_listed(F.col("base")), 256).alias("base_sha256"), _listed(every).alias("spans"))
+
+
 def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = substring_dedup.remove_repeated_windows(_documents(spark, sf_dir), window=20)
     return out.select("doc_id", "n_words", "n_removed", F.sha2(F.coalesce("kept_text", F.lit("")), 256).alias("kept_sha256"))
@@ -29,9 +47,15 @@ from w left join kept on w.doc_id = kept.doc_id
 """
 
 
+def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(_documents(spark, sf_dir), tokenizer_path(), size=2048)
+
+
 def queries() -> dict:
     return {
+        "op1_secret_scan": op1_secret_scan,
         "op2_substring_dedup": op2_substring_dedup,
+        "op9_best_fit_packing": op9_best_fit_packing,
     }
 
 
