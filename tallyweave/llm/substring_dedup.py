@@ -115,9 +115,9 @@ def remove_repeated_windows(docs: DataFrame, doc_id: str = "doc_id", text: str =
     def shared(table: pa.Table) -> pa.Table:
         rows = list(shards.received(table))
         keys = [np.frombuffer(r[3], np.uint32) for r in rows]
-        distinct, count = np.unique(np.concatenate(keys), return_counts=True)
-        twice = distinct[count > 1]
-        return shards.messages([(s, b, 0, k.tobytes(), None) for (s, b, *_), x in zip(rows, keys, strict=True) if len(k := x[np.isin(x, twice)])])
+        _, which, count = np.unique(np.concatenate(keys), return_inverse=True, return_counts=True)
+        twice = np.split(count[which] > 1, np.cumsum([len(x) for x in keys])[:-1])
+        return shards.messages([(s, b, 0, x[t].tobytes(), None) for (s, b, *_), x, t in zip(rows, keys, twice, strict=True) if t.any()])
 
     def windows(table: pa.Table, answers: pa.Table) -> pa.Table:
         if not table.num_rows:
