@@ -28,8 +28,8 @@ PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 _TOKENIZERS: dict[str, WordTokenizer] = {}  # one for each file and Python worker
 
 
-def _slices(texts: list, most: int = 4 << 20) -> Iterator[slice]:
-    """Runs of texts of a few million characters, or one longer text."""
+def _slices(texts: list, most: int = 1 << 20) -> Iterator[slice]:
+    """Runs of texts of about a million characters, or one longer text."""
     at, size = 0, 0
     for i, t in enumerate(texts):
         if size and size + len(t) > most:

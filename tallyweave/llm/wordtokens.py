@@ -9,6 +9,7 @@ tokenizers library encodes each different word once.
 from __future__ import annotations
 
 import json
+import os
 import re
 import unicodedata
 
@@ -25,7 +26,10 @@ CONTRACTIONS = ("s", "t", "re", "ve", "m", "ll", "d")
 _SPACE, _LETTER, _NUMBER, _OTHER = range(4)
 
 #: Different words of which a worker remembers the ids; beyond, it begins anew.
-REMEMBERED_WORDS = 1_500_000
+REMEMBERED_WORDS = 1_000_000
+
+#: New words that the library encodes in one call, which bounds its objects.
+_AT_ONCE = 8_192
 
 
 def _classes() -> np.ndarray:
@@ -39,6 +43,7 @@ def _classes() -> np.ndarray:
 
 class WordTokenizer:
     def __init__(self, path: str):
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark's tasks use the cores
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
@@ -116,10 +121,12 @@ class WordTokenizer:
         miss = np.flatnonzero(~have)
         if not len(miss):
             return at
-        ids = [e.ids for e in self.merges.encode_batch_fast(words(miss), add_special_tokens=False)]
+        new, ids = words(miss), []
+        for k in range(0, len(new), _AT_ONCE):
+            ids += [np.array(e.ids, "<u4") for e in self.merges.encode_batch_fast(new[k : k + _AT_ONCE], add_special_tokens=False)]
         n = np.array([len(x) for x in ids], np.int64)
         begin = len(self.pool) + np.concatenate(([0], np.cumsum(n)[:-1]))
-        self.pool = np.concatenate([self.pool, np.array([i for x in ids for i in x], "<u4")])
+        self.pool = np.concatenate([self.pool, *ids])
         order = np.searchsorted(self.keys, distinct[miss])
         self.at, self.count = np.insert(self.at, order, begin), np.insert(self.count, order, n)
         self.keys = np.insert(self.keys, order, distinct[miss])
