@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyweave.llm import packing, secret_scan, substring_dedup
+from tallyweave.llm import packing, secret_scan, substring_dedup, suffix_dedup
 
 
 def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
@@ -47,6 +47,11 @@ from w left join kept on w.doc_id = kept.doc_id
 """
 
 
+def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = suffix_dedup.remove_repeated_strings(_documents(spark, sf_dir), length=100)
+    return out.select("doc_id", "n_bytes", "n_removed", F.size("removed").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(_documents(spark, sf_dir), tokenizer_path(), size=2048)
 
@@ -55,6 +60,7 @@ def queries() -> dict:
     return {
         "op1_secret_scan": op1_secret_scan,
         "op2_substring_dedup": op2_substring_dedup,
+        "op8_suffix_dedup": op8_suffix_dedup,
         "op9_best_fit_packing": op9_best_fit_packing,
     }
 
