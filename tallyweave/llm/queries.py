@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyweave.llm import packing, secret_scan, substring_dedup, suffix_dedup
+from tallyweave.llm import nearest, packing, pii, preferences, secret_scan, substring_dedup, suffix_dedup
 
 
 def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
@@ -47,6 +47,49 @@ from w left join kept on w.doc_id = kept.doc_id
 """
 
 
+def op6_block_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+    return nearest.nearest(vectors, F.col("vec_id") % 50 == 0, k=5)
+
+
+OP6_SQL = """
+with v as (select vec_id, list_transform(embedding, lambda x: cast(x as double)) e from embeddings
+           where vec_id is not null and embedding is not null and len(embedding) > 0
+             and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0 and len(list_filter(embedding, lambda x: x <> 0)) > 0),
+n as (select vec_id, e, sqrt(list_inner_product(e, e)) l from v),
+s as (select q.vec_id query_id, c.vec_id vec_id, list_inner_product(q.e, c.e) / (q.l * c.l) score
+      from n q join n c on q.vec_id % 50 = 0 and q.vec_id <> c.vec_id and len(q.e) = len(c.e)),
+r as (select *, row_number() over (partition by query_id order by score desc, vec_id) n from s)
+select query_id, cast(n as integer) rank, vec_id, score from r where n <= 5
+"""
+
+
+def op7_preference_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The table has no preferences: each even conversation is chosen over the next odd one."""
+    turns = spark.read.parquet(f"{sf_dir}/conversations.parquet")
+    made = preferences.format_preferences(turns, F.expr("conv_id div 2"), F.expr("conv_id % 2 = 0"))
+    spans = lambda c: F.array_join(F.transform(c, lambda x: F.concat_ws(":", x["start"], x["end"])), ",")
+    return made.select("pair_id", "n_common", "prompt", "chosen", "rejected", spans("chosen_spans").alias("chosen_mask"), spans("rejected_spans").alias("rejected_mask"))
+
+
+OP7_SQL = r"""
+with t as (select conv_id // 2 pair_id, conv_id % 2 = 0 side, turn, coalesce(role, '') role, coalesce(text, '') txt from conversations where conv_id is not null),
+o as (select *, row_number() over (partition by pair_id, side order by turn nulls first, role, txt) k from t),
+whole as (select pair_id from o group by pair_id having count(distinct side) = 2),
+m as (select a.pair_id, a.k, (a.role = b.role and a.txt = b.txt) same from o a join o b on a.pair_id = b.pair_id and a.k = b.k and a.side and not b.side),
+c as (select w.pair_id, coalesce((select min(k) - 1 from m where m.pair_id = w.pair_id and not same), (select count(*) from m where m.pair_id = w.pair_id)) n from whole w),
+r as (select o.*, c.n, '<|' || role || '|>' || chr(10) head, txt || '<|end|>' body from o join c on o.pair_id = c.pair_id),
+p as (select *, k <= n common, coalesce(sum(length(head) + length(body) + 1) over (partition by pair_id, side, k <= n order by k rows between unbounded preceding and 1 preceding), 0) pos from r)
+select pair_id, cast(any_value(n) as bigint) n_common,
+  coalesce(string_agg(head || body || chr(10), '' order by k) filter (where common and side), '') prompt,
+  coalesce(string_agg(head || body || chr(10), '' order by k) filter (where not common and side), '') chosen,
+  coalesce(string_agg(head || body || chr(10), '' order by k) filter (where not common and not side), '') rejected,
+  coalesce(string_agg(cast(cast(pos + length(head) as bigint) as varchar) || ':' || cast(cast(pos + length(head) + length(body) as bigint) as varchar), ',' order by k) filter (where not common and side and role = 'assistant'), '') chosen_mask,
+  coalesce(string_agg(cast(cast(pos + length(head) as bigint) as varchar) || ':' || cast(cast(pos + length(head) + length(body) as bigint) as varchar), ',' order by k) filter (where not common and not side and role = 'assistant'), '') rejected_mask
+from p group by pair_id
+"""
+
+
 def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = suffix_dedup.remove_repeated_strings(_documents(spark, sf_dir), length=100)
     return out.select("doc_id", "n_bytes", "n_removed", F.size("removed").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
@@ -56,16 +99,30 @@ def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(_documents(spark, sf_dir), tokenizer_path(), size=2048)
 
 
+#: Whoever runs this on real data passes a key of their own.
+PSEUDONYM_KEY = b"a key for the shared test tables"
+
+
+def op10_pii_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = pii.pseudonymise(_documents(spark, sf_dir), PSEUDONYM_KEY)
+    return made.select("doc_id", "text", F.size("found").cast("long").alias("n_found"), _listed(F.col("found")).alias("spans"))
+
+
 def queries() -> dict:
     return {
         "op1_secret_scan": op1_secret_scan,
         "op2_substring_dedup": op2_substring_dedup,
+        "op6_block_nearest": op6_block_nearest,
+        "op7_preference_format": op7_preference_format,
         "op8_suffix_dedup": op8_suffix_dedup,
         "op9_best_fit_packing": op9_best_fit_packing,
+        "op10_pii_pseudonyms": op10_pii_pseudonyms,
     }
 
 
 def oracle_sql() -> dict[str, str]:
     return {
         "op2_substring_dedup": OP2_SQL,
+        "op6_block_nearest": OP6_SQL,
+        "op7_preference_format": OP7_SQL,
     }
