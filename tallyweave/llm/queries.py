@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyweave.llm import nearest, packing, pii, preferences, secret_scan, substring_dedup, suffix_dedup
+from tallyweave.llm import decontaminate, near_dedup, nearest, packing, pii, preferences, secret_scan, substring_dedup, suffix_dedup, toxicity
 
 
 def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
@@ -47,6 +47,40 @@ from w left join kept on w.doc_id = kept.doc_id
 """
 
 
+def op3_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_duplicates(_documents(spark, sf_dir), words=2, percent=80)
+
+
+OP3_SQL = r"""
+with recursive w as (select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') ws from documents),
+s as (select distinct doc_id, unnest(case when len(ws) = 1 then ws else list_transform(range(1, len(ws)), lambda i: ws[i] || ' ' || ws[i + 1]) end) g from w),
+n as (select doc_id, count(*) n from s group by doc_id),
+p as (select a.doc_id a, b.doc_id b, count(*) c from s a join s b on a.g = b.g and a.doc_id < b.doc_id group by a.doc_id, b.doc_id),
+e as (select a, b from p join n x on x.doc_id = a join n y on y.doc_id = b where 100 * c >= 80 * (x.n + y.n - c)),
+l as (select a i, b o from e union all select b, a from e),
+r(doc_id, c) as (select doc_id, doc_id from documents union select r.doc_id, l.o from r join l on l.i = r.c)
+select d.doc_id, coalesce(any_value(n.n), 0) n_shingles, min(r.c) component_id, min(r.c) = d.doc_id kept
+from documents d join r on r.doc_id = d.doc_id left join n on n.doc_id = d.doc_id group by d.doc_id
+"""
+
+
+def toxicity_model(spark: SparkSession, docs: DataFrame, sf_dir: str) -> toxicity.Model:
+    """Fitted on labels whose crc32(doc_id as text) mod 5 is not 0."""
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    return toxicity.train(docs, labels, usable=F.crc32(F.col("id").cast("string")) % 5 != 0)
+
+
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _documents(spark, sf_dir)
+    made = toxicity.score(docs, toxicity_model(spark, docs, sf_dir))
+    held_out = (F.crc32(F.col("doc_id").cast("string")) % 5 == 0).alias("held_out")
+    return made.select("doc_id", held_out, "score", (F.col("score") >= 0.5).cast("int").alias("predicted"), "spans")
+
+
+def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.passages(_documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
 def op6_block_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
     return nearest.nearest(vectors, F.col("vec_id") % 50 == 0, k=5)
@@ -112,6 +146,9 @@ def queries() -> dict:
     return {
         "op1_secret_scan": op1_secret_scan,
         "op2_substring_dedup": op2_substring_dedup,
+        "op3_near_dedup": op3_near_dedup,
+        "op4_toxicity": op4_toxicity,
+        "op5_decontaminate": op5_decontaminate,
         "op6_block_nearest": op6_block_nearest,
         "op7_preference_format": op7_preference_format,
         "op8_suffix_dedup": op8_suffix_dedup,
@@ -123,6 +160,7 @@ def queries() -> dict:
 def oracle_sql() -> dict[str, str]:
     return {
         "op2_substring_dedup": OP2_SQL,
+        "op3_near_dedup": OP3_SQL,
         "op6_block_nearest": OP6_SQL,
         "op7_preference_format": OP7_SQL,
     }
