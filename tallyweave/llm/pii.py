@@ -281,3 +281,16 @@ def pseudonymise(docs: DataFrame, key: bytes, doc_id: str = "doc_id", text: str
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(texts, pa.string()), pa.array(found, kind)], names=["doc_id", "text", "found"])
 
     return docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")).mapInArrow(replace, RESULT)
+
+
+def pseudonymise_rows(docs: DataFrame, key: bytes, text: str = "text") -> DataFrame:
+    """The same rows and columns with pseudonyms in the text column."""
+
+    def replace(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = Pseudonyms(key)
+        for b in batches:
+            at = b.schema.get_field_index(text)
+            texts = [_replace(names, t)[0] if t and _HINT.search(t) else t for t in b.column(at).to_pylist()]
+            yield b.set_column(at, b.schema.field(at), pa.array(texts, b.schema.field(at).type))
+
+    return docs.mapInArrow(replace, docs.schema)
