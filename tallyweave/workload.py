@@ -1,11 +1,524 @@
-"""Every query of the engine's own operators on the shared tables, with the SQL each must equal."""
+"""Every query of the engine's own operators on the shared tables, with the SQL each must equal.
+
+The tables are generic, so columns are relabelled: a line item is a junction
+row or a value interval, an order a sample, a nation a study, a quantity a
+coverage.
+"""
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from tallyweave.functions import scalars
+from tallyweave.operators import annotation, checks, ids, intervals, joins, junctions, matrix, qc, rejoin
+from tallyweave.sources import readers
+from tallyweave.streaming import readiness
+
+_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+_SQL: dict[str, str] = {}
+
+
+def _query(sql: str | None = None) -> Callable:
+    def register(f: Callable) -> Callable:
+        _QUERIES[f.__name__] = f
+        if sql:
+            _SQL[f.__name__] = sql
+        return f
+
+    return register
+
 
 def queries() -> dict:
-    return {}
+    return dict(_QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(_SQL)
+
+
+def _table(spark: SparkSession, d: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{d}/{name}.parquet")
+
+
+def _long(c: str) -> Column:
+    return F.col(c).cast("long")
+
+
+def _rows(spark: SparkSession, d: str) -> DataFrame:
+    """Line items as junction rows of many samples."""
+    return _table(spark, d, "lineitem").select(
+        F.col("l_returnflag").alias("chrom"), F.col("l_partkey").alias("start"), (F.col("l_partkey") + 100).alias("end"),
+        F.col("l_linenumber").cast("string").alias("name"), _long("l_quantity").alias("cov"), F.translate("l_linestatus", "OF", "+-").alias("strand"),
+        F.when(F.col("l_suppkey") % 3 == 0, "GT-AG").when(F.col("l_suppkey") % 3 == 1, "gc-ag").otherwise("AT-AC").alias("motif"), F.col("l_orderkey").alias("sample"),
+    )
+
+
+_J = """j as (select l_returnflag chrom, l_partkey as start, l_partkey + 100 as "end", cast(l_linenumber as varchar) as name, cast(l_quantity as bigint) cov,
+  translate(l_linestatus, 'OF', '+-') strand, case l_suppkey % 3 when 0 then 'GT-AG' when 1 then 'gc-ag' else 'AT-AC' end motif, l_orderkey sample from lineitem)"""
+_TIE = "name, cast(cov as varchar), strand, motif, cast(sample as varchar)"
+_MERGED = f"""select chrom, start, "end", first(strand order by {_TIE}) strand, first(motif order by {_TIE}) motif,
+  string_agg(',' || sample || ':' || cov, '' order by {_TIE}) samples from j group by chrom, start, "end" """
+
+
+@_query(f"with {_J} {_MERGED}")
+def junction_merge(spark, d):
+    return junctions.merge_packed(_rows(spark, d))
+
+
+@_query(f"""with {_J} select j.*, f.strand as first_strand, f.motif as first_motif from (select chrom, start, "end", name, cov, sample from j) j
+  join (select chrom, start, "end", first(strand order by {_TIE}) strand, first(motif order by {_TIE}) motif from j group by all) f using (chrom, start, "end")""")
+def junction_merge_long(spark, d):
+    return junctions.merge_long(_rows(spark, d)).withColumnsRenamed({"strand": "first_strand", "motif": "first_motif"})
+
+
+_TWO = """select chrom, start, "end", first(strand order by strand, motif, samples) strand, first(motif order by strand, motif, samples) motif, string_agg(samples, '' order by strand, motif, samples) samples
+from (select * from a union all select * from b) group by chrom, start, "end" """
+
+
+@_query(f"with {_J}, a as ({_MERGED.replace('from j', 'from (select * from j where sample % 2 = 0)')}), b as ({_MERGED.replace('from j', 'from (select * from j where sample % 2 = 1)')}) {_TWO}")
+def junction_merge_hier(spark, d):
+    """Samples merged in two groups, then the groups."""
+    rows = _rows(spark, d)
+    return junctions.merge_again([junctions.merge_packed(rows.where(F.col("sample") % 2 == i)) for i in (0, 1)])
+
+
+@_query(f"with {_J} select chrom, start, \"end\", cast(count(*) as bigint) as count, cast(sum(cov) as bigint) as sum, round(avg(cov), 3) as avg, round(quantile_cont(cov, 0.5), 3) as median from j group by chrom, start, \"end\"")
+def junction_stats(spark, d):
+    return junctions.sample_statistics(_rows(spark, d))
+
+
+@_query(f"with {_J}, a as ({_MERGED.replace('from j', 'from (select * from j where sample % 10 < 8)')}), b as ({_MERGED.replace('from j', 'from (select * from j where sample % 10 >= 8)')}) {_TWO}")
+def merge_with_existing(spark, d):
+    """New samples merged into a database that is already there."""
+    rows = _rows(spark, d)
+    existing = junctions.merge_packed(rows.where(F.col("sample") % 10 < 8))
+    return junctions.merge_again([junctions.merge_packed(rows.where(F.col("sample") % 10 >= 8)), existing])
+
+
+@_query(f"""with {_J}, m as (select chrom, start + 7 as start, "end", name, cov, strand, motif, sample from j)
+  select chrom, start, "end", first(strand order by {_TIE}) strand, first(motif order by {_TIE}) motif, string_agg(',' || sample || ':' || cov, '' order by {_TIE}) samples, first(name order by {_TIE}) as name from m group by chrom, start, "end" """)
+def junction_merge_lifted(spark, d):
+    return junctions.merge_lifted(_rows(spark, d), offset=7, extra="name")
+
+
+@_query(f"""with {_J}, u as (select distinct chrom, start, "end", strand from j) select start, "end", min(case when chrom = 'A' then strand end) strand
+  from u group by start, "end" having count(distinct chrom) = 3""")
+def intersect_nway(spark, d):
+    """Coordinates that all three sources have."""
+    rows = _rows(spark, d).select("chrom", "start", "end", "strand").distinct()
+    return junctions.intersect([rows.where(F.col("chrom") == c).drop("chrom") for c in "ANR"], key=("start", "end"))
+
+
+@_query("""select l_orderkey as sample, l_partkey as start, cast(l_quantity as bigint) as uniques, cast(l_quantity as bigint) + l_linenumber as total, translate(cast(l_linenumber % 3 as varchar), '012', '?+-') strand, 'CC-CC' motif from lineitem""")
+def aligner_reformat(spark, d):
+    raw = _table(spark, d, "lineitem").select(F.col("l_orderkey").alias("sample"), F.col("l_partkey").alias("start"), (F.col("l_linenumber") % 3).alias("strand"), F.lit(1).alias("motif"), F.lit(0).alias("annotated"), _long("l_quantity").alias("num_uniques"), _long("l_linenumber").alias("num_multis"), F.lit(9).alias("max_overhang"))
+    return junctions.reformat_aligner(raw)
+
+
+@_query(f"with {_J} select * from j where regexp_matches(motif, '[AG]T-A[GC]') and motif <> 'GT-AC' and strand <> '?'")
+def canonical_motifs(spark, d):
+    return junctions.non_canonical(_rows(spark, d))
+
+
+_ANN = """ann as (select substr(p_type, 1, 1) chrom, p_partkey as start, p_partkey + 100 as "end", p_brand sources from part
+  union all select 'A', p_partkey, p_partkey + 100 + p_size % 2, p_brand || ',X' from part where p_size <= 10)"""
+
+
+@_query(f"""with {_J}, {_ANN}, s as (select chrom, start, "end", unnest(string_split(sources, ',')) x from ann),
+  l as (select chrom, start, string_agg(distinct x, ',' order by x) v from s group by chrom, start), r as (select chrom, "end", string_agg(distinct x, ',' order by x) v from s group by chrom, "end")
+  select j.chrom, j.start, j."end", j.sample, j.motif, j."end" + 1 - j.start as length, case when exists (select 1 from ann where ann.chrom = j.chrom and ann.start = j.start and ann."end" = j."end") then 1 else 0 end annotated,
+  upper(split_part(motif, '-', 1)) left_motif, upper(split_part(motif, '-', 2)) right_motif, coalesce(l.v, '0') left_annotated, coalesce(r.v, '0') right_annotated
+  from j left join l on l.chrom = j.chrom and l.start = j.start left join r on r.chrom = j.chrom and r."end" = j."end" """)
+def annotate_exact_left_right(spark, d):
+    part = _table(spark, d, "part")
+    size = F.col("p_partkey") + 100
+    one = part.select(F.substring("p_type", 1, 1).alias("chrom"), F.col("p_partkey").alias("start"), size.alias("end"), F.col("p_brand").alias("sources"))
+    two = part.where("p_size <= 10").select(F.lit("A").alias("chrom"), F.col("p_partkey").alias("start"), (size + F.col("p_size") % 2).alias("end"), F.concat("p_brand", F.lit(",X")).alias("sources"))
+    return junctions.annotate(_rows(spark, d).select("chrom", "start", "end", "sample", "motif"), one.unionByName(two))
+
+
+@_query("select p_name, p_partkey, row_number() over (order by p_name, p_partkey) - 1 as row_id from part")
+def dense_ids(spark, d):
+    return junctions.numbered(_table(spark, d, "part").select("p_name", "p_partkey"), ["p_name", "p_partkey"])
+
+
+@_query("""with j as (select cast(doc_id as varchar) chrom, n_chars // 4 + 1 as start, n_chars // 2 + 3 as "end" from documents where n_chars > 40)
+  select j.chrom, j.start, j."end", substr(text, cast(j.start as bigint), 2) || '-' || substr(text, cast(j."end" - 1 as bigint), 2) motif from j join documents on cast(doc_id as varchar) = chrom""")
+def motif_lookup(spark, d):
+    """Two characters at either end of a span, from texts cut into overlapping chunks."""
+    docs = _table(spark, d, "documents").where("n_chars > 40")
+    spans = docs.select(F.col("doc_id").cast("string").alias("chrom"), F.expr("n_chars div 4 + 1").alias("start"), F.expr("n_chars div 2 + 3").alias("end"))
+    chunks = junctions.genome_chunks(docs.select(F.col("doc_id").cast("string").alias("chrom"), F.col("text").alias("seq")), 1000)
+    return junctions.look_up_motifs(spans, chunks, 1000).select("chrom", "start", "end", "motif")
+
+
+@_query("""with m as (select l_returnflag chrom, l_partkey + 10 + 1 as start, l_partkey + 100 - 20 as "end", cast(l_quantity as bigint) score, l_linestatus strand from lineitem)
+  select chrom, start, "end", cast(sum(score) as bigint) score, max(strand) strand, 'GT-AG' motif from m group by chrom, start, "end" """)
+def regtools_consolidate(spark, d):
+    rows = _table(spark, d, "lineitem").select(F.col("l_returnflag").alias("chrom"), F.col("l_partkey").alias("start"), (F.col("l_partkey") + 100).alias("end"), _long("l_quantity").alias("score"), F.col("l_linestatus").alias("strand"), F.lit("10,20").alias("block_sizes"))
+    return junctions.consolidate_bed12(rows)
+
+
+@_query("""with e as (select p_partkey, p_brand f from part union all select p_partkey, p_type from part)
+  select f as feature, l_linenumber as sample, cast(sum(cast(l_quantity as bigint)) as bigint) cov from lineitem join e on l_partkey = p_partkey group by f, l_linenumber""")
+def rejoin_sum(spark, d):
+    part = _table(spark, d, "part")
+    edges = part.select("p_partkey", F.col("p_brand").alias("feature")).unionByName(part.select("p_partkey", F.col("p_type").alias("feature")))
+    counts = _table(spark, d, "lineitem").select(F.col("l_partkey").alias("p_partkey"), F.col("l_linenumber").alias("sample"), _long("l_quantity").alias("cov"))
+    return rejoin.rejoin(counts, edges, ["p_partkey"], ["feature"])
+
+
+@_query("""with n as (select p_brand feature, p_type as name, sum(p_size) l from (select distinct p_brand, p_type, p_partkey, p_size from part) group by p_brand, p_type)
+  select feature, cast(max(l) as bigint) bp_length, string_agg(name, ';' order by name) as names from n group by feature""")
+def feature_lengths(spark, d):
+    part = _table(spark, d, "part").select(F.col("p_brand").alias("feature"), F.col("p_type").alias("name"), F.col("p_partkey").alias("start"), (F.col("p_partkey") + F.col("p_size")).alias("end"))
+    return rejoin.feature_lengths(part, ["feature"], "name")
+
+
+@_query("select * exclude (n) from (select *, row_number() over (partition by l_orderkey, l_suppkey order by l_linenumber, l_partkey, l_quantity, l_extendedprice, l_shipdate) n from lineitem) where n = 1")
+def dedupe_first(spark, d):
+    return junctions.first_of(_table(spark, d, "lineitem"), ["l_orderkey", "l_suppkey"], ["l_linenumber", "l_partkey", "l_quantity", "l_extendedprice", "l_shipdate"])
+
+
+@_query("select l_orderkey, l_suppkey, l_linenumber from (select *, row_number() over (partition by l_orderkey, l_suppkey order by l_linenumber) n from lineitem) where n > 1")
+def dedupe_report(spark, d):
+    return junctions.repeats_of(_table(spark, d, "lineitem").select("l_orderkey", "l_suppkey", "l_linenumber"), ["l_orderkey", "l_suppkey"], ["l_linenumber"])
+
+
+@_query("select l_returnflag, l_linestatus, cast(sum(cast(l_quantity as bigint)) as bigint) as value from lineitem group by all")
+def matrix_axis0(spark, d):
+    return matrix.reduce_axis(_table(spark, d, "lineitem").withColumn("value", _long("l_quantity")), ["l_returnflag", "l_linestatus"])
+
+
+@_query("select l_orderkey, avg(cast(l_quantity as bigint)) as value from lineitem group by l_orderkey")
+def matrix_axis1(spark, d):
+    return matrix.reduce_axis(_table(spark, d, "lineitem").withColumn("value", _long("l_quantity")), ["l_orderkey"], how="avg")
+
+
+@_query("""with l as (select l_orderkey, l_suppkey, cast(sum(cast(l_quantity as bigint)) as bigint) cov from lineitem group by all)
+  select dense_rank() over (order by l_orderkey) row_idx, dense_rank() over (order by l_suppkey) col_idx, cov from l""")
+def sparse_coo(spark, d):
+    long = _table(spark, d, "lineitem").groupBy("l_orderkey", "l_suppkey").agg(F.sum(_long("l_quantity")).alias("cov"))
+    return matrix.sparse(long, ["l_orderkey"], "l_suppkey", "cov")[0]
+
+
+@_query("""with l as (select l_orderkey, l_suppkey from lineitem group by all) select (select count(*) from l) entries, (select count(distinct l_orderkey) from l) as rows, (select count(distinct l_suppkey) from l) as columns, true ok""")
+def matrix_check(spark, d):
+    long = _table(spark, d, "lineitem").groupBy("l_orderkey", "l_suppkey").agg(F.sum(_long("l_quantity")).alias("cov"))
+    return checks.sparse_matrix(*matrix.sparse(long, ["l_orderkey"], "l_suppkey", "cov"))
+
+
+@_query(f"with {_J} select chrom, start, \"end\", sample, cov from j")
+def packed_round_trip(spark, d):
+    """Packed lists taken apart again give back every sample and coverage."""
+    return matrix.packed_to_long(junctions.merge_packed(_rows(spark, d))).select("chrom", "start", "end", "sample", "cov")
+
+
+@_query("""with w as (select l_suppkey, l_returnflag, cast(sum(cast(l_quantity as bigint)) as bigint) v from lineitem group by all),
+  p as (select l_suppkey, coalesce(max(case when l_returnflag = 'A' then v end), 0) a, coalesce(max(case when l_returnflag = 'N' then v end), 0) n, coalesce(max(case when l_returnflag = 'R' then v end), 0) r from w group by l_suppkey)
+  select l_suppkey, (case when a > 0 then ',A:' || a else '' end) || (case when n > 0 then ',N:' || n else '' end) || (case when r > 0 then ',R:' || r else '' end) samples from p""")
+def wide_to_packed(spark, d):
+    long = _table(spark, d, "lineitem").select("l_suppkey", "l_returnflag", _long("l_quantity").alias("v"))
+    return matrix.wide_to_packed(matrix.long_to_wide(long, ["l_suppkey"], "l_returnflag", "v", ["A", "N", "R"]), ["l_suppkey"], ["A", "N", "R"])
+
+
+@_query("""select l_partkey, string_agg(samples, '' order by l_returnflag) samples from (select l_partkey, l_returnflag, string_agg(',' || l_orderkey || ':' || cast(l_quantity as bigint), '' order by l_orderkey, l_linenumber, l_quantity) samples from lineitem group by all) group by l_partkey""")
+def concatenate_studies(spark, d):
+    entries = F.sort_array(F.collect_list(F.struct("l_orderkey", "l_linenumber", F.col("l_orderkey").alias("sample"), _long("l_quantity").alias("cov"))))
+    parts = _table(spark, d, "lineitem").groupBy("l_partkey", "l_returnflag").agg(scalars.pack_samples(entries).alias("samples"))
+    return matrix.concatenated(parts, ["l_partkey"], "l_returnflag")
+
+
+@_query("select p_partkey, unnest(range(1, p_size + 1)) as copy from part where p_size > 0")
+def row_replication(spark, d):
+    return rejoin.replicate(_table(spark, d, "part").select("p_partkey", "p_size"), "p_size").select("p_partkey", _long("copy").alias("copy"))
+
+
+@_query("""select coalesce(c_custkey, o_custkey) as key, coalesce(c_name, '') c_name, coalesce(cast(o_orderkey as varchar), '') o_orderkey from (select * from customer where c_custkey % 3 <> 0) full join (select * from orders where o_custkey % 2 = 0) on c_custkey = o_custkey""")
+def outer_join_pad(spark, d):
+    small = _table(spark, d, "customer").where("c_custkey % 3 <> 0").select(F.col("c_custkey").alias("key"), "c_name")
+    large = _table(spark, d, "orders").where("o_custkey % 2 = 0").select(F.col("o_custkey").alias("key"), "o_orderkey")
+    return joins.padded_join(small, large, "key")
+
+
+@_query("select c_custkey, c_name from customer where exists (select 1 from orders where o_custkey = c_custkey and o_orderpriority = '1-URGENT')")
+def semi_filter(spark, d):
+    words = _table(spark, d, "orders").where("o_orderpriority = '1-URGENT'").select("o_custkey")
+    return joins.filter_by(_table(spark, d, "customer").select("c_custkey", "c_name"), "c_custkey", words, "o_custkey")
+
+
+@_query("select c_custkey, c_name from customer where not exists (select 1 from orders where o_custkey = c_custkey and o_orderpriority = '1-URGENT')")
+def anti_filter(spark, d):
+    words = _table(spark, d, "orders").where("o_orderpriority = '1-URGENT'").select("o_custkey")
+    return joins.filter_by(_table(spark, d, "customer").select("c_custkey", "c_name"), "c_custkey", words, "o_custkey", exclude=True)
+
+
+@_query("select c_custkey, c_name from customer join orders on o_custkey = c_custkey")
+def redundant_filter(spark, d):
+    return joins.filter_by(_table(spark, d, "customer").select("c_custkey", "c_name"), "c_custkey", _table(spark, d, "orders"), "o_custkey", repeat=True)
+
+
+@_query("select p_partkey, p_type from part where list_has_any(string_split(lower(p_type), ' '), ['small', 'promo'])")
+def word_filter(spark, d):
+    words = _table(spark, d, "region").select(F.explode(F.array(F.lit("SMALL"), F.lit("Promo"))).alias("w")).distinct()
+    return joins.filter_by(_table(spark, d, "part").select("p_partkey", "p_type"), "p_type", words, "w", delimiter=" ", ignore_case=True)
+
+
+@_query("select c_custkey, c_mktsegment from customer where regexp_matches(c_mktsegment, '^(AUTO|BUILD)|HOLD$')")
+def pattern_filter(spark, d):
+    patterns = _table(spark, d, "region").select(F.explode(F.array(F.lit("^AUTO"), F.lit("^BUILD"), F.lit("HOLD$"))).alias("p"))
+    return joins.filter_by_patterns(_table(spark, d, "customer").select("c_custkey", "c_mktsegment"), "c_mktsegment", patterns, "p")
+
+
+@_query("""select p_partkey, coalesce(a.s_name, b.s_name) s_name from part left join supplier a on a.s_suppkey = p_size * 100 left join supplier b on b.s_suppkey = p_size""")
+def fallback_lookup(spark, d):
+    """A second key is tried where the first finds nothing."""
+    rows = _table(spark, d, "part").select("p_partkey", (F.col("p_size") * 100).cast("long").alias("k1"), _long("p_size").alias("k2"))
+    return joins.first_match(rows, _table(spark, d, "supplier"), ["k1", "k2"], "s_suppkey", "s_name").select("p_partkey", "s_name")
+
+
+@_query("""select s_suppkey, cast(coalesce(n, s_nationkey) as integer) s_nationkey, coalesce(n is not null and n <> s_nationkey, false) changed from supplier left join (select s_suppkey k, (s_nationkey + s_suppkey % 2) % 25 n from supplier where s_suppkey % 3 = 0) on k = s_suppkey""")
+def upsert_counts(spark, d):
+    old = _table(spark, d, "supplier").select("s_suppkey", "s_nationkey")
+    new = old.where("s_suppkey % 3 = 0").withColumn("s_nationkey", ((F.col("s_nationkey") + F.col("s_suppkey") % 2) % 25).cast("int"))
+    return rejoin.updated(old, new, ["s_suppkey"], ["s_nationkey"])
+
+
+@_query("select p_partkey, p_name, o.position from part join (select p_partkey, row_number() over (order by p_name desc, p_partkey) as position from part) o using (p_partkey)")
+def gene_order(spark, d):
+    part = _table(spark, d, "part")
+    order = junctions.numbered(part.select("p_partkey", F.col("p_name")).withColumn("_k", F.col("p_name")), ["p_name", "p_partkey"], "_n").select("p_partkey", "p_name", "_n")
+    # the largest name first, equal names by key: count back from the name's last place
+    last = order.groupBy("p_name").agg(F.max("_n").alias("_last"), F.min("_n").alias("_first"))
+    total = order.agg(F.count("*").alias("_all"))
+    position = order.join(last, "p_name").crossJoin(F.broadcast(total)).select("p_partkey", (F.col("_all") - 1 - F.col("_last") + F.col("_n") - F.col("_first") + 1).alias("position"))
+    return rejoin.in_order(part.select("p_partkey", "p_name"), position, "p_partkey", "position")[0]
+
+
+_IV = """iv as (select l_returnflag chrom, l_orderkey id, l_partkey * 10 + l_linenumber as start, l_partkey * 10 + l_linenumber + cast(l_quantity as bigint) as "end", l_linenumber n from lineitem where l_suppkey % 10 = 0)"""
+
+
+def _intervals(spark: SparkSession, d: str) -> DataFrame:
+    start = F.col("l_partkey") * 10 + F.col("l_linenumber")
+    return _table(spark, d, "lineitem").where("l_suppkey % 10 = 0").select(F.col("l_returnflag").alias("chrom"), F.col("l_orderkey").alias("id"), start.alias("start"), (start + _long("l_quantity")).alias("end"), F.col("l_linenumber").alias("n"))
+
+
+@_query(f"""with {_IV} select a.chrom, a.id, a.start, a."end", b.id id_r, b.start start_r, b."end" end_r from iv a join iv b on a.chrom = b.chrom and a.start < b."end" and b.start < a."end" and a.n = 1 and b.n = 2""")
+def interval_overlap(spark, d):
+    iv = _intervals(spark, d)
+    return intervals.overlap_join(iv.where("n = 1").drop("n"), iv.where("n = 2").drop("n"), 64)
+
+
+@_query("""with r as (select p_partkey * 10 as start, p_partkey * 10 + 40 as "end" from part), v as (select distinct l_partkey * 10 + 20 as start, l_partkey * 10 + 25 as "end", l_partkey % 7 as value from lineitem)
+  select r.start, r."end", coalesce(sum(v.value * (least(r."end", v."end") - greatest(r.start, v.start))), 0) / (r."end" - r.start) as value from r left join v on r.start < v."end" and v.start < r."end" group by r.start, r."end" """)
+def region_means(spark, d):
+    regions = _table(spark, d, "part").select((F.col("p_partkey") * 10).alias("start"), (F.col("p_partkey") * 10 + 40).alias("end"))
+    values = _table(spark, d, "lineitem").select((F.col("l_partkey") * 10 + 20).alias("start"), (F.col("l_partkey") * 10 + 25).alias("end"), (F.col("l_partkey") % 7).alias("value")).distinct()
+    return intervals.summarise_regions(regions, values, 64, on=())
+
+
+@_query("""with iv as (select l_suppkey chrom, l_partkey * 3 as start, l_partkey * 3 + cast(l_quantity as bigint) as "end" from lineitem),
+  f as (select *, max("end") over (partition by chrom order by start, "end" rows between unbounded preceding and 1 preceding) p from iv),
+  i as (select *, sum(case when p is null or start - p >= 2 then 1 else 0 end) over (partition by chrom order by start, "end" rows unbounded preceding) g from f)
+  select chrom, min(start) as start, max("end") as "end" from i group by chrom, g""")
+def interval_coalesce(spark, d):
+    iv = _table(spark, d, "lineitem").select(F.col("l_suppkey").alias("chrom"), (F.col("l_partkey") * 3).alias("start"), (F.col("l_partkey") * 3 + _long("l_quantity")).alias("end"))
+    return intervals.coalesce(iv)
+
+
+@_query("""with iv as (select l_suppkey chrom, l_partkey * 3 as start, l_partkey * 3 + cast(l_quantity as bigint) as "end" from lineitem),
+  b as (select chrom, start p from iv union select chrom, "end" + 1 from iv), s as (select chrom, p as start, lead(p) over (partition by chrom order by p) - 1 as "end" from b)
+  select chrom, start, "end" from s where "end" is not null and exists (select 1 from iv where iv.chrom = s.chrom and iv.start <= s.start and iv."end" >= s."end")""")
+def disjoin(spark, d):
+    iv = _table(spark, d, "lineitem").select(F.col("l_suppkey").alias("chrom"), (F.col("l_partkey") * 3).alias("start"), (F.col("l_partkey") * 3 + _long("l_quantity")).alias("end"))
+    return intervals.disjoin(iv, ["chrom"])
+
+
+@_query("""with p as (select distinct o_custkey as g, o_orderkey % 1000 p from orders), i as (select g, p, p - row_number() over (partition by g order by p) k from p)
+  select g, min(p) as first, max(p) as last, case when min(p) = max(p) then cast(min(p) as varchar) else min(p) || '-' || max(p) end as range from i group by g, k""")
+def gaps_islands(spark, d):
+    return intervals.islands(_table(spark, d, "orders").select(F.col("o_custkey").alias("g"), (F.col("o_orderkey") % 1000).alias("p")), "p", ["g"])
+
+
+@_query("""with p as (select distinct o_custkey as g, o_orderkey p from orders), l as (select g, lag(p) over (partition by g order by p) + 1 a, p - 1 b from p) select g, a as first, b as last from l where a <= b""")
+def gap_complement(spark, d):
+    return intervals.gaps(_table(spark, d, "orders").select(F.col("o_custkey").alias("g"), F.col("o_orderkey").alias("p")), "p", ["g"])
+
+
+def _bits(n: str, width: int) -> str:
+    return "(" + " || ".join(f"cast(({n} >> {i}) % 2 as varchar)" for i in reversed(range(width))) + ")"
+
+
+_DIGIT = "cast(substr(lpad(cast(c_custkey as varchar), 6, '0'), {}, 1) as integer)"
+
+
+@_query(f"""with a as (select 'SRR' || lpad(cast(c_custkey as varchar), 6, '0') accession, c_custkey, {' || '.join(_bits(_DIGIT.format(i), 4) for i in (4, 5, 6))} prefix,
+   {_DIGIT.format(4)} * 256 + {_DIGIT.format(5)} * 16 + {_DIGIT.format(6)} p from customer),
+  n as (select *, row_number() over (partition by prefix order by c_custkey) - 1 as counter from a)
+  select accession, c_custkey, prefix, counter, case when counter < 2 then (4096 + p) * 2 + counter else (4096 + p) * (1 << cast(floor(log2(counter)) + 1 as integer)) + counter end rail_id from n""")
+def rail_ids(spark, d):
+    samples = _table(spark, d, "customer").select(F.concat(F.lit("SRR"), F.lpad(F.col("c_custkey").cast("string"), 6, "0")).alias("accession"), "c_custkey")
+    return ids.assign(samples, 1, "c_custkey")
+
+
+@_query("select user_id, event_type, min(event_id) event_id from events group by user_id, event_type")
+def attempt_pick(spark, d):
+    return junctions.first_of(_table(spark, d, "events").select("user_id", "event_type", "event_id"), ["user_id", "event_type"], ["event_id"])
+
+
+@_query("""select cast(substr(p, 1, 1) as varchar) as study, a as attempt, p as path from (select 'S' || user_id || '!T' || user_id % 7 || '!hg_att' || (event_id % 4) p, event_id % 4 a, user_id u, row_number() over (partition by user_id order by event_id % 4, event_id) n from events) where n = 1""".replace("cast(substr(p, 1, 1) as varchar)", "'T' || u % 7"))
+def finished_attempts(spark, d):
+    """The lowest attempt of each job, from its files' names."""
+    path = F.concat(F.lit("S"), F.col("user_id").cast("string"), F.lit("!T"), (F.col("user_id") % 7).cast("string"), F.lit("!hg_att"), (F.col("event_id") % 4).cast("string"))
+    files = _table(spark, d, "events").select(path.alias("path"), "user_id")
+    first = readers.lowest_attempt(files, ["user_id"])
+    return first.select(scalars.file_parts(F.col("path"))[1].alias("study"), F.col("attempt").cast("long").alias("attempt"), "path")
+
+
+@_query("""with done as (select o_custkey % 25 as study, count(*) n from orders where o_orderstatus <> 'P' or o_custkey % 5 < 3 group by 1), want as (select o_custkey % 25 as study, count(*) n from orders group by 1)
+  select study, n from done join want using (study, n)""")
+def readiness_batch(spark, d):
+    orders = _table(spark, d, "orders").withColumn("study", F.col("o_custkey") % 25)
+    return joins.ready(orders.where("o_orderstatus <> 'P' or o_custkey % 5 < 3"), orders, "study")
+
+
+@_query("""select event_type as study, count(distinct user_id) as n from events group by event_type""")
+def readiness_stream(spark, d):
+    """Markers read as a stream until none is left; a study's last count is its distinct users."""
+    import tempfile
+    import uuid
+
+    stream = spark.readStream.schema(_table(spark, d, "events").schema).parquet(f"{d}/events.parquet*").select(F.col("event_type").alias("study"), F.col("user_id").cast("string").alias("sample"))
+    name = f"ready_{uuid.uuid4().hex}"
+    folder = spark.sparkContext.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="stream-")
+    run = readiness.done_counts(stream).writeStream.outputMode("complete").format("memory").queryName(name).option("checkpointLocation", f"{folder}/{name}").trigger(availableNow=True).start()
+    run.awaitTermination()
+    return spark.table(name)
+
+
+@_query("""select c_custkey as sample, coalesce(n, 0) junction_count, coalesce(s, 0) coverage, case when n > 0 then round(s / n, 3) else 0.0 end as avg from customer left join (select o_custkey k, count(*) n, cast(sum(cast(o_totalprice as bigint)) as bigint) s from orders where o_custkey % 4 <> 0 group by o_custkey) on k = c_custkey""")
+def sample_totals_zero_fill(spark, d):
+    rows = _table(spark, d, "orders").where("o_custkey % 4 <> 0").select(F.col("o_custkey").alias("sample"), F.round("o_totalprice").cast("long").alias("cov"))
+    return junctions.sample_totals(_table(spark, d, "customer").select(F.col("c_custkey").alias("sample")), rows)
+
+
+_SQL["sample_totals_zero_fill"] = _SQL["sample_totals_zero_fill"].replace("cast(o_totalprice as bigint)", "cast(round(o_totalprice) as bigint)")
+
+
+@_query("""select gene_id, lang, cast(sum(n_chars) as bigint) cov from (select unnest(string_split(source || ',' || lang || ',g' || doc_id % 50, ',')) gene_id, lang, n_chars from documents) group by gene_id, lang""")
+def multi_gene_explode(spark, d):
+    exons = _table(spark, d, "documents").select(F.concat_ws(",", "source", "lang", F.concat(F.lit("g"), (F.col("doc_id") % 50).cast("string"))).alias("gene_ids"), F.col("n_chars").alias("cov"), "lang")
+    return rejoin.sums_of_listed_genes(exons, sample=("lang",))
+
+
+@_query("""select l_partkey as chrom, l_suppkey as start, l_suppkey + 5 as "end", l_linestatus strand, string_agg(distinct l_returnflag, ',' order by l_returnflag) sources from lineitem group by all""")
+def source_union(spark, d):
+    rows = _table(spark, d, "lineitem").select(F.col("l_partkey").alias("chrom"), F.col("l_suppkey").alias("start"), (F.col("l_suppkey") + 5).alias("end"), F.col("l_linestatus").alias("strand"), F.col("l_returnflag").alias("source"))
+    return annotation.unite_sources(rows)
+
+
+@_query("""select p_brand as transcript, 'c' chrom, '+' strand, a + 1 as start, p_partkey * 3 - 1 as "end" from (select p_brand, p_partkey, lag(p_partkey * 3 + p_size % 2) over (partition by p_brand order by p_partkey) a from part) where a is not null and p_partkey * 3 - 1 >= a + 1""")
+def exon_introns(spark, d):
+    exons = _table(spark, d, "part").select(F.col("p_brand").alias("transcript"), F.lit("c").alias("chrom"), F.lit("+").alias("strand"), (F.col("p_partkey") * 3).alias("start"), (F.col("p_partkey") * 3 + F.col("p_size") % 2).alias("end"))
+    return rejoin.previous_exon_introns(exons)
+
+
+@_query("""select user_id, coalesce(c, 0) click, coalesce(p, 0) purchase, case when c + 0 > 0 and p is not null then round(100.0 * p / c, 2) else -1.0 end as purchase_percent from
+  (select user_id, nullif(count(*) filter (where event_type = 'click'), 0) c, nullif(count(*) filter (where event_type = 'purchase'), 0) p from events group by user_id)""")
+def qc_ratio_pivot(spark, d):
+    long = _table(spark, d, "events").groupBy("user_id", F.col("event_type").alias("key")).agg(F.count("*").alias("value"))
+    wide = qc.table(long, ["user_id"], ["click", "purchase"])
+    return wide.select("user_id", F.coalesce("click", F.lit(0)).alias("click"), F.coalesce("purchase", F.lit(0)).alias("purchase"), qc.percent(F.col("purchase"), F.col("click")).alias("purchase_percent"))
+
+
+@_query("""select event_id, 'k' as key, regexp_extract(props, '"k": (\\d+)', 1) as value from events where regexp_matches(props, '"k": \\d+')""")
+def log_metrics(spark, d):
+    return qc.metrics(_table(spark, d, "events").select("event_id", F.col("props").alias("text")), {"k": r'"k": (\d+)'})
+
+
+@_query("""select event_type, cast(count(*) as bigint) n, cast(sum(k) as bigint) total, cast(min(k) as bigint) least, cast(max(k) as bigint) most from (select event_type, cast(json_extract_string(props, '$.k') as bigint) k from events) group by event_type""")
+def json_stats(spark, d):
+    k = F.get_json_object("props", "$.k").cast("long")
+    return _table(spark, d, "events").groupBy("event_type").agg(F.count("*").alias("n"), F.sum(k).alias("total"), F.min(k).alias("least"), F.max(k).alias("most"))
+
+
+@_query("""with e as (select event_type as rule, cast(user_id as double) s from events), g as (select rule, sum(s) total, min(s) least, max(s) most from e group by rule) select *, round(100.0 * total / (select sum(total) from g), 2) as percent from g""")
+def run_time_shares(spark, d):
+    return qc.run_times(_table(spark, d, "events").select(F.col("event_type").alias("rule"), F.col("user_id").cast("double").alias("seconds")))
+
+
+@_query("""with v as (select cast(l_quantity as bigint) q, count(*) n from lineitem group by 1) select cast(sum(q * n) // sum(n) as bigint) as avg, first(q order by n desc, q) as mode, max(n) mode_count, cast(sum(q * n) as bigint) as total from v""")
+def integer_stream_stats(spark, d):
+    return matrix.whole_number_stats(_table(spark, d, "lineitem").select(_long("l_quantity").alias("q")), "q")
+
+
+@_query("""select doc_id as line, 1 as field from documents where coalesce(lang, '') = '' union all select doc_id, 2 from documents where regexp_replace(source, 'src1.*', '') = ''""")
+def blank_check(spark, d):
+    docs = _table(spark, d, "documents").select(F.col("doc_id").alias("line"), "lang", F.regexp_replace("source", "src1.*", "").alias("s"))
+    return checks.blanks(docs, "line", ["lang", "s"])
+
+
+@_query("""select * from (select l_orderkey, count(*) as found, max(l_linenumber) as expected from lineitem group by l_orderkey) where found <> expected""")
+def count_check(spark, d):
+    rows = _table(spark, d, "lineitem")
+    return checks.counts_against(rows, rows.groupBy("l_orderkey").agg(_max_long("l_linenumber").alias("expected")), ["l_orderkey"]).withColumn("expected", F.col("expected").cast("int"))
+
+
+def _max_long(c: str) -> Column:
+    return F.max(F.col(c).cast("long"))
+
+
+@_query("""select k, a as left, b as right from (select l_suppkey k, cast(sum(cast(l_quantity as bigint)) as bigint) a from lineitem where l_linenumber <> 7 or l_suppkey % 2 = 0 group by 1) full join (select l_suppkey k, cast(sum(cast(l_quantity as bigint)) as bigint) b from lineitem group by 1) using (k) where a is distinct from b""".replace("a as left, b as right", 'a as "left", b as "right"'))
+def resum_check(spark, d):
+    rows = _table(spark, d, "lineitem").select(F.col("l_suppkey").alias("k"), _long("l_quantity").alias("v"), "l_linenumber")
+    return checks.equal_sums(rows.where("l_linenumber <> 7 or k % 2 = 0"), rows, "k", "v")
+
+
+@_query("""(select p_partkey, p_size, 'old' side from part except all select p_partkey, p_size + case when p_partkey % 11 = 0 then 1 else 0 end, 'old' from part)
+  union all (select p_partkey, p_size + case when p_partkey % 11 = 0 then 1 else 0 end, 'new' from part except all select p_partkey, p_size, 'new' from part)""")
+def matrix_diff(spark, d):
+    old = _table(spark, d, "part").select("p_partkey", "p_size")
+    return checks.difference(old, old.withColumn("p_size", F.when(F.col("p_partkey") % 11 == 0, F.col("p_size") + 1).otherwise(F.col("p_size"))))
+
+
+@_query("select l_orderkey, count(*) files from lineitem group by l_orderkey having count(*) <> 4")
+def completeness(spark, d):
+    return checks.incomplete(_table(spark, d, "lineitem"), "l_orderkey", 4)
+
+
+@_query("""select p_partkey, replace(replace(p_name, 'x', ''), '', '') as name, gene, annotation from (select p_partkey, 'G' || p_partkey || case when p_size % 3 = 0 then '.A1' when p_size % 3 = 1 then '.B2.5' else '' end p_name, 'G' || p_partkey || case when p_size % 3 = 1 then '.5' else '' end gene, case p_size % 3 when 0 then 'A1' when 1 then 'B2' end annotation from part)""")
+def gene_names(spark, d):
+    name = F.concat(F.lit("G"), F.col("p_partkey").cast("string"), F.when(F.col("p_size") % 3 == 0, ".A1").when(F.col("p_size") % 3 == 1, ".B2.5").otherwise(""))
+    gene, known = scalars.gene_and_annotation(F.col("name"), ["A1", "B2"])
+    return _table(spark, d, "part").select("p_partkey", name.alias("name")).select("p_partkey", "name", gene.alias("gene"), known.alias("annotation"))
+
+
+@_query("""select exon, cast(a as integer) "A1", cast(b as integer) "B2", lpad(cast(a as varchar), 3, '0') || lpad(cast(b as varchar), 3, '0') mask from (select l_partkey exon, count(*) filter (where l_suppkey % 2 = 0) a, count(*) filter (where l_suppkey % 2 = 1) b from lineitem group by l_partkey)""")
+def exon_masks(spark, d):
+    rows = _table(spark, d, "lineitem").select(F.col("l_partkey").alias("exon"), F.concat(F.lit("G"), F.col("l_suppkey").cast("string"), F.when(F.col("l_suppkey") % 2 == 0, ".A1").otherwise(".B2")).alias("gene"))
+    return rejoin.exon_masks(rows.select("exon").distinct(), rows, ["A1", "B2"])
+
+
+@_query("""with g as (select p_brand gene_id, string_agg(distinct s, ';') makeup, count(*) n from (select distinct p_brand, p_partkey, p_size from part) join (select 1) on true, lateral (select p_partkey || '-' || p_partkey + p_size s) group by 1) select gene_id, n exons from g""")
+def exon_makeup(spark, d):
+    exons = _table(spark, d, "part").select(F.col("p_brand").alias("gene_id"), F.col("p_partkey").alias("start"), (F.col("p_partkey") + F.col("p_size")).alias("end"))
+    return rejoin.exon_makeup(exons).select("gene_id", "makeup", _long("exons").alias("exons"))
+
+
+_SQL["exon_makeup"] = """with e as (select distinct p_brand gene_id, p_partkey s, p_partkey + p_size e from part)
+  select gene_id, string_agg(s || '-' || e, ';' order by s, e) makeup, count(*) exons from e group by gene_id"""
+
+
+@_query("""select o_orderstatus as study, count(*) n from orders group by o_orderstatus""")
+def samples_per_study(spark, d):
+    return _table(spark, d, "orders").groupBy(F.col("o_orderstatus").alias("study")).agg(F.count("*").alias("n"))
+
+
+@_query("""select a.l_partkey as name, a.l_orderkey as sample, a.l_linenumber line from lineitem a join part on l_partkey = p_partkey and p_size <= 5""")
+def source_filter(spark, d):
+    """Rows of features that a list holds, by a semi-join."""
+    rows = _table(spark, d, "lineitem").select(F.col("l_partkey").alias("name"), F.col("l_orderkey").alias("sample"), F.col("l_linenumber").alias("line"))
+    return rows.join(_table(spark, d, "part").where("p_size <= 5").select(F.col("p_partkey").alias("name")), "name", "left_semi")
