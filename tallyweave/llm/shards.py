@@ -14,27 +14,22 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Bytes of text that one shard holds on average.
-SHARD_BYTES = 2 << 20
+#: Bytes of text that one shard holds on average, the least number of shards, and shards for each bucket of keys.
+SHARD_BYTES, LEAST_SHARDS, SHARDS_A_BUCKET = 2 << 20, 48, 4
 
 MESSAGE = "shard int, bucket int, kind int, a binary, b binary"
 _MESSAGE = pa.schema([("shard", pa.int32()), ("bucket", pa.int32()), ("kind", pa.int32()), ("a", pa.binary()), ("b", pa.binary())])
 
 
-def shuffle_partitions(spark: SparkSession) -> int:
-    return int(spark.conf.get("spark.sql.shuffle.partitions"))
-
-
 def sharded(docs: DataFrame, doc_id: str, text: str, shard_bytes: int = SHARD_BYTES) -> tuple[DataFrame, int]:
-    """Documents with the shard each belongs to, and the number of shards, which follows the bytes of text."""
+    """Documents with the shard each belongs to, and the number of key buckets; both numbers follow the bytes of text."""
     size = docs.agg(F.sum(F.octet_length(F.col(text)))).first()[0] or 0
-    n = max(math.ceil(size / shard_bytes), 2 * shuffle_partitions(docs.sparkSession))
-    return docs.select(
-        F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"), F.pmod(F.xxhash64(F.col(doc_id).cast("long")), F.lit(n)).cast("int").alias("shard")
-    ), n
+    n = max(math.ceil(size / shard_bytes), LEAST_SHARDS)
+    shard = F.pmod(F.xxhash64(F.col(doc_id).cast("long")), F.lit(n)).cast("int")
+    return docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"), shard.alias("shard")), math.ceil(n / SHARDS_A_BUCKET)
 
 
 def in_order(table: pa.Table) -> pa.Table:
