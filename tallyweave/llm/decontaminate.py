@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -173,20 +174,13 @@ def passages(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text
     is read in parts of bounded size, and each part is one pass over the
     documents, so none of it need fit in memory as a whole.
     """
-    items = benchmark.select(F.col(item_id).cast("long").alias("item_id"), F.col(item_text).alias("text")).where("text is not null")
-    size = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    parts = max(1, math.ceil(size / pass_bytes))
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
 
-    def one_pass(part: int) -> DataFrame:
-        held = [tuple(r) for r in items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(parts)) == part).collect()]  # about pass_bytes
-
+    def one_pass(held: list) -> DataFrame:
         def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             index = Index(held, q, edit_share)
             for batch in batches:
-                step = max(1, min(batch.num_rows, int(batch.num_rows * (2 << 20) / max(1, batch.nbytes))))
-                for s in range(0, batch.num_rows, step):
-                    b = batch.slice(s, step)
+                for b in textops.slices(batch):
                     ids = b.column(0).to_pylist()
                     found = [(ids[d], index.ids[i], s_, e, x) for d, i, s_, e, x in find(*textops.batch(b.column(1)), index)]
                     if found:
@@ -195,7 +189,30 @@ def passages(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text
 
         return rows.mapInArrow(look, RESULT)
 
-    out = one_pass(0)
-    for part in range(1, parts):
-        out = out.unionByName(one_pass(part))
-    return out
+    return reduce(DataFrame.unionByName, map(one_pass, _parts(benchmark, item_id, item_text, pass_bytes)))
+
+
+def without_passages(docs: DataFrame, benchmark: DataFrame, text: str = "text", item_id: str = "item_id", item_text: str = "text", q: int = GRAM, edit_share: float = EDIT_SHARE, pass_bytes: int = PASS_BYTES) -> DataFrame:
+    """The rows, with all their columns, whose text holds no benchmark passage; the same rules as in passages()."""
+
+    def one_pass(docs: DataFrame, held: list) -> DataFrame:
+        def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            index = Index(held, q, edit_share)
+            for batch in batches:
+                for b in textops.slices(batch):
+                    clean = np.ones(b.num_rows, bool)
+                    clean[[x[0] for x in find(*textops.batch(b.column(b.schema.get_field_index(text))), index)]] = False
+                    yield b.filter(pa.array(clean))
+
+        return docs.mapInArrow(keep, docs.schema)
+
+    return reduce(one_pass, _parts(benchmark, item_id, item_text, pass_bytes), docs)
+
+
+def _parts(benchmark: DataFrame, item_id: str, item_text: str, pass_bytes: int) -> Iterator[list[tuple[int, str]]]:
+    """The benchmark in parts of about pass_bytes, by a hash of its rows."""
+    items = benchmark.select(F.col(item_id).cast("long").alias("item_id"), F.col(item_text).alias("text")).where("text is not null")
+    size = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    parts = max(1, math.ceil(size / pass_bytes))
+    for part in range(parts):
+        yield [tuple(r) for r in items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(parts)) == part).collect()]

@@ -75,18 +75,12 @@ def sign(codes: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return bands.T, np.packbits(flips, axis=1, bitorder="little").view("<u8")
 
 
-def _slices(batch: pa.RecordBatch, most: int = 2 << 20) -> Iterator[pa.RecordBatch]:
-    step = max(1, min(batch.num_rows, int(batch.num_rows * most / max(1, batch.nbytes))))
-    for s in range(0, batch.num_rows, step):
-        yield batch.slice(s, step)
-
-
 def signatures(rows: DataFrame, words: int) -> DataFrame:
     """Set size, a 128-bit name of the set, band keys and sketch; the last two empty for an empty set."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for b in _slices(batch):
+            for b in textops.slices(batch):
                 codes, first = shingle_sets(b.column(1), words)
                 n = np.diff(first)
                 full = np.flatnonzero(n)
@@ -124,7 +118,7 @@ def _confirm(pairs: DataFrame, rows: DataFrame, words: int, percent: int) -> Dat
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for b in _slices(batch):
+            for b in textops.slices(batch):
                 found = []
                 for c in ("text_a", "text_b"):
                     codes, first = shingle_sets(b.column(c), words)

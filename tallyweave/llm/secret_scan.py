@@ -16,7 +16,6 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -179,13 +178,6 @@ def _scan(texts: pa.Array) -> tuple[list, list, np.ndarray]:
     return base, runs, null
 
 
-def _slices(batch: pa.RecordBatch, most: int = 8 << 20) -> Iterator[pa.RecordBatch]:
-    size = np.cumsum(np.fromiter((x or 0 for x in pc.binary_length(batch.column(1)).to_pylist()), np.int64, batch.num_rows))
-    cuts = np.unique(np.concatenate(([0], np.searchsorted(size, np.arange(most, (size[-1] if len(size) else 0) + most, most), side="right"), [batch.num_rows])))
-    for s, e in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
-        yield batch.slice(s, e - s)
-
-
 def scan(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", false_share: float = FALSE_SHARE) -> DataFrame:
     """doc_id, base and random: the spans of each document, ends exclusive, in code points.
 
@@ -201,7 +193,7 @@ def scan(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", false_shar
         total = np.zeros(len(_ENCODINGS) * len(LENGTHS) * _BINS, np.int64)
         names = ["doc_id", "base", "runs", "cells", "counts"]
         for batch in batches:
-            for part in _slices(batch):
+            for part in textops.slices(batch, 2 << 20):
                 base, runs, null = _scan(part.column(1))
                 total += np.bincount(null, minlength=len(total))
                 n = part.num_rows

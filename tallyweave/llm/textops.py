@@ -7,6 +7,8 @@ look-ups whatever its length.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 
@@ -41,7 +43,7 @@ def powers(n: int, base: int = 0, inverse: bool = False) -> np.ndarray:
         steps = np.full(size, b, np.uint64)
         steps[0] = 1
         have = np.cumprod(steps, dtype=np.uint64)
-        if size <= 1 << 23:
+        if size <= 1 << 21:  # larger ones are rare and would stay in memory
             _POWERS[base, inverse] = have
     return have[:n]
 
@@ -81,6 +83,13 @@ def batch(texts: pa.ChunkedArray | pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return buf[offs[0] : offs[-1]], offs - offs[0]
 
 
+def slices(batch: pa.RecordBatch, most: int = 1 << 20) -> Iterator[pa.RecordBatch]:
+    """A batch in parts of about so many bytes, which bounds what a task holds at a time."""
+    step = max(1, min(batch.num_rows, int(batch.num_rows * most / max(1, batch.nbytes))))
+    for s in range(0, batch.num_rows, step):
+        yield batch.slice(s, step)
+
+
 def words(buf: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Start and end of each maximal run of non-separators, and the first word of each text."""
     edges = np.zeros(len(buf) + 1, bool)

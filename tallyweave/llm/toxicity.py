@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from tallyweave.llm import textops
 
 #: Labelled documents that fitting reads at most, of each label, and their longest text in bytes.
-SAMPLE_ROWS, SAMPLE_TEXT = 1_500, 65_536
+SAMPLE_ROWS, SAMPLE_TEXT = 1_000, 65_536
 
 #: Beginnings of a token that are features, in bytes; the whole token is one too.
 PREFIXES = (3, 4, 5, 6, 7, 8)
@@ -168,19 +168,18 @@ def _summary(p: np.ndarray, tokens: Tokens) -> np.ndarray:
 
 def _choose(tokens: Tokens, toxic: np.ndarray) -> np.ndarray:
     """Codes of features that are clearly commoner in toxic documents."""
-    seen = []
+    chosen = []
+    n1, n0 = toxic.sum(), (~toxic).sum()
     for at, code in tokens.features():
         key = textops.mix(code) ^ textops.mix(tokens.doc[at].astype(np.uint64) + np.uint64(7))
         _, one = np.unique(key, return_index=True)  # once a document
-        seen.append((code[one], toxic[tokens.doc[at[one]]]))
-    code, bad = np.concatenate([c for c, _ in seen]), np.concatenate([b for _, b in seen])
-    distinct, which = np.unique(code, return_inverse=True)
-    n1, n0 = toxic.sum(), (~toxic).sum()
-    in1 = np.bincount(which, weights=bad, minlength=len(distinct))
-    in0 = np.bincount(which, minlength=len(distinct)) - in1
-    p1, p0 = (in1 + 0.5) / (n1 + 1), (in0 + 0.5) / (n0 + 1)
-    clear = (p1 - p0) / np.sqrt(p1 * (1 - p1) / n1 + p0 * (1 - p0) / n0)
-    return distinct[(clear >= CLEAR) & (p1 >= TIMES * p0) & (in1 >= LEAST_DOCS)]
+        distinct, which = np.unique(code[one], return_inverse=True)
+        in1 = np.bincount(which, weights=toxic[tokens.doc[at[one]]], minlength=len(distinct))
+        in0 = np.bincount(which, minlength=len(distinct)) - in1
+        p1, p0 = (in1 + 0.5) / (n1 + 1), (in0 + 0.5) / (n0 + 1)
+        clear = (p1 - p0) / np.sqrt(p1 * (1 - p1) / n1 + p0 * (1 - p0) / n0)
+        chosen.append(distinct[(clear >= CLEAR) & (p1 >= TIMES * p0) & (in1 >= LEAST_DOCS)])
+    return np.unique(np.concatenate(chosen))
 
 
 def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 0.1, rounds: int = 50) -> np.ndarray:
@@ -268,6 +267,25 @@ def train(docs: DataFrame, labels: DataFrame, usable: Column | None = None, doc_
     return fit(sample["text"].to_pylist(), np.array(sample["toxic"].to_pylist(), int) > 0)
 
 
+def scores(model: Model, p: np.ndarray, tokens: Tokens) -> np.ndarray:
+    """Each text's probability of label 1, from its tokens' marginals."""
+    if not len(model.curve):
+        return np.full(len(tokens.offs) - 1, model.base)
+    return 1 / (1 + np.exp(-np.clip(_summary(p, tokens) @ model.curve, -30, 30)))
+
+
+def below(docs: DataFrame, model: Model, limit: float = 0.5, text: str = "text") -> DataFrame:
+    """The rows, with all their columns, whose text scores below a limit."""
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for b in textops.slices(batch):
+                tokens = Tokens(*textops.batch(b.column(b.schema.get_field_index(text))))
+                yield b.filter(pa.array(scores(model, marginals(model, tokens), tokens) < limit))
+
+    return docs.mapInArrow(keep, docs.schema)
+
+
 def score(docs: DataFrame, model: Model, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """doc_id, score (0 to 1) and the toxic spans (code points, ends exclusive) of every text.
 
@@ -278,18 +296,15 @@ def score(docs: DataFrame, model: Model, doc_id: str = "doc_id", text: str = "te
 
     def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            step = max(1, min(batch.num_rows, int(batch.num_rows * (2 << 20) / max(1, batch.nbytes))))
-            for s in range(0, batch.num_rows, step):
-                b = batch.slice(s, step)
+            for b in textops.slices(batch):
                 buf, offs = textops.batch(b.column(1))
                 tokens = Tokens(buf, offs)
                 p = marginals(model, tokens)
-                scores = np.full(b.num_rows, model.base) if not len(model.curve) else 1 / (1 + np.exp(-np.clip(_summary(p, tokens) @ model.curve, -30, 30)))
                 spans = [[] for _ in range(b.num_rows)]
                 for t in np.flatnonzero(p >= 0.5).tolist():
                     d = int(tokens.doc[t])
                     lead = int(np.count_nonzero((buf[offs[d] : tokens.start[t]] & 0xC0) != 0x80))
                     spans[d].append({"start": lead, "end": lead + int(np.count_nonzero((buf[tokens.start[t] : tokens.end[t]] & 0xC0) != 0x80))})
-                yield pa.RecordBatch.from_arrays([b.column(0), pa.array(scores), pa.array(spans, kind)], names=["doc_id", "score", "spans"])
+                yield pa.RecordBatch.from_arrays([b.column(0), pa.array(scores(model, p, tokens)), pa.array(spans, kind)], names=["doc_id", "score", "spans"])
 
     return docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")).mapInArrow(mark, RESULT)

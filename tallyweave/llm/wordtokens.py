@@ -12,6 +12,7 @@ import json
 import os
 import re
 import unicodedata
+from functools import cached_property
 
 import numpy as np
 
@@ -26,7 +27,7 @@ CONTRACTIONS = ("s", "t", "re", "ve", "m", "ll", "d")
 _SPACE, _LETTER, _NUMBER, _OTHER = range(4)
 
 #: Different words of which a worker remembers the ids; beyond, it begins anew.
-REMEMBERED_WORDS = 1_000_000
+REMEMBERED_WORDS = 600_000
 
 #: New words that the library encodes in one call, which bounds its objects.
 _AT_ONCE = 8_192
@@ -46,12 +47,13 @@ class WordTokenizer:
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark's tasks use the cores
         from tokenizers import Tokenizer
 
-        self.tokenizer = Tokenizer.from_file(path)
-        parts = json.loads(self.tokenizer.to_str())
+        self.path = path
+        with open(path) as f:
+            parts = json.load(f)
+        self.special = [t["content"] for t in parts["added_tokens"]]
         # words come lower-cased and split, so only the byte alphabet and the merges remain to be done
         parts |= {"normalizer": None, "added_tokens": [], "pre_tokenizer": {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}}
         self.merges = Tokenizer.from_str(json.dumps(parts))
-        self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.classes = _classes()
         self.codes = textops.mix(np.arange(1, 0x181, dtype=np.uint64))
         self._forget()
@@ -66,10 +68,18 @@ class WordTokenizer:
         """The ids of each text, as the library gives them without special tokens added."""
         plain = [not (_PLAIN.search(t) or any(x in t for x in self.special)) for t in texts]
         fast = self._encode_plain([t for t, p in zip(texts, plain, strict=True) if p])
-        slow = self.tokenizer.encode_batch_fast([t for t, p in zip(texts, plain, strict=True) if not p], add_special_tokens=False)
+        rest = [t for t, p in zip(texts, plain, strict=True) if not p]
+        slow = self.tokenizer.encode_batch_fast(rest, add_special_tokens=False) if rest else []
         fast, slow = iter(fast), iter(slow)
         return [next(fast) if p else np.asarray(next(slow).ids, "<u4") for p in plain]
 
+    @cached_property
+    def tokenizer(self):
+        """The whole tokenizer, for texts that need it."""
+        from tokenizers import Tokenizer
+
+        return Tokenizer.from_file(self.path)
+
     def split(self, text: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Starts and ends of the words in an array of lower-case code points."""
         kind = np.full(len(text) + 2, _SPACE, np.uint8)
