@@ -16,29 +16,23 @@ from tallyweave.shipping import ship
 ORACLE_SQL = None
 
 
-def _keep(docs: DataFrame, ids: DataFrame, how: str) -> DataFrame:
-    """Documents whose doc_id is, or is not, among ids; a null doc_id counts as any other value."""
-    ids = ids.select(F.col("doc_id").alias("judged_id")).distinct()
-    return docs.join(ids, docs["doc_id"].eqNullSafe(ids["judged_id"]), how)
-
-
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that score below one half."""
     ship(spark)
-    model = queries.toxicity_model(spark, docs, sf_dir)
-    return _keep(docs, toxicity.score(docs, model).where("score >= 0.5"), "left_anti")
+    return toxicity.below(docs, queries.toxicity_model(spark, docs, sf_dir), 0.5)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group whose sets of five-word shingles are linked at 0.8 or more."""
     ship(spark)
-    return _keep(docs, near_dedup.near_duplicates(docs, words=5, percent=80).where("not kept"), "left_anti")
+    copies = near_dedup.near_duplicates(docs, words=5, percent=80).where("not kept").select(F.col("doc_id").alias("copy_id")).distinct()
+    return docs.join(copies, docs["doc_id"] == copies["copy_id"], "left_anti")
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a benchmark passage."""
     ship(spark)
-    return _keep(docs, decontaminate.passages(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet")), "left_anti")
+    return decontaminate.without_passages(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
 def replace_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
