@@ -159,11 +159,14 @@ class Pseudonyms:
         found = _read_date(m)
         if found is None:
             return None
-        day, write = found
+        day, write, same_format = found
         if not FIRST_DAY <= day <= LAST_DAY:
             return None
-        new = self.permute("date", LAST_DAY - FIRST_DAY + 1, day - FIRST_DAY) + FIRST_DAY
-        return write(datetime.date.fromordinal(new))
+        while True:  # walk on to a day that reads back in the same format
+            day = self.permute("date", LAST_DAY - FIRST_DAY + 1, day - FIRST_DAY) + FIRST_DAY
+            new = datetime.date.fromordinal(day)
+            if same_format(new):
+                return write(new)
 
 
 def _from_letters(letters: list[str]) -> int:
@@ -196,27 +199,29 @@ def _day(y: int, m: int, d: int) -> int | None:
         return None
 
 
-def _read_date(m: re.Match) -> tuple[int, Callable] | None:
-    """The day's number and how to write another day in the same format."""
+def _read_date(m: re.Match) -> tuple[int, Callable, Callable] | None:
+    """The day's number, how to write another day in the same format, and which days that format can hold."""
     s = m[0]
+    every = lambda d: True
     if m["iso"]:
         sep = s[4]
         day = _day(int(s[:4]), int(s[5:7]), int(s[8:]))
-        return day and (day, lambda d: f"{d.year:04d}{sep}{d.month:02d}{sep}{d.day:02d}")
+        return day and (day, lambda d: f"{d.year:04d}{sep}{d.month:02d}{sep}{d.day:02d}", every)
     if m["plain"]:
         sep = re.search("[./-]", s)[0]
         a, b, y = s.split(sep)
         pad = 2 if len(a) == len(b) == 2 else 1
         for first in (True, False):  # day first if the calendar allows it
             if day := _day(int(y), int(b if first else a), int(a if first else b)):
-                return day, lambda d, f=first: f"{(d.day if f else d.month):0{pad}d}{sep}{(d.month if f else d.day):0{pad}d}{sep}{d.year:04d}"
+                write = lambda d, f=first: f"{(d.day if f else d.month):0{pad}d}{sep}{(d.month if f else d.day):0{pad}d}{sep}{d.year:04d}"
+                return day, write, lambda d, f=first: (f or d.day > 12) and (pad == 2 or min(d.day, d.month) < 10)
         return None
     name = next(x for x in MONTHS if x in s)
     numbers = [int(x) for x in re.findall("[0-9]+", s)]
     day = _day(numbers[1], MONTHS.index(name) + 1, numbers[0])
     if s[0].isdigit():
-        return day and (day, lambda d: f"{d.day} {MONTHS[d.month - 1]} {d.year:04d}")
-    return day and (day, lambda d: f"{MONTHS[d.month - 1]} {d.day}, {d.year:04d}")
+        return day and (day, lambda d: f"{d.day} {MONTHS[d.month - 1]} {d.year:04d}", every)
+    return day and (day, lambda d: f"{MONTHS[d.month - 1]} {d.day}, {d.year:04d}", every)
 
 
 _M = "|".join(MONTHS)
