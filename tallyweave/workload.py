@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyweave.functions import scalars
-from tallyweave.operators import annotation, checks, ids, intervals, joins, junctions, matrix, qc, rejoin
+from tallyweave.operators import annotation, checks, ids, intervals, joins, junctions, matrix, metadata, qc, rejoin
 from tallyweave.sources import readers
 from tallyweave.streaming import readiness
 
@@ -237,10 +237,10 @@ def row_replication(spark, d):
     return rejoin.replicate(_table(spark, d, "part").select("p_partkey", "p_size"), "p_size").select("p_partkey", _long("copy").alias("copy"))
 
 
-@_query("""select coalesce(c_custkey, o_custkey) as key, coalesce(c_name, '') c_name, coalesce(cast(o_orderkey as varchar), '') o_orderkey from (select * from customer where c_custkey % 3 <> 0) full join (select * from orders where o_custkey % 2 = 0) on c_custkey = o_custkey""")
+@_query("""select coalesce(c_custkey, o_custkey) as key, coalesce(c_name, '') c_name, coalesce(cast(o_orderkey as varchar), '') o_orderkey from customer full join (select o_custkey + 100 o_custkey, o_orderkey from orders) on c_custkey = o_custkey""")
 def outer_join_pad(spark, d):
-    small = _table(spark, d, "customer").where("c_custkey % 3 <> 0").select(F.col("c_custkey").alias("key"), "c_name")
-    large = _table(spark, d, "orders").where("o_custkey % 2 = 0").select(F.col("o_custkey").alias("key"), "o_orderkey")
+    small = _table(spark, d, "customer").select(F.col("c_custkey").alias("key"), "c_name")
+    large = _table(spark, d, "orders").select((F.col("o_custkey") + 100).alias("key"), "o_orderkey")
     return joins.padded_join(small, large, "key")
 
 
@@ -280,10 +280,10 @@ def fallback_lookup(spark, d):
     return joins.first_match(rows, _table(spark, d, "supplier"), ["k1", "k2"], "s_suppkey", "s_name").select("p_partkey", "s_name")
 
 
-@_query("""select s_suppkey, cast(coalesce(n, s_nationkey) as integer) s_nationkey, coalesce(n is not null and n <> s_nationkey, false) changed from supplier left join (select s_suppkey k, (s_nationkey + s_suppkey % 2) % 25 n from supplier where s_suppkey % 3 = 0) on k = s_suppkey""")
+@_query("""select s_suppkey, cast(coalesce(n, s_nationkey) as integer) s_nationkey, coalesce(n is not null and n <> s_nationkey, false) changed from supplier left join (select s_suppkey k, (s_nationkey + s_suppkey % 2) % 25 n from supplier where s_acctbal < 4000) on k = s_suppkey""")
 def upsert_counts(spark, d):
     old = _table(spark, d, "supplier").select("s_suppkey", "s_nationkey")
-    new = old.where("s_suppkey % 3 = 0").withColumn("s_nationkey", ((F.col("s_nationkey") + F.col("s_suppkey") % 2) % 25).cast("int"))
+    new = _table(spark, d, "supplier").where("s_acctbal < 4000").select(old.columns).withColumn("s_nationkey", ((F.col("s_nationkey") + F.col("s_suppkey") % 2) % 25).cast("int"))
     return rejoin.updated(old, new, ["s_suppkey"], ["s_nationkey"])
 
 
@@ -298,18 +298,12 @@ def gene_order(spark, d):
     return rejoin.in_order(part.select("p_partkey", "p_name"), position, "p_partkey", "position")[0]
 
 
-_IV = """iv as (select l_returnflag chrom, l_orderkey id, l_partkey * 10 + l_linenumber as start, l_partkey * 10 + l_linenumber + cast(l_quantity as bigint) as "end", l_linenumber n from lineitem where l_suppkey % 10 = 0)"""
-
-
-def _intervals(spark: SparkSession, d: str) -> DataFrame:
-    start = F.col("l_partkey") * 10 + F.col("l_linenumber")
-    return _table(spark, d, "lineitem").where("l_suppkey % 10 = 0").select(F.col("l_returnflag").alias("chrom"), F.col("l_orderkey").alias("id"), start.alias("start"), (start + _long("l_quantity")).alias("end"), F.col("l_linenumber").alias("n"))
-
-
-@_query(f"""with {_IV} select a.chrom, a.id, a.start, a."end", b.id id_r, b.start start_r, b."end" end_r from iv a join iv b on a.chrom = b.chrom and a.start < b."end" and b.start < a."end" and a.n = 1 and b.n = 2""")
+@_query("""with iv as (select l_returnflag chrom, l_orderkey id, l_partkey * 1000 + l_orderkey % 1000 as start, l_partkey * 1000 + l_orderkey % 1000 + cast(l_quantity as bigint) as "end" from lineitem)
+  select a.chrom, a.id, a.start, a."end", b.id id_r, b.start start_r, b."end" end_r from iv a join iv b on a.chrom = b.chrom and a.start < b."end" and b.start < a."end" """)
 def interval_overlap(spark, d):
-    iv = _intervals(spark, d)
-    return intervals.overlap_join(iv.where("n = 1").drop("n"), iv.where("n = 2").drop("n"), 64)
+    start = F.col("l_partkey") * 1000 + F.col("l_orderkey") % 1000
+    iv = _table(spark, d, "lineitem").select(F.col("l_returnflag").alias("chrom"), F.col("l_orderkey").alias("id"), start.alias("start"), (start + _long("l_quantity")).alias("end"))
+    return intervals.overlap_join(iv, iv, 64)
 
 
 @_query("""with r as (select p_partkey * 10 as start, p_partkey * 10 + 40 as "end" from part), v as (select distinct l_partkey * 10 + 20 as start, l_partkey * 10 + 25 as "end", l_partkey % 7 as value from lineitem)
@@ -378,11 +372,11 @@ def finished_attempts(spark, d):
     return first.select(scalars.file_parts(F.col("path"))[1].alias("study"), F.col("attempt").cast("long").alias("attempt"), "path")
 
 
-@_query("""with done as (select o_custkey % 25 as study, count(*) n from orders where o_orderstatus <> 'P' or o_custkey % 5 < 3 group by 1), want as (select o_custkey % 25 as study, count(*) n from orders group by 1)
+@_query("""with done as (select o_custkey as study, count(*) n from orders where o_orderstatus <> 'P' group by 1), want as (select o_custkey as study, count(*) n from orders group by 1)
   select study, n from done join want using (study, n)""")
 def readiness_batch(spark, d):
-    orders = _table(spark, d, "orders").withColumn("study", F.col("o_custkey") % 25)
-    return joins.ready(orders.where("o_orderstatus <> 'P' or o_custkey % 5 < 3"), orders, "study")
+    orders = _table(spark, d, "orders").withColumn("study", F.col("o_custkey"))
+    return joins.ready(orders.where("o_orderstatus <> 'P'"), orders, "study")
 
 
 @_query("""select event_type as study, count(distinct user_id) as n from events group by event_type""")
@@ -399,9 +393,9 @@ def readiness_stream(spark, d):
     return spark.table(name)
 
 
-@_query("""select c_custkey as sample, coalesce(n, 0) junction_count, coalesce(s, 0) coverage, case when n > 0 then round(s / n, 3) else 0.0 end as avg from customer left join (select o_custkey k, count(*) n, cast(sum(cast(o_totalprice as bigint)) as bigint) s from orders where o_custkey % 4 <> 0 group by o_custkey) on k = c_custkey""")
+@_query("""select c_custkey as sample, coalesce(n, 0) junction_count, coalesce(s, 0) coverage, case when n > 0 then round(s / n, 3) else 0.0 end as avg from customer left join (select o_custkey + 100 k, count(*) n, cast(sum(cast(o_totalprice as bigint)) as bigint) s from orders group by o_custkey) on k = c_custkey""")
 def sample_totals_zero_fill(spark, d):
-    rows = _table(spark, d, "orders").where("o_custkey % 4 <> 0").select(F.col("o_custkey").alias("sample"), F.round("o_totalprice").cast("long").alias("cov"))
+    rows = _table(spark, d, "orders").select((F.col("o_custkey") + 100).alias("sample"), F.round("o_totalprice").cast("long").alias("cov"))
     return junctions.sample_totals(_table(spark, d, "customer").select(F.col("c_custkey").alias("sample")), rows)
 
 
@@ -471,10 +465,10 @@ def _max_long(c: str) -> Column:
     return F.max(F.col(c).cast("long"))
 
 
-@_query("""select k, a as left, b as right from (select l_suppkey k, cast(sum(cast(l_quantity as bigint)) as bigint) a from lineitem where l_linenumber <> 7 or l_suppkey % 2 = 0 group by 1) full join (select l_suppkey k, cast(sum(cast(l_quantity as bigint)) as bigint) b from lineitem group by 1) using (k) where a is distinct from b""".replace("a as left, b as right", 'a as "left", b as "right"'))
+@_query("""select k, a as left, b as right from (select l_suppkey k, cast(sum(cast(l_quantity as bigint)) as bigint) a from lineitem where l_linenumber <> 7 group by 1) full join (select l_suppkey k, cast(sum(cast(l_quantity as bigint)) as bigint) b from lineitem group by 1) using (k) where a is distinct from b""".replace("a as left, b as right", 'a as "left", b as "right"'))
 def resum_check(spark, d):
     rows = _table(spark, d, "lineitem").select(F.col("l_suppkey").alias("k"), _long("l_quantity").alias("v"), "l_linenumber")
-    return checks.equal_sums(rows.where("l_linenumber <> 7 or k % 2 = 0"), rows, "k", "v")
+    return checks.equal_sums(rows.where("l_linenumber <> 7"), rows, "k", "v")
 
 
 @_query("""(select p_partkey, p_size, 'old' side from part except all select p_partkey, p_size + case when p_partkey % 11 = 0 then 1 else 0 end, 'old' from part)
@@ -522,3 +516,38 @@ def source_filter(spark, d):
     """Rows of features that a list holds, by a semi-join."""
     rows = _table(spark, d, "lineitem").select(F.col("l_partkey").alias("name"), F.col("l_orderkey").alias("sample"), F.col("l_linenumber").alias("line"))
     return rows.join(_table(spark, d, "part").where("p_size <= 5").select(F.col("p_partkey").alias("name")), "name", "left_semi")
+
+
+@_query("""select c_custkey * 3 as rail_id, c_nationkey as study, c_custkey as sample, c_mktsegment from customer""")
+def metadata_rail_ids(spark, d):
+    """Every sample must have an id; one without is an error."""
+    customer = _table(spark, d, "customer").select(F.col("c_nationkey").alias("study"), F.col("c_custkey").alias("sample"), "c_mktsegment")
+    return metadata.with_rail_ids(customer, customer.select("study", "sample", (F.col("sample") * 3).alias("rail_id")))
+
+
+@_query("""select c_custkey * 3 as rail_id, cast(c_custkey as varchar) external_id, n_name as study, 'data_sources/x' as project, 'human' as organism, 'sra' file_source, 'sra' metadata_source, '2020-01-01' date_processed from customer join nation on c_nationkey = n_nationkey""")
+def metadata_project(spark, d):
+    samples = _table(spark, d, "customer").join(_table(spark, d, "nation"), F.col("c_nationkey") == F.col("n_nationkey")).select((F.col("c_custkey") * 3).alias("rail_id"), F.col("c_custkey").cast("string").alias("sample"), F.col("n_name").alias("study"))
+    none = samples.select("sample", "study")
+    return metadata.per_study(samples, none, none, "human", "sra", "sra", "2020-01-01", F.lit("data_sources/x"))["project"]
+
+
+@_query("select l_orderkey, l_partkey, l_linenumber, l_quantity from lineitem")
+def column_cut(spark, d):
+    return metadata.cut(_table(spark, d, "lineitem"), [(1, 2), (4, 5)])
+
+
+@_query("""select p_brand as gene_id, l_shipmode_n as study, cast(sum(q) as bigint) v from (select p_brand, l_linenumber % 4 l_shipmode_n, cast(l_quantity as bigint) q from lineitem join part on l_partkey = p_partkey) where l_shipmode_n in (0, 1) group by all""")
+def study_split(spark, d):
+    """Long rows of some studies only, as a per-study split reads them."""
+    rows = _table(spark, d, "lineitem").withColumn("study", F.col("l_linenumber") % 4).where("study in (0, 1)")
+    joined = rows.join(_table(spark, d, "part").select("p_partkey", "p_brand"), F.col("l_partkey") == F.col("p_partkey"))
+    return joined.groupBy(F.col("p_brand").alias("gene_id"), "study").agg(F.sum(_long("l_quantity")).alias("v"))
+
+
+@_query("""with r as (select p_partkey, p_brand, (case when p_size > 25 then p_size + 1 else p_size end) <> p_size changed from part) select p_brand, count(distinct p_partkey) genes, string_agg(cast(p_partkey as varchar), ',' order by p_partkey) changed_genes from r where changed group by p_brand""")
+def update_report(spark, d):
+    old = _table(spark, d, "part").select("p_partkey", "p_brand", "p_size")
+    new = _table(spark, d, "part").where("p_size > 25").select(old.columns).withColumn("p_size", F.col("p_size") + 1)
+    report = metadata.update_report(rejoin.updated(old, new, ["p_partkey"], ["p_size"]), "p_partkey", ["p_brand"])
+    return report.withColumn("changed_genes", F.array_join(F.transform("changed_genes", lambda x: x.cast("string")), ","))
