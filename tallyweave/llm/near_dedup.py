@@ -13,6 +13,7 @@ lost to the choice of the first member.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -28,8 +29,9 @@ BANDS, ROWS = 40, 4
 #: Bits of a sketch, and how far below the threshold an estimate may fall (over four standard deviations).
 SKETCH_BITS, MARGIN = 1_024, 0.14
 
-#: In a bucket of at most SMALL members of several components, pairs are joined; larger ones are compared in blocks of BLOCK.
-SMALL, BLOCK = 16, 2_048
+#: In a bucket of at most SMALL members of several components, pairs are joined; larger ones are compared in blocks of
+#: BLOCK by products of their sets' incidence, of which COLUMNS are held at a time.
+SMALL, BLOCK, COLUMNS = 16, 1_024, 4_096
 
 SIGNATURE = "doc_id long, n_shingles long, set_a long, set_b long, bands array<long>, sketch array<long>"
 
@@ -132,37 +134,82 @@ def _confirm(pairs: DataFrame, rows: DataFrame, words: int, percent: int) -> Dat
     return pairs.join(left, "a").join(right, "b").select("a", "b", "text_a", "text_b").mapInArrow(check, "a long, b long").distinct()
 
 
-def _across(members: DataFrame, least: float) -> DataFrame:
-    """Pairs of different components in one bucket whose sketches are near enough."""
-    some = members.where(f"n <= {SMALL}")
-    x, y = (some.select("band", "key", *(F.col(c).alias(f"{c}_{s}") for c in ("node", "label", "sketch"))) for s in "xy")
-    small = x.join(y, ["band", "key"]).where("label_x < label_y").where(_similarity(F.col("sketch_x"), F.col("sketch_y")) >= least)
-    pairs = small.select(F.least("node_x", "node_y").alias("a"), F.greatest("node_x", "node_y").alias("b"))
+def _across_small(members: DataFrame, least: float) -> DataFrame:
+    """Pairs of different components in one small bucket whose sketches are near enough."""
+    x, y = (members.select("band", "key", *(F.col(c).alias(f"{c}_{s}") for c in ("node", "label", "sketch"))) for s in "xy")
+    pairs = x.join(y, ["band", "key"]).where("label_x < label_y").where(_similarity(F.col("sketch_x"), F.col("sketch_y")) >= least)
+    return pairs.select(F.least("node_x", "node_y").alias("a"), F.greatest("node_x", "node_y").alias("b")).distinct()
+
+
+def _links_in_large(members: DataFrame, rows: DataFrame, least: float, words: int, percent: int) -> DataFrame:
+    """Links between components in large buckets, as forests.
+
+    A bucket is cut into blocks, and each pair of blocks is one group: its
+    members' full sets are compared by products of their incidence, and of the
+    links found only a spanning forest leaves, so a group of many similar
+    documents gives fewer rows than members.
+    """
+
+    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for b in textops.slices(batch):
+                codes, first = shingle_sets(b.column(1), words)
+                yield pa.RecordBatch.from_arrays([b.column(0), textops.strings(codes.view(np.uint8), 8 * np.diff(first), False)], names=["node", "codes"])
 
-    # a large bucket is cut into blocks, and each pair of blocks is compared by itself
     blocks = F.ceil(F.col("n") / BLOCK).cast("int")
     mine = F.pmod(F.xxhash64("node"), blocks).cast("int")
-    every = F.sequence(F.lit(0), blocks - 1)
-    cells = F.transform(every, lambda o: F.struct(F.least(mine, o).alias("i"), F.greatest(mine, o).alias("j")))
-    large = members.where(f"n > {SMALL}").withColumn("mine", mine).withColumn("cell", F.explode(cells)).select("band", "key", "cell.i", "cell.j", "mine", "node", "label", "sketch")
+    cells = F.transform(F.sequence(F.lit(0), blocks - 1), lambda o: F.struct(F.least(mine, o).alias("i"), F.greatest(mine, o).alias("j")))
+    wanted = members.select(F.col("node").alias("doc_id")).distinct()
+    whole = rows.join(wanted, "doc_id", "left_semi").select("doc_id", "text").mapInArrow(sets, "node long, codes binary").dropDuplicates(["node"])
+    large = members.withColumn("mine", mine).withColumn("cell", F.explode(cells)).select("band", "key", "cell.i", "cell.j", "mine", "node", "label", "sketch").join(whole, "node")
 
     def compare(table: pa.Table) -> pa.Table:
         table = table.sort_by("node")
         node, label, mine = (table[c].to_numpy() for c in ("node", "label", "mine"))
         sketch = table["sketch"].combine_chunks().flatten().to_numpy().view(np.uint64).reshape(len(node), -1)
-        i, j = table["i"][0].as_py(), table["j"][0].as_py()
-        a, b = [], []
-        for x in range(len(node) if len(np.unique(label)) > 1 else 0):
-            rest = slice(x + 1, None)
-            ok = (label[rest] != label[x]) & ((mine[rest] != mine[x]) | (i == j))
-            at = np.flatnonzero(ok) + x + 1
-            at = at[_similar(sketch[x], sketch[at]) >= least]
-            a.append(np.full(len(at), node[x]))
-            b.append(node[at])
-        none = np.zeros(0, np.int64)
-        return pa.table({"a": pa.array(np.concatenate(a or [none]), pa.int64()), "b": pa.array(np.concatenate(b or [none]), pa.int64())})
-
-    return pairs.unionByName(large.groupBy("band", "key", "i", "j").applyInArrow(compare, "a long, b long"))
+        open_pair = label[:, None] != label[None, :]
+        if table["i"][0].as_py() != table["j"][0].as_py():
+            open_pair &= mine[:, None] != mine[None, :]
+        for x in np.flatnonzero(open_pair.any(1)).tolist():
+            at = np.flatnonzero(open_pair[x])
+            open_pair[x, at] = _similar(sketch[x], sketch[at]) >= least
+        use = np.flatnonzero(open_pair.any(1))
+        links = np.zeros((len(use), len(use)), bool)
+        if len(use):
+            codes = [np.frombuffer(c, np.uint64) for c in table["codes"].take(pa.array(use)).to_pylist()]
+            size = np.array([len(c) for c in codes])
+            _, which, count = np.unique(np.concatenate(codes), return_inverse=True, return_counts=True)
+            column = (np.cumsum(count > 1) - 1)[which]  # a shingle of one set is in no intersection
+            owner, column = np.repeat(np.arange(len(use)), size)[count[which] > 1], column[count[which] > 1]
+            order = np.argsort(column, kind="stable")
+            owner, column = owner[order], column[order]
+            both = np.zeros((len(use), len(use)))
+            for at in range(0, int((count > 1).sum()), COLUMNS):
+                lo, hi = np.searchsorted(column, (at, at + COLUMNS))
+                part = np.zeros((len(use), COLUMNS), np.float32)
+                part[owner[lo:hi], column[lo:hi] - at] = 1
+                both += part @ part.T  # whole numbers up to 4,096: exact
+            links = (100 * both >= percent * (size[:, None] + size[None, :] - both)) & open_pair[np.ix_(use, use)]
+        a, b = _forest(links)
+        return pa.table({"a": pa.array(node[use[a]], pa.int64()), "b": pa.array(node[use[b]], pa.int64())})
+
+    return large.groupBy("band", "key", "i", "j").applyInArrow(compare, "a long, b long").distinct()
+
+
+def _forest(links: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """A spanning forest of a symmetric relation: each reached place and the one it was reached from."""
+    left, a, b = np.ones(len(links), bool), [], []
+    for root in range(len(links)):
+        todo = [root] if left[root] else []
+        left[root] = False
+        while todo:
+            x = todo.pop()
+            new = np.flatnonzero(links[x] & left)
+            left[new] = False
+            a += [x] * len(new)
+            b += new.tolist()
+            todo += new.tolist()
+    return np.array(a, np.int64), np.array(b, np.int64)
 
 
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", words: int = 5, percent: int = 80) -> DataFrame:
@@ -194,10 +241,14 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
 
     labelled = met.join(labels, "node", "left").select("band", "key", "node", "n", F.coalesce("label", "node").alias("label"))
     torn = labelled.groupBy("band", "key").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high").select("band", "key")
-    members = labelled.join(torn, ["band", "key"]).join(first.select("node", "sketch"), "node")
-    more = durable.checkpoint(_across(members, least).distinct().join(near, ["a", "b"], "left_anti"))
-    if not more.isEmpty():
-        late = durable.checkpoint(_confirm(more, rows, words, percent))
+    members = durable.checkpoint(labelled.join(torn, ["band", "key"]).join(first.select("node", "sketch"), "node"))
+    small, large = members.where(f"n <= {SMALL}"), members.where(f"n > {SMALL}")
+    more = durable.checkpoint(_across_small(small, least).join(near, ["a", "b"], "left_anti"))
+    late = [_confirm(more, rows, words, percent)] if not more.isEmpty() else []
+    if not large.isEmpty():
+        late.append(_links_in_large(large, rows, least, words, percent))
+    if late:
+        late = durable.checkpoint(reduce(DataFrame.unionByName, late))
         if not late.isEmpty():
             labels = components(links.unionByName(late))
     grouped = signed.select("doc_id", "n_shingles", "set_a", "set_b").join(sets.join(labels, "node", "left").select("set_a", "set_b", F.coalesce("label", "node").alias("label")), ["set_a", "set_b"], "left")
