@@ -26,12 +26,12 @@ from tallyweave.llm.components import components
 #: Bands and MinHash values in each: a pair of similarity 0.8 meets in none of them once in 1.4e9.
 BANDS, ROWS = 40, 4
 
-#: Bits of a sketch, and how far below the threshold an estimate may fall (over four standard deviations).
-SKETCH_BITS, MARGIN = 1_024, 0.14
+#: Bits of a sketch, and how far below the threshold an estimate may fall: at 0.8 it falls further once in 4.5e9.
+SKETCH_BITS, MARGIN = 1_024, 0.24
 
 #: In a bucket of at most SMALL members of several components, pairs are joined; larger ones are compared in blocks of
-#: BLOCK by products of their sets' incidence, of which COLUMNS are held at a time.
-SMALL, BLOCK, COLUMNS = 16, 1_024, 4_096
+#: BLOCK by products of their sets' incidence, of which COLUMNS are held at a time, from about CODES shingles at a time.
+SMALL, BLOCK, COLUMNS, CODES = 16, 1_024, 4_096, 1 << 21
 
 SIGNATURE = "doc_id long, n_shingles long, set_a long, set_b long, bands array<long>, sketch array<long>"
 
@@ -176,26 +176,41 @@ def _links_in_large(members: DataFrame, rows: DataFrame, least: float, words: in
         use = np.flatnonzero(open_pair.any(1))
         links = np.zeros((len(use), len(use)), bool)
         if len(use):
+            _, which, count = np.unique(label[use], return_inverse=True, return_counts=True)
+            out = np.flatnonzero(which != count.argmax())  # an open pair has an end outside of the largest component
             codes = [np.frombuffer(c, np.uint64) for c in table["codes"].take(pa.array(use)).to_pylist()]
             size = np.array([len(c) for c in codes])
-            _, which, count = np.unique(np.concatenate(codes), return_inverse=True, return_counts=True)
-            column = (np.cumsum(count > 1) - 1)[which]  # a shingle of one set is in no intersection
-            owner, column = np.repeat(np.arange(len(use)), size)[count[which] > 1], column[count[which] > 1]
-            order = np.argsort(column, kind="stable")
-            owner, column = owner[order], column[order]
-            both = np.zeros((len(use), len(use)))
-            for at in range(0, int((count > 1).sum()), COLUMNS):
-                lo, hi = np.searchsorted(column, (at, at + COLUMNS))
-                part = np.zeros((len(use), COLUMNS), np.float32)
-                part[owner[lo:hi], column[lo:hi] - at] = 1
-                both += part @ part.T  # whole numbers up to 4,096: exact
-            links = (100 * both >= percent * (size[:, None] + size[None, :] - both)) & open_pair[np.ix_(use, use)]
+            both = _intersections(codes, out)
+            links[out] = (100 * both >= percent * (size[out, None] + size[None, :] - both)) & open_pair[np.ix_(use[out], use)]
+            links |= links.T
         a, b = _forest(links)
         return pa.table({"a": pa.array(node[use[a]], pa.int64()), "b": pa.array(node[use[b]], pa.int64())})
 
     return large.groupBy("band", "key", "i", "j").applyInArrow(compare, "a long, b long").distinct()
 
 
+def _intersections(codes: list[np.ndarray], out: np.ndarray) -> np.ndarray:
+    """Sizes of the intersections of the chosen sets with all sets; each set's codes ascend."""
+    both = np.zeros((len(out), len(codes)))
+    parts = 1 + sum(map(len, codes)) // CODES
+    edges = np.array([i * (1 << 64) // parts for i in range(1, parts)], np.uint64)
+    cuts = [np.concatenate(([0], np.searchsorted(c, edges), [len(c)])) for c in codes]
+    for i in range(parts):
+        pieces = [c[at[i] : at[i + 1]] for c, at in zip(codes, cuts, strict=True)]
+        _, which, count = np.unique(np.concatenate(pieces), return_inverse=True, return_counts=True)
+        shared = count > 1  # a shingle of one set is in no intersection
+        owner = np.repeat(np.arange(len(codes)), [len(c) for c in pieces])[shared[which]]
+        column = (np.cumsum(shared) - 1)[which][shared[which]]
+        order = np.argsort(column, kind="stable")
+        owner, column = owner[order], column[order]
+        for at in range(0, int(shared.sum()), COLUMNS):
+            lo, hi = np.searchsorted(column, (at, at + COLUMNS))
+            part = np.zeros((len(codes), COLUMNS), np.float32)
+            part[owner[lo:hi], column[lo:hi] - at] = 1
+            both += part[out] @ part.T  # whole numbers up to 4,096: exact
+    return both
+
+
 def _forest(links: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """A spanning forest of a symmetric relation: each reached place and the one it was reached from."""
     left, a, b = np.ones(len(links), bool), [], []
@@ -219,9 +234,9 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     100 * intersection >= percent * union. A null or empty text has an empty
     set and no links; a null doc_id has none either, is its own (null)
     component and is kept. Rows of equal doc_id are judged each by its own
-    text. Similar documents meet in a band with a probability of 1 - 7e-10 at
-    0.8 and more above it; that is the only chance in the result, since every
-    bucket is worked off whole.
+    text. There are two chances in the result: at 0.8, a pair meets in no band
+    with a probability of 7.0e-10, and its sketches are further apart than
+    MARGIN allows with one of 2.2e-10; both are less above it.
     """
     least = percent / 100 - MARGIN
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))

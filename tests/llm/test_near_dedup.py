@@ -1,5 +1,6 @@
 import random
 
+import numpy as np
 import pytest
 
 from tallyweave.llm import components, near_dedup
@@ -35,6 +36,28 @@ def test_large_buckets_are_compared_in_blocks(spark, monkeypatch):
     test_a_chain_of_drifting_copies_is_one_group(spark)
 
 
+def test_links_whose_sketches_err_are_kept(spark):
+    """Pairs at exactly 0.8 that meet in a band, with estimates of 0.61 and 0.63."""
+    texts = []
+    for shared, one, other in [
+        ("w843467 w391238 w549408 w896275 w529056 w533641 w406533 w265349", "w688588", "w753827"),
+        ("w491838 w223253 w565500 w947218 w147069 w589511 w868728 w273360", "w663104", "w531383"),
+    ]:
+        texts += [f"{shared} {one}", f"{shared} {other}"]
+    got = near_dedup.near_duplicates(documents(spark, texts), words=1).orderBy("doc_id").collect()
+    assert [r.component_id for r in got] == [0, 0, 2, 2]
+
+
+def test_intersections_equal_set_arithmetic(monkeypatch):
+    monkeypatch.setattr(near_dedup, "CODES", 50)
+    monkeypatch.setattr(near_dedup, "COLUMNS", 7)
+    r = random.Random(4)
+    pool = [r.getrandbits(64) for _ in range(60)]
+    sets = [set(r.sample(pool, r.randrange(1, 40))) for _ in range(12)]
+    got = near_dedup._intersections([np.array(sorted(s), np.uint64) for s in sets], np.array([3, 7]))
+    assert got.tolist() == [[len(sets[i] & s) for s in sets] for i in (3, 7)]
+
+
 def test_null_and_repeated_ids_and_empty_table(spark):
     ids, texts = [None, 4, 4, 2, 9], ["a b c", "a b c", "x y z", "a b c", None]
     got = sorted((str(r.doc_id), r.n_shingles, str(r.component_id), r.kept) for r in near_dedup.near_duplicates(documents(spark, texts, ids), words=2).collect())
