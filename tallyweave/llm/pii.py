@@ -243,8 +243,8 @@ FORMATS = re.compile(
     re.X,
 )
 KINDS = ("email", "iban", "ip", "date", "ssn", "card", "phone")
-#: Every format has an at sign or two digits in a row.
-_HINT = re.compile(r"@|[0-9]{2}")
+#: Every format has an at sign, two digits in a row, or (an address of short parts) digits around a dot.
+_HINT = re.compile(r"@|[0-9]{2}|[0-9]\.[0-9]")
 
 
 def _replace(names: Pseudonyms, text: str) -> tuple[str, list[dict]]:

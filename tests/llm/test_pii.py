@@ -44,6 +44,13 @@ def test_formats_hold_equal_values_stay_linked_and_the_key_inverts(spark):
     assert pii.pseudonymise(docs.where("false"), KEY).count() == 0
 
 
+def test_an_address_of_short_parts_alone(spark):
+    docs = documents(spark, ["8.8.8.8", "8.8.8.8 and 12"])
+    alone, more = (r.text for r in pii.pseudonymise(docs, KEY).orderBy("doc_id").collect())
+    assert alone != "8.8.8.8" and more == f"{alone} and 12"
+    assert [r.text for r in pii.pseudonymise_rows(docs, KEY).orderBy("doc_id").collect()] == [alone, more]
+
+
 def test_permutations_are_bijections():
     for size in (1, 2, 10, 97, 1000):
         p = pii.Permutation(KEY, "t", size)
