@@ -4,8 +4,10 @@ The corpus labels whole documents, so tokens are labelled from them: in a toxic
 document, a token counts as toxic if one of its features is far commoner in
 toxic documents. Features are the token and its beginnings. The field is fitted
 on one half of a bounded sample; on the other half a logistic curve learns to
-turn a document's marginals into a probability. Fitting is small and is done on
-the driver; scoring covers every text, in tasks.
+turn a document's marginals into a probability. Both weigh the sample's rows by
+how many labels each stands for, so that the labels' shares are those of the
+whole table at any size. Fitting is small and is done on the driver; scoring
+covers every text, in tasks.
 """
 
 from __future__ import annotations
@@ -98,9 +100,10 @@ class Model:
         return self.bias + np.bincount(who, weights=self.weights[what], minlength=n) if n else np.zeros(0)
 
 
-def forward_backward(emit: np.ndarray, size: np.ndarray, moves: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """For chains as padded rows of emission scores: marginals of the toxic tag, and summed marginals of tag pairs."""
+def forward_backward(emit: np.ndarray, size: np.ndarray, moves: np.ndarray, weight: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """For chains as padded rows of emission scores: marginals of the toxic tag, and summed marginals of tag pairs, weighted by chain."""
     n, length = emit.shape
+    weight = np.ones(n) if weight is None else weight
     step = np.exp(moves)
     node = np.stack([np.ones_like(emit), np.exp(np.clip(emit, -30, 30))], 2)
     ahead, back = np.zeros((n, length, 2)), np.ones((n, length, 2))
@@ -119,7 +122,7 @@ def forward_backward(emit: np.ndarray, size: np.ndarray, moves: np.ndarray) -> t
     for t in range(1, length):
         live = t < size
         x = ahead[live, t - 1][:, :, None] * step * (node[live, t] * back[live, t])[:, None, :]
-        pairs += (x / x.sum((1, 2), keepdims=True)).sum(0)
+        pairs += (x * (weight[live] / x.sum((1, 2)))[:, None, None]).sum(0)
     return both[:, :, 1], pairs
 
 
@@ -182,23 +185,30 @@ def _choose(tokens: Tokens, toxic: np.ndarray) -> np.ndarray:
     return np.unique(np.concatenate(chosen))
 
 
-def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 0.1, rounds: int = 50) -> np.ndarray:
+def _logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float = 0.1, rounds: int = 50) -> np.ndarray:
+    def loss(w: np.ndarray) -> float:
+        z = x @ w
+        return float((weight * (np.logaddexp(0, z) - y * z)).sum() + ridge / 2 * w @ w)
+
     w = np.zeros(x.shape[1])
     for _ in range(rounds):
         p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-        g = x.T @ (p - y) + ridge * w
-        h = (x * (p * (1 - p))[:, None]).T @ x + ridge * np.eye(len(w))
+        g = x.T @ (weight * (p - y)) + ridge * w
+        h = (x * (weight * p * (1 - p))[:, None]).T @ x + ridge * np.eye(len(w))
         d = np.linalg.solve(h, g)
+        while loss(w - d) > loss(w) and np.abs(d).max() >= 1e-8:  # a rare label's first steps may go too far
+            d /= 2
         w -= d
         if np.abs(d).max() < 1e-8:
             break
     return w
 
 
-def fit(texts: list[str], toxic: np.ndarray, rounds: int = 60) -> Model:
-    """Fit the field on the even rows of a sample and the curve on the odd ones."""
+def fit(texts: list[str], toxic: np.ndarray, rounds: int = 60, weight: np.ndarray | None = None) -> Model:
+    """Fit the field on the even rows of a sample and the curve on the odd ones; each row counts by its weight."""
     empty = np.zeros(0)
-    base = float(toxic.mean()) if len(toxic) else 0.0
+    weight = np.ones(len(texts)) if weight is None else weight
+    base = float(np.average(toxic, weights=weight)) if len(toxic) else 0.0
     model = Model(np.zeros(0, np.uint64), empty, 0.0, np.zeros((2, 2)), empty, base)
     half = np.arange(len(texts)) % 2 == 0
     if any(x.all() or not x.any() for x in (toxic[half], toxic[~half])):  # also where there is none
@@ -211,6 +221,7 @@ def fit(texts: list[str], toxic: np.ndarray, rounds: int = 60) -> Model:
     who, what = model.hits(tokens)
     tag = np.zeros(n)
     tag[who] = toxic[half][tokens.doc[who]]
+    of_token = weight[half][tokens.doc]
     # chains without a chosen feature are all alike, so a part of them, weighted, stands for all
     of = np.repeat(np.arange(len(tokens.chain)), tokens.size)
     mixed = np.unique(of[who])
@@ -219,7 +230,7 @@ def fit(texts: list[str], toxic: np.ndarray, rounds: int = 60) -> Model:
     chains[1] = (chains[1][0], len(plain) / max(1, len(chains[1][0])))
     observed = np.zeros((2, 2))
     same = np.flatnonzero(of[1:] == of[:-1])
-    np.add.at(observed, (tag[same].astype(int), tag[same + 1].astype(int)), 1)
+    np.add.at(observed, (tag[same].astype(int), tag[same + 1].astype(int)), of_token[same])
     size_w = len(model.codes)
     theta = np.concatenate([np.zeros(size_w), [-3.0], np.zeros(4)])
     mean, power = np.zeros_like(theta), np.zeros_like(theta)
@@ -227,22 +238,22 @@ def fit(texts: list[str], toxic: np.ndarray, rounds: int = 60) -> Model:
         model.weights, model.bias, model.moves = theta[:size_w], float(theta[size_w]), theta[size_w + 1 :].reshape(2, 2)
         emit = model.emissions(n, who, what)
         p, pairs, bias = np.zeros(n), np.zeros((2, 2)), 0.0
-        for chosen, weight in chains:
+        for chosen, times in chains:
             if not len(chosen):
                 continue
             chain, size = tokens.chain[chosen], tokens.size[chosen]
             rows, (r, c) = _padded(emit, chain, size)
-            got, two = forward_backward(rows, size, model.moves)
+            got, two = forward_backward(rows, size, model.moves, of_token[chain])
             at = np.repeat(chain, size) + c
             p[at] = got[r, c]
-            pairs += weight * two
-            bias += weight * (p[at] - tag[at]).sum()
-        g = np.concatenate([np.bincount(what, weights=p[who] - tag[who], minlength=size_w), [bias], (pairs - observed).ravel()]) / max(1.0, tag.sum()) + 1e-3 * theta
+            pairs += times * two
+            bias += times * (of_token[at] * (p[at] - tag[at])).sum()
+        g = np.concatenate([np.bincount(what, weights=of_token[who] * (p[who] - tag[who]), minlength=size_w), [bias], (pairs - observed).ravel()]) / max(1.0, of_token @ tag) + 1e-3 * theta
         mean, power = 0.9 * mean + 0.1 * g, 0.99 * power + 0.01 * g * g
         theta = theta - 0.3 * (mean / (1 - 0.9**i)) / (np.sqrt(power / (1 - 0.99**i)) + 1e-8)
     model.weights, model.bias, model.moves = theta[:size_w], float(theta[size_w]), theta[size_w + 1 :].reshape(2, 2)
     held = part(~half)
-    model.curve = _logistic(_summary(marginals(model, held), held), toxic[~half].astype(float))
+    model.curve = _logistic(_summary(marginals(model, held), held), toxic[~half].astype(float), weight[~half])
     return model
 
 
@@ -250,21 +261,27 @@ def train(docs: DataFrame, labels: DataFrame, usable: Column | None = None, doc_
     """Fit on at most `rows` labelled documents of each label: those with the smallest hash of their doc_id.
 
     usable, on the labels' doc_id, says which may be learnt from. Of several
-    labels of one document the largest counts; null labels don't. The sample's
-    ids are a few thousand at most, which bounds the broadcast, and so are the
-    texts that come to the driver.
+    labels of one document the largest counts; null labels don't. Where a label
+    has more than `rows` documents, each drawn one counts for all it stands for,
+    relative to the other label's. Texts of more than SAMPLE_TEXT bytes are not
+    learnt from. The sample's ids are a few thousand at most, which bounds the
+    broadcast, and so are the texts that come to the driver.
     """
     marks = labels.select(F.col(doc_id).cast("long").alias("id"), F.col(toxic).cast("int").alias("toxic")).where("id is not null and toxic is not null")
     if usable is not None:
         marks = marks.where(usable)
     marks = marks.groupBy("id").agg(F.max("toxic").alias("toxic"))
     ids = [r for t in ("toxic > 0", "toxic <= 0") for r in marks.where(t).orderBy(F.xxhash64("id"), "id").limit(rows).collect()]
+    total = {r["bad"]: r["n"] for r in marks.groupBy((F.col("toxic") > 0).alias("bad")).agg(F.count("*").alias("n")).collect()}
     if not ids:
         return fit([], np.zeros(0, bool))
     chosen = docs.sparkSession.createDataFrame(ids, "id long, toxic int")
     sample = docs.select(F.col(doc_id).cast("long").alias("id"), F.col(text).alias("text")).where(F.octet_length("text") <= SAMPLE_TEXT).join(F.broadcast(chosen), "id").toArrow()
     sample = sample.sort_by([("id", "ascending"), ("text", "ascending")])
-    return fit(sample["text"].to_pylist(), np.array(sample["toxic"].to_pylist(), int) > 0)
+    bad = np.array(sample["toxic"].to_pylist(), int) > 0
+    stands = {k: n / min(n, rows) for k, n in total.items()}  # labels for each drawn one
+    least = min(stands.values())
+    return fit(sample["text"].to_pylist(), bad, weight=np.array([stands[k] / least for k in bad.tolist()]))
 
 
 def scores(model: Model, p: np.ndarray, tokens: Tokens) -> np.ndarray:

@@ -58,6 +58,26 @@ def test_held_out_accuracy_and_spans(spark):
     assert kept == {r.doc_id for r in got if r.score < 0.5}
 
 
+def test_the_sample_keeps_the_labels_shares(spark):
+    """One word is in most toxic documents, yet most documents with it are clean."""
+    r = random.Random(5)
+    texts, toxic = [], []
+    for _ in range(3000):
+        bad = r.random() < 0.1
+        ws = prose(r, 12).split()
+        if r.random() < (0.6 if bad else 0.15):
+            ws.append("grumblish")
+        texts.append(" ".join(ws) + ".")
+        toxic.append(int(bad))
+    docs, labels = documents(spark, texts), spark.createDataFrame(list(enumerate(toxic)), "doc_id long, toxic int")
+    few, every = (toxicity.train(docs, labels, rows=n) for n in (250, 3000))
+    assert few.base == pytest.approx(sum(toxic) / 3000) == every.base
+    for model in (few, every):
+        got = [x.score for x in toxicity.score(docs, model).collect() if "grumblish" in texts[x.doc_id]]
+        assert sum(x < 0.5 for x in got) >= 0.95 * len(got)
+        assert 0.15 < sum(got) / len(got) < 0.5
+
+
 def test_nothing_to_learn_from(spark):
     docs = documents(spark, ["a b", None])
     none = spark.createDataFrame([], "doc_id long, toxic int")
