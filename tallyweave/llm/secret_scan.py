@@ -4,13 +4,16 @@ Every long run of encoding signs is judged under the encodings it may be
 (hexadecimal, base 32, base 64) by three tests against a uniform source: chi
 squared over the alphabet, runs about the middle of the alphabet, and serial
 correlation. Fisher's sum of the three says how unlike a random string the run
-is. How often ordinary long words of the corpus, read in the same encoding and
-no longer, look as random gives the run's p-value; Benjamini and Hochberg's
-rule over all runs of the corpus then bounds the share of false finds.
+is. How often ordinary long words, read in the same encoding and no longer,
+look as random gives the run's p-value: a fixed reference of letter strings says
+so for a start, whatever the corpus's size, and the corpus's own words refine
+it. Benjamini and Hochberg's rule over all runs of the corpus then bounds the
+share of false finds.
 """
 
 from __future__ import annotations
 
+import functools
 import re
 from collections.abc import Iterator
 
@@ -33,6 +36,11 @@ RUN_LENGTH, LENGTHS, FALSE_SHARE = 20, (20, 24, 32, 48, 64, 128), 0.01
 _ENCODINGS = (16, 32, 64)
 _BINS = 128
 
+#: How many of the corpus's words the reference counts for, the letter strings of each kind that it is made of, and
+#: their letters' shares in thousandths, a to z, as in English. Fixed values.
+REFERENCE_WORDS, REFERENCE_STRINGS = 100, 2_000
+LETTER_SHARES = (82, 15, 28, 43, 127, 22, 20, 61, 70, 2, 8, 40, 24, 67, 75, 19, 1, 60, 63, 91, 28, 10, 24, 1, 20, 1)
+
 _SPAN = "array<struct<start:int,end:int,kind:string>>"
 FOUND = f"doc_id long, base {_SPAN}, runs array<struct<start:int,end:int,cell:int>>, cells array<int>, counts array<long>"
 
@@ -212,6 +220,25 @@ def scan(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", false_shar
     return found.where("base is not null").select("doc_id", "base", F.transform(outside, lambda r: F.struct(r["start"].alias("start"), r["end"].alias("end"), F.lit("random").alias("kind"))).alias("random"))
 
 
+@functools.cache
+def reference() -> np.ndarray:
+    """By encoding, length class and score bin, how likely a string of letters is to look as random.
+
+    Letters are independent, which looks more random than words do, and strings
+    are as short as their class allows. The lower tail is that of a normal
+    distribution fitted to the square roots of the scores.
+    """
+    draw = np.random.Generator(np.random.PCG64(1))
+    share = np.array(LETTER_SHARES) / sum(LETTER_SHARES)
+    p = np.ones((len(_ENCODINGS), len(LENGTHS), _BINS))
+    for j, length in enumerate(LENGTHS):
+        letters = draw.choice(26, REFERENCE_STRINGS * length, p=share)
+        for i, size in enumerate(_ENCODINGS):
+            root = np.sqrt(battery(letters % size, np.full(REFERENCE_STRINGS, length), size))
+            p[i, j, :-1] = _upper_tail((root.mean() - np.sqrt(np.arange(1, _BINS))) / max(root.std(), 0.5))
+    return p
+
+
 def accept(counts: list, false_share: float) -> list[int]:
     """Cells whose runs count as secrets: the largest set by p-value whose expected share of words is below false_share."""
     size = len(_ENCODINGS) * len(LENGTHS) * _BINS
@@ -221,7 +248,7 @@ def accept(counts: list, false_share: float) -> list[int]:
     shape = (len(_ENCODINGS), len(LENGTHS), _BINS)
     # words as long or shorter: a longer word shows its structure more clearly
     null = null.reshape(shape).cumsum(1)
-    p = ((1 + null.cumsum(2)) / (1 + null.sum(2, keepdims=True))).ravel()
+    p = ((REFERENCE_WORDS * reference() + null.cumsum(2)) / (REFERENCE_WORDS + null.sum(2, keepdims=True))).ravel()
     tested = seen.sum()
     order = np.argsort(p, kind="stable")
     found = seen[order].cumsum()

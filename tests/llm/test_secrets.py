@@ -44,5 +44,21 @@ def test_battery_finds_random_strings_and_leaves_words(spark):
     assert sum(bool(v) for i, v in hits.items() if i not in secrets) <= 3
 
 
+def test_a_small_corpus_has_finds_too(spark):
+    """No long words at all, and base 64 keys outside of the base patterns."""
+    r = random.Random(7)
+    keys = [base64.b64encode(r.randbytes(30)).decode() for _ in range(5)]
+    texts = [" ".join(prose(r, 1)[:15] for _ in range(20)) for _ in range(20)]
+    texts += [f"see {k} there" for k in keys]
+    hits = {x.doc_id: [(s.start, s.end) for s in x.random] for x in secret_scan.scan(documents(spark, texts)).collect()}
+    assert all(hits[i] == [] for i in range(20))
+    assert [texts[i][s:e] for i in range(20, 25) for s, e in hits[i]] == keys
+
+
+def test_ordinary_words_are_likely_under_the_reference():
+    p = secret_scan.reference()
+    assert p.min() > 0 and (p[..., 1:] >= p[..., :-1]).all() and (p[..., -1] == 1).all()
+
+
 def test_empty_table(spark):
     assert secret_scan.scan(documents(spark, ["x"]).where("false")).count() == 0
