@@ -4,6 +4,8 @@ A copy of an item with at most k edits keeps all but k * q of the item's
 q-grams, and these lie within k diagonals of each other. So the q-grams that a
 document shares with an item are counted in overlapping bands of diagonals;
 only bands that reach the count are aligned, in a band around their diagonal.
+The same holds for every window of a fixed length of a longer item, so that a
+part of an item is found too.
 """
 
 from __future__ import annotations
@@ -22,6 +24,9 @@ from tallyweave.llm import textops
 #: Length of a q-gram in bytes, and edits allowed for each byte of an item.
 GRAM, EDIT_SHARE = 10, 0.08
 
+#: Bytes of an item's windows that the queries look for besides whole items; windows that are aligned at a time.
+WINDOW, WINDOW_ROWS = 100, 2_048
+
 #: Bytes of benchmark text that one pass over the documents looks for; more take more passes.
 PASS_BYTES = 4 << 20
 
@@ -48,8 +53,12 @@ def gram_codes(buf: np.ndarray, q: int) -> np.ndarray:
 class Index:
     """The q-grams of benchmark items, with each item's edit budget and the count that a match must reach."""
 
-    def __init__(self, items: list[tuple[int, str]], q: int, share: float):
+    def __init__(self, items: list[tuple[int, str]], q: int, share: float, window: int | None = None):
         self.q = q
+        self.window = max(window, q) if window else None
+        if self.window:
+            self.window_budget = min(int(share * self.window), (self.window - q) // q)
+            self.window_least = self.window - q + 1 - self.window_budget * q
         self.ids, self.texts, budgets = [], [], []
         for item, text in items:
             t = normalise(np.frombuffer((text or "").strip().encode(), np.uint8))
@@ -81,12 +90,15 @@ class Index:
         good = self.codes[k] == codes[at]
         at, k = at[good], k[good]
         # a match has `least` places within the longest item and its budget, all in one document
-        most, need = int((self.size + self.budget).max()), max(1, int(self.least.min()))
-        if need > 1 and len(at):
+        kinds = [(int((self.size + self.budget).max()), max(1, int(self.least.min())))]
+        if self.window and (self.size > self.window).any():
+            kinds.append((self.window + self.window_budget, self.window_least))
+        if min(need for _, need in kinds) > 1 and len(at):
             keep = np.zeros(len(at), bool)
-            lead = np.arange(len(at) - need + 1)
-            full = lead[(at[lead + need - 1] - at[lead] < most) & (doc[at[lead + need - 1]] == doc[at[lead]])]
-            keep = textops.covered(full, full + need, len(at))
+            for most, need in kinds:
+                lead = np.arange(max(0, len(at) - need + 1))
+                full = lead[(at[lead + need - 1] - at[lead] < most) & (doc[at[lead + need - 1]] == doc[at[lead]])]
+                keep |= textops.covered(full, full + need, len(at))
             at, k = at[keep], k[keep]
         return at, k
 
@@ -133,6 +145,7 @@ def find(buf: np.ndarray, offs: np.ndarray, index: Index) -> list[tuple[int, int
     which = np.repeat(index.first[k] - total[:-1], n) + np.arange(total[-1])
     place = np.repeat(at, n)
     item, d = index.item[which], doc[place]
+    item_hit, d_hit = item, d
     diagonal = place - offs[d] - index.pos[which] + index.size[item]  # never below zero
     half = index.budget[item] + 1
     bands = []
@@ -161,15 +174,97 @@ def find(buf: np.ndarray, offs: np.ndarray, index: Index) -> list[tuple[int, int
                 done = lo = lo + max(hit[1], 1)  # a copy further on in the same bands
                 if hi - lo < size - k:
                     break
+    return found + (_regions(buf, offs, index, d_hit, item_hit, diagonal, index.pos[which], found) if index.window else [])
+
+
+def _align_windows(windows: np.ndarray, regions: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of each window the fewest edits to a part of its region, and that part's bounds, many windows at a time."""
+    steps = np.arange(regions.shape[1] + 1, dtype=np.int32)
+    one = np.int32(1 << 12)  # an edit; the part's start is taken off, so that it is carried along
+    row = np.tile(-steps, (len(windows), 1))
+    for i in range(windows.shape[1]):
+        new = row + one
+        np.minimum(new[:, 1:], row[:, :-1] + one * (regions != windows[:, i : i + 1]), out=new[:, 1:])
+        row = np.minimum.accumulate(new - steps * one, axis=1) + steps * one
+    end = row.argmin(1)
+    best = row[np.arange(len(row)), end]
+    edits = -(-best // one)
+    return edits, edits * one - best, end
+
+
+def _regions(buf: np.ndarray, offs: np.ndarray, index: Index, doc: np.ndarray, item: np.ndarray, diagonal: np.ndarray, pos: np.ndarray, whole: list) -> list[tuple[int, int, int, int, int]]:
+    """(document, item, start, end, edits) of each stretch of overlapping windows that is not in a whole passage."""
+    length, k, need = index.window, index.window_budget, index.window_least
+    half, n_items = k + 1, len(index.ids)
+    long = index.size[item] > length
+    doc, item, diagonal, pos = doc[long], item[long], diagonal[long], pos[long]
+    key = np.concatenate([(doc * n_items + item) * (1 << 32) + (diagonal // half - shift + 1) for shift in (0, 1)])
+    pos = np.concatenate([pos, pos])
+    order = np.lexsort((pos, key))
+    key, pos = key[order], pos[order]
+    lead = np.arange(max(0, len(key) - need + 1))
+    lead = lead[(key[lead + need - 1] == key[lead]) & (pos[lead + need - 1] - pos[lead] <= length - index.q)]
+    if not len(lead):
+        return []
+    first = np.maximum(pos[lead + need - 1] + index.q - length, 0)
+    size = index.size[(key[lead] >> 32) % n_items]
+    n = np.minimum(pos[lead], size - length) - first + 1
+    key, first, n = key[lead][n > 0], first[n > 0], n[n > 0]
+    total = np.concatenate(([0], np.cumsum(n)))
+    start = np.repeat(first - total[:-1], n) + np.arange(total[-1])
+    both = np.unique(np.column_stack([np.repeat(key, n), start]), axis=0)
+    pair, band, start = both[:, 0] >> 32, (both[:, 0] & 0xFFFFFFFF) - 1, both[:, 1]
+    doc, item = np.divmod(pair, n_items)
+    lo = offs[doc] + start + band * half - index.size[item] - k  # where the window's region begins
+    reach = length + 2 * half + 2 * k
+    known: dict[int, list[tuple[int, int]]] = {}
+    for d, i, s, e, _ in whole:
+        known.setdefault(d * n_items + i, []).append((int(offs[d]) + s, int(offs[d]) + e))
+    keep = np.ones(len(pair), bool)
+    for p, spans in known.items():
+        at = slice(*np.searchsorted(pair, (p, p + 1)))
+        for s, e in spans:
+            keep[at] &= ~((lo[at] + k + half >= s - half) & (lo[at] + k + half + length <= e + half))
+    pair, doc, item, start, lo = (x[keep] for x in (pair, doc, item, start, lo))
+    hits: dict[int, list[tuple[int, int, int]]] = {}
+    for a in range(0, len(pair), WINDOW_ROWS):
+        part = slice(a, a + WINDOW_ROWS)
+        windows = np.stack([index.texts[i][w : w + length] for i, w in zip(item[part].tolist(), start[part].tolist(), strict=True)])
+        place = lo[part, None] + np.arange(reach)
+        inside = (place >= offs[doc[part]][:, None]) & (place < offs[doc[part] + 1][:, None])
+        regions = np.where(inside, buf[np.clip(place, 0, len(buf) - 1)], 0xFF)  # a byte that no text has
+        edits, s, e = _align_windows(windows, regions)
+        for x in np.flatnonzero(edits <= k).tolist():
+            d = int(doc[a + x])
+            s_, e_ = (min(max(int(lo[a + x] + v[x]), int(offs[d])), int(offs[d + 1])) for v in (s, e))
+            hits.setdefault(int(pair[a + x]), []).append((s_, e_, int(start[a + x])))
+    found = []
+    for p, spans in hits.items():
+        d, i = divmod(p, n_items)
+        groups: list[list[int]] = []
+        for s_, e_, w in sorted(spans):
+            if groups and s_ < groups[-1][1]:
+                g = groups[-1]
+                g[1], g[2], g[3] = max(g[1], e_), min(g[2], w), max(g[3], w)
+            else:
+                groups.append([s_, e_, w, w])
+        for s_, e_, w, v in groups:
+            if any(x - half <= s_ and e_ <= y + half for x, y in known.get(p, [])):
+                continue
+            got, g, h = align(index.texts[i][w : v + length], buf[s_:e_], index.size[i])
+            found.append((d, i, s_ + got - int(offs[d]), s_ + g - int(offs[d]), h))
     return found
 
 
-def passages(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text: str = "text", item_id: str = "item_id", item_text: str = "text", q: int = GRAM, edit_share: float = EDIT_SHARE, pass_bytes: int = PASS_BYTES) -> DataFrame:
+def passages(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text: str = "text", item_id: str = "item_id", item_text: str = "text", q: int = GRAM, edit_share: float = EDIT_SHARE, pass_bytes: int = PASS_BYTES, window: int | None = None) -> DataFrame:
     """doc_id, item_id, start, end (bytes of the text, end exclusive) and edits of each benchmark passage.
 
     Case and kinds of white space don't count as edits. An item allows
     edit_share edits a byte, fewer where that would leave no q-gram whole; items
-    shorter than one q-gram, empty or null are not looked for. A null text has
+    shorter than one q-gram, empty or null are not looked for. With a window,
+    parts of longer items count too: each stretch of a text made of overlapping
+    windows of so many bytes, every one within edit_share edits a byte of an
+    item's, is a passage unless it lies in one of the whole item. A null text has
     no passages; repeated documents or items give repeated rows. The benchmark
     is read in parts of bounded size, and each part is one pass over the
     documents, so none of it need fit in memory as a whole.
@@ -178,7 +273,7 @@ def passages(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text
 
     def one_pass(held: list) -> DataFrame:
         def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            index = Index(held, q, edit_share)
+            index = Index(held, q, edit_share, window)
             for batch in batches:
                 for b in textops.slices(batch):
                     ids = b.column(0).to_pylist()
@@ -192,12 +287,12 @@ def passages(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text
     return reduce(DataFrame.unionByName, map(one_pass, _parts(benchmark, item_id, item_text, pass_bytes)))
 
 
-def without_passages(docs: DataFrame, benchmark: DataFrame, text: str = "text", item_id: str = "item_id", item_text: str = "text", q: int = GRAM, edit_share: float = EDIT_SHARE, pass_bytes: int = PASS_BYTES) -> DataFrame:
+def without_passages(docs: DataFrame, benchmark: DataFrame, text: str = "text", item_id: str = "item_id", item_text: str = "text", q: int = GRAM, edit_share: float = EDIT_SHARE, pass_bytes: int = PASS_BYTES, window: int | None = None) -> DataFrame:
     """The rows, with all their columns, whose text holds no benchmark passage; the same rules as in passages()."""
 
     def one_pass(docs: DataFrame, held: list) -> DataFrame:
         def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            index = Index(held, q, edit_share)
+            index = Index(held, q, edit_share, window)
             for batch in batches:
                 for b in textops.slices(batch):
                     clean = np.ones(b.num_rows, bool)

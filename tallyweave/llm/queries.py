@@ -78,7 +78,7 @@ def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return decontaminate.passages(_documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    return decontaminate.passages(_documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"), window=decontaminate.WINDOW)
 
 
 def op6_block_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -64,6 +64,25 @@ def test_clean_rows_stay_and_parts_agree(case):
     assert sorted(map(tuple, parts.collect())) == sorted(map(tuple, decontaminate.passages(docs, benchmark).collect()))
 
 
+def test_parts_of_items(spark):
+    r = random.Random(31)
+    item = prose(r, 120)
+    n = len(item)
+    parts = {0: item[: n // 2], 1: item[n // 5 :], 2: item[40:150], 3: edited(r, item[100:300], 6), 5: item}
+    texts = [f"{prose(r, 30)} {parts[i]} {prose(r, 30)}" if i in parts else prose(r, 90) for i in range(5)] + [f"{prose(r, 30)} {item}"]
+    texts.append(prose(r, 30) + " " + item[:160])  # cut off by the end of the text
+    docs, benchmark = documents(spark, texts), spark.createDataFrame([(7, item)], "item_id long, text string")
+    got = sorted(map(tuple, decontaminate.passages(docs, benchmark, window=100).collect()))
+    assert [x[0] for x in got] == [0, 1, 2, 3, 5, 6]
+    for d, _, start, end, edits in got:
+        want = parts.get(d, item[:160])
+        at = texts[d].encode().index(want.encode())
+        assert abs(start - at) <= 10 and abs(end - at - len(want.encode())) <= 10 and edits <= 20
+    assert {x[0] for x in decontaminate.passages(docs, benchmark).collect()} == {5}
+    left = decontaminate.without_passages(docs, benchmark, window=100)
+    assert {x.doc_id for x in left.collect()} == {4}
+
+
 def test_empty_tables(case):
     _, texts, docs, benchmark = case
     assert decontaminate.passages(docs.where("false"), benchmark).count() == 0
