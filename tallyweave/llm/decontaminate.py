@@ -1,38 +1,54 @@
 """Benchmark passages in documents, by q-gram counts in diagonal bands.
 
 A copy of an item with at most k edits keeps all but k * q of the item's
-q-grams, and these lie within k diagonals of each other. So the q-grams that a
-document shares with an item are counted in overlapping bands of diagonals;
-only bands that reach the count are aligned, in a band around their diagonal.
-The same holds for every window of a fixed length of a longer item, so that a
-part of an item is found too.
+q-grams, and these lie within k diagonals of each other. The same holds for
+every window of a fixed length of a longer item, so that a part of an item is
+found too.
+
+Both sides are tables. A bitmap of fixed size, of all benchmark q-grams, and
+the lemma's count cut the documents down to stretches that may hold a passage;
+the q-grams of those are joined with the benchmark's, and counted for each
+stretch, item and overlapping band of diagonals. Only pairs that reach the
+count get their texts, and are aligned in a band.
 """
 
 from __future__ import annotations
 
-import math
+import hashlib
 from collections.abc import Iterator
-from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyweave.llm import textops
+from tallyweave.llm import durable, textops
 
 #: Length of a q-gram in bytes, and edits allowed for each byte of an item.
 GRAM, EDIT_SHARE = 10, 0.08
 
-#: Bytes of an item's windows that the queries look for besides whole items; windows that are aligned at a time.
-WINDOW, WINDOW_ROWS = 100, 2_048
+#: Bytes of an item's windows that the queries look for besides whole items.
+WINDOW = 100
 
-#: Bytes of benchmark text that one pass over the documents looks for; more take more passes.
-PASS_BYTES = 4 << 20
+#: Bits of the benchmark's bitmap (2 MB); with more q-grams than it can tell apart it lets more stretches pass, and the result stays.
+FILTER_BITS = 24
+
+#: Least bytes of a stretch; longer ones are cut, with overlap.
+STRETCH = 4_096
+
+#: Windows that are aligned at a time, and neighbouring ones whose common part is aligned first.
+WINDOW_ROWS, WINDOW_BLOCK = 2_048, 16
 
 RESULT = "doc_id long, item_id long, start int, end int, edits int"
 
-_FILTER_BITS = 22
+_STRETCHES = "stretch long, doc_id long, digest binary, start int, core_from int, core_to int, body binary, codes array<long>, places array<int>, short_at array<int>, short_text array<binary>"
+_STRETCH = pa.schema([
+    ("stretch", pa.int64()), ("doc_id", pa.int64()), ("digest", pa.binary()), ("start", pa.int32()), ("core_from", pa.int32()), ("core_to", pa.int32()), ("body", pa.binary()),
+    ("codes", pa.list_(pa.int64())), ("places", pa.list_(pa.int32())), ("short_at", pa.list_(pa.int32())), ("short_text", pa.list_(pa.binary())),
+])
+
+_WORD = np.zeros(256, bool)
+_WORD[[*range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256)]] = True
 
 
 def normalise(buf: np.ndarray) -> np.ndarray:
@@ -50,77 +66,177 @@ def gram_codes(buf: np.ndarray, q: int) -> np.ndarray:
     return textops.byte_sums(buf).hash(i, i + q)
 
 
-class Index:
-    """The q-grams of benchmark items, with each item's edit budget and the count that a match must reach."""
+def _short_code(codes: np.ndarray) -> np.ndarray:
+    return (codes >> np.uint64(64 - FILTER_BITS)).astype(np.int64)
+
+
+def _owner(offs: np.ndarray) -> np.ndarray:
+    return np.repeat(np.arange(len(offs) - 1), np.diff(offs))
+
+
+def _grams_inside(buf: np.ndarray, offs: np.ndarray, q: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Code, text and place of each q-gram that lies in one text."""
+    codes, owner = gram_codes(buf, q), _owner(offs)
+    at = np.flatnonzero(owner[: len(codes)] == owner[q - 1 :]) if len(codes) else np.zeros(0, np.int64)
+    return codes[at], owner[at], at
+
+
+def _budget(size: Column, q: int, share: float) -> Column:
+    """Edits that an item of so many bytes allows; at least one q-gram stays whole."""
+    return F.least(F.floor(size * share), F.floor((size - q) / q)).cast("int")
 
-    def __init__(self, items: list[tuple[int, str]], q: int, share: float, window: int | None = None):
-        self.q = q
+
+class Benchmark:
+    """The items as tables, and what of them has a fixed size: bitmap, size classes and lengths of short items."""
+
+    def __init__(self, benchmark: DataFrame, item_id: str, text: str, q: int, share: float, window: int | None):
+        self.q, self.share = q, share
         self.window = max(window, q) if window else None
         if self.window:
             self.window_budget = min(int(share * self.window), (self.window - q) // q)
             self.window_least = self.window - q + 1 - self.window_budget * q
-        self.ids, self.texts, budgets = [], [], []
-        for item, text in items:
-            t = normalise(np.frombuffer((text or "").strip().encode(), np.uint8))
-            if len(t) >= q:
-                self.ids.append(item)
-                self.texts.append(t)
-                budgets.append(min(int(share * len(t)), (len(t) - q) // q))  # at least one q-gram stays whole
-        self.budget = np.array(budgets, np.int64)
-        self.size = np.array([len(t) for t in self.texts], np.int64)
-        self.least = self.size - q + 1 - self.budget * q
-        codes = [gram_codes(t, q) for t in self.texts]
-        n = [len(c) for c in codes]
-        flat = np.concatenate(codes) if codes else np.zeros(0, np.uint64)
-        order = np.argsort(flat, kind="stable")
-        self.item = np.repeat(np.arange(len(n)), n)[order]
-        self.pos = np.concatenate([np.arange(k) for k in n])[order] if n else order
-        self.codes, self.first, self.count = np.unique(flat[order], return_index=True, return_counts=True)
-        self.filter = np.zeros(1 << _FILTER_BITS, bool)
-        self.filter[self._short(self.codes)] = True
-
-    @staticmethod
-    def _short(codes: np.ndarray) -> np.ndarray:
-        return (codes >> np.uint64(64 - _FILTER_BITS)).astype(np.int64)
-
-    def hits(self, codes: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Places whose q-gram an item has, and which of the item q-grams it is; lone places are left out."""
-        at = np.flatnonzero(self.filter[self._short(codes)])
-        k = np.minimum(np.searchsorted(self.codes, codes[at]), len(self.codes) - 1)
-        good = self.codes[k] == codes[at]
-        at, k = at[good], k[good]
-        # a match has `least` places within the longest item and its budget, all in one document
-        kinds = [(int((self.size + self.budget).max()), max(1, int(self.least.min())))]
-        if self.window and (self.size > self.window).any():
-            kinds.append((self.window + self.window_budget, self.window_least))
-        if min(need for _, need in kinds) > 1 and len(at):
-            keep = np.zeros(len(at), bool)
-            for most, need in kinds:
-                lead = np.arange(max(0, len(at) - need + 1))
-                full = lead[(at[lead + need - 1] - at[lead] < most) & (doc[at[lead + need - 1]] == doc[at[lead]])]
-                keep |= textops.covered(full, full + need, len(at))
-            at, k = at[keep], k[keep]
-        return at, k
+
+        def bodies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for b in batches:
+                texts = [normalise(np.frombuffer((t or "").encode(), np.uint8)).tobytes().strip(b" ") for t in b.column(1).to_pylist()]
+                yield pa.RecordBatch.from_arrays([b.column(0), pa.array(texts, pa.binary())], names=["item_id", "item_body"])
+
+        rows = benchmark.select(F.col(item_id).cast("long").alias("item_id"), F.col(text).alias("item_text")).where("item_text is not null").mapInArrow(bodies, "item_id long, item_body binary")
+        size = F.octet_length("item_body")
+        items = durable.checkpoint(rows.where(size > 0).withColumn("item", F.monotonically_increasing_id()).withColumn("size", size))
+        self.short = items.where(F.col("size") < q).select("item", "item_id", "item_body")
+        self.items = items.where(F.col("size") >= q).withColumn("budget", _budget(F.col("size"), q, share)).withColumn("least", F.col("size") - q + 1 - F.col("budget") * q)
+
+        def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                for b in textops.slices(batch):
+                    buf, offs = textops.batch(b.column(1))
+                    codes, owner, at = _grams_inside(buf, offs, q)
+                    item = b.column(0).to_numpy(zero_copy_only=False)[owner]
+                    yield pa.RecordBatch.from_arrays([pa.array(codes.view(np.int64)), pa.array(item), pa.array((at - offs[owner]).astype(np.int32))], names=["code", "item", "pos"])
+
+        grams = self.items.select("item", "item_body").mapInArrow(cut, "code long, item long, pos int")
+        need = F.col("least")
+        if self.window:
+            need = F.when(F.col("size") > self.window, F.least("least", F.lit(self.window_least))).otherwise(need)
+        self.grams = grams.join(self.items.select("item", "size", (F.col("budget") + 1).alias("half"), need.alias("need")), "item")
+
+        def short_codes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for b in batches:
+                buf, offs = textops.batch(b.column(0))
+                yield pa.RecordBatch.from_arrays([pa.array(textops.byte_sums(buf).hash(offs[:-1], offs[1:]).view(np.int64))], names=["code"])
+
+        codes = grams.select("code").unionByName(self.short.select("item_body").mapInArrow(short_codes, "code long"))
+        place = F.shiftrightunsigned("code", 64 - FILTER_BITS)
+        marks = codes.select(place.alias("place")).groupBy(F.expr("place div 64").alias("at")).agg(F.expr("bit_or(shiftleft(1L, cast(place % 64 as int)))").alias("bits")).collect()  # at most 2**FILTER_BITS / 64 rows
+        self.filter = np.zeros(1 << FILTER_BITS >> 6, np.uint64)
+        for r in marks:
+            self.filter[r["at"]] = r["bits"] & 0xFFFFFFFFFFFFFFFF
+        # four size classes an octave: a match of an item has `least` q-grams within its size and budget
+        octave = F.floor(F.log2(F.col("size").cast("double")) * 4)
+        classes = self.items.groupBy(octave.alias("octave")).agg(F.max(F.col("size") + F.col("budget")).alias("most"), F.min("least").alias("need")).collect()  # at most 124 rows
+        self.kinds = [(r["most"], max(1, r["need"])) for r in classes]
+        self.margin = 2 * max((m for m, _ in self.kinds), default=0)
+        self.core = max(STRETCH, 2 * self.margin)
+        if self.window and classes and max(m for m, _ in self.kinds) > self.window:
+            self.kinds.append((self.window + self.window_budget, self.window_least))
+        self.short_lengths = sorted(r[0] for r in self.short.select(F.octet_length("item_body")).distinct().collect())  # below q
+
+
+def dense(at: np.ndarray, doc: np.ndarray, kinds: list[tuple[int, int]]) -> np.ndarray:
+    """Which of the ascending places lie among `need` within `most` bytes of one document, for some kind (most, need)."""
+    keep = np.zeros(len(at), bool)
+    for most, need in kinds:
+        lead = np.arange(max(0, len(at) - need + 1))
+        full = lead[(at[lead + need - 1] - at[lead] < most) & (doc[lead + need - 1] == doc[lead])]
+        keep |= textops.covered(full, full + need, len(at))
+    return keep
+
+
+def _stretches(ids: list, raw: np.ndarray, offs: np.ndarray, bench: tuple, number: int) -> list[tuple]:
+    """Rows of the stretches of a batch that may hold a passage, numbered from a given number."""
+    q, bits, kinds, margin, core, short_lengths = bench
+    buf = normalise(raw)
+    found: dict[int, list] = {}
+    if kinds:
+        codes = gram_codes(buf, q)
+        at = np.flatnonzero(bits[_short_code(codes)])
+        doc = np.searchsorted(offs, at, side="right") - 1
+        inside = at + q <= offs[doc + 1]
+        at, doc = at[inside], doc[inside]
+        keep = dense(at, doc, kinds)
+        at, doc = at[keep], doc[keep]
+        lo, hi = np.maximum(at - margin, offs[doc]), np.minimum(at + q + margin, offs[doc + 1])
+        new = np.ones(len(at), bool)
+        new[1:] = (doc[1:] != doc[:-1]) | (lo[1:] > hi[:-1])
+        first = np.flatnonzero(new)
+        last = np.append(first[1:], len(at))[: len(first)] - 1
+        for d, s, e in zip(doc[first].tolist(), lo[first].tolist(), hi[last].tolist(), strict=True):
+            for c in range(s, e, core):
+                b, f = max(int(offs[d]), s, c - margin), min(int(offs[d + 1]), e, c + core + margin)
+                x, y = np.searchsorted(at, (b, f - q + 1))
+                if x < y:
+                    found.setdefault(d, []).append((b, c, min(e, c + core), buf[b:f].tobytes(), codes[at[x:y]].view(np.int64), (at[x:y] - b).astype(np.int32)))
+    shorts: dict[int, list] = {}
+    if short_lengths:
+        solid = _WORD[buf]
+        edge = np.zeros(len(buf) + 1, bool)
+        edge[offs] = True
+        begins = np.ones(len(buf) + 1, bool)  # no letter or digit goes before, or none follows
+        begins[1:-1] = ~(solid[1:] & solid[:-1]) if len(buf) else begins[1:-1]
+        begins |= edge
+        sums = textops.byte_sums(buf)
+        for n in short_lengths:
+            at = np.flatnonzero(begins[: max(0, len(buf) - n + 1)])
+            at = at[begins[at + n]]
+            doc = np.searchsorted(offs, at, side="right") - 1
+            at = at[at + n <= offs[doc + 1]]
+            at = at[bits[_short_code(sums.hash(at, at + n))]]
+            for x, d in zip(at.tolist(), (np.searchsorted(offs, at, side="right") - 1).tolist(), strict=True):
+                shorts.setdefault(d, []).append((x - int(offs[d]), buf[x : x + n].tobytes()))
+    rows = []
+    for d in sorted({*found, *shorts}):
+        o = int(offs[d])
+        digest = hashlib.md5(raw[o : offs[d + 1]].tobytes()).digest()
+        for b, c, f, body, codes, places in found.get(d, []):
+            rows.append((number + len(rows), ids[d], digest, b - o, c - o, f - o, body, codes, places, None, None))
+        if d in shorts:
+            rows.append((number + len(rows), ids[d], digest, 0, 0, 0, None, None, None, *zip(*shorts[d], strict=True)))
+    return rows
 
 
 def align(item: np.ndarray, region: np.ndarray, most: int) -> tuple[int, int, int] | None:
     """The fewest edits between the item and a part of the region, with the part's bounds; None beyond most.
 
-    Rows of the edit table are computed whole; inside a row, running least
-    values carry insertions along.
+    The edit table is computed by rows, on the diagonals that any part of the
+    region within most edits can use; inside a row, running least values carry
+    insertions along.
     """
+    at = region.tobytes().find(item.tobytes())
+    if at >= 0:
+        return at, at + len(item), 0
 
     def last_row(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-        steps = np.arange(len(b) + 1)
-        row = np.zeros(len(b) + 1, np.int64)
+        """Edits between a and the parts of b that end at each place, most + 1 for more."""
+        width = max(1, len(b) - len(a) + 2 * most + 1)
+        steps = np.arange(width)
+        far = most + 1
+        padded = np.concatenate([np.full(most + 1, -1), b.astype(np.int64), np.full(width + len(a) + most + 1, -1)])
+        place = steps - most  # column of each diagonal in row 0
+        row = np.where((place >= 0) & (place <= len(b)), 0, far)
         for i, c in enumerate(a.tolist()):
-            new = np.empty_like(row)
-            new[0] = i + 1
-            new[1:] = np.minimum(row[:-1] + (b != c), row[1:] + 1)
-            row = np.minimum.accumulate(new - steps) + steps
-            if row.min() > most:
-                return row
-        return row
+            place = place + 1
+            new = row + (padded[i + 1 : i + 1 + width] != c)
+            new[:-1] = np.minimum(new[:-1], row[1:] + 1)
+            new[(place < 0) | (place > len(b))] = far
+            row = np.minimum(np.minimum.accumulate(new - steps) + steps, far)
+            row[(place < 0) | (place > len(b))] = far
+            if row.min() >= far:
+                break
+        out = np.full(len(b) + 1, far)
+        good = (place >= 0) & (place <= len(b))
+        out[place[good]] = row[good]
+        return out
 
     row = last_row(item, region)
     end = int(row.argmin())
@@ -131,56 +247,169 @@ def align(item: np.ndarray, region: np.ndarray, most: int) -> tuple[int, int, in
     return end - int(np.flatnonzero(back == edits)[0]), end, edits
 
 
-def find(buf: np.ndarray, offs: np.ndarray, index: Index) -> list[tuple[int, int, int, int, int]]:
-    """(document, item, start, end, edits) of each passage, in bytes."""
-    buf = normalise(buf)
-    codes = gram_codes(buf, index.q)
-    if not len(codes) or not len(index.ids):
-        return []
-    doc = np.repeat(np.arange(len(offs) - 1), np.diff(offs))
-    at, k = index.hits(codes, doc)
-    at, k = (x[doc[at] == doc[np.minimum(at + index.q - 1, len(doc) - 1)]] for x in (at, k))
-    n = index.count[k]
-    total = np.concatenate(([0], np.cumsum(n)))
-    which = np.repeat(index.first[k] - total[:-1], n) + np.arange(total[-1])
-    place = np.repeat(at, n)
-    item, d = index.item[which], doc[place]
-    item_hit, d_hit = item, d
-    diagonal = place - offs[d] - index.pos[which] + index.size[item]  # never below zero
-    half = index.budget[item] + 1
-    bands = []
-    for shift in (0, 1):  # each diagonal lies in two bands of twice half, and any budget of diagonals in one
-        band = diagonal // half - shift
-        key = (d * len(index.ids) + item) * (1 << 32) + (band + 1)
-        key, count = np.unique(key, return_counts=True) if not shift else np.unique(np.concatenate([bands[0], key]), return_counts=True)
-        bands.append(np.repeat(key, count) if not shift else key)
-    key, pair = bands[1], bands[1] >> 32
-    good = count >= index.least[pair % len(index.ids)]
-    found: list[tuple[int, int, int, int, int]] = []
-    todo: dict[int, list[int]] = {}
-    for p, b in zip(pair[good].tolist(), (key[good] & 0xFFFFFFFF).tolist(), strict=True):
-        todo.setdefault(p, []).append(b - 1)
-    for p, those in todo.items():
-        d, item = divmod(p, len(index.ids))
-        k, size, half = int(index.budget[item]), int(index.size[item]), int(index.budget[item]) + 1
-        groups = np.split(np.array(those), np.flatnonzero(np.diff(those) > 1) + 1)
-        done = -1
-        for g in groups:
-            lo = int(offs[d]) + max(0, int(g[0]) * half - size - k)
-            hi = min(int(offs[d + 1]), int(offs[d]) + (int(g[-1]) + 2) * half - size + size + k)
-            lo = max(lo, done)
-            while (hit := align(index.texts[item], buf[lo:hi], k)) is not None:
-                found.append((d, item, lo + hit[0] - int(offs[d]), lo + hit[1] - int(offs[d]), hit[2]))
-                done = lo = lo + max(hit[1], 1)  # a copy further on in the same bands
-                if hi - lo < size - k:
-                    break
-    return found + (_regions(buf, offs, index, d_hit, item_hit, diagonal, index.pos[which], found) if index.window else [])
-
-
-def _align_windows(windows: np.ndarray, regions: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+class Pairs:
+    """Stretches and items side by side, their shared q-grams, and the passages that alignment confirms."""
+
+    def __init__(self, texts: pa.Array, items: pa.Array, q: int, share: float, window: tuple[int, int, int] | None):
+        self.q, self.window = q, window
+        self.buf, self.offs = textops.batch(texts)
+        self.items, self.item_offs = textops.batch(items)
+        self.size = np.diff(self.item_offs)
+        self.budget = np.minimum((share * self.size).astype(np.int64), (self.size - q) // q)
+        self.least = self.size - q + 1 - self.budget * q
+        self._share_grams()
+
+    def _share_grams(self) -> None:
+        """pair, place in the stretch and place in the item of each q-gram that both have."""
+        salt = lambda codes, pair: textops.mix(codes ^ textops.mix(pair.astype(np.uint64) + np.uint64(1)))
+        codes, pair, at = _grams_inside(self.buf, self.offs, self.q)
+        own, of, pos = _grams_inside(self.items, self.item_offs, self.q)
+        own = salt(own, of)
+        order = np.argsort(own, kind="stable")
+        distinct, first, count = np.unique(own[order], return_index=True, return_counts=True)
+        if not len(distinct) or not len(codes):
+            self.pair = self.place = self.pos = np.zeros(0, np.int64)
+            return
+        codes = salt(codes, pair)
+        k = np.minimum(np.searchsorted(distinct, codes), len(distinct) - 1)
+        good = distinct[k] == codes
+        k, at, pair = k[good], at[good], pair[good]
+        n = count[k]
+        total = np.concatenate(([0], np.cumsum(n)))
+        which = order[np.repeat(first[k] - total[:-1], n) + np.arange(total[-1])]
+        self.pair, self.place, self.pos = np.repeat(pair, n), np.repeat(at - self.offs[pair], n), pos[which] - self.item_offs[np.repeat(pair, n)]
+
+    def item(self, p: int) -> np.ndarray:
+        return self.items[self.item_offs[p] : self.item_offs[p + 1]]
+
+    def text(self, p: int) -> np.ndarray:
+        return self.buf[self.offs[p] : self.offs[p + 1]]
+
+    def passages(self) -> list[tuple[int, int, int, int]]:
+        """(pair, start, end, edits) of whole items and, with a window, of parts, in bytes of the stretch."""
+        diagonal = self.place - self.pos + self.size[self.pair]  # never below zero
+        half = self.budget[self.pair] + 1
+        # each diagonal lies in two bands of twice half, and any budget of diagonals in one
+        key = np.concatenate([self.pair * (1 << 32) + (diagonal // half - shift + 1) for shift in (0, 1)])
+        key, count = np.unique(key, return_counts=True)
+        good = count >= self.least[key >> 32]
+        bands: dict[int, list[int]] = {}
+        for p, b in zip((key[good] >> 32).tolist(), (key[good] & 0xFFFFFFFF).tolist(), strict=True):
+            bands.setdefault(p, []).append(b - 1)
+        found = []
+        for p, those in bands.items():
+            k, size, text = int(self.budget[p]), int(self.size[p]), self.text(p)
+            done = -1
+            for g in np.split(np.array(those), np.flatnonzero(np.diff(those) > 1) + 1):
+                lo = max(0, int(g[0]) * (k + 1) - size - k, done)
+                hi = min(len(text), (int(g[-1]) + 2) * (k + 1) + k)
+                while (hit := align(self.item(p), text[lo:hi], k)) is not None:
+                    found.append((p, lo + hit[0], lo + hit[1], hit[2]))
+                    done = lo = lo + max(hit[1], 1)  # a copy further on in the same bands
+                    if hi - lo < size - k:
+                        break
+        return found + (self._parts(diagonal, found) if self.window else [])
+
+    def _candidates(self, diagonal: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """pair, band and start of each window of a long item that reaches the count in a band."""
+        length, k, need = self.window
+        half = k + 1
+        long = self.size[self.pair] > length
+        pair, diagonal, pos = self.pair[long], diagonal[long], self.pos[long]
+        key = np.concatenate([pair * (1 << 32) + (diagonal // half - shift + 1) for shift in (0, 1)])
+        pos = np.concatenate([pos, pos])
+        order = np.lexsort((pos, key))
+        key, pos = key[order], pos[order]
+        lead = np.arange(max(0, len(key) - need + 1))
+        lead = lead[(key[lead + need - 1] == key[lead]) & (pos[lead + need - 1] - pos[lead] <= length - self.q)]
+        first = np.maximum(pos[lead + need - 1] + self.q - length, 0)
+        stop = np.minimum(pos[lead], self.size[key[lead] >> 32] - length) + 1
+        key, first, stop = key[lead][stop > first], first[stop > first], stop[stop > first]
+        # starts of one band as disjoint runs: both bounds ascend with lead
+        same = np.zeros(len(key), bool)
+        same[1:] = key[1:] == key[:-1]
+        first[1:] = np.where(same[1:], np.maximum(first[1:], stop[:-1]), first[1:])
+        n = np.maximum(stop - first, 0)
+        total = np.concatenate(([0], np.cumsum(n)))
+        start = np.repeat(first - total[:-1], n) + np.arange(total[-1])
+        key = np.repeat(key, n)
+        return key >> 32, (key & 0xFFFFFFFF) - 1, start
+
+    def _align_many(self, pair: np.ndarray, start: np.ndarray, stop: np.ndarray, lo: np.ndarray, reach: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Of each item part [start, stop), all of one length, the fewest edits to a part of [lo, lo + reach) of its stretch, and that part's bounds."""
+        at = (self.item_offs[pair] + start)[:, None] + np.arange(int(stop[0] - start[0]))
+        place = (self.offs[pair] + lo)[:, None] + np.arange(reach)
+        inside = (place >= self.offs[pair][:, None]) & (place < self.offs[pair + 1][:, None])
+        regions = np.where(inside, self.buf[np.clip(place, 0, len(self.buf) - 1)], 0xFF)  # a byte that no text has
+        return _align_rows(self.items[at], regions)
+
+    def _parts(self, diagonal: np.ndarray, whole: list) -> list[tuple[int, int, int, int]]:
+        """Each stretch of overlapping windows that is not in a whole passage."""
+        length, k, _ = self.window
+        half = k + 1
+        pair, band, start = self._candidates(diagonal)
+        known: dict[int, list[tuple[int, int]]] = {}
+        for p, s, e, _ in whole:
+            known.setdefault(p, []).append((s, e))
+        lo = start + band * half - self.size[pair] - k  # where the window's region begins
+        keep = np.ones(len(pair), bool)
+        for p, spans in known.items():
+            a, b = np.searchsorted(pair, (p, p + 1))
+            for s, e in spans:
+                keep[a:b] &= ~((lo[a:b] + k + half >= s - half) & (lo[a:b] + k + half + length <= e + half))
+        pair, band, start, lo = (x[keep] for x in (pair, band, start, lo))
+        keep = self._blocks(pair, band, start, lo)
+        pair, start, lo = (x[keep] for x in (pair, start, lo))
+        hits: dict[int, list[tuple[int, int, int]]] = {}
+        for a in range(0, len(pair), WINDOW_ROWS):
+            part = slice(a, a + WINDOW_ROWS)
+            edits, s, e = self._align_many(pair[part], start[part], start[part] + length, lo[part], length + 2 * half + 2 * k)
+            for x in np.flatnonzero(edits <= k).tolist():
+                p = int(pair[a + x])
+                n = int(self.offs[p + 1] - self.offs[p])
+                s_, e_ = (min(max(int(lo[a + x] + v[x]), 0), n) for v in (s, e))
+                hits.setdefault(p, []).append((s_, e_, int(start[a + x])))
+        found = []
+        for p, spans in hits.items():
+            groups: list[list[int]] = []
+            for s_, e_, w in sorted(spans):
+                if groups and s_ < groups[-1][1]:
+                    g = groups[-1]
+                    g[1], g[2], g[3] = max(g[1], e_), min(g[2], w), max(g[3], w)
+                else:
+                    groups.append([s_, e_, w, w])
+            for s_, e_, w, v in groups:
+                if any(x - half <= s_ and e_ <= y + half for x, y in known.get(p, [])):
+                    continue
+                got, g, h = align(self.item(p)[w : v + length], self.text(p)[s_:e_], int(self.size[p]))
+                found.append((p, s_ + got, s_ + g, h))
+        return found
+
+    def _blocks(self, pair: np.ndarray, band: np.ndarray, start: np.ndarray, lo: np.ndarray) -> np.ndarray:
+        """Windows left when runs of WINDOW_BLOCK neighbours go whose common part is already beyond the budget."""
+        length, k, _ = self.window
+        block = start // WINDOW_BLOCK
+        new = np.ones(len(pair), bool)
+        new[1:] = (pair[1:] != pair[:-1]) | (band[1:] != band[:-1]) | (block[1:] != block[:-1])
+        if len(pair) == 0 or length <= WINDOW_BLOCK:
+            return np.ones(len(pair), bool)
+        first = np.flatnonzero(new)
+        # all windows that start in one block of places hold these bytes
+        core = block[first] * WINDOW_BLOCK + WINDOW_BLOCK - 1
+        stop = block[first] * WINDOW_BLOCK + length
+        region = lo[first] - start[first] + block[first] * WINDOW_BLOCK
+        reach = length + WINDOW_BLOCK + 2 * (k + 1) + 2 * k
+        good = np.ones(len(first), bool)
+        for a in range(0, len(first), WINDOW_ROWS):
+            part = slice(a, a + WINDOW_ROWS)
+            good[part] = self._align_many(pair[first[part]], core[part], stop[part], region[part], reach)[0] <= k
+        return good[np.cumsum(new) - 1]
+
+
+def _align_rows(windows: np.ndarray, regions: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Of each window the fewest edits to a part of its region, and that part's bounds, many windows at a time."""
     steps = np.arange(regions.shape[1] + 1, dtype=np.int32)
-    one = np.int32(1 << 12)  # an edit; the part's start is taken off, so that it is carried along
+    one = np.int32(1 << 15)  # an edit; the part's start is taken off, so that it is carried along
     row = np.tile(-steps, (len(windows), 1))
     for i in range(windows.shape[1]):
         new = row + one
@@ -192,122 +421,81 @@ def _align_windows(windows: np.ndarray, regions: np.ndarray) -> tuple[np.ndarray
     return edits, edits * one - best, end
 
 
-def _regions(buf: np.ndarray, offs: np.ndarray, index: Index, doc: np.ndarray, item: np.ndarray, diagonal: np.ndarray, pos: np.ndarray, whole: list) -> list[tuple[int, int, int, int, int]]:
-    """(document, item, start, end, edits) of each stretch of overlapping windows that is not in a whole passage."""
-    length, k, need = index.window, index.window_budget, index.window_least
-    half, n_items = k + 1, len(index.ids)
-    long = index.size[item] > length
-    doc, item, diagonal, pos = doc[long], item[long], diagonal[long], pos[long]
-    key = np.concatenate([(doc * n_items + item) * (1 << 32) + (diagonal // half - shift + 1) for shift in (0, 1)])
-    pos = np.concatenate([pos, pos])
-    order = np.lexsort((pos, key))
-    key, pos = key[order], pos[order]
-    lead = np.arange(max(0, len(key) - need + 1))
-    lead = lead[(key[lead + need - 1] == key[lead]) & (pos[lead + need - 1] - pos[lead] <= length - index.q)]
-    if not len(lead):
-        return []
-    first = np.maximum(pos[lead + need - 1] + index.q - length, 0)
-    size = index.size[(key[lead] >> 32) % n_items]
-    n = np.minimum(pos[lead], size - length) - first + 1
-    key, first, n = key[lead][n > 0], first[n > 0], n[n > 0]
-    total = np.concatenate(([0], np.cumsum(n)))
-    start = np.repeat(first - total[:-1], n) + np.arange(total[-1])
-    both = np.unique(np.column_stack([np.repeat(key, n), start]), axis=0)
-    pair, band, start = both[:, 0] >> 32, (both[:, 0] & 0xFFFFFFFF) - 1, both[:, 1]
-    doc, item = np.divmod(pair, n_items)
-    lo = offs[doc] + start + band * half - index.size[item] - k  # where the window's region begins
-    reach = length + 2 * half + 2 * k
-    known: dict[int, list[tuple[int, int]]] = {}
-    for d, i, s, e, _ in whole:
-        known.setdefault(d * n_items + i, []).append((int(offs[d]) + s, int(offs[d]) + e))
-    keep = np.ones(len(pair), bool)
-    for p, spans in known.items():
-        at = slice(*np.searchsorted(pair, (p, p + 1)))
-        for s, e in spans:
-            keep[at] &= ~((lo[at] + k + half >= s - half) & (lo[at] + k + half + length <= e + half))
-    pair, doc, item, start, lo = (x[keep] for x in (pair, doc, item, start, lo))
-    hits: dict[int, list[tuple[int, int, int]]] = {}
-    for a in range(0, len(pair), WINDOW_ROWS):
-        part = slice(a, a + WINDOW_ROWS)
-        windows = np.stack([index.texts[i][w : w + length] for i, w in zip(item[part].tolist(), start[part].tolist(), strict=True)])
-        place = lo[part, None] + np.arange(reach)
-        inside = (place >= offs[doc[part]][:, None]) & (place < offs[doc[part] + 1][:, None])
-        regions = np.where(inside, buf[np.clip(place, 0, len(buf) - 1)], 0xFF)  # a byte that no text has
-        edits, s, e = _align_windows(windows, regions)
-        for x in np.flatnonzero(edits <= k).tolist():
-            d = int(doc[a + x])
-            s_, e_ = (min(max(int(lo[a + x] + v[x]), int(offs[d])), int(offs[d + 1])) for v in (s, e))
-            hits.setdefault(int(pair[a + x]), []).append((s_, e_, int(start[a + x])))
-    found = []
-    for p, spans in hits.items():
-        d, i = divmod(p, n_items)
-        groups: list[list[int]] = []
-        for s_, e_, w in sorted(spans):
-            if groups and s_ < groups[-1][1]:
-                g = groups[-1]
-                g[1], g[2], g[3] = max(g[1], e_), min(g[2], w), max(g[3], w)
-            else:
-                groups.append([s_, e_, w, w])
-        for s_, e_, w, v in groups:
-            if any(x - half <= s_ and e_ <= y + half for x, y in known.get(p, [])):
-                continue
-            got, g, h = align(index.texts[i][w : v + length], buf[s_:e_], index.size[i])
-            found.append((d, i, s_ + got - int(offs[d]), s_ + g - int(offs[d]), h))
-    return found
-
-
-def passages(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text: str = "text", item_id: str = "item_id", item_text: str = "text", q: int = GRAM, edit_share: float = EDIT_SHARE, pass_bytes: int = PASS_BYTES, window: int | None = None) -> DataFrame:
+def _found(docs: DataFrame, benchmark: DataFrame, doc_id: Column, text: str, item_id: str, item_text: str, q: int, edit_share: float, window: int | None) -> DataFrame:
+    """doc_id, digest of the text, item_id, start, end and edits of each passage."""
+    bench = Benchmark(benchmark, item_id, item_text, q, edit_share, window)
+    packed, state = bench.filter, (bench.kinds, bench.margin, bench.core, bench.short_lengths)
+
+    def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyspark import TaskContext
+
+        number = TaskContext.get().partitionId() << 40
+        known = (q, np.unpackbits(packed.view(np.uint8), bitorder="little").view(bool), *state)
+        for batch in batches:
+            for b in textops.slices(batch):
+                rows = _stretches(b.column(0).to_pylist(), *textops.batch(b.column(1)), known, number)
+                number += len(rows)
+                if rows:
+                    yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), _STRETCH, strict=True)], schema=_STRETCH)
+
+    stretches = durable.checkpoint(docs.select(doc_id.cast("long").alias("doc_id"), F.col(text).alias("text")).mapInArrow(look, _STRETCHES))
+    hits = stretches.where("codes is not null").select("stretch", F.explode(F.arrays_zip("codes", "places")).alias("h")).select("stretch", F.col("h.codes").alias("code"), F.col("h.places").alias("place"))
+    diagonal = F.col("place") - F.col("pos") + F.col("size")
+    band = F.floor(diagonal / F.col("half")).cast("int")
+    counted = hits.join(bench.grams, "code").select("stretch", "item", "need", F.explode(F.array(band, band - 1)).alias("band")).groupBy("stretch", "item", "band").agg(F.count("*").alias("n"), F.first("need").alias("need"))
+    pairs = counted.where("n >= need").select("stretch", "item").distinct()
+    texts = pairs.join(stretches.select("stretch", "doc_id", "digest", "start", "core_from", "core_to", "body"), "stretch").join(bench.items.select("item", "item_id", "item_body"), "item")
+    limits = (bench.window, bench.window_budget, bench.window_least) if bench.window else None
+    keep = ["doc_id", "digest", "item_id"]
+
+    def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for b in textops.slices(batch, 1 << 19):
+                start, lo, hi = (b.column(c).to_numpy() for c in ("start", "core_from", "core_to"))
+                found = Pairs(b.column("body"), b.column("item_body"), q, edit_share, limits).passages()
+                # what begins in a stretch's overlap is its neighbour's
+                found = [(p, int(start[p]) + s, int(start[p]) + e, x) for p, s, e, x in found if lo[p] <= start[p] + s < hi[p]]
+                if found:
+                    p, s, e, x = (pa.array(c, pa.int32()) for c in zip(*found, strict=True))
+                    yield pa.RecordBatch.from_arrays([*(b.column(c).take(p) for c in keep), s, e, x], names=[*keep, "start", "end", "edits"])
+
+    kinds = "doc_id long, digest binary, item_id long, start int, end int, edits int"
+    found = texts.select(*keep, "start", "core_from", "core_to", "body", "item_body").mapInArrow(verify, kinds)
+    if not bench.short_lengths:
+        return found
+    words = stretches.where("short_at is not null").select("doc_id", "digest", F.explode(F.arrays_zip("short_at", "short_text")).alias("h"))
+    words = words.select("doc_id", "digest", F.col("h.short_at").alias("start"), F.col("h.short_text").alias("item_body"))
+    exact = words.join(bench.short, "item_body").select(*keep, "start", (F.col("start") + F.octet_length("item_body")).alias("end"), F.lit(0).alias("edits"))
+    return found.unionByName(exact)
+
+
+def passages(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text: str = "text", item_id: str = "item_id", item_text: str = "text", q: int = GRAM, edit_share: float = EDIT_SHARE, window: int | None = None) -> DataFrame:
     """doc_id, item_id, start, end (bytes of the text, end exclusive) and edits of each benchmark passage.
 
     Case and kinds of white space don't count as edits. An item allows
-    edit_share edits a byte, fewer where that would leave no q-gram whole; items
-    shorter than one q-gram, empty or null are not looked for. With a window,
+    edit_share edits a byte, fewer where that would leave no q-gram whole.
+    Items shorter than a q-gram are found as they are, where no letter or digit
+    stands next to them; blank or null items are not looked for. With a window,
     parts of longer items count too: each stretch of a text made of overlapping
     windows of so many bytes, every one within edit_share edits a byte of an
-    item's, is a passage unless it lies in one of the whole item. A null text has
-    no passages; repeated documents or items give repeated rows. The benchmark
-    is read in parts of bounded size, and each part is one pass over the
-    documents, so none of it need fit in memory as a whole.
-    """
-    rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
-
-    def one_pass(held: list) -> DataFrame:
-        def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            index = Index(held, q, edit_share, window)
-            for batch in batches:
-                for b in textops.slices(batch):
-                    ids = b.column(0).to_pylist()
-                    found = [(ids[d], index.ids[i], s_, e, x) for d, i, s_, e, x in find(*textops.batch(b.column(1)), index)]
-                    if found:
-                        kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32())
-                        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*found, strict=True), kinds, strict=True)], names=["doc_id", "item_id", "start", "end", "edits"])
-
-        return rows.mapInArrow(look, RESULT)
+    item's, is a passage unless it lies in one of the whole item.
 
-    return reduce(DataFrame.unionByName, map(one_pass, _parts(benchmark, item_id, item_text, pass_bytes)))
-
-
-def without_passages(docs: DataFrame, benchmark: DataFrame, text: str = "text", item_id: str = "item_id", item_text: str = "text", q: int = GRAM, edit_share: float = EDIT_SHARE, pass_bytes: int = PASS_BYTES, window: int | None = None) -> DataFrame:
-    """The rows, with all their columns, whose text holds no benchmark passage; the same rules as in passages()."""
-
-    def one_pass(docs: DataFrame, held: list) -> DataFrame:
-        def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            index = Index(held, q, edit_share, window)
-            for batch in batches:
-                for b in textops.slices(batch):
-                    clean = np.ones(b.num_rows, bool)
-                    clean[[x[0] for x in find(*textops.batch(b.column(b.schema.get_field_index(text))), index)]] = False
-                    yield b.filter(pa.array(clean))
-
-        return docs.mapInArrow(keep, docs.schema)
+    A null or empty text has no passages. Every row counts by itself: repeated
+    documents or items, with equal or null ids, give repeated rows. Either
+    table may be empty, which gives no rows; columns other than the named ones
+    are ignored, whatever their names. A long text is cut into overlapping
+    stretches, so none is held whole with its q-grams.
+    """
+    return _found(docs, benchmark, F.col(doc_id), text, item_id, item_text, q, edit_share, window).select("doc_id", "item_id", "start", "end", "edits")
 
-    return reduce(one_pass, _parts(benchmark, item_id, item_text, pass_bytes), docs)
 
+def without_passages(docs: DataFrame, benchmark: DataFrame, text: str = "text", item_id: str = "item_id", item_text: str = "text", q: int = GRAM, edit_share: float = EDIT_SHARE, window: int | None = None) -> DataFrame:
+    """The rows, with all their columns, whose text holds no benchmark passage; the same rules as in passages().
 
-def _parts(benchmark: DataFrame, item_id: str, item_text: str, pass_bytes: int) -> Iterator[list[tuple[int, str]]]:
-    """The benchmark in parts of about pass_bytes, by a hash of its rows."""
-    items = benchmark.select(F.col(item_id).cast("long").alias("item_id"), F.col(item_text).alias("text")).where("text is not null")
-    size = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    parts = max(1, math.ceil(size / pass_bytes))
-    for part in range(parts):
-        yield [tuple(r) for r in items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(parts)) == part).collect()]
+    Rows are told apart by their texts, so ids may be null or repeated. The
+    digests of texts to be dropped are written as a table, whose size lets
+    Spark choose between a broadcast and a shuffle.
+    """
+    found = _found(docs, benchmark, F.lit(None), text, item_id, item_text, q, edit_share, window)
+    bad = durable.rewritten(found.select(F.col("digest").alias("_bad_digest")).distinct(), "bad")
+    return docs.join(bad, F.unhex(F.md5(F.col(text).cast("binary"))) == bad["_bad_digest"], "left_anti")

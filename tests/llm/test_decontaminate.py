@@ -1,5 +1,7 @@
 import random
+import re
 
+import numpy as np
 import pytest
 
 from tallyweave.llm import decontaminate
@@ -38,7 +40,11 @@ def test_passages_equal_brute_force(case):
     want = {}
     for d, text in enumerate(texts):
         for i, item in items:
-            if text and item and len(norm(item)) >= decontaminate.GRAM:
+            if text and item:
+                if len(norm(item)) < decontaminate.GRAM:
+                    if norm(item) in re.split(rb"\W+", norm(text)):
+                        want[d, i] = 0
+                    continue
                 m = len(norm(item))
                 k = min(int(decontaminate.EDIT_SHARE * m), (m - decontaminate.GRAM) // decontaminate.GRAM)
                 n = edit_distance_in(norm(item), norm(text))
@@ -54,14 +60,49 @@ def test_passages_equal_brute_force(case):
     assert sum(r.doc_id == len(texts) - 1 and r.item_id == 0 for r in got) == 2
 
 
-def test_clean_rows_stay_and_parts_agree(case):
+def test_clean_rows_stay_and_long_texts_are_cut(case, spark, monkeypatch):
     items, texts, docs, benchmark = case
-    bad = {r.doc_id for r in decontaminate.passages(docs, benchmark).collect()}
-    for pass_bytes in (1 << 20, 900):
-        left = decontaminate.without_passages(docs, benchmark, pass_bytes=pass_bytes)
-        assert left.columns == docs.columns and {r.doc_id for r in left.collect()} == set(range(len(texts))) - bad
-    parts = decontaminate.passages(docs, benchmark, pass_bytes=900)
-    assert sorted(map(tuple, parts.collect())) == sorted(map(tuple, decontaminate.passages(docs, benchmark).collect()))
+    whole = sorted(map(tuple, decontaminate.passages(docs, benchmark).collect()))
+    bad = {r[0] for r in whole}
+    left = decontaminate.without_passages(docs, benchmark)
+    assert left.columns == docs.columns and {r.doc_id for r in left.collect()} == set(range(len(texts))) - bad
+    long = " ".join(t for t in texts if t)  # some thirty thousand bytes as one text
+    one = sorted((r.item_id, long.encode()[r.start : r.end]) for r in decontaminate.passages(documents(spark, [long]), benchmark).collect())
+    assert one == sorted((i, texts[d].encode()[s:e]) for d, i, s, e, _ in whole)
+    monkeypatch.setattr(decontaminate, "STRETCH", 1 << 20)
+    assert one == sorted((r.item_id, long.encode()[r.start : r.end]) for r in decontaminate.passages(documents(spark, [long]), benchmark).collect())
+
+
+def test_short_items_are_found_as_whole_words(spark):
+    docs = documents(spark, ["the answer is BORDEAUX here", "bordeauxs", "Bordeaux", "a\tb, é", None, "xa b"])
+    benchmark = spark.createDataFrame([(1, "Bordeaux"), (2, "Bordeaux "), (3, "a b"), (4, "é"), (5, " ")], "item_id long, text string")
+    got = sorted(map(tuple, decontaminate.passages(docs, benchmark).collect()))
+    assert got == [(0, 1, 14, 22, 0), (0, 2, 14, 22, 0), (2, 1, 0, 8, 0), (2, 2, 0, 8, 0), (3, 3, 0, 3, 0), (3, 4, 5, 7, 0)]
+    assert {r.doc_id for r in decontaminate.without_passages(docs, benchmark).collect()} == {1, 4, 5}
+
+
+def test_null_and_repeated_rows(case, spark):
+    """Each row counts by its own text, whatever its id; equal rows share their fate."""
+    items, *_ = case
+    texts, ids = [items[0][1], "clean text here", items[0][1], items[0][1], None], [None, None, 7, 7, 7]
+    docs = documents(spark, texts, ids)
+    benchmark = spark.createDataFrame([items[0], (99, items[0][1]), (None, items[0][1])], "item_id long, text string")
+    got = decontaminate.passages(docs, benchmark).collect()
+    assert sorted((str(r.doc_id), str(r.item_id)) for r in got) == sorted((d, i) for d in ("None", "7", "7") for i in ("0", "99", "None"))
+    assert {(r.doc_id, r.text) for r in decontaminate.without_passages(docs, benchmark).collect()} == {(None, "clean text here"), (7, None)}
+
+
+def test_banded_alignment_equals_the_full_table():
+    r = random.Random(3)
+    for _ in range(200):
+        item = "".join(r.choice("abcd") for _ in range(r.randrange(3, 40)))
+        text = "".join(r.choice("abcd") for _ in range(r.randrange(5))) + edited(r, item, r.randrange(6)) + "".join(r.choice("abcd") for _ in range(r.randrange(5)))
+        most = r.randrange(5)
+        want = edit_distance_in(item, text)
+        got = decontaminate.align(np.frombuffer(item.encode(), np.uint8), np.frombuffer(text.encode(), np.uint8), most)
+        assert (got is None) == (want > most)
+        if got:
+            assert got[2] == want and edit_distance_in(item, text[got[0] : got[1]]) == want
 
 
 def test_parts_of_items(spark):
