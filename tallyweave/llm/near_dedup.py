@@ -31,9 +31,13 @@ SKETCH_BITS, MARGIN = 1_024, 0.24
 
 #: In a bucket of at most SMALL members of several components, pairs are joined; larger ones are compared in blocks of
 #: BLOCK by products of their sets' incidence, of which COLUMNS are held at a time, from about CODES shingles at a time.
-SMALL, BLOCK, COLUMNS, CODES = 16, 1_024, 4_096, 1 << 21
+#: A block ends at BLOCK_CODES shingles too.
+SMALL, BLOCK, BLOCK_CODES, COLUMNS, CODES = 16, 1_024, 1 << 20, 4_096, 1 << 21
 
-SIGNATURE = "doc_id long, n_shingles long, set_a long, set_b long, bands array<long>, sketch array<long>"
+#: Members that are compared with one lead side by side; more make more parts, each with the lead's set once.
+PART = 256
+
+SIGNATURE = "doc_id long, row_key binary, n_shingles long, set_a long, set_b long, bands array<long>, sketch array<long>"
 
 _K = BANDS * ROWS
 _FACTORS = textops.mix(np.arange(1, _K + 1, dtype=np.uint64) * np.uint64(0x632BE59BD9B4E019)) | np.uint64(1)
@@ -68,9 +72,9 @@ def sign(codes: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     least = np.empty((_K, m), np.uint64)
     for i in range(_K):
         least[i] = np.minimum.reduceat(codes * _FACTORS[i], first[:-1])
-    bands = np.zeros((BANDS, m), np.uint64)
+    bands = np.repeat(np.arange(1, BANDS + 1, dtype=np.uint64)[:, None], m, 1)  # so that keys of two bands differ
     for r in range(ROWS):
-        bands = textops.mix(bands ^ least[r::ROWS]) if r else textops.mix(least[::ROWS])
+        bands = textops.mix(bands ^ least[r::ROWS])
     place = textops.mix(least ^ _FACTORS[:, None]) % np.uint64(SKETCH_BITS)
     flips = np.zeros((m, SKETCH_BITS), np.uint8)
     np.bitwise_xor.at(flips, (np.tile(np.arange(m), _K), place.ravel().astype(np.int64)), 1)
@@ -78,7 +82,7 @@ def sign(codes: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def signatures(rows: DataFrame, words: int) -> DataFrame:
-    """Set size, a 128-bit name of the set, band keys and sketch; the last two empty for an empty set."""
+    """Of (doc_id, text, row_key): set size, a 128-bit name of the set, band keys and sketch; the last two null for an empty set."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -96,7 +100,7 @@ def signatures(rows: DataFrame, words: int) -> DataFrame:
                     for i, k, s in zip(full.tolist(), keys.view(np.int64), bits.view(np.int64), strict=True):
                         bands[i], sketch[i] = k, s
                 longs = pa.list_(pa.int64())
-                yield pa.RecordBatch.from_arrays([b.column(0), pa.array(n, pa.int64()), pa.array(name[0].view(np.int64)), pa.array(name[1].view(np.int64)), pa.array(bands, longs), pa.array(sketch, longs)], names=["doc_id", "n_shingles", "set_a", "set_b", "bands", "sketch"])
+                yield pa.RecordBatch.from_arrays([b.column(0), b.column(2), pa.array(n, pa.int64()), pa.array(name[0].view(np.int64)), pa.array(name[1].view(np.int64)), pa.array(bands, longs), pa.array(sketch, longs)], names=["doc_id", "row_key", "n_shingles", "set_a", "set_b", "bands", "sketch"])
 
     return rows.mapInArrow(work, SIGNATURE)
 
@@ -113,40 +117,65 @@ def _similar(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     return 1 + np.log1p(-np.minimum(apart * 2 / SKETCH_BITS, 0.999999)) * (SKETCH_BITS / 2) / (2 * _K)
 
 
-def _confirm(pairs: DataFrame, rows: DataFrame, words: int, percent: int) -> DataFrame:
-    """Of pairs (a, b) those whose full shingle sets have intersection * 100 >= percent * union."""
-    left = rows.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a"))
-    right = rows.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b"))
+def _confirm(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:
+    """Of pairs (a, b) those whose full shingle sets have intersection * 100 >= percent * union.
+
+    A lead and PART of its members stand side by side, so its text is sent once
+    for so many, and a lead of very many members is dealt out.
+    """
+    counts = pairs.groupBy("a").agg(F.ceil(F.count("*") / PART).cast("int").alias("parts"))
+    part = F.pmod(F.xxhash64("b"), F.col("parts")).cast("int")
+    members = pairs.join(counts, "a").select("a", part.alias("part"), F.col("b").alias("node"), F.lit(1).alias("role"))
+    leads = counts.select("a", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.col("a").alias("node"), F.lit(0).alias("role"))
+    rows = members.unionByName(leads).join(texts, "node").repartition("a", "part").sortWithinPartitions("a", "part", "role")
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lead = np.zeros(0, np.uint64)
         for batch in batches:
             for b in textops.slices(batch):
-                found = []
-                for c in ("text_a", "text_b"):
-                    codes, first = shingle_sets(b.column(c), words)
-                    found.append((codes, np.repeat(np.arange(b.num_rows), np.diff(first)), np.diff(first)))
-                codes, doc = (np.concatenate([x[i] for x in found]) for i in (0, 1))
-                order = np.lexsort((codes, doc))
-                codes, doc = codes[order], doc[order]
-                both = np.bincount(doc[1:][(codes[1:] == codes[:-1]) & (doc[1:] == doc[:-1])], minlength=b.num_rows)
-                yield b.select(["a", "b"]).filter(pa.array(100 * both >= percent * (found[0][2] + found[1][2] - both)))
+                codes, first = shingle_sets(b.column("text"), words)
+                role, a, node = (b.column(c).to_numpy() for c in ("role", "a", "node"))
+                good = np.zeros(b.num_rows, bool)
+                for i in range(b.num_rows):
+                    own = codes[first[i] : first[i + 1]]
+                    if not role[i]:
+                        lead = own
+                        continue
+                    both = int((lead[np.minimum(np.searchsorted(lead, own), len(lead) - 1)] == own).sum())
+                    good[i] = 100 * both >= percent * (len(lead) + len(own) - both)
+                yield pa.RecordBatch.from_arrays([pa.array(a[good]), pa.array(node[good])], names=["a", "b"])
 
-    return pairs.join(left, "a").join(right, "b").select("a", "b", "text_a", "text_b").mapInArrow(check, "a long, b long").distinct()
+    return rows.select("a", "part", "role", "node", "text").mapInArrow(check, "a long, b long").distinct()
 
 
 def _across_small(members: DataFrame, least: float) -> DataFrame:
     """Pairs of different components in one small bucket whose sketches are near enough."""
-    x, y = (members.select("band", "key", *(F.col(c).alias(f"{c}_{s}") for c in ("node", "label", "sketch"))) for s in "xy")
-    pairs = x.join(y, ["band", "key"]).where("label_x < label_y").where(_similarity(F.col("sketch_x"), F.col("sketch_y")) >= least)
+    x, y = (members.select("key", *(F.col(c).alias(f"{c}_{s}") for c in ("node", "label", "sketch"))) for s in "xy")
+    pairs = x.join(y, "key").where("label_x < label_y").where(_similarity(F.col("sketch_x"), F.col("sketch_y")) >= least)
     return pairs.select(F.least("node_x", "node_y").alias("a"), F.greatest("node_x", "node_y").alias("b")).distinct()
 
 
-def _links_in_large(members: DataFrame, rows: DataFrame, least: float, words: int, percent: int) -> DataFrame:
+def _open_pairs(table: pa.Table, least: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """node, label, and which pairs of a cell are of different components and blocks and near enough by their sketches."""
+    node, label, mine = (table[c].to_numpy() for c in ("node", "label", "mine"))
+    sketch = table["sketch"].combine_chunks().flatten().to_numpy().view(np.uint64).reshape(len(node), -1)
+    open_pair = label[:, None] != label[None, :]
+    if table["i"][0].as_py() != table["j"][0].as_py():
+        open_pair &= mine[:, None] != mine[None, :]
+    for x in np.flatnonzero(open_pair.any(1)).tolist():
+        at = np.flatnonzero(open_pair[x])
+        open_pair[x, at] = _similar(sketch[x], sketch[at]) >= least
+    return node, label, open_pair
+
+
+def _links_in_large(members: DataFrame, texts: DataFrame, least: float, words: int, percent: int) -> DataFrame:
     """Links between components in large buckets, as forests.
 
-    A bucket is cut into blocks, and each pair of blocks is one group: its
-    members' full sets are compared by products of their incidence, and of the
-    links found only a spanning forest leaves, so a group of many similar
+    Every open link has an end outside of a bucket's largest component. So the
+    rest is cut into blocks, the largest component too, and each block of the
+    rest meets every other block in a cell. Cells are pruned by sketches alone;
+    for what stays, full sets are compared by products of their incidence, and
+    of the links found only a spanning forest leaves, so a cell of many similar
     documents gives fewer rows than members.
     """
 
@@ -156,37 +185,39 @@ def _links_in_large(members: DataFrame, rows: DataFrame, least: float, words: in
                 codes, first = shingle_sets(b.column(1), words)
                 yield pa.RecordBatch.from_arrays([b.column(0), textops.strings(codes.view(np.uint8), 8 * np.diff(first), False)], names=["node", "codes"])
 
-    blocks = F.ceil(F.col("n") / BLOCK).cast("int")
-    mine = F.pmod(F.xxhash64("node"), blocks).cast("int")
-    cells = F.transform(F.sequence(F.lit(0), blocks - 1), lambda o: F.struct(F.least(mine, o).alias("i"), F.greatest(mine, o).alias("j")))
-    wanted = members.select(F.col("node").alias("doc_id")).distinct()
-    whole = rows.join(wanted, "doc_id", "left_semi").select("doc_id", "text").mapInArrow(sets, "node long, codes binary").dropDuplicates(["node"])
-    large = members.withColumn("mine", mine).withColumn("cell", F.explode(cells)).select("band", "key", "cell.i", "cell.j", "mine", "node", "label", "sketch").join(whole, "node")
+    each = members.groupBy("key", "label").agg(F.count("*").alias("c"), F.sum("n_shingles").alias("s"))
+    blocks = lambda c, s: F.greatest(F.ceil(c / BLOCK), F.ceil(s / BLOCK_CODES)).cast("int")
+    top = F.max(F.struct("c", "label", "s"))
+    split = each.groupBy("key").agg(top.alias("top"), F.sum("c").alias("c"), F.sum("s").alias("s"))
+    split = split.select("key", F.col("top.label").alias("top"), blocks(F.col("c") - F.col("top.c"), F.col("s") - F.col("top.s")).alias("rest"), blocks(F.col("top.c"), F.col("top.s")).alias("core"))
+    largest = F.col("label") == F.col("top")
+    mine = F.when(largest, F.col("rest") + F.pmod(F.xxhash64("node"), F.col("core"))).otherwise(F.pmod(F.xxhash64("node"), F.col("rest"))).cast("int")
+    others = F.sequence(F.lit(0), F.when(largest, F.col("rest")).otherwise(F.col("rest") + F.col("core")) - 1)
+    cell = F.explode(F.transform(others, lambda o: F.struct(F.least(F.col("mine"), o).alias("i"), F.greatest(F.col("mine"), o).alias("j"))))
+    dealt = members.join(split, "key").withColumn("mine", mine).withColumn("cell", cell).select("key", "cell.i", "cell.j", "mine", "node", "label", "sketch")
+
+    def near(table: pa.Table) -> pa.Table:
+        open_pair = _open_pairs(table, least)[2]
+        return table.filter(pa.array(open_pair.any(1)))
+
+    kinds = "key long, i int, j int, mine int, node long, label long, sketch array<long>"
+    stay = durable.checkpoint(dealt.groupBy("key", "i", "j").applyInArrow(near, kinds))
+    whole = texts.join(stay.select("node").distinct(), "node", "left_semi").select("node", "text").mapInArrow(sets, "node long, codes binary")
 
     def compare(table: pa.Table) -> pa.Table:
-        table = table.sort_by("node")
-        node, label, mine = (table[c].to_numpy() for c in ("node", "label", "mine"))
-        sketch = table["sketch"].combine_chunks().flatten().to_numpy().view(np.uint64).reshape(len(node), -1)
-        open_pair = label[:, None] != label[None, :]
-        if table["i"][0].as_py() != table["j"][0].as_py():
-            open_pair &= mine[:, None] != mine[None, :]
-        for x in np.flatnonzero(open_pair.any(1)).tolist():
-            at = np.flatnonzero(open_pair[x])
-            open_pair[x, at] = _similar(sketch[x], sketch[at]) >= least
-        use = np.flatnonzero(open_pair.any(1))
-        links = np.zeros((len(use), len(use)), bool)
-        if len(use):
-            _, which, count = np.unique(label[use], return_inverse=True, return_counts=True)
-            out = np.flatnonzero(which != count.argmax())  # an open pair has an end outside of the largest component
-            codes = [np.frombuffer(c, np.uint64) for c in table["codes"].take(pa.array(use)).to_pylist()]
-            size = np.array([len(c) for c in codes])
-            both = _intersections(codes, out)
-            links[out] = (100 * both >= percent * (size[out, None] + size[None, :] - both)) & open_pair[np.ix_(use[out], use)]
-            links |= links.T
+        node, label, open_pair = _open_pairs(table := table.sort_by("node"), least)
+        _, which, count = np.unique(label, return_inverse=True, return_counts=True)
+        out = np.flatnonzero(which != count.argmax())  # an open pair has an end outside of the largest component
+        codes = [np.frombuffer(c, np.uint64) for c in table["codes"].to_pylist()]
+        size = np.array([len(c) for c in codes])
+        links = np.zeros((len(node), len(node)), bool)
+        both = _intersections(codes, out)
+        links[out] = (100 * both >= percent * (size[out, None] + size[None, :] - both)) & open_pair[out]
+        links |= links.T
         a, b = _forest(links)
-        return pa.table({"a": pa.array(node[use[a]], pa.int64()), "b": pa.array(node[use[b]], pa.int64())})
+        return pa.table({"a": pa.array(node[a], pa.int64()), "b": pa.array(node[b], pa.int64())})
 
-    return large.groupBy("band", "key", "i", "j").applyInArrow(compare, "a long, b long").distinct()
+    return stay.join(whole, "node").groupBy("key", "i", "j").applyInArrow(compare, "a long, b long").distinct()
 
 
 def _intersections(codes: list[np.ndarray], out: np.ndarray) -> np.ndarray:
@@ -227,45 +258,100 @@ def _forest(links: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.array(a, np.int64), np.array(b, np.int64)
 
 
-def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", words: int = 5, percent: int = 80) -> DataFrame:
-    """doc_id, n_shingles, component_id (the smallest doc_id reachable by links) and kept, one row for each row.
+def _row_key(doc_id: Column, text: Column) -> Column:
+    """A digest that tells rows of different id or text apart; rows alike in both share it."""
+    return F.unhex(F.md5(F.concat_ws("\x00", doc_id.cast("string"), text)))
 
-    Two documents are linked if their sets of word shingles have
-    100 * intersection >= percent * union. A null or empty text has an empty
-    set and no links; a null doc_id has none either, is its own (null)
-    component and is kept. Rows of equal doc_id are judged each by its own
-    text. There are two chances in the result: at 0.8, a pair meets in no band
-    with a probability of 7.0e-10, and its sketches are further apart than
-    MARGIN allows with one of 2.2e-10; both are less above it.
+
+def _groups(rows: DataFrame, words: int, percent: int) -> tuple[DataFrame, DataFrame]:
+    """The rows' signatures; and for each shingle set its node and the label of the component that it is in.
+
+    A node is one distinct set, so rows of equal doc_id are told apart by their
+    texts. Each node's row of the smallest (doc_id, digest) stands for it.
     """
     least = percent / 100 - MARGIN
-    rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
     signed = durable.checkpoint(signatures(rows, words))
-    able = signed.where("doc_id is not null and n_shingles > 0")
-    sets = durable.checkpoint(able.groupBy("set_a", "set_b").agg(F.min("doc_id").alias("node")))
-    first = able.join(sets, ["set_a", "set_b"]).where("doc_id = node").dropDuplicates(["node"]).select("node", "bands", "sketch")
-    keyed = first.select("node", F.posexplode("bands").alias("band", "key"))
-    buckets = durable.checkpoint(keyed.groupBy("band", "key").agg(F.min("node").alias("lead"), F.count("*").alias("n")).where("n > 1"))
-    met = durable.checkpoint(keyed.join(buckets, ["band", "key"]).select("band", "key", "node", "lead", "n"))
+    order = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "row_key")
+    sets = signed.where("n_shingles > 0").groupBy("set_a", "set_b").agg(F.min(order).alias("of"), F.first("n_shingles").alias("n_shingles"), F.first("bands").alias("bands"), F.first("sketch").alias("sketch"))
+    nodes = durable.checkpoint(sets.withColumn("node", F.monotonically_increasing_id()).select("node", "set_a", "set_b", "of.doc_id", "of.row_key", "n_shingles", "bands", "sketch"))
+    sketches = nodes.select("node", "n_shingles", "sketch")
+    keyed = nodes.select("node", F.explode("bands").alias("key"))
+    buckets = durable.checkpoint(keyed.groupBy("key").agg(F.min("node").alias("lead"), F.count("*").alias("n")).where("n > 1"))
+    met = durable.checkpoint(keyed.join(buckets, "key").select("key", "node", "lead", "n"))
     stars = met.where("node <> lead").select(F.col("lead").alias("a"), F.col("node").alias("b")).distinct()
-    x, y = (first.select(F.col("node").alias(c), F.col("sketch").alias(f"sketch_{c}")) for c in "ab")
-    near = stars.join(x, "a").join(y, "b").where(_similarity(F.col("sketch_a"), F.col("sketch_b")) >= least).select("a", "b")
-    near = durable.checkpoint(near)
-    links = durable.checkpoint(_confirm(near, rows, words, percent))
+    x, y = (sketches.select(F.col("node").alias(c), F.col("sketch").alias(f"sketch_{c}")) for c in "ab")
+    near = durable.checkpoint(stars.join(x, "a").join(y, "b").where(_similarity(F.col("sketch_a"), F.col("sketch_b")) >= least).select("a", "b"))
+    texts = _texts(rows, nodes, met.select("node").distinct())
+    links = durable.checkpoint(_confirm(near, texts, words, percent))
     labels = components(links)
 
-    labelled = met.join(labels, "node", "left").select("band", "key", "node", "n", F.coalesce("label", "node").alias("label"))
-    torn = labelled.groupBy("band", "key").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high").select("band", "key")
-    members = durable.checkpoint(labelled.join(torn, ["band", "key"]).join(first.select("node", "sketch"), "node"))
+    labelled = met.join(labels, "node", "left").select("key", "node", "n", F.coalesce("label", "node").alias("label"))
+    torn = labelled.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high").select("key")
+    members = durable.checkpoint(labelled.join(torn, "key").join(sketches, "node"))
     small, large = members.where(f"n <= {SMALL}"), members.where(f"n > {SMALL}")
     more = durable.checkpoint(_across_small(small, least).join(near, ["a", "b"], "left_anti"))
-    late = [_confirm(more, rows, words, percent)] if not more.isEmpty() else []
+    late = [_confirm(more, texts, words, percent)] if not more.isEmpty() else []
     if not large.isEmpty():
-        late.append(_links_in_large(large, rows, least, words, percent))
+        late.append(_links_in_large(large, texts, least, words, percent))
     if late:
         late = durable.checkpoint(reduce(DataFrame.unionByName, late))
         if not late.isEmpty():
             labels = components(links.unionByName(late))
-    grouped = signed.select("doc_id", "n_shingles", "set_a", "set_b").join(sets.join(labels, "node", "left").select("set_a", "set_b", F.coalesce("label", "node").alias("label")), ["set_a", "set_b"], "left")
-    component = F.when((F.col("n_shingles") > 0) & F.col("doc_id").isNotNull(), F.col("label")).otherwise(F.col("doc_id"))
-    return grouped.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"))
+    return signed, nodes.join(labels, "node", "left").select("node", "set_a", "set_b", "doc_id", "row_key", F.coalesce("label", "node").alias("label"))
+
+
+def _texts(rows: DataFrame, nodes: DataFrame, wanted: DataFrame) -> DataFrame:
+    """node and text of the wanted nodes, written once."""
+    keys = nodes.join(wanted, "node", "left_semi").select("row_key", "node")
+    return durable.checkpoint(rows.select("row_key", "text").join(keys, "row_key").dropDuplicates(["row_key"]).select("node", "text"))
+
+
+def _rows(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
+    key = _row_key(F.col(doc_id).cast("long"), F.col(text))
+    return docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"), key.alias("row_key"))
+
+
+def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", words: int = 5, percent: int = 80) -> DataFrame:
+    """doc_id, n_shingles, component_id (the smallest doc_id reachable by links) and kept, one row for each row.
+
+    Two documents are linked if their sets of word shingles have
+    100 * intersection >= percent * union. A null, empty or blank text has an
+    empty set and no links; a null doc_id has none either, is its own (null)
+    component and is kept. Rows of equal doc_id are judged each by its own
+    text; equal rows give equal rows. An empty table gives an empty result,
+    other columns are ignored, and long texts count whole.
+
+    There are two chances in the result: at 0.8, a pair meets in no band with
+    a probability of 7.0e-10, and its sketches are further apart than MARGIN
+    allows with one of 2.2e-10; both are less above it.
+    """
+    rows = _rows(docs, doc_id, text)
+    signed, nodes = _groups(rows.where("doc_id is not null"), words, percent)
+    low = nodes.groupBy("label").agg(F.min("doc_id").alias("component_id"))
+    linked = signed.where("n_shingles > 0").join(nodes.join(low, "label").select("set_a", "set_b", "component_id"), ["set_a", "set_b"])
+    empty = signed.where("n_shingles = 0").withColumn("component_id", F.col("doc_id"))
+    no_id = signatures(rows.where("doc_id is null"), words).withColumn("component_id", F.col("doc_id"))
+    columns = ["doc_id", "n_shingles", "component_id", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)).alias("kept")]
+    return linked.select(*columns).unionByName(empty.select(*columns)).unionByName(no_id.select(*columns))
+
+
+def one_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", words: int = 5, percent: int = 80) -> DataFrame:
+    """The rows, with all their columns, without near duplicates: of each component the row of the smallest doc_id stays.
+
+    Rows are told apart by id and text, so repeated and null ids do no harm: of
+    rows alike in both one stays, a null doc_id comes after all others, and of
+    equal ids the smaller digest. Rows without shingles all stay. An empty
+    table gives an empty result.
+    """
+    signed, nodes = _groups(_rows(docs, doc_id, text), words, percent)
+    order = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "row_key")
+    first = nodes.groupBy("label").agg(F.min(order).alias("of")).select(F.col("of.row_key").alias("_row"))
+    full = signed.where("n_shingles > 0")
+    copies = full.select(F.col("row_key").alias("_row")).distinct().join(first, "_row", "left_anti")
+    keyed = docs.withColumn("_row_key", _row_key(F.col(doc_id).cast("long"), F.col(text)))
+    kept = keyed.join(durable.rewritten(copies, "copies"), F.col("_row_key") == F.col("_row"), "left_anti")
+    twice = durable.rewritten(full.groupBy(F.col("row_key").alias("_row")).agg(F.count("*").alias("_n")).where("_n > 1").select("_row"), "twice")
+    if not twice.isEmpty():
+        again = F.col("_row_key") == F.col("_row")
+        kept = kept.join(twice, again, "left_anti").unionByName(kept.join(twice, again, "left_semi").dropDuplicates(["_row_key"]))
+    return kept.select(docs.columns)

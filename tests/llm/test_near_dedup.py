@@ -30,9 +30,11 @@ def test_a_chain_of_drifting_copies_is_one_group(spark):
     assert [(x.n_shingles, x.component_id) for x in got] == groups(list(range(40)), texts, 2, 80)
 
 
-def test_large_buckets_are_compared_in_blocks(spark, monkeypatch):
+@pytest.mark.parametrize(("block", "codes"), [(3, 1 << 20), (1000, 300)])
+def test_large_buckets_are_compared_in_blocks(spark, monkeypatch, block, codes):
     monkeypatch.setattr(near_dedup, "SMALL", 2)
-    monkeypatch.setattr(near_dedup, "BLOCK", 3)
+    monkeypatch.setattr(near_dedup, "BLOCK", block)
+    monkeypatch.setattr(near_dedup, "BLOCK_CODES", codes)
     test_a_chain_of_drifting_copies_is_one_group(spark)
 
 
@@ -65,6 +67,38 @@ def test_null_and_repeated_ids_and_empty_table(spark):
     assert near_dedup.near_duplicates(documents(spark, ["x"]).where("false")).count() == 0
 
 
+@pytest.mark.parametrize("swap", [False, True])
+def test_equal_ids_keep_the_links_of_each_text(spark, swap):
+    """Rows (1, A), (1, B), (2, B and a word more): the second and third are linked in either order."""
+    r = random.Random(17)
+    a, b = prose(r, 60), prose(r, 60)
+    rows = [(1, a), (1, b), (2, b + " extra")]
+    ids, texts = zip(*(rows[::-1] if swap else rows), strict=True)
+    got = near_dedup.near_duplicates(documents(spark, texts, ids), words=2).collect()
+    assert sorted((x.doc_id, x.component_id, x.kept) for x in got) == [(1, 1, True), (1, 1, True), (2, 1, False)]
+
+
+def test_one_of_each_with_null_and_repeated_ids(spark):
+    r = random.Random(18)
+    a, b, c = (prose(r, 60) for _ in range(3))
+    ids = [None, None, 3, 3, 3, 5, 5, 8, 9, None, None]
+    texts = [a, a, b, b, c, b, c + " more", None, "", b + " end", None]
+    docs = documents(spark, texts, ids)
+    got = near_dedup.one_of_each(docs)
+    assert got.columns == docs.columns
+    assert sorted((str(x.doc_id), str(x.text)) for x in got.collect()) == sorted([("None", a), ("3", b), ("3", c), ("8", "None"), ("9", ""), ("None", "None")])
+    assert near_dedup.one_of_each(docs.where("false")).count() == 0
+
+
+def test_leads_of_many_members_are_dealt_out(spark, monkeypatch):
+    monkeypatch.setattr(near_dedup, "PART", 3)
+    r = random.Random(19)
+    text = prose(r, 80)
+    texts = [f"{text} {prose(r, 1)}q{i}" for i in range(40)] + [prose(r, 80) for _ in range(10)]
+    got = near_dedup.near_duplicates(documents(spark, texts)).orderBy("doc_id").collect()
+    assert [x.component_id for x in got] == [0] * 40 + list(range(40, 50))
+
+
 def test_components_of_a_long_chain(spark):
     links = spark.createDataFrame([(i, i + 1) for i in range(100)] + [(500, 400), (400, 450)], "a long, b long")
     got = {r.node: r.label for r in components.components(links).collect()}
