@@ -25,8 +25,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group whose sets of five-word shingles are linked at 0.8 or more."""
     ship(spark)
-    copies = near_dedup.near_duplicates(docs, words=5, percent=80).where("not kept").select(F.col("doc_id").alias("copy_id")).distinct()
-    return docs.join(copies, docs["doc_id"] == copies["copy_id"], "left_anti")
+    return near_dedup.one_of_each(docs, words=5, percent=80)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
