@@ -1,83 +1,66 @@
-"""Shards of documents, and packed messages between shards and key buckets.
-
-The exact repeat finders work in rounds. In each, every shard sends for each
-bucket of keys one row of packed keys, of which it has kept one for each
-distinct key: a key that a third of all documents hold arrives once a shard.
-The bucket answers each shard. All rounds read the same shuffle of the
-documents, which Spark reuses inside one query.
+"""Shards of documents, and the rows that they exchange.
+
+The exact repeat finders work in rounds. In each, a shard sends one row for
+each different key that it holds, so a key that a third of all documents hold
+arrives once a shard; Spark's joins, windows and partitions find what several
+shards share, and the answers are cogrouped with the shards' documents. All
+rounds read the same shuffle of the documents, which Spark reuses inside one
+query. Rows grow in proportion to the text.
 """
 
 from __future__ import annotations
 
 import math
-from collections.abc import Callable, Iterator
+from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-#: Bytes of text that one shard holds on average, the least number of shards, and shards for each bucket of keys.
-SHARD_BYTES, LEAST_SHARDS, SHARDS_A_BUCKET = 2 << 20, 48, 4
-
-MESSAGE = "shard int, bucket int, kind int, a binary, b binary"
-_MESSAGE = pa.schema([("shard", pa.int32()), ("bucket", pa.int32()), ("kind", pa.int32()), ("a", pa.binary()), ("b", pa.binary())])
+#: Bytes of text that one shard holds on average, and the least number of shards.
+SHARD_BYTES, LEAST_SHARDS = 2 << 20, 8
 
 
 def sharded(docs: DataFrame, doc_id: str, text: str, shard_bytes: int = SHARD_BYTES) -> tuple[DataFrame, int]:
-    """Documents with the shard each belongs to, and the number of key buckets; both numbers follow the bytes of text."""
+    """doc_id, tie, text and shard of each document, and the number of shards, which follows the bytes of text.
+
+    Shards are dealt by id and text together, so rows without an id, or of one
+    id, spread too. tie orders rows of equal id.
+    """
     size = docs.agg(F.sum(F.octet_length(F.col(text)))).first()[0] or 0
     n = max(math.ceil(size / shard_bytes), LEAST_SHARDS)
-    shard = F.pmod(F.xxhash64(F.col(doc_id).cast("long")), F.lit(n)).cast("int")
-    return docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"), shard.alias("shard")), math.ceil(n / SHARDS_A_BUCKET)
+    key, body = F.col(doc_id).cast("long"), F.col(text)
+    return docs.select(key.alias("doc_id"), F.xxhash64(body).alias("tie"), body.alias("text"), F.pmod(F.xxhash64(key, body), F.lit(n)).cast("int").alias("shard")), n
 
 
 def in_order(table: pa.Table) -> pa.Table:
-    """By doc_id, nulls last; rows of equal doc_id by text."""
-    ids = table["doc_id"].to_pandas()
-    keys = [("doc_id", "ascending"), *([("text", "ascending")] if ids.duplicated().any() else [])]
-    return table.sort_by(keys)
-
-
-def order_key(table: pa.Table) -> np.ndarray:
-    """doc_id as int64; null comes after every other."""
-    return table["doc_id"].combine_chunks().fill_null(np.iinfo(np.int64).max).to_numpy(zero_copy_only=False)
+    """By doc_id, nulls last; rows of equal doc_id by tie, and equal ties by text."""
+    keys = [("doc_id", "ascending"), ("tie", "ascending")]
+    ties = table.select(["doc_id", "tie"]).to_pandas().duplicated().any()
+    return table.sort_by([*keys, ("text", "ascending")] if ties else keys)
 
 
-def messages(rows: list[tuple]) -> pa.Table:
-    if not rows:
-        return _MESSAGE.empty_table()
-    cols = list(zip(*rows, strict=True))
-    return pa.table({f.name: pa.array(c, f.type) for f, c in zip(_MESSAGE, cols, strict=True)}, schema=_MESSAGE)
+def first_of_each(owner: np.ndarray, table: pa.Table) -> dict[str, pa.Array]:
+    """doc_id and tie of the documents at the given places of the table."""
+    at = pa.array(owner)
+    return {c: table[c].combine_chunks().take(at) for c in ("doc_id", "tie")}
 
 
-def by_bucket(shard: int, bucket: np.ndarray, *arrays: np.ndarray) -> list[tuple]:
-    """One message for each bucket; bucket is sorted."""
-    if not len(bucket):
-        return []
-    cuts = np.flatnonzero(np.diff(bucket)) + 1
-    edges = np.concatenate(([0], cuts, [len(bucket)]))
-    out = []
-    for s, e in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True):
-        parts = [x[s:e].tobytes() for x in arrays]
-        out.append((shard, int(bucket[s]), 0, parts[0], parts[1] if len(parts) > 1 else None))
-    return out
+def shared(rows: DataFrame) -> DataFrame:
+    """Of rows (key, shard), each once, those whose key several shards have."""
+    return rows.withColumn("_n", F.count("*").over(Window.partitionBy("key"))).where("_n > 1").drop("_n")
 
 
-def received(table: pa.Table) -> Iterator[tuple]:
-    yield from zip(*(table[c].to_pylist() for c in ("shard", "bucket", "kind", "a", "b")), strict=True)
+def per_shard(parts: DataFrame, work: Callable[[pa.Table], pa.Table], schema: str) -> DataFrame:
+    """What each shard sends first."""
+    return parts.groupBy("shard").applyInArrow(lambda t: work(in_order(t)), schema)
 
 
-def send(docs: DataFrame, work: Callable[[pa.Table], pa.Table]) -> DataFrame:
-    """Each shard's first messages."""
-    return docs.groupBy("shard").applyInArrow(lambda t: work(in_order(t)), MESSAGE)
-
-
-def answer(sent: DataFrame, work: Callable[[pa.Table], pa.Table]) -> DataFrame:
-    """Each bucket's answers to what the shards sent it."""
-    return sent.groupBy("bucket").applyInArrow(work, MESSAGE)
+def resume(parts: DataFrame, answers: DataFrame, work: Callable[[pa.Table, pa.Table], pa.Table], schema: str) -> DataFrame:
+    """Each shard's next step, with the answers it got."""
+    return parts.groupBy("shard").cogroup(answers.groupBy("shard")).applyInArrow(lambda t, a: work(in_order(t), a), schema)
 
 
-def resume(docs: DataFrame, answers: DataFrame, work: Callable[[pa.Table, pa.Table], pa.Table], schema: str) -> DataFrame:
-    """Each shard's next step, with the answers it got."""
-    return docs.groupBy("shard").cogroup(answers.groupBy("shard")).applyInArrow(lambda t, m: work(in_order(t), m), schema)
+def numbers(table: pa.Table, *names: str) -> list[np.ndarray]:
+    return [table[c].to_numpy() for c in names]

@@ -10,13 +10,15 @@ the rest extend to the whole window and are compared in full.
 
 from __future__ import annotations
 
+from functools import cached_property
 from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
+from pyspark.sql import functions as F
 
-from tallyweave.llm import shards, textops
+from tallyweave.llm import durable, shards, textops
 
 RESULT = "doc_id long, n_words long, n_removed long, kept_text string, removed array<struct<start:int,end:int>>"
 
@@ -41,138 +43,98 @@ def plan(window: int, anchor: int | None = None) -> tuple[int, int, tuple[int, .
 class Shard:
     """The words of a shard's documents and the hashes of their windows."""
 
-    def __init__(self, table: pa.Table, window: int, buckets: int):
-        self.table, self.window, self.buckets = table, window, buckets
+    def __init__(self, table: pa.Table, window: int):
+        self.table, self.window = table, window
         self.anchor, self.period, self.cover = plan(window)
         self.buf, self.offs = textops.batch(table["text"])
         self.starts, self.ends, self.first = textops.words(self.buf, self.offs)
-        n = len(self.starts)
         self.doc = np.repeat(np.arange(len(self.offs) - 1), np.diff(self.first))
-        self.room = self.first[self.doc + 1] - np.arange(n)  # words from here to the document's end
-        self.codes = textops.word_codes(self.buf, self.starts, self.ends) if n else np.zeros(0, np.uint64)
-        self.sums = textops.Sums(self.codes) if n else None
+        self.room = self.first[self.doc + 1] - np.arange(len(self.starts))  # words from here to the document's end
+
+    @cached_property
+    def codes(self) -> np.ndarray:
+        return textops.word_codes(self.buf, self.starts, self.ends) if len(self.starts) else np.zeros(0, np.uint64)
+
+    @cached_property
+    def sums(self) -> textops.Sums:
+        return textops.Sums(self.codes)
 
     def anchors(self) -> tuple[np.ndarray, np.ndarray]:
-        """Word index of each anchor, and its key: bucket in the high half."""
+        """Word index of each anchor, and its hash."""
         if not len(self.starts):
             return np.zeros(0, np.int64), np.zeros(0, np.uint64)
         at_cover = np.zeros(self.period, bool)
         at_cover[list(self.cover)] = True
         pos = np.arange(len(self.starts)) - self.first[self.doc]
         at = np.flatnonzero(at_cover[pos % self.period] & (self.room >= self.anchor))
-        h = self.sums.hash(at, at + self.anchor)
-        return at, ((h % np.uint64(self.buckets)) << np.uint64(32)) | (h >> np.uint64(32))
+        return at, self.sums.hash(at, at + self.anchor)
 
     def candidates(self, shared: np.ndarray) -> np.ndarray:
         """Windows that hold an anchor which occurs elsewhere too."""
         at, keys = self.anchors()
         if not len(at):
             return at
-        distinct, n = np.unique(keys, return_counts=True)
-        shared = np.union1d(shared, distinct[n > 1])
+        distinct, which, n = np.unique(keys, return_inverse=True, return_counts=True)
+        again = (n > 1) | np.isin(distinct, shared, kind="sort")
         hit = np.zeros(len(self.starts) + 1, np.int32)
-        hit[at[np.isin(keys, shared)] + 1] = 1
+        hit[at[again[which]] + 1] = 1
         seen = np.cumsum(hit)
         i = np.flatnonzero(self.room >= self.window)
         return i[seen[i + self.period] > seen[i]]
 
     def distinct(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """Of windows in document order: bucket and hash of each distinct one, its first place, and the places that repeat."""
+        """Of windows in document order: both hashes of each distinct one, its first place, and the places that repeat."""
         if not len(at):
             none = np.zeros(0, np.uint64)
             return none, none, at, at
         low = self.sums.hash(at, at + self.window)
         high = textops.Sums(textops.mix(self.codes ^ np.uint64(0x5851F42D4C957F2D)), 1).hash(at, at + self.window)
-        bucket = high % np.uint64(self.buckets)
-        order = np.lexsort((low, bucket))
-        b, h, at = bucket[order], low[order], at[order]
+        order = np.lexsort((low, high))
+        h, g, at = high[order], low[order], at[order]
         new = np.ones(len(at), bool)
-        new[1:] = (b[1:] != b[:-1]) | (h[1:] != h[:-1])
-        return b[new], h[new], at[new], at[~new]
-
-
-def _shard_of(table: pa.Table) -> int:
-    return table["shard"][0].as_py()
+        new[1:] = (h[1:] != h[:-1]) | (g[1:] != g[:-1])
+        return h[new], g[new], at[new], at[~new]
 
 
 def remove_repeated_windows(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", window: int = 20) -> DataFrame:
     """Drop each word of a window that also starts earlier in the corpus.
 
     Earlier means a smaller doc_id, or an earlier word of the same document;
-    windows are judged on the input. A null text has no words; a null doc_id
-    comes after all others; rows of equal doc_id come in the order of their
-    texts. An empty table gives an empty result. Other columns are ignored.
+    windows are judged on the input. A null, empty or blank text has no words;
+    a null doc_id comes after all others; rows of equal or null doc_id come in
+    the order of their texts' hashes, and of equal rows the second repeats the
+    first. An empty table gives an empty result; other columns are ignored. A
+    text is read whole by one task, whose arrays take about 60 times its bytes.
+    Windows are equal if two independent 64-bit hashes of their words are.
     Returns doc_id, n_words, n_removed, kept_text (kept words joined by one
     space) and the removed word ranges.
     """
-    parts, n = shards.sharded(docs, doc_id, text)
-
-    def first(table: pa.Table) -> pa.Table:
-        _, keys = Shard(table, window, n).anchors()
-        keys = np.unique(keys)
-        return shards.messages(shards.by_bucket(_shard_of(table), (keys >> np.uint64(32)).astype(np.int32), keys.astype(np.uint32)))
+    parts, _ = shards.sharded(docs, doc_id, text)
 
-    def shared(table: pa.Table) -> pa.Table:
-        rows = list(shards.received(table))
-        keys = [np.frombuffer(r[3], np.uint32) for r in rows]
-        _, which, count = np.unique(np.concatenate(keys), return_inverse=True, return_counts=True)
-        twice = np.split(count[which] > 1, np.cumsum([len(x) for x in keys])[:-1])
-        return shards.messages([(s, b, 0, x[t].tobytes(), None) for (s, b, *_), x, t in zip(rows, keys, twice, strict=True) if t.any()])
+    def anchors(table: pa.Table) -> pa.Table:
+        keys = np.unique(Shard(table, window).anchors()[1]).view(np.int64)
+        return pa.table({"key": keys, "shard": np.full(len(keys), table["shard"][0].as_py(), np.int32)})
 
     def windows(table: pa.Table, answers: pa.Table) -> pa.Table:
-        if not table.num_rows:
-            return shards.messages([])
-        keys = [np.frombuffer(a, np.uint32).astype(np.uint64) | np.uint64(b << 32) for _, b, _, a, _ in shards.received(answers)]
-        shard = Shard(table, window, n)
-        at = shard.candidates(np.concatenate(keys) if keys else np.zeros(0, np.uint64))
-        bucket, low, where, _ = shard.distinct(at)
-        me = _shard_of(table)
-        out = shards.by_bucket(me, bucket.astype(np.int32), low, shards.order_key(table)[shard.doc[where]])
-        flags = np.zeros(len(shard.starts), bool)
-        flags[at] = True
-        s, e = textops.runs(flags)
-        if len(s):
-            out.append((me, me % n, 1, s.astype(np.int32).tobytes(), e.astype(np.int32).tobytes()))
-        return shards.messages(out)
-
-    def repeats(table: pa.Table) -> pa.Table:
-        rows = list(shards.received(table))
-        kept = [r for r in rows if r[2] == 1]
-        rows = [r for r in rows if r[2] == 0]
-        if rows:
-            h = np.concatenate([np.frombuffer(r[3], np.uint64) for r in rows])
-            doc = np.concatenate([np.frombuffer(r[4], np.int64) for r in rows])
-            order = np.lexsort((doc, h))
-            again = np.zeros(len(h), bool)
-            again[order[1:]] = h[order[1:]] == h[order[:-1]]
-            at = 0
-            for s, b, _, a, _ in rows:
-                k = len(a) // 8
-                if again[at : at + k].any():
-                    kept.append((s, b, 0, np.packbits(again[at : at + k]).tobytes(), None))
-                at += k
-        return shards.messages(kept)
+        shard = Shard(table, window)
+        high, low, first, again = shard.distinct(shard.candidates(answers["key"].to_numpy().view(np.uint64)))
+        at = np.concatenate([first, again])
+        known = np.arange(len(at)) >= len(first)  # repeats inside the shard need no answer
+        key = [pa.array(np.concatenate([h.view(np.int64), np.zeros(len(again), np.int64)]), mask=known) for h in (high, low)]
+        me = np.full(len(at), table["shard"][0].as_py() if len(table) else 0, np.int32)
+        return pa.table({"high": key[0], "low": key[1], **shards.first_of_each(shard.doc[at], table), "shard": me, "at": at.astype(np.int32)})
 
     def cut(table: pa.Table, answers: pa.Table) -> pa.Table:
-        shard = Shard(table, window, n)
-        total = len(shard.starts)
-        gone = np.zeros(total, bool)
-        rows = list(shards.received(answers))
-        for _, _, _, a, b in (r for r in rows if r[2] == 1):
-            s, e = np.frombuffer(a, np.int32), np.frombuffer(b, np.int32)
-            bucket, _, where, again = shard.distinct(np.flatnonzero(textops.covered(s, e, total)))
-            flags = np.zeros(len(where), bool)
-            for _, k, _, bits, _ in (r for r in rows if r[2] == 0):
-                lo, hi = np.searchsorted(bucket, np.array([k, k + 1], np.uint64))
-                flags[lo:hi] = np.unpackbits(np.frombuffer(bits, np.uint8), count=hi - lo).astype(bool)
-            at = np.concatenate([where[flags], again])
-            gone = textops.covered(at, at + window, total)
-        return _kept(shard, gone)
-
-    sent = shards.send(parts, first)
-    found = shards.answer(sent, shared)
-    again = shards.answer(shards.resume(parts, found, windows, shards.MESSAGE), repeats)
-    return shards.resume(parts, again, cut, RESULT)
+        shard = Shard(table, window)
+        at = answers["at"].to_numpy().astype(np.int64)
+        return _kept(shard, textops.covered(at, at + window, len(shard.starts)))
+
+    found = shards.shared(shards.per_shard(parts, anchors, "key long, shard int"))
+    candidates = durable.checkpoint(shards.resume(parts, found, windows, "high long, low long, doc_id long, tie long, shard int, at int"))
+    earlier = Window.partitionBy("high", "low").orderBy(F.col("doc_id").asc_nulls_last(), "tie")
+    across = candidates.where("high is not null").withColumn("_n", F.row_number().over(earlier)).where("_n > 1")
+    repeats = across.select("shard", "at").unionByName(candidates.where("high is null").select("shard", "at"))
+    return shards.resume(parts, repeats, cut, RESULT)
 
 
 def _kept(shard: Shard, gone: np.ndarray) -> pa.Table:

@@ -6,33 +6,52 @@ suffixes of just that text: prefix doubling in the manner of Larsson and
 Sadakane, then common prefixes in text order as Kasai et al. do. That settles
 repeats inside a shard. Across shards, stretches of strings with one anchor are
 compared whole; where stretches of one anchor differ, the strings themselves
-are exchanged as sorted runs, which are merged by binary search.
+are exchanged. Each shard sends its own as one run in suffix order, and where
+runs meet they are merged by binary search.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
-from tallyweave.llm import shards, textops
+from tallyweave.llm import durable, shards, textops
 
 RESULT = "doc_id long, n_bytes long, n_removed long, kept binary, removed array<struct<start:int,end:int>>"
 
+#: What the first two rounds send: kind 0 are stretches, by anchor and content, 1 ranges of strings that repeat in the shard.
+STRETCH = "kind int, anchor long, high long, low long, doc_id long, tie long, shard int, start int, end int"
+
+#: One string: its first sixteen bytes, big end first with the sign bit flipped, and a hash of all of it.
+STRING = "lead long, next long, rest long, doc_id long, tie long, shard int, start int"
+
 #: A byte that no UTF-8 text holds; it parts the stretches whose suffixes are sorted.
 _PART = 0xFF
 
+_SIGN = np.uint64(1 << 63)
+
 #: The powers of 256 below 2**64.
 _BELOW = np.array([1 << (8 * k) for k in range(8)], np.uint64)
 
 
-def suffix_array(text: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Suffixes in order, and the packed eight bytes at each place."""
+def packed_bytes(text: np.ndarray) -> np.ndarray:
+    """The eight bytes from each place on, zeros after the end, so that numbers compare as bytes do."""
     n = len(text)
     padded = np.concatenate([text, np.zeros(8, np.uint8)]).astype(np.uint64)
     packed = np.zeros(n, np.uint64)
     for k in range(8):
         packed = (packed << np.uint64(8)) | padded[k : k + n]
+    return packed
+
+
+def suffix_array(text: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Suffixes in order, and the packed eight bytes at each place."""
+    n = len(text)
+    packed = packed_bytes(text)
     order = np.argsort(packed, kind="stable")
     rank = np.zeros(n + 1, np.int64)  # a group's rank is the place of its first suffix, from 1; 0 beyond the end
     new = np.ones(n, bool)
@@ -108,8 +127,8 @@ def sliding_least(x: np.ndarray, width: int) -> np.ndarray:
 class Shard:
     """The bytes of a shard's documents, in stretches of strings that have one anchor."""
 
-    def __init__(self, table: pa.Table, length: int, gram: int, buckets: int):
-        self.table, self.length, self.buckets = table, length, buckets
+    def __init__(self, table: pa.Table, length: int, gram: int):
+        self.table, self.length = table, length
         self.buf, self.offs = textops.batch(table["text"])
         self.sums = textops.byte_sums(self.buf)
         n = len(self.buf)
@@ -132,15 +151,10 @@ class Shard:
         self.end = stops[np.searchsorted(stops, self.start, side="right")]
         self.anchor = grams[least[self.start].astype(np.int64)]
 
-    def keys(self) -> np.ndarray:
-        """Bucket of each stretch's anchor in the high half, the rest of its hash in the low."""
-        return ((self.anchor % np.uint64(self.buckets)) << np.uint64(32)) | (self.anchor >> np.uint64(32))
-
     def candidates(self, shared: np.ndarray) -> np.ndarray:
         """Stretches whose anchor occurs elsewhere too."""
-        keys = self.keys()
-        distinct, which, n = np.unique(keys, return_inverse=True, return_counts=True)
-        return np.flatnonzero((n > 1)[which] | np.isin(distinct, shared)[which]) if len(keys) else np.zeros(0, np.int64)
+        distinct, which, n = np.unique(self.anchor, return_inverse=True, return_counts=True)
+        return np.flatnonzero(((n > 1) | np.isin(distinct, shared, kind="sort"))[which]) if len(which) else np.zeros(0, np.int64)
 
     def local_repeats(self, chosen: np.ndarray) -> np.ndarray:
         """For each place, whether the string there starts earlier in this shard."""
@@ -169,24 +183,10 @@ class Shard:
         again[at[at != first[group]]] = True
         return again
 
-    def distinct(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Bucket and hash of the strings at these places, sorted, and their places."""
-        if not len(at):
-            none = np.zeros(0, np.uint64)
-            return none, none, at
-        low = self.sums.hash(at, at + self.length)
-        bucket = textops.byte_sums(self.buf, 1).hash(at, at + self.length) % np.uint64(self.buckets)
-        order = np.lexsort((low, bucket))
-        return bucket[order], low[order], at[order]
-
-
-def _pack_ranges(flags: np.ndarray) -> tuple[bytes, bytes]:
-    s, e = textops.runs(flags)
-    return s.astype(np.int32).tobytes(), e.astype(np.int32).tobytes()
 
-
-def _flags(a: bytes, b: bytes, n: int) -> np.ndarray:
-    return textops.covered(np.frombuffer(a, np.int32), np.frombuffer(b, np.int32), n)
+def _ranges(answers: pa.Table, n: int) -> np.ndarray:
+    """Which of n places the answers' ranges cover."""
+    return textops.covered(*(x.astype(np.int64) for x in shards.numbers(answers, "start", "end")), n)
 
 
 def remove_repeated_strings(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", length: int = 100, gram: int = 40) -> DataFrame:
@@ -194,149 +194,111 @@ def remove_repeated_strings(docs: DataFrame, doc_id: str = "doc_id", text: str =
 
     Texts count as UTF-8 bytes, null as none; strings lie within one document.
     Earlier means a smaller doc_id, or an earlier byte of the same document; a
-    null doc_id comes last and rows of equal doc_id come in the order of their
-    texts. An empty table gives an empty result. Other columns are ignored.
+    null doc_id comes after all others, and rows of equal or null doc_id come in
+    the order of their texts' hashes, of equal rows the second repeats the
+    first. An empty table gives an empty result; other columns are ignored. A
+    text is read whole by one task, whose arrays take about 60 times its bytes.
+    Inside a shard strings are compared as they are; across shards stretches
+    are equal if two independent 64-bit hashes are, and strings if their first
+    sixteen bytes and a 64-bit hash of two such sums are.
     Returns doc_id, n_bytes, n_removed, kept and the removed byte ranges.
     """
     parts, n = shards.sharded(docs, doc_id, text)
-    shard_of = lambda t: t["shard"][0].as_py()
-    high = np.uint64(32)
+    me = lambda table, n: np.full(n, table["shard"][0].as_py() if len(table) else 0, np.int32)
 
     def anchors(table: pa.Table) -> pa.Table:
-        keys = np.unique(Shard(table, length, gram, n).keys())
-        return shards.messages(shards.by_bucket(shard_of(table), (keys >> high).astype(np.int32), keys.astype(np.uint32)))
-
-    def shared(table: pa.Table) -> pa.Table:
-        rows = list(shards.received(table))
-        keys = [np.frombuffer(r[3], np.uint32) for r in rows]
-        _, which, count = np.unique(np.concatenate(keys), return_inverse=True, return_counts=True)
-        twice = np.split(count[which] > 1, np.cumsum([len(x) for x in keys])[:-1])
-        return shards.messages([(s, b, 0, x[t].tobytes(), None) for (s, b, *_), x, t in zip(rows, keys, twice, strict=True) if t.any()])
-
-    def open_stretches(shard: Shard, chosen: np.ndarray, again: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Of the chosen stretches those with a string that is new to this shard: key, content and number, sorted by key."""
-        fresh = np.concatenate(([0], np.cumsum(~again)))
-        chosen = chosen[fresh[shard.end[chosen]] > fresh[shard.start[chosen]]]
-        keys, body = shard.keys()[chosen], shard.sums.hash(shard.start[chosen], shard.end[chosen] + length - 1)
-        order = np.lexsort((shard.start[chosen], body, keys))
-        return keys[order], body[order], chosen[order]
+        keys = np.unique(Shard(table, length, gram).anchor).view(np.int64)
+        return pa.table({"key": keys, "shard": me(table, len(keys))})
 
     def sort_suffixes(table: pa.Table, answers: pa.Table) -> pa.Table:
-        if not table.num_rows:
-            return shards.messages([])
-        keys = [np.frombuffer(a, np.uint32).astype(np.uint64) | np.uint64(b << 32) for _, b, _, a, _ in shards.received(answers)]
-        shard, me = Shard(table, length, gram, n), shard_of(table)
-        chosen = shard.candidates(np.concatenate(keys) if keys else np.zeros(0, np.uint64))
+        shard = Shard(table, length, gram)
+        chosen = shard.candidates(answers["key"].to_numpy().view(np.uint64))
         again = shard.local_repeats(chosen)
-        key, body, at = open_stretches(shard, chosen, again)
-        both = np.empty((len(key), 2), np.uint64)
-        both[:, 0], both[:, 1] = body, key & np.uint64(0xFFFFFFFF)
-        out = shards.by_bucket(me, (key >> high).astype(np.int32), both, shards.order_key(table)[shard.doc[shard.start[at]]])
-        if len(chosen):
-            out.append((me, me % n, 1, *_pack_ranges(again)))
-            picked = np.zeros(len(shard.start), bool)
-            picked[chosen] = True
-            out.append((me, me % n, 2, *_pack_ranges(picked)))
-        return shards.messages(out)
-
-    def compare(table: pa.Table) -> pa.Table:
-        """Stretches seen earlier as a whole, and those whose anchor other shards hold in other stretches."""
-        rows = list(shards.received(table))
-        kept = [r for r in rows if r[2]]
-        rows = [r for r in rows if not r[2]]
-        if rows:
-            both = np.concatenate([np.frombuffer(r[3], np.uint64).reshape(-1, 2) for r in rows])
-            doc = np.concatenate([np.frombuffer(r[4], np.int64) for r in rows])
-            who = np.repeat([r[0] for r in rows], [len(r[4]) // 8 for r in rows])
-            order = np.lexsort((doc, both[:, 0], both[:, 1]))
-            anchor, body, who = both[order, 1], both[order, 0], who[order]
-            fresh = np.ones(len(order), bool)
-            fresh[1:] = (anchor[1:] != anchor[:-1]) | (body[1:] != body[:-1])
-            head = np.ones(len(order), bool)
-            head[1:] = anchor[1:] != anchor[:-1]
-            first = np.flatnonzero(head)
-            bodies = np.add.reduceat(fresh.astype(int), first)
-            several = np.minimum.reduceat(who, first) != np.maximum.reduceat(who, first)
-            group = np.cumsum(head) - 1
-            whole, unsure = np.zeros(len(order), bool), np.zeros(len(order), bool)
-            whole[order] = ~fresh
-            unsure[order] = fresh & ((bodies > 1) & several)[group]
-            at = 0
-            for s, b, _, _, d in rows:
-                k = len(d) // 8
-                if (whole[at : at + k] | unsure[at : at + k]).any():
-                    kept.append((s, b, 0, np.packbits(whole[at : at + k]).tobytes(), np.packbits(unsure[at : at + k]).tobytes()))
-                at += k
-        return shards.messages(kept)
-
-    def exchange(table: pa.Table, answers: pa.Table) -> pa.Table:
-        rows = {k: [r for r in shards.received(answers) if r[2] == k] for k in (0, 1, 2)}
-        if not rows[1]:
-            return shards.messages([])
-        shard, me = Shard(table, length, gram, n), shard_of(table)
-        again = _flags(*rows[1][0][3:], len(shard.buf))
-        key, _, at = open_stretches(shard, np.flatnonzero(_flags(*rows[2][0][3:], len(shard.start))), again)
-        bucket = key >> high
-        gone, unsure = np.zeros(len(key), bool), np.zeros(len(key), bool)
-        for _, b, _, x, y in rows[0]:
-            lo, hi = np.searchsorted(bucket, np.array([b, b + 1], np.uint64))
-            gone[lo:hi] = np.unpackbits(np.frombuffer(x, np.uint8), count=hi - lo)
-            unsure[lo:hi] = np.unpackbits(np.frombuffer(y, np.uint8), count=hi - lo)
-        ask = textops.covered(shard.start[at[unsure]], shard.end[at[unsure]], len(shard.buf)) & ~again
-        b, h, where = shard.distinct(np.flatnonzero(ask))
-        out = shards.by_bucket(me, b.astype(np.int32), h, shards.order_key(table)[shard.doc[where]])
-        out.append((me, me % n, 1, *_pack_ranges(again | textops.covered(shard.start[at[gone]], shard.end[at[gone]], len(shard.buf)))))
-        out.append((me, me % n, 2, *_pack_ranges(ask)))
-        return shards.messages(out)
-
-    def merge(table: pa.Table) -> pa.Table:
-        """Merge the shards' sorted runs by binary search; the smallest doc_id keeps each string."""
-        rows = list(shards.received(table))
-        kept = [r for r in rows if r[2]]
-        runs = [(s, b, np.frombuffer(a, np.uint64), np.frombuffer(d, np.int64)) for s, b, k, a, d in rows if not k]
-        owner = merge_runs([(h, d) for _, _, h, d in runs])
-        for (s, b, _, d), first in zip(runs, owner, strict=True):
-            if (first != d).any():
-                kept.append((s, b, 0, np.packbits(first != d).tobytes(), None))
-        return shards.messages(kept)
+        fresh = np.concatenate(([0], np.cumsum(~again)))
+        chosen = chosen[fresh[shard.end[chosen]] > fresh[shard.start[chosen]]]  # with a string that is new to this shard
+        s, e = shard.start[chosen], shard.end[chosen]
+        high = textops.byte_sums(shard.buf, 1).hash(s, e + length - 1) if len(s) else np.zeros(0, np.uint64)
+        low = shard.sums.hash(s, e + length - 1)
+        first = shards.first_of_each(shard.doc[s], table)
+        rows = pa.table({"kind": np.zeros(len(s), np.int32), "anchor": shard.anchor[chosen].view(np.int64), "high": high.view(np.int64), "low": low.view(np.int64), **first, "shard": me(table, len(s)), "start": s.astype(np.int32), "end": e.astype(np.int32)})
+        s, e = textops.runs(again)
+        none = pa.nulls(len(s), pa.int64())
+        local = pa.table({"kind": np.ones(len(s), np.int32), "anchor": none, "high": none, "low": none, "doc_id": none, "tie": none, "shard": me(table, len(s)), "start": s.astype(np.int32), "end": e.astype(np.int32)})
+        return pa.concat_tables([rows, local.cast(rows.schema)])
+
+    def strings(table: pa.Table, answers: pa.Table) -> pa.Table:
+        """The open stretches' strings that are new to the shard, as one run in suffix order."""
+        buf, offs = textops.batch(table["text"])
+        kind = answers["kind"].to_numpy()
+        ask = _ranges(answers.filter(pa.array(kind == 0)), len(buf)) & ~_ranges(answers.filter(pa.array(kind == 1)), len(buf))
+        at = np.flatnonzero(ask)
+        packed = packed_bytes(buf)
+        lead, nxt = packed[at], packed[at + 8] if len(at) else packed[at]
+        two = [textops.byte_sums(buf, k).hash(at, at + length) if len(at) else lead for k in (0, 1)]
+        rest = textops.mix(two[0] ^ textops.mix(two[1]))
+        order = np.lexsort((rest, nxt, lead))
+        at, lead, nxt, rest = (x[order] for x in (at, lead, nxt, rest))
+        owner = np.searchsorted(offs, at, side="right") - 1
+        return pa.table({"lead": (lead ^ _SIGN).view(np.int64), "next": (nxt ^ _SIGN).view(np.int64), "rest": rest.view(np.int64), **shards.first_of_each(owner, table), "shard": me(table, len(at)), "start": at.astype(np.int32)})
+
+    def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = pa.Table.from_batches(batches, _STRING)  # a partition's share of the strings, about as many as a shard has
+        if len(table):
+            gone = repeated_in_runs(table)
+            yield from table.select(["shard", "start"]).filter(pa.array(gone)).to_batches()
 
     def cut(table: pa.Table, answers: pa.Table) -> pa.Table:
         buf, offs = textops.batch(table["text"])
-        rows = {k: [r for r in shards.received(answers) if r[2] == k] for k in (0, 1, 2)}
-        gone = np.zeros(len(buf), bool)
-        if rows[1]:
-            gone = _flags(*rows[1][0][3:], len(buf))
-            if rows[0]:
-                shard = Shard(table, length, gram, n)
-                b, _, where = shard.distinct(np.flatnonzero(_flags(*rows[2][0][3:], len(buf))))
-                for _, k, _, bits, _ in rows[0]:
-                    lo, hi = np.searchsorted(b, np.array([k, k + 1], np.uint64))
-                    gone[where[lo:hi][np.unpackbits(np.frombuffer(bits, np.uint8), count=hi - lo).astype(bool)]] = True
-            at = np.flatnonzero(gone)
-            gone = textops.covered(at, at + length, len(buf))
-        return _kept(table, buf, offs, gone)
-
-    found = shards.answer(shards.send(parts, anchors), shared)
-    compared = shards.answer(shards.resume(parts, found, sort_suffixes, shards.MESSAGE), compare)
-    merged = shards.answer(shards.resume(parts, compared, exchange, shards.MESSAGE), merge)
-    return shards.resume(parts, merged, cut, RESULT)
-
-
-def merge_runs(runs: list[tuple[np.ndarray, np.ndarray]]) -> list[np.ndarray]:
-    """For each key of each sorted run, the least order among all runs; neighbours merge until one is left."""
-    level = [r for r in runs]
-    while len(level) > 1:
-        pairs = []
-        for (h, d), (g, c) in zip(level[::2], level[1::2], strict=False):
-            at = np.searchsorted(h, g)
-            hit = np.zeros(len(g), bool)
-            low = at < len(h)
-            hit[low] = h[at[low]] == g[low]
-            d = d.copy()
-            np.minimum.at(d, at[hit], c[hit])
-            pairs.append((np.insert(h, at[~hit], g[~hit]), np.insert(d, at[~hit], c[~hit])))
-        level = pairs + ([level[-1]] if len(level) % 2 else [])
-    return [level[0][1][np.searchsorted(level[0][0], h)] for h, _ in runs]
+        at = np.flatnonzero(_ranges(answers, len(buf)))
+        return _kept(table, buf, offs, textops.covered(at, at + length, len(buf)))
+
+    found = shards.shared(shards.per_shard(parts, anchors, "key long, shard int"))
+    sent = durable.checkpoint(shards.resume(parts, found, sort_suffixes, STRETCH))
+    local, stretches = sent.where("kind = 1").select("kind", "shard", "start", "end"), sent.where("kind = 0")
+    order = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "tie", "shard", "start")
+    bodies = stretches.groupBy("anchor", "high", "low").agg(F.min(order).alias("first"), F.min("shard").alias("least"), F.max("shard").alias("most"))
+    groups = bodies.groupBy("anchor").agg(((F.count("*") > 1) & (F.min("least") < F.max("most"))).alias("differ"))
+    judged = stretches.join(bodies.select("anchor", "high", "low", "first"), ["anchor", "high", "low"]).join(groups, "anchor")
+    judged = durable.checkpoint(judged.withColumn("whole", (F.col("first.shard") != F.col("shard")) | (F.col("first.start") != F.col("start"))).where("whole or differ").select("kind", "shard", "start", "end", "whole"))
+    unsure = judged.where("not whole").drop("whole")
+    runs = shards.resume(parts, unsure.unionByName(local), strings, STRING)
+    merged = runs.repartition(n, "lead", "next", "rest").mapInArrow(merge, "shard int, start int")
+    gone = merged.withColumn("end", F.col("start") + 1).unionByName(local.drop("kind")).unionByName(judged.where("whole").drop("kind", "whole"))
+    return shards.resume(parts, gone, cut, RESULT)
+
+
+_STRING = pa.schema([("lead", pa.int64()), ("next", pa.int64()), ("rest", pa.int64()), ("doc_id", pa.int64()), ("tie", pa.int64()), ("shard", pa.int32()), ("start", pa.int32())])
+
+
+def repeated_in_runs(table: pa.Table) -> np.ndarray:
+    """For each string, whether another shard has it from an earlier document; each shard's strings are one run in suffix order."""
+    lead, nxt, rest, shard, tie = shards.numbers(table, "lead", "next", "rest", "shard", "tie")
+    doc = table["doc_id"].combine_chunks()
+    null = doc.is_null().to_numpy(zero_copy_only=False)
+    order = np.lexsort((shard, tie, doc.fill_null(0).to_numpy(zero_copy_only=False), null))
+    rank = np.empty(len(order), np.int64)
+    rank[order] = np.arange(len(order))
+    keys = np.empty((len(order), 3), ">u8")
+    keys[:, 0], keys[:, 1], keys[:, 2] = lead.view(np.uint64) ^ _SIGN, nxt.view(np.uint64) ^ _SIGN, rest.view(np.uint64)
+    by_run = np.argsort(shard, kind="stable")
+    gone = np.zeros(len(order), bool)
+    gone[by_run] = rank[by_run] != least_owners(keys.view("S24").ravel()[by_run], rank[by_run])
+    return gone
+
+
+def least_owners(keys: np.ndarray, rank: np.ndarray) -> np.ndarray:
+    """For each key the least rank among equal keys. Keys are bytes of one width, as sorted runs one after another.
+
+    numpy's stable sort of bytes is a run-finding merge sort: it takes the runs
+    as they are and merges them by galloping, that is by binary search for
+    where one run's next key falls in the other.
+    """
+    order = np.argsort(keys, kind="stable")
+    sorted_keys = keys[order]
+    first = np.flatnonzero(np.concatenate(([True], sorted_keys[1:] != sorted_keys[:-1])))
+    least = np.empty_like(rank)
+    least[order] = np.repeat(np.minimum.reduceat(rank[order], first), np.diff(np.append(first, len(keys))))
+    return least
 
 
 def _kept(table: pa.Table, buf: np.ndarray, offs: np.ndarray, gone: np.ndarray) -> pa.Table:

@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tallyweave.llm import substring_dedup, suffix_dedup
+from tallyweave.llm import shards, substring_dedup, suffix_dedup
 from tests.llm.cases import corpus, documents, prose, without_strings, without_windows
 
 
@@ -79,5 +79,23 @@ def test_suffixes_and_prefixes_against_sorting():
 
 
 def test_merging_runs_keeps_the_least_owner():
-    runs = [(np.array(h, np.uint64), np.array(d, np.int64)) for h, d in (([1, 5, 9], [7, 7, 7]), ([5, 6], [3, 3]), ([1, 6, 9], [8, 2, 1]))]
-    assert [x.tolist() for x in suffix_dedup.merge_runs(runs)] == [[7, 3, 1], [3, 2], [7, 2, 1]]
+    runs = [([1, 5, 9], [7, 7, 7]), ([5, 6], [3, 3]), ([1, 6, 9], [8, 2, 1])]
+    keys = np.array([k for h, _ in runs for k in h], ">u8").view("S8")
+    assert suffix_dedup.least_owners(keys, np.array([d for _, o in runs for d in o])).tolist() == [7, 3, 1, 3, 2, 7, 2, 1]
+
+
+def test_many_shards_and_rows_without_ids(spark, monkeypatch):
+    """Null ids come last, by their texts' hashes; every text is one of several shards' and passages cross them."""
+    monkeypatch.setattr(shards, "LEAST_SHARDS", 30)
+    r = random.Random(14)
+    shared = [prose(r, 45) for _ in range(4)]
+    texts = [f"{prose(r, r.randrange(40))} {r.choice(shared)} {prose(r, r.randrange(40))}" for _ in range(60)] + [shared[0]] * 5
+    ids = [i if i % 3 else None for i in range(60)] + [None] * 3 + [7, 7]
+    docs = documents(spark, texts, ids)
+    order = [tuple(x) for x in docs.selectExpr("doc_id", "text", "xxhash64(text) tie").orderBy(F.col("doc_id").asc_nulls_last(), "tie").select("doc_id", "text").collect()]
+    want = without_windows([t for _, t in order])
+    got = substring_dedup.remove_repeated_windows(docs).select("doc_id", "n_words", "n_removed", "kept_text").collect()
+    assert sorted(map(str, map(tuple, got))) == sorted(str((i, *w)) for (i, _), w in zip(order, want, strict=True))
+    want = without_strings([t for _, t in order])
+    got = suffix_dedup.remove_repeated_strings(docs).select("doc_id", "n_bytes", "n_removed", F.size("removed").alias("n"), F.sha2("kept", 256).alias("h")).collect()
+    assert sorted(map(str, map(tuple, got))) == sorted(str((i, *w)) for (i, _), w in zip(order, want, strict=True))
