@@ -26,7 +26,8 @@ def sharded(docs: DataFrame, doc_id: str, text: str, shard_bytes: int = SHARD_BY
     """doc_id, tie, text and shard of each document, and the number of shards, which follows the bytes of text.
 
     Shards are dealt by id and text together, so rows without an id, or of one
-    id, spread too. tie orders rows of equal id.
+    id, spread too. Documents come in the order of doc_id, nulls last; rows of
+    equal id in that of their shards, and inside a shard of tie and text.
     """
     size = docs.agg(F.sum(F.octet_length(F.col(text)))).first()[0] or 0
     n = max(math.ceil(size / shard_bytes), LEAST_SHARDS)
@@ -41,10 +42,14 @@ def in_order(table: pa.Table) -> pa.Table:
     return table.sort_by([*keys, ("text", "ascending")] if ties else keys)
 
 
-def first_of_each(owner: np.ndarray, table: pa.Table) -> dict[str, pa.Array]:
-    """doc_id and tie of the documents at the given places of the table."""
-    at = pa.array(owner)
-    return {c: table[c].combine_chunks().take(at) for c in ("doc_id", "tie")}
+def ids(places: np.ndarray, table: pa.Table) -> pa.Array:
+    """doc_id of the rows at the given places."""
+    return table["doc_id"].combine_chunks().take(pa.array(places))
+
+
+def me(table: pa.Table, n: int) -> np.ndarray:
+    """The shard's number, n times."""
+    return np.full(n, table["shard"][0].as_py() if len(table) else 0, np.int32)
 
 
 def shared(rows: DataFrame) -> DataFrame:

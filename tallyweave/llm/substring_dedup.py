@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyweave.llm import durable, shards, textops
+from tallyweave.llm import shards, textops
 
 RESULT = "doc_id long, n_words long, n_removed long, kept_text string, removed array<struct<start:int,end:int>>"
 
@@ -83,17 +83,16 @@ class Shard:
         return i[seen[i + self.period] > seen[i]]
 
     def distinct(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """Of windows in document order: both hashes of each distinct one, its first place, and the places that repeat."""
+        """Of windows in document order: a 64-bit and a 32-bit hash of each, its place, and whether it repeats an earlier one of the shard."""
         if not len(at):
-            none = np.zeros(0, np.uint64)
-            return none, none, at, at
+            return np.zeros(0, np.int64), np.zeros(0, np.int32), at, np.zeros(0, bool)
         low = self.sums.hash(at, at + self.window)
         high = textops.Sums(textops.mix(self.codes ^ np.uint64(0x5851F42D4C957F2D)), 1).hash(at, at + self.window)
         order = np.lexsort((low, high))
         h, g, at = high[order], low[order], at[order]
-        new = np.ones(len(at), bool)
-        new[1:] = (h[1:] != h[:-1]) | (g[1:] != g[:-1])
-        return h[new], g[new], at[new], at[~new]
+        again = np.zeros(len(at), bool)
+        again[1:] = (h[1:] == h[:-1]) & (g[1:] == g[:-1])
+        return h.view(np.int64), (g >> np.uint64(32)).astype(np.uint32).view(np.int32), at, again
 
 
 def remove_repeated_windows(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", window: int = 20) -> DataFrame:
@@ -102,10 +101,11 @@ def remove_repeated_windows(docs: DataFrame, doc_id: str = "doc_id", text: str =
     Earlier means a smaller doc_id, or an earlier word of the same document;
     windows are judged on the input. A null, empty or blank text has no words;
     a null doc_id comes after all others; rows of equal or null doc_id come in
-    the order of their texts' hashes, and of equal rows the second repeats the
-    first. An empty table gives an empty result; other columns are ignored. A
+    an order that hashes of their texts give, and of equal rows the second
+    repeats the first. An empty table gives an empty result; other columns are ignored. A
     text is read whole by one task, whose arrays take about 60 times its bytes.
-    Windows are equal if two independent 64-bit hashes of their words are.
+    Windows are equal if 96 bits of two independent hashes of their words are,
+    inside a shard 128.
     Returns doc_id, n_words, n_removed, kept_text (kept words joined by one
     space) and the removed word ranges.
     """
@@ -113,16 +113,12 @@ def remove_repeated_windows(docs: DataFrame, doc_id: str = "doc_id", text: str =
 
     def anchors(table: pa.Table) -> pa.Table:
         keys = np.unique(Shard(table, window).anchors()[1]).view(np.int64)
-        return pa.table({"key": keys, "shard": np.full(len(keys), table["shard"][0].as_py(), np.int32)})
+        return pa.table({"key": keys, "shard": shards.me(table, len(keys))})
 
     def windows(table: pa.Table, answers: pa.Table) -> pa.Table:
         shard = Shard(table, window)
-        high, low, first, again = shard.distinct(shard.candidates(answers["key"].to_numpy().view(np.uint64)))
-        at = np.concatenate([first, again])
-        known = np.arange(len(at)) >= len(first)  # repeats inside the shard need no answer
-        key = [pa.array(np.concatenate([h.view(np.int64), np.zeros(len(again), np.int64)]), mask=known) for h in (high, low)]
-        me = np.full(len(at), table["shard"][0].as_py() if len(table) else 0, np.int32)
-        return pa.table({"high": key[0], "low": key[1], **shards.first_of_each(shard.doc[at], table), "shard": me, "at": at.astype(np.int32)})
+        high, low, at, again = shard.distinct(shard.candidates(answers["key"].to_numpy().view(np.uint64)))
+        return pa.table({"local": again, "high": high, "low": low, "doc_id": shards.ids(shard.doc[at], table), "shard": shards.me(table, len(at)), "at": at.astype(np.int32)})
 
     def cut(table: pa.Table, answers: pa.Table) -> pa.Table:
         shard = Shard(table, window)
@@ -130,10 +126,10 @@ def remove_repeated_windows(docs: DataFrame, doc_id: str = "doc_id", text: str =
         return _kept(shard, textops.covered(at, at + window, len(shard.starts)))
 
     found = shards.shared(shards.per_shard(parts, anchors, "key long, shard int"))
-    candidates = durable.checkpoint(shards.resume(parts, found, windows, "high long, low long, doc_id long, tie long, shard int, at int"))
-    earlier = Window.partitionBy("high", "low").orderBy(F.col("doc_id").asc_nulls_last(), "tie")
-    across = candidates.where("high is not null").withColumn("_n", F.row_number().over(earlier)).where("_n > 1")
-    repeats = across.select("shard", "at").unionByName(candidates.where("high is null").select("shard", "at"))
+    candidates = shards.resume(parts, found, windows, "local boolean, high long, low int, doc_id long, shard int, at int")
+    spread = F.when(F.col("local"), F.col("at"))  # repeats inside a shard need no other place's answer
+    earlier = Window.partitionBy("high", "low", spread).orderBy(F.col("doc_id").asc_nulls_last(), "shard")
+    repeats = candidates.withColumn("_n", F.row_number().over(earlier)).where("_n > 1 or local").select("shard", "at")
     return shards.resume(parts, repeats, cut, RESULT)
 
 

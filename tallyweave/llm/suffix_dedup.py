@@ -4,54 +4,49 @@ Only text that shares an anchor (the least hash among the k-grams of a string
 of the given length) with another place can repeat, so each shard sorts the
 suffixes of just that text: prefix doubling in the manner of Larsson and
 Sadakane, then common prefixes in text order as Kasai et al. do. That settles
-repeats inside a shard. Across shards, stretches of strings with one anchor are
-compared whole; where stretches of one anchor differ, the strings themselves
-are exchanged. Each shard sends its own as one run in suffix order, and where
-runs meet they are merged by binary search.
+repeats inside a shard. Across shards, each shard sends the stretches of
+strings that are new to it, with their bytes, as one run in suffix order.
+Stretches of one anchor meet in one place: equal ones are settled whole, and
+of those that differ the strings are compared as they are, the runs merged by
+binary search. Anchors of very many stretches would fill one place, so their
+strings travel one by one.
 """
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyweave.llm import durable, shards, textops
 
 RESULT = "doc_id long, n_bytes long, n_removed long, kept binary, removed array<struct<start:int,end:int>>"
 
-#: What the first two rounds send: kind 0 are stretches, by anchor and content, 1 ranges of strings that repeat in the shard.
-STRETCH = "kind int, anchor long, high long, low long, doc_id long, tie long, shard int, start int, end int"
+#: Stretches of one anchor beyond which its strings travel one by one, as 128-bit digests.
+HOT = 4_096
 
-#: One string: its first sixteen bytes, big end first with the sign bit flipped, and a hash of all of it.
-STRING = "lead long, next long, rest long, doc_id long, tie long, shard int, start int"
+#: What shards send. Kind 0: a stretch (anchor, body, document, first string). 1: a string of a hot anchor (body is its digest). 2: strings [start, end) repeat in the shard.
+SENT = "kind int, anchor long, body binary, doc_id long, shard int, start int, end int"
+_SENT = pa.schema([("kind", pa.int32()), ("anchor", pa.int64()), ("body", pa.binary()), ("doc_id", pa.int64()), ("shard", pa.int32()), ("start", pa.int32()), ("end", pa.int32())])
 
 #: A byte that no UTF-8 text holds; it parts the stretches whose suffixes are sorted.
 _PART = 0xFF
 
-_SIGN = np.uint64(1 << 63)
-
 #: The powers of 256 below 2**64.
 _BELOW = np.array([1 << (8 * k) for k in range(8)], np.uint64)
 
 
-def packed_bytes(text: np.ndarray) -> np.ndarray:
-    """The eight bytes from each place on, zeros after the end, so that numbers compare as bytes do."""
+def suffix_array(text: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Suffixes in order, and the packed eight bytes at each place."""
     n = len(text)
     padded = np.concatenate([text, np.zeros(8, np.uint8)]).astype(np.uint64)
     packed = np.zeros(n, np.uint64)
     for k in range(8):
         packed = (packed << np.uint64(8)) | padded[k : k + n]
-    return packed
-
-
-def suffix_array(text: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Suffixes in order, and the packed eight bytes at each place."""
-    n = len(text)
-    packed = packed_bytes(text)
     order = np.argsort(packed, kind="stable")
     rank = np.zeros(n + 1, np.int64)  # a group's rank is the place of its first suffix, from 1; 0 beyond the end
     new = np.ones(n, bool)
@@ -156,11 +151,17 @@ class Shard:
         distinct, which, n = np.unique(self.anchor, return_inverse=True, return_counts=True)
         return np.flatnonzero(((n > 1) | np.isin(distinct, shared, kind="sort"))[which]) if len(which) else np.zeros(0, np.int64)
 
-    def local_repeats(self, chosen: np.ndarray) -> np.ndarray:
-        """For each place, whether the string there starts earlier in this shard."""
-        again = np.zeros(len(self.buf), bool)
+    def bodies(self, chosen: np.ndarray) -> pa.Array:
+        """The bytes of all strings of each stretch."""
+        size = self.end[chosen] - self.start[chosen] + self.length - 1
+        total = np.concatenate(([0], np.cumsum(size)))
+        return textops.strings(self.buf[np.repeat(self.start[chosen] - total[:-1], size) + np.arange(total[-1])], size, False)
+
+    def local_repeats(self, chosen: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """For each place, whether the string there starts earlier in this shard, and its rank in suffix order."""
+        again, rank = np.zeros(len(self.buf), bool), np.zeros(len(self.buf), np.int32)
         if not len(chosen):
-            return again
+            return again, rank
         windows = textops.covered(self.start[chosen], self.end[chosen], len(self.buf))
         s, e = textops.runs(textops.covered(self.start[chosen], self.end[chosen] + self.length - 1, len(self.buf)))
         # stretches of two documents may touch; a string never crosses, so no part sign is needed there
@@ -181,7 +182,8 @@ class Shard:
         first = np.full(group[-1] + 1 if len(group) else 0, len(self.buf), np.int64)
         np.minimum.at(first, group, at)
         again[at[at != first[group]]] = True
-        return again
+        rank[at] = np.arange(len(at))
+        return again, rank
 
 
 def _ranges(answers: pa.Table, n: int) -> np.ndarray:
@@ -194,96 +196,100 @@ def remove_repeated_strings(docs: DataFrame, doc_id: str = "doc_id", text: str =
 
     Texts count as UTF-8 bytes, null as none; strings lie within one document.
     Earlier means a smaller doc_id, or an earlier byte of the same document; a
-    null doc_id comes after all others, and rows of equal or null doc_id come in
-    the order of their texts' hashes, of equal rows the second repeats the
-    first. An empty table gives an empty result; other columns are ignored. A
-    text is read whole by one task, whose arrays take about 60 times its bytes.
-    Inside a shard strings are compared as they are; across shards stretches
-    are equal if two independent 64-bit hashes are, and strings if their first
-    sixteen bytes and a 64-bit hash of two such sums are.
+    null doc_id comes after all others, rows of equal or null doc_id come in an
+    order that hashes of their texts give, and of equal rows the second repeats
+    the first. An empty table gives an empty result; other columns are ignored.
+    A text is read whole by one task, whose arrays take about 60 times its
+    bytes. Strings are compared as they are, but for those of anchors with more
+    than HOT stretches, which count as equal if their BLAKE2b digests are.
     Returns doc_id, n_bytes, n_removed, kept and the removed byte ranges.
     """
     parts, n = shards.sharded(docs, doc_id, text)
-    me = lambda table, n: np.full(n, table["shard"][0].as_py() if len(table) else 0, np.int32)
+    hot = HOT
 
     def anchors(table: pa.Table) -> pa.Table:
-        keys = np.unique(Shard(table, length, gram).anchor).view(np.int64)
-        return pa.table({"key": keys, "shard": me(table, len(keys))})
+        keys, count = np.unique(Shard(table, length, gram).anchor, return_counts=True)
+        return pa.table({"key": keys.view(np.int64), "shard": shards.me(table, len(keys)), "n": count.astype(np.int32)})
 
     def sort_suffixes(table: pa.Table, answers: pa.Table) -> pa.Table:
         shard = Shard(table, length, gram)
-        chosen = shard.candidates(answers["key"].to_numpy().view(np.uint64))
-        again = shard.local_repeats(chosen)
+        keys = answers["key"].to_numpy().view(np.uint64)
+        chosen = shard.candidates(keys)
+        again, rank = shard.local_repeats(chosen)
+        s, e = textops.runs(again)
+        none = {"anchor": pa.nulls(len(s), pa.int64()), "body": pa.nulls(len(s), pa.binary()), "doc_id": pa.nulls(len(s), pa.int64())}
+        out = [{"kind": 2, **none, "start": s, "end": e}]
         fresh = np.concatenate(([0], np.cumsum(~again)))
         chosen = chosen[fresh[shard.end[chosen]] > fresh[shard.start[chosen]]]  # with a string that is new to this shard
-        s, e = shard.start[chosen], shard.end[chosen]
-        high = textops.byte_sums(shard.buf, 1).hash(s, e + length - 1) if len(s) else np.zeros(0, np.uint64)
-        low = shard.sums.hash(s, e + length - 1)
-        first = shards.first_of_each(shard.doc[s], table)
-        rows = pa.table({"kind": np.zeros(len(s), np.int32), "anchor": shard.anchor[chosen].view(np.int64), "high": high.view(np.int64), "low": low.view(np.int64), **first, "shard": me(table, len(s)), "start": s.astype(np.int32), "end": e.astype(np.int32)})
-        s, e = textops.runs(again)
-        none = pa.nulls(len(s), pa.int64())
-        local = pa.table({"kind": np.ones(len(s), np.int32), "anchor": none, "high": none, "low": none, "doc_id": none, "tie": none, "shard": me(table, len(s)), "start": s.astype(np.int32), "end": e.astype(np.int32)})
-        return pa.concat_tables([rows, local.cast(rows.schema)])
-
-    def strings(table: pa.Table, answers: pa.Table) -> pa.Table:
-        """The open stretches' strings that are new to the shard, as one run in suffix order."""
-        buf, offs = textops.batch(table["text"])
-        kind = answers["kind"].to_numpy()
-        ask = _ranges(answers.filter(pa.array(kind == 0)), len(buf)) & ~_ranges(answers.filter(pa.array(kind == 1)), len(buf))
-        at = np.flatnonzero(ask)
-        packed = packed_bytes(buf)
-        lead, nxt = packed[at], packed[at + 8] if len(at) else packed[at]
-        two = [textops.byte_sums(buf, k).hash(at, at + length) if len(at) else lead for k in (0, 1)]
-        rest = textops.mix(two[0] ^ textops.mix(two[1]))
-        order = np.lexsort((rest, nxt, lead))
-        at, lead, nxt, rest = (x[order] for x in (at, lead, nxt, rest))
-        owner = np.searchsorted(offs, at, side="right") - 1
-        return pa.table({"lead": (lead ^ _SIGN).view(np.int64), "next": (nxt ^ _SIGN).view(np.int64), "rest": rest.view(np.int64), **shards.first_of_each(owner, table), "shard": me(table, len(at)), "start": at.astype(np.int32)})
+        chosen = chosen[np.isin(shard.anchor[chosen], keys, kind="sort")]  # and that another shard may have
+        chosen = chosen[np.argsort(rank[shard.start[chosen]], kind="stable")]
+        many = np.isin(shard.anchor[chosen], keys[answers["n"].to_numpy() > hot], kind="sort")
+        s = shard.start[chosen[~many]]
+        out.append({"kind": 0, "anchor": shard.anchor[chosen[~many]].view(np.int64), "body": shard.bodies(chosen[~many]), "doc_id": shards.ids(shard.doc[s], table), "start": s, "end": shard.end[chosen[~many]]})
+        at = np.flatnonzero(textops.covered(shard.start[chosen[many]], shard.end[chosen[many]], len(shard.buf)) & ~again)
+        raw = memoryview(shard.buf)
+        digests = [hashlib.blake2b(raw[i : i + length], digest_size=16).digest() for i in at.tolist()]
+        out.append({"kind": 1, "anchor": pa.nulls(len(at), pa.int64()), "body": pa.array(digests, pa.binary()), "doc_id": shards.ids(shard.doc[at], table), "start": at, "end": at + 1})
+        return pa.concat_tables([pa.table({**x, "kind": np.full(len(x["start"]), x["kind"], np.int32), "shard": shards.me(table, len(x["start"]))}).select(_SENT.names).cast(_SENT) for x in out])
 
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = pa.Table.from_batches(batches, _STRING)  # a partition's share of the strings, about as many as a shard has
-        if len(table):
-            gone = repeated_in_runs(table)
-            yield from table.select(["shard", "start"]).filter(pa.array(gone)).to_batches()
+        held = list(batches)  # a partition's share of the stretches, about as many as a shard sends
+        if sum(b.num_rows for b in held):
+            yield from repeats_across(pa.Table.from_batches(held), length).to_batches()
 
     def cut(table: pa.Table, answers: pa.Table) -> pa.Table:
         buf, offs = textops.batch(table["text"])
-        at = np.flatnonzero(_ranges(answers, len(buf)))
+        s, e = (x.astype(np.int64) for x in shards.numbers(answers, "start", "end"))
+        at = np.flatnonzero(textops.covered(s, e, len(buf)))
         return _kept(table, buf, offs, textops.covered(at, at + length, len(buf)))
 
-    found = shards.shared(shards.per_shard(parts, anchors, "key long, shard int"))
-    sent = durable.checkpoint(shards.resume(parts, found, sort_suffixes, STRETCH))
-    local, stretches = sent.where("kind = 1").select("kind", "shard", "start", "end"), sent.where("kind = 0")
-    order = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "tie", "shard", "start")
-    bodies = stretches.groupBy("anchor", "high", "low").agg(F.min(order).alias("first"), F.min("shard").alias("least"), F.max("shard").alias("most"))
-    groups = bodies.groupBy("anchor").agg(((F.count("*") > 1) & (F.min("least") < F.max("most"))).alias("differ"))
-    judged = stretches.join(bodies.select("anchor", "high", "low", "first"), ["anchor", "high", "low"]).join(groups, "anchor")
-    judged = durable.checkpoint(judged.withColumn("whole", (F.col("first.shard") != F.col("shard")) | (F.col("first.start") != F.col("start"))).where("whole or differ").select("kind", "shard", "start", "end", "whole"))
-    unsure = judged.where("not whole").drop("whole")
-    runs = shards.resume(parts, unsure.unionByName(local), strings, STRING)
-    merged = runs.repartition(n, "lead", "next", "rest").mapInArrow(merge, "shard int, start int")
-    gone = merged.withColumn("end", F.col("start") + 1).unionByName(local.drop("kind")).unionByName(judged.where("whole").drop("kind", "whole"))
+    counted = shards.per_shard(parts, anchors, "key long, shard int, n int").withColumn("shards", F.count("*").over(Window.partitionBy("key"))).withColumn("n", F.sum("n").over(Window.partitionBy("key")))
+    sent = durable.rewritten(shards.resume(parts, counted.where("shards > 1").select("key", "shard", "n"), sort_suffixes, SENT), "stretches")
+    stretches = sent.where("kind = 0").select("anchor", "body", "doc_id", "shard", "start")
+    merged = stretches.repartition(n, "anchor").mapInArrow(merge, "shard int, start int, end int")
+    earlier = Window.partitionBy("body").orderBy(F.col("doc_id").asc_nulls_last(), "shard", "start")
+    single = sent.where("kind = 1").withColumn("_n", F.row_number().over(earlier)).where("_n > 1")
+    gone = merged.unionByName(single.select("shard", "start", "end")).unionByName(sent.where("kind = 2").select("shard", "start", "end"))
     return shards.resume(parts, gone, cut, RESULT)
 
 
-_STRING = pa.schema([("lead", pa.int64()), ("next", pa.int64()), ("rest", pa.int64()), ("doc_id", pa.int64()), ("tie", pa.int64()), ("shard", pa.int32()), ("start", pa.int32())])
-
-
-def repeated_in_runs(table: pa.Table) -> np.ndarray:
-    """For each string, whether another shard has it from an earlier document; each shard's strings are one run in suffix order."""
-    lead, nxt, rest, shard, tie = shards.numbers(table, "lead", "next", "rest", "shard", "tie")
+def repeats_across(table: pa.Table, length: int) -> pa.Table:
+    """Ranges (shard, start, end) of strings that another of the stretches has from an earlier place."""
+    anchor, shard, start = shards.numbers(table, "anchor", "shard", "start")
     doc = table["doc_id"].combine_chunks()
     null = doc.is_null().to_numpy(zero_copy_only=False)
-    order = np.lexsort((shard, tie, doc.fill_null(0).to_numpy(zero_copy_only=False), null))
+    order = np.lexsort((start, shard, doc.fill_null(0).to_numpy(zero_copy_only=False), null))
     rank = np.empty(len(order), np.int64)
     rank[order] = np.arange(len(order))
-    keys = np.empty((len(order), 3), ">u8")
-    keys[:, 0], keys[:, 1], keys[:, 2] = lead.view(np.uint64) ^ _SIGN, nxt.view(np.uint64) ^ _SIGN, rest.view(np.uint64)
-    by_run = np.argsort(shard, kind="stable")
-    gone = np.zeros(len(order), bool)
-    gone[by_run] = rank[by_run] != least_owners(keys.view("S24").ravel()[by_run], rank[by_run])
-    return gone
+    body = table["body"].combine_chunks().dictionary_encode().indices.to_numpy()
+    first = np.full(int(body.max()) + 1, len(rank))
+    np.minimum.at(first, body, rank)
+    buf, offs = textops.batch(table["body"])
+    end = start + np.diff(offs) - length + 1
+    own = rank == first[body]
+    whole = np.flatnonzero(~own)
+    # of different stretches of one anchor in several shards, the strings are compared
+    kept = np.flatnonzero(own)
+    kept = kept[np.lexsort((shard[kept], anchor[kept]))]
+    head = np.flatnonzero(np.concatenate(([True], anchor[kept][1:] != anchor[kept][:-1])))
+    several = shard[kept][head] != shard[kept][np.append(head[1:], len(kept)) - 1]
+    open_ = kept[np.repeat(several, np.diff(np.append(head, len(kept))))]
+    open_ = np.sort(open_)  # back to the order of arrival: runs in suffix order
+    n = end[open_] - start[open_]
+    total = np.concatenate(([0], np.cumsum(n)))
+    which = np.repeat(np.arange(len(open_)), n)
+    at = np.arange(total[-1]) - total[which]
+    out = [shard[whole], start[whole], end[whole]]
+    if len(which):
+        strings = np.lib.stride_tricks.sliding_window_view(buf, length)[offs[open_][which] + at]
+        order = rank[open_][which] * (int(n.max()) + 1) + at
+        gone = np.zeros(len(which) + len(open_), bool)  # one false between two stretches
+        gone[np.arange(len(which)) + which] = order != least_owners(strings.view(f"S{length}").ravel(), order)
+        s, e = textops.runs(gone)
+        row = np.searchsorted(total + np.arange(len(total)), s, side="right") - 1
+        base = start[open_][row] - total[row] - row
+        out = [np.concatenate(x) for x in zip(out, (shard[open_][row], base + s, base + e), strict=True)]
+    return pa.table([x.astype(np.int32) for x in out], names=["shard", "start", "end"])
 
 
 def least_owners(keys: np.ndarray, rank: np.ndarray) -> np.ndarray:

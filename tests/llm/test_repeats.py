@@ -84,15 +84,17 @@ def test_merging_runs_keeps_the_least_owner():
     assert suffix_dedup.least_owners(keys, np.array([d for _, o in runs for d in o])).tolist() == [7, 3, 1, 3, 2, 7, 2, 1]
 
 
-def test_many_shards_and_rows_without_ids(spark, monkeypatch):
-    """Null ids come last, by their texts' hashes; every text is one of several shards' and passages cross them."""
+@pytest.mark.parametrize("hot", [0, 5, 4096])
+def test_many_shards_and_rows_without_ids(spark, monkeypatch, hot):
+    """Null ids come last; rows of equal id come by shard and hash. Passages cross the shards, with and without hot anchors."""
     monkeypatch.setattr(shards, "LEAST_SHARDS", 30)
+    monkeypatch.setattr(suffix_dedup, "HOT", hot)
     r = random.Random(14)
     shared = [prose(r, 45) for _ in range(4)]
     texts = [f"{prose(r, r.randrange(40))} {r.choice(shared)} {prose(r, r.randrange(40))}" for _ in range(60)] + [shared[0]] * 5
     ids = [i if i % 3 else None for i in range(60)] + [None] * 3 + [7, 7]
     docs = documents(spark, texts, ids)
-    order = [tuple(x) for x in docs.selectExpr("doc_id", "text", "xxhash64(text) tie").orderBy(F.col("doc_id").asc_nulls_last(), "tie").select("doc_id", "text").collect()]
+    order = [tuple(x) for x in docs.selectExpr("doc_id", "text", "pmod(xxhash64(doc_id, text), 30) part", "xxhash64(text) tie").orderBy(F.col("doc_id").asc_nulls_last(), "part", "tie").select("doc_id", "text").collect()]
     want = without_windows([t for _, t in order])
     got = substring_dedup.remove_repeated_windows(docs).select("doc_id", "n_words", "n_removed", "kept_text").collect()
     assert sorted(map(str, map(tuple, got))) == sorted(str((i, *w)) for (i, _), w in zip(order, want, strict=True))
