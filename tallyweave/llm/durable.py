@@ -1,33 +1,5 @@
 """Cutting lineage in the folder that all machines share."""
 
-from __future__ import annotations
+from tallyweave.folders import checkpoint, rewritten
 
-import tempfile
-import uuid
-
-from pyspark.sql import DataFrame, SparkSession
-
-
-def _use_folder(spark: SparkSession) -> None:
-    context = spark.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(context.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="spark-checkpoint-"))
-
-
-def checkpoint(df: DataFrame) -> DataFrame:
-    """Write df to the shared checkpoint folder and read it from there.
-
-    The folder is the one the cluster names in spark.checkpoint.dir; only where
-    that is unset, as in tests, one is made here.
-    """
-    _use_folder(df.sparkSession)
-    return df.checkpoint(eager=True)
-
-
-def rewritten(df: DataFrame, name: str) -> DataFrame:
-    """Write df as Parquet under the shared checkpoint folder and read it again."""
-    spark = df.sparkSession
-    _use_folder(spark)
-    path = f"{spark.sparkContext.getCheckpointDir()}/{name}-{uuid.uuid4().hex}.parquet"
-    df.write.parquet(path)
-    return spark.read.parquet(path)
+__all__ = ["checkpoint", "rewritten"]
