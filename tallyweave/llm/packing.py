@@ -1,8 +1,9 @@
 """Best-fit packing of tokenised documents into sequences of a fixed length.
 
 Tokenising is one pass over the documents. Its small rows, one for each piece,
-are dealt into lanes of a bounded size; each lane packs its pieces online into
-a bounded number of open sequences, longest piece first. A bitset has bit f set while some open
+are dealt into lanes of a bounded size; each lane packs its pieces online, in
+order of arrival but for a short look-ahead in which the longest goes first,
+into a bounded number of open sequences. A bitset has bit f set while some open
 sequence has f tokens free, so the best fit for a piece is the lowest set bit
 at or above its length. When a piece fits nowhere and all places are taken,
 the fullest open sequence is closed.
@@ -21,8 +22,8 @@ from pyspark.sql import functions as F
 from tallyweave.llm import durable
 from tallyweave.llm.wordtokens import WordTokenizer
 
-#: Pieces that one lane packs, and sequences that it keeps open meanwhile.
-LANE_PIECES, OPEN_BINS = 32_768, 16_384
+#: Pieces that one lane packs, sequences that it keeps open meanwhile, and pieces that it looks ahead.
+LANE_PIECES, OPEN_BINS, LOOK_AHEAD = 32_768, 512, 1_024
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 _TOKENIZERS: dict[str, WordTokenizer] = {}  # one for each file and Python worker
@@ -43,8 +44,11 @@ def _slices(texts: list, most: int = 1 << 20) -> Iterator[slice]:
 def token_pieces(docs: DataFrame, tokenizer: str, size: int = 2048, end_id: int = 0, doc_id: str = "doc_id", text: str = "text", keep_ids: bool = False) -> DataFrame:
     """Each document's ids and an end id, cut into pieces of at most size tokens.
 
-    A null text is an empty one: its only token is the end id. keep_ids adds the
-    ids of each piece as little-endian unsigned 32-bit binary.
+    A null or empty text has no ids: its only token is the end id. Every row is
+    cut by itself, so null and repeated doc_ids give pieces like any other. An
+    empty table has no pieces; columns other than id and text are ignored, and a
+    long text is encoded whole by one task. keep_ids adds the ids of each piece
+    as little-endian unsigned 32-bit binary.
     """
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -101,24 +105,33 @@ class OpenBins:
         return at, self.size - f
 
 
-def pack(pieces: DataFrame, size: int = 2048, lane_pieces: int = LANE_PIECES, open_bins: int = OPEN_BINS) -> DataFrame:
+def place_all(lengths: list[int], size: int, open_bins: int = OPEN_BINS, look_ahead: int = LOOK_AHEAD) -> np.ndarray:
+    """Sequence and offset of each piece: pieces arrive in the given order, and of the next look_ahead the longest is placed first."""
+    bins, placed = OpenBins(size, open_bins), np.zeros((len(lengths), 2), np.int64)
+    for s in range(0, len(lengths), look_ahead):
+        for i in sorted(range(s, min(s + look_ahead, len(lengths))), key=lambda i: -lengths[i]):
+            placed[i] = bins.place(lengths[i])
+    return placed
+
+
+def pack(pieces: DataFrame, size: int = 2048, lane_pieces: int = LANE_PIECES, open_bins: int = OPEN_BINS, look_ahead: int = LOOK_AHEAD) -> DataFrame:
     """Give each piece a sequence_id and its offset there.
 
-    The pieces are written to the checkpoint folder first, so that a task that
-    runs again sees the same rows. Equal rows are packed one by one. No pieces,
-    no sequences.
+    Pieces arrive in the order of doc_id (nulls last), piece and crc. They are
+    written to the checkpoint folder first, so that a task that runs again sees
+    the same rows. Equal rows are packed one by one, and however many there are
+    they spread over the lanes. No pieces, no sequences.
     """
     pieces = durable.checkpoint(pieces)
     lanes = max(1, -(-pieces.count() // lane_pieces))
 
     def fill(table: pa.Table) -> pa.Table:
         lane = table["lane"][0].as_py()
-        table = table.drop_columns("lane").sort_by([("length", "descending"), ("doc_id", "ascending"), ("piece", "ascending"), ("ids_crc32", "ascending")])
-        bins = OpenBins(size, open_bins)
-        placed = np.array([bins.place(n) for n in table["length"].to_pylist()], np.int64).reshape(-1, 2)
+        table = table.drop_columns("lane").sort_by([("doc_id", "ascending"), ("piece", "ascending"), ("ids_crc32", "ascending")])
+        placed = place_all(table["length"].to_pylist(), size, open_bins, look_ahead)
         return table.append_column("sequence_id", pa.array(placed[:, 0] + (lane << 32))).append_column("offset", pa.array(placed[:, 1]))
 
-    lane = F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.lit(lanes)).cast("int").alias("lane")
+    lane = F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32", F.monotonically_increasing_id()), F.lit(lanes)).cast("int").alias("lane")
     kinds = ", ".join(f"{c} {t}" for c, t in pieces.dtypes)
     return pieces.select("*", lane).groupBy("lane").applyInArrow(fill, f"{kinds}, sequence_id long, offset long")
 
