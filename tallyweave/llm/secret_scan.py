@@ -53,7 +53,7 @@ def _table(signs: str) -> np.ndarray:
 
 _LOW, _UP, _DIGITS = "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789"
 _HEX = _table(_DIGITS + "abcdef")
-_CODED = _table(_LOW + _UP + _DIGITS + "+/_=-")
+_CODED = _table(_LOW + _UP + _DIGITS + "+/_-")
 _VALUE64 = np.zeros(256, np.uint8)
 for _i, _c in enumerate((_UP + _LOW + _DIGITS + "+/").encode()):
     _VALUE64[_c] = _i
@@ -68,7 +68,7 @@ for _i, _c in enumerate((_UP + "234567").encode()):
 _CLASS = np.zeros(256, np.uint8)  # bits: lower, upper, digit, sign, beyond hex, beyond base 32
 for _c in _CODED.nonzero()[0].tolist():
     s = chr(_c)
-    _CLASS[_c] = (s in _LOW) | (s in _UP) << 1 | (s in _DIGITS) << 2 | (s in "+/_-") << 3 | (s not in "0123456789abcdefABCDEF") << 4 | (s not in _UP + "234567=") << 5
+    _CLASS[_c] = (s in _LOW) | (s in _UP) << 1 | (s in _DIGITS) << 2 | (s in "+/_-") << 3 | (s not in "0123456789abcdefABCDEF") << 4 | (s not in _UP + "234567") << 5
 
 
 def class_runs(buf: np.ndarray, offs: np.ndarray, table: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray]:
@@ -167,6 +167,9 @@ def _scan(texts: pa.Array) -> tuple[list, list, np.ndarray]:
     cs, ce = class_runs(buf, offs, _CODED, RUN_LENGTH)
     cell, null = judge(buf, cs, ce)
     cs, ce, cell = cs[cell >= 0], ce[cell >= 0], cell[cell >= 0]
+    for _ in range(2):  # padding belongs to the span, not to what is judged
+        ends = offs[doc_of(cs) + 1]
+        ce = ce + ((ce < ends) & (buf[np.minimum(ce, len(buf) - 1)] == 0x3D)) if len(ce) else ce
     hinted = {int(d) for hint in _HINTS for d in doc_of(np.fromiter(_find_all(low, hint), np.int64))}
     keyed = {int(d) for d in doc_of(np.fromiter(_find_all(raw, b"AKIA"), np.int64))}
     hex_docs, run_docs = doc_of(hs), doc_of(cs)
@@ -191,7 +194,9 @@ def scan(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", false_shar
 
     base has the matches of the three patterns; random the runs that the battery
     takes for secrets outside of those. A null text is an empty one and has no
-    spans; each row is scanned by itself, repeated or not. The corpus-wide
+    spans; each row is scanned by itself, whether its doc_id is null or
+    repeated, and a long text is scanned whole. An empty table gives an empty
+    result, and columns other than id and text are ignored. The corpus-wide
     figures are counts in a fixed number of cells.
     """
     span = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32()), ("kind", pa.string())]))
