@@ -22,8 +22,8 @@ from pyspark.sql import functions as F
 
 from tallyweave.llm import textops
 
-#: Labelled documents that fitting reads at most, of each label, and their longest text in bytes.
-SAMPLE_ROWS, SAMPLE_TEXT = 1_000, 65_536
+#: Labelled documents that fitting reads at most, of each label; characters of one text, in chunks, from which on it is sampled too.
+SAMPLE_ROWS, SAMPLE_TEXT, SAMPLE_CHUNK = 1_000, 65_536, 1_024
 
 #: Beginnings of a token that are features, in bytes; the whole token is one too.
 PREFIXES = (3, 4, 5, 6, 7, 8)
@@ -257,15 +257,25 @@ def fit(texts: list[str], toxic: np.ndarray, rounds: int = 60, weight: np.ndarra
     return model
 
 
+def _sampled(text: Column, key: Column) -> Column:
+    """A text of more than SAMPLE_TEXT characters as the chunks, from all over it, whose hash falls in a share of that size."""
+    share = F.ceil(F.length(text) / SAMPLE_TEXT)
+    places = F.sequence(F.lit(0), F.ceil(F.length(text) / SAMPLE_CHUNK).cast("int") - 1)
+    chosen = F.filter(places, lambda i: F.pmod(F.xxhash64(key, i), share) == 0)
+    return F.when(share > 1, F.array_join(F.transform(chosen, lambda i: F.substr(text, i * SAMPLE_CHUNK + 1, F.lit(SAMPLE_CHUNK))), "\n")).otherwise(text)
+
+
 def train(docs: DataFrame, labels: DataFrame, usable: Column | None = None, doc_id: str = "doc_id", text: str = "text", toxic: str = "toxic", rows: int = SAMPLE_ROWS) -> Model:
     """Fit on at most `rows` labelled documents of each label: those with the smallest hash of their doc_id.
 
     usable, on the labels' doc_id, says which may be learnt from. Of several
-    labels of one document the largest counts; null labels don't. Where a label
-    has more than `rows` documents, each drawn one counts for all it stands for,
-    relative to the other label's. Texts of more than SAMPLE_TEXT bytes are not
-    learnt from. The sample's ids are a few thousand at most, which bounds the
-    broadcast, and so are the texts that come to the driver.
+    labels of one document the largest counts; null labels, ids and texts don't.
+    Where a label has more than `rows` documents, each drawn one counts for all
+    it stands for, relative to the other label's. Documents of one id are each
+    an example, but 2 * rows in all at most. Of a text of more than SAMPLE_TEXT
+    characters about so many are learnt from, in chunks from all over it. So
+    what comes to the driver is bounded by rows and characters. Empty tables
+    give a model that says the labels' share, or 0.
     """
     marks = labels.select(F.col(doc_id).cast("long").alias("id"), F.col(toxic).cast("int").alias("toxic")).where("id is not null and toxic is not null")
     if usable is not None:
@@ -276,7 +286,9 @@ def train(docs: DataFrame, labels: DataFrame, usable: Column | None = None, doc_
     if not ids:
         return fit([], np.zeros(0, bool))
     chosen = docs.sparkSession.createDataFrame(ids, "id long, toxic int")
-    sample = docs.select(F.col(doc_id).cast("long").alias("id"), F.col(text).alias("text")).where(F.octet_length("text") <= SAMPLE_TEXT).join(F.broadcast(chosen), "id").toArrow()
+    found = docs.select(F.col(doc_id).cast("long").alias("id"), F.col(text).alias("body")).where("body is not null").join(F.broadcast(chosen), "id")
+    found = found.select("id", "toxic", _sampled(F.col("body"), F.col("id")).alias("text"))
+    sample = found.orderBy(F.xxhash64("id"), F.xxhash64("text")).limit(2 * rows).toArrow()
     sample = sample.sort_by([("id", "ascending"), ("text", "ascending")])
     bad = np.array(sample["toxic"].to_pylist(), int) > 0
     stands = {k: n / min(n, rows) for k, n in total.items()}  # labels for each drawn one
@@ -292,7 +304,7 @@ def scores(model: Model, p: np.ndarray, tokens: Tokens) -> np.ndarray:
 
 
 def below(docs: DataFrame, model: Model, limit: float = 0.5, text: str = "text") -> DataFrame:
-    """The rows, with all their columns, whose text scores below a limit."""
+    """The rows, with all their columns, whose text scores below a limit, each judged as by score()."""
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -307,7 +319,9 @@ def score(docs: DataFrame, model: Model, doc_id: str = "doc_id", text: str = "te
     """doc_id, score (0 to 1) and the toxic spans (code points, ends exclusive) of every text.
 
     A null or empty text has no tokens and no spans; its score is that of an
-    empty summary. Every row is scored by itself from its text alone.
+    empty summary. Every row is scored by itself from its text alone, whether
+    its doc_id is null or repeated; a long text is scored whole. An empty table
+    gives an empty result, and columns other than id and text are ignored.
     """
     kind = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
 
@@ -318,10 +332,11 @@ def score(docs: DataFrame, model: Model, doc_id: str = "doc_id", text: str = "te
                 tokens = Tokens(buf, offs)
                 p = marginals(model, tokens)
                 spans = [[] for _ in range(b.num_rows)]
-                for t in np.flatnonzero(p >= 0.5).tolist():
-                    d = int(tokens.doc[t])
-                    lead = int(np.count_nonzero((buf[offs[d] : tokens.start[t]] & 0xC0) != 0x80))
-                    spans[d].append({"start": lead, "end": lead + int(np.count_nonzero((buf[tokens.start[t] : tokens.end[t]] & 0xC0) != 0x80))})
+                at = np.flatnonzero(p >= 0.5)
+                point = np.concatenate(([0], np.cumsum((buf & 0xC0) != 0x80)))  # code points before each byte
+                base = point[offs[tokens.doc[at]]]
+                for d, s, e in zip(tokens.doc[at].tolist(), (point[tokens.start[at]] - base).tolist(), (point[tokens.end[at]] - base).tolist(), strict=True):
+                    spans[d].append({"start": s, "end": e})
                 yield pa.RecordBatch.from_arrays([b.column(0), pa.array(scores(model, p, tokens)), pa.array(spans, kind)], names=["doc_id", "score", "spans"])
 
     return docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")).mapInArrow(mark, RESULT)

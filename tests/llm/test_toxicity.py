@@ -78,6 +78,25 @@ def test_the_sample_keeps_the_labels_shares(spark):
         assert 0.15 < sum(got) / len(got) < 0.5
 
 
+def test_long_and_repeated_documents_are_learnt_from_within_bounds(spark, monkeypatch):
+    monkeypatch.setattr(toxicity, "SAMPLE_TEXT", 4_000)
+    seen = []
+    plain_fit = toxicity.fit
+    monkeypatch.setattr(toxicity, "fit", lambda texts, *a, **k: seen.append(texts) or plain_fit(texts, *a, **k))
+    texts, toxic = labelled(200)
+    long = " ".join(texts * 3)  # some hundred thousand characters
+    texts, ids = [*texts, long, *texts[:1] * 700], [*range(200), 200, *[0] * 700]
+    docs = documents(spark, texts, ids)
+    labels = spark.createDataFrame([*enumerate(toxic), (200, 1)], "doc_id long, toxic int")
+    toxicity.train(docs, labels, rows=150)
+    assert len(seen[0]) == 300 and max(map(len, seen[0])) < 12_000
+    toxicity.train(docs.where("doc_id > 0"), labels)
+    part = next(t for t in seen[1] if "\n" in t)
+    assert 1_000 < len(part) < 12_000 and all(c in long for c in part.split("\n"))
+    got = toxicity.score(docs, plain_fit([], np.zeros(0, bool))).count()
+    assert got == len(texts)
+
+
 def test_nothing_to_learn_from(spark):
     docs = documents(spark, ["a b", None])
     none = spark.createDataFrame([], "doc_id long, toxic int")
