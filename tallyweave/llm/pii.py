@@ -10,8 +10,10 @@ documents, and the holder of the key can invert it.
 from __future__ import annotations
 
 import datetime
+import functools
 import hashlib
 import re
+import unicodedata
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -25,8 +27,15 @@ ROUNDS = 8
 #: Days that dates are permuted among. Fixed values.
 FIRST_DAY, LAST_DAY = datetime.date(1900, 1, 1).toordinal(), datetime.date(2099, 12, 31).toordinal()
 
-#: Month names in the order of the year. Fixed values.
-MONTHS = ("January", "February", "March", "April", "May", "June", "July", "August", "September", "October", "November", "December")
+#: Month names in the order of the year, by language. Fixed values.
+MONTHS = {
+    "en": ("January", "February", "March", "April", "May", "June", "July", "August", "September", "October", "November", "December"),
+    "de": ("Januar", "Februar", "März", "April", "Mai", "Juni", "Juli", "August", "September", "Oktober", "November", "Dezember"),
+    "fr": ("janvier", "février", "mars", "avril", "mai", "juin", "juillet", "août", "septembre", "octobre", "novembre", "décembre"),
+    "es": ("enero", "febrero", "marzo", "abril", "mayo", "junio", "julio", "agosto", "septiembre", "octubre", "noviembre", "diciembre"),
+}
+#: How each language writes day d, month m and year y. Fixed values.
+WORDED = {"en": "{d} {m} {y}", "us": "{m} {d}, {y}", "de": "{d}. {m} {y}", "fr": "{d} {m} {y}", "es": "{d} de {m} de {y}"}
 
 
 class Permutation:
@@ -144,16 +153,22 @@ class Pseudonyms:
         d = _digits(m[0])
         if not 8 <= len(d) <= 15:
             return None
-        n = len(_digits(m["country"] or ""))
+        n = len(_digits(m["country"] or m["abroad"] or ""))
         return _refill(m[0], d[:n] + self._number("phone", d[n:]))
 
     def email(self, m: re.Match) -> str | None:
+        """Each letter of the name becomes one of its own alphabet and case, so the letters together are a number of mixed radix."""
         local = m["local"]
-        letters = [c for c in local if c.isalpha()]
-        word = self.permute("email letters", 26 ** len(letters), _from_letters(letters)) if letters and all("a" <= c <= "z" for c in letters) else None
-        it, jt = iter(self._number("email", _digits(local))), iter(_to_letters(word, len(letters)) if word is not None else _stream(self.key, "".join(letters)))
-        # letters beyond a-z have no small alphabet of their own: they become letters drawn from a keyed hash of all of them
-        return "".join((next(jt).lower() if c.isalpha() else next(it) if "0" <= c <= "9" else c) for c in local) + m[0][len(local) :]
+        letters = [_alphabet(c) for c in local if c.isalpha()]
+        size, word = 1, 0
+        for alphabet, at, _ in letters:
+            size, word = size * len(alphabet), word * len(alphabet) + at
+        word, made = self.permute("email letters", size, word) if letters else 0, []
+        for alphabet, _, upper in reversed(letters):
+            word, at = divmod(word, len(alphabet))
+            made.append(alphabet[at].upper() if upper else alphabet[at])
+        it, jt = iter(self._number("email", _digits(local))), reversed(made)
+        return "".join((next(jt) if c.isalpha() else next(it) if "0" <= c <= "9" else c) for c in local) + m[0][len(local) :]
 
     def date(self, m: re.Match) -> str | None:
         found = _read_date(m)
@@ -184,12 +199,18 @@ def _to_letters(x: int, n: int) -> str:
     return "".join(reversed(out))
 
 
-def _stream(key: bytes, value: str) -> Iterator[str]:
-    i = 0
-    while True:
-        for b in hashlib.blake2b(f"{value}|{i}".encode(), key=key[:64]).digest():
-            yield chr(65 + b % 26)
-        i += 1
+@functools.cache
+def _alphabet(c: str) -> tuple[str, int, bool]:
+    """The alphabet a letter is permuted in, its place there, and whether it is an A-Z, which shares the alphabet of a-z.
+
+    Letters beyond have those of their 128 code points and category that stay
+    one letter.
+    """
+    if c.isascii():
+        return "abcdefghijklmnopqrstuvwxyz", ord(c.lower()) - 97, c.isupper()
+    first = ord(c) & ~127
+    alike = "".join(x for x in map(chr, range(first, first + 128)) if x.isalpha() and unicodedata.category(x) == unicodedata.category(c))
+    return alike, alike.index(c), False
 
 
 def _day(y: int, m: int, d: int) -> int | None:
@@ -216,15 +237,24 @@ def _read_date(m: re.Match) -> tuple[int, Callable, Callable] | None:
                 write = lambda d, f=first: f"{(d.day if f else d.month):0{pad}d}{sep}{(d.month if f else d.day):0{pad}d}{sep}{d.year:04d}"
                 return day, write, lambda d, f=first: (f or d.day > 12) and (pad == 2 or min(d.day, d.month) < 10)
         return None
-    name = next(x for x in MONTHS if x in s)
+    way = next(w for w in WORDED if m[w])
+    names = MONTHS["en" if way == "us" else way]
+    month = names.index(re.search("|".join(names), s)[0])
     numbers = [int(x) for x in re.findall("[0-9]+", s)]
-    day = _day(numbers[1], MONTHS.index(name) + 1, numbers[0])
-    if s[0].isdigit():
-        return day and (day, lambda d: f"{d.day} {MONTHS[d.month - 1]} {d.year:04d}", every)
-    return day and (day, lambda d: f"{MONTHS[d.month - 1]} {d.day}, {d.year:04d}", every)
+    day = _day(numbers[1], month + 1, numbers[0])
+    return day and (day, lambda d: WORDED[way].format(d=d.day, m=names[d.month - 1], y=f"{d.year:04d}"), every)
+
+
+def _worded() -> str:
+    """One named group for each way to write a date with the month's name."""
+    parts = []
+    for way, form in WORDED.items():
+        names = "|".join(MONTHS["en" if way == "us" else way])
+        form = form.replace(".", r"\.").replace(" ", r"\x20")
+        parts.append(f"(?P<{way}>" + form.format(d="[0-9]{1,2}", m=f"(?:{names})", y="[0-9]{4}") + ")")
+    return "|".join(parts)
 
 
-_M = "|".join(MONTHS)
 #: The formats, tried in this order at each place.
 FORMATS = re.compile(
     rf"""
@@ -234,11 +264,12 @@ FORMATS = re.compile(
     | (?P<ip>[0-9]{{1,3}}(?:\.[0-9]{{1,3}}){{3}}(?!\w|\.[0-9]))
     | (?P<date>(?P<iso>[0-9]{{4}}(?P<sep>[-/.])[0-9]{{2}}(?P=sep)[0-9]{{2}})(?![\w-])
         | (?P<plain>[0-9]{{1,2}}(?P<sep2>[/.-])[0-9]{{1,2}}(?P=sep2)[0-9]{{4}})(?![\w-])
-        | (?:[0-9]{{1,2}}\x20(?:{_M})\x20[0-9]{{4}}|(?:{_M})\x20[0-9]{{1,2}},\x20[0-9]{{4}})(?!\w))
+        | (?:{_worded()})(?!\w))
     | (?P<ssn>[0-9]{{3}}-[0-9]{{2}}-[0-9]{{4}}(?![\w-]))
     | (?P<card>(?:[0-9]{{13,19}}|[0-9]{{4}}(?P<gap>[\x20-])[0-9]{{4}}(?P=gap)[0-9]{{4}}(?P=gap)[0-9]{{1,7}}|[0-9]{{4}}[\x20-][0-9]{{6}}[\x20-][0-9]{{5}})(?![\w-]))
     )
-  | (?P<phone>(?<![\w.])(?P<country>\+[0-9]{{1,3}}[\x20.-]?)?(?:\([0-9]{{2,4}}\)|[0-9]{{3}})[\x20.-]?[0-9]{{3}}[\x20.-][0-9]{{4}}(?![\w-]))
+  | (?P<phone>(?<![\w.])(?:(?P<country>\+[0-9]{{1,3}}[\x20.-]?)?(?:\([0-9]{{2,4}}\)|[0-9]{{3}})[\x20.-]?[0-9]{{3}}[\x20.-][0-9]{{4}}(?![\w-])
+        | (?P<abroad>\+[0-9]{{1,3}})(?:[\x20.-](?:\([0-9]{{1,5}}\)|[0-9]{{1,8}})){{2,5}}(?![\w-])))
     """,
     re.X,
 )
@@ -268,9 +299,15 @@ def pseudonymise(docs: DataFrame, key: bytes, doc_id: str = "doc_id", text: str
     """doc_id, the text with pseudonyms, and where in the given text each value stood (code points, ends exclusive).
 
     A null text stays null and has no finds; an empty one stays empty. Every
-    row is treated by itself, repeated or not. With inverse, pseudonyms that
-    this key made are turned back, save those of e-mail names with letters
-    beyond a-z, which are one-way.
+    row is treated by itself, whether its doc_id is null or repeated, and a long
+    text whole. An empty table gives an empty result; columns other than id and
+    text are ignored. With inverse, pseudonyms that this key made are turned
+    back.
+
+    Left as they are: numbers that fail their format's check, dates outside
+    1900 to 2099 and dates with a month named in other languages than MONTHS
+    has, phone numbers without a country sign that aren't grouped 3-3-4, and
+    e-mail names of more than 64 characters. An e-mail's domain stays.
     """
     kind = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32()), ("kind", pa.string())]))
 
@@ -289,7 +326,7 @@ def pseudonymise(docs: DataFrame, key: bytes, doc_id: str = "doc_id", text: str
 
 
 def pseudonymise_rows(docs: DataFrame, key: bytes, text: str = "text") -> DataFrame:
-    """The same rows and columns with pseudonyms in the text column."""
+    """The same rows and columns with pseudonyms in the text column, by the rules of pseudonymise()."""
 
     def replace(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = Pseudonyms(key)

@@ -133,12 +133,13 @@ def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(_documents(spark, sf_dir), tokenizer_path(), size=2048)
 
 
-#: Whoever runs this on real data passes a key of their own.
-PSEUDONYM_KEY = b"a key for the shared test tables"
+def pseudonym_key(spark: SparkSession) -> bytes:
+    """The session's secret key; without one, a fixed key, which anyone can invert and which is for the test tables only."""
+    return spark.conf.get("spark.tallyweave.pseudonym.key", "a key for the shared test tables").encode()
 
 
 def op10_pii_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
-    made = pii.pseudonymise(_documents(spark, sf_dir), PSEUDONYM_KEY)
+    made = pii.pseudonymise(_documents(spark, sf_dir), pseudonym_key(spark))
     return made.select("doc_id", "text", F.size("found").cast("long").alias("n_found"), _listed(F.col("found")).alias("spans"))
 
 
