@@ -24,9 +24,9 @@ def pack_samples(entries: Column, sample: str = "sample", cov: str = "cov") -> C
 
 
 def unpack_samples(packed: Column) -> Column:
-    """The reverse: an array of (sample, cov) from a packed string with a leading comma."""
+    """The reverse: an array of (sample, cov) from a packed string with a leading comma; samples are texts."""
     parts = F.filter(F.split(packed, ","), lambda p: p != "")
-    return F.transform(parts, lambda p: F.struct(F.split_part(p, F.lit(":"), F.lit(1)).cast("long").alias("sample"), F.split_part(p, F.lit(":"), F.lit(2)).cast("long").alias("cov")))
+    return F.transform(parts, lambda p: F.struct(F.split_part(p, F.lit(":"), F.lit(1)).alias("sample"), F.split_part(p, F.lit(":"), F.lit(2)).cast("long").alias("cov")))
 
 
 def count_value(text: Column) -> Column:
@@ -62,6 +62,28 @@ def accession_bits(accession: Column, archive: str = "^[SED]RR") -> Column:
     return F.when(accession.rlike(archive), F.array_join(digits, "")).otherwise(F.array_join(letters, ""))
 
 
+def leading_bits(accession: Column, archive: str = "^[SED]RR", decorations: Sequence[str] = ()) -> Column:
+    """Twelve binary digits from an accession's beginning, as accession_bits has them from its end.
+
+    Archive runs give the first three digits, other names the first two letters
+    or digits, after decorations at either end are dropped.
+    """
+    name = trim_decorations(accession, decorations)
+    digits = F.transform(F.split(F.substr(name, F.lit(4), F.lit(3)), ""), lambda c: F.lpad(F.bin(c.try_cast("long")), 4, "0"))
+    letters = F.transform(F.split(F.left(F.regexp_replace(name, "[^A-Za-z0-9]", ""), F.lit(2)), ""), lambda c: F.lpad(F.substr(F.bin(F.ascii(c)), F.lit(2)), 6, "0"))
+    return F.when(name.rlike(archive), F.array_join(digits, "")).otherwise(F.array_join(letters, ""))
+
+
+def source_bit(accession: Column) -> Column:
+    """0 for a name of one part, as archives give, 1 for one of several."""
+    return F.when(F.size(F.split(accession, r"\W+|_")) == 1, "0").otherwise("1")
+
+
+def source_and_transcript(tag: Column) -> tuple[Column, Column]:
+    """The two halves of source:::transcript."""
+    return F.split_part(tag, F.lit(":::"), F.lit(1)), F.split_part(tag, F.lit(":::"), F.lit(2))
+
+
 def bits_to_long(*bits: Column) -> Column:
     return F.conv(F.concat(*bits), 2, 10).cast("long")
 

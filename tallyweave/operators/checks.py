@@ -47,6 +47,11 @@ def incomplete(files: DataFrame, sample: str, expected: int) -> DataFrame:
     return files.groupBy(sample).agg(F.count("*").alias("files")).where(F.col("files") != expected)
 
 
+def quarantine(items: DataFrame, good: DataFrame, key: str) -> tuple[DataFrame, DataFrame]:
+    """Items that a check found good, and the others with the name they are set aside under."""
+    return items.join(good, key, "left_semi"), items.join(good, key, "left_anti").withColumn("set_aside_as", F.concat(F.col(key), F.lit(".empty")))
+
+
 def within(diffs: DataFrame, by: str, most: int) -> DataFrame:
     """Whether each annotation's number of differences is below a bound."""
     return diffs.groupBy(by).agg(F.count("*").alias("differences")).withColumn("ok", F.col("differences") <= most)

@@ -4,28 +4,52 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tallyweave.operators.ranges import carried, dealt, inside
+
+#: Each level's bins are so many times as long as those of the level below, and the last level's hold all that is longer.
+LEVEL, LEVELS = 16, 8
+
+
+def _level(bin_size: int) -> Column:
+    """The lowest level whose bins are at least as long as the interval."""
+    steps = F.ceil(F.log(F.greatest((F.col("end") - F.col("start")) / bin_size, F.lit(1.0))) / F.log(F.lit(float(LEVEL))) - 1e-9)
+    return F.least(steps, F.lit(LEVELS)).cast("int")
+
 
 def overlap_join(left: DataFrame, right: DataFrame, bin_size: int, on: Sequence[str] = ("chrom",)) -> DataFrame:
     """Pairs of half-open intervals [start, end) that overlap; right columns get the suffix _r.
 
     Intervals meet in the bins they touch, as an equi-join; a pair counts only
-    in the bin of the later of its two starts, so it appears once.
+    in the bin of the later of its two starts, so it appears once. Long
+    intervals have longer bins, so each touches two at most: a pair meets on
+    the level of the longer one, and so a row also goes to the other side's
+    higher levels. Which levels either side has, a few numbers, is read first.
     """
-    bins = F.explode(F.sequence(F.floor(F.col("start") / bin_size), F.floor((F.col("end") - 1) / bin_size)))
-    l = left.where("end > start").withColumn("_bin", bins)
-    r = right.where("end > start").withColumn("_bin", bins)
-    r = r.select(*on, "_bin", *(F.col(c).alias(f"{c}_r") for c in right.columns if c not in on))
-    return l.join(r, [*on, "_bin"]).where((F.col("start") < F.col("end_r")) & (F.col("start_r") < F.col("end")) & (F.floor(F.greatest("start", "start_r") / bin_size) == F.col("_bin"))).drop("_bin")
+    sides = [t.where("end > start").withColumn("_own", _level(bin_size)) for t in (left, right)]
+    have = [sorted(r[0] for r in s.select("_own").distinct().collect()) for s in sides]  # LEVELS + 1 at most
+
+    def binned(side: DataFrame, others: list[int]) -> DataFrame:
+        higher = F.array(*(F.lit(x).cast("int") for x in others)) if others else F.array().cast("array<int>")
+        levels = F.array_union(F.array("_own"), F.filter(higher, lambda x: x > F.col("_own")))
+        size = F.lit(bin_size).cast("long") * F.pow(F.lit(LEVEL), F.col("_level")).cast("long")
+        each = side.withColumn("_level", F.explode(levels)).withColumn("_size", size)
+        return each.withColumn("_bin", F.explode(F.sequence(F.floor(F.col("start") / F.col("_size")), F.floor((F.col("end") - 1) / F.col("_size")))))
+
+    l, r = binned(sides[0], have[1]), binned(sides[1], have[0])
+    r = r.select(*on, "_level", "_bin", F.col("_own").alias("_own_r"), *(F.col(c).alias(f"{c}_r") for c in right.columns if c not in on))
+    both = l.join(r, [*on, "_level", "_bin"]).where((F.col("start") < F.col("end_r")) & (F.col("start_r") < F.col("end")))
+    once = (F.col("_level") == F.greatest("_own", "_own_r")) & (F.floor(F.greatest("start", "start_r") / F.col("_size")) == F.col("_bin"))
+    return both.where(once).drop("_level", "_bin", "_size", "_own", "_own_r")
 
 
 def summarise_regions(regions: DataFrame, values: DataFrame, bin_size: int, how: str = "mean", on: Sequence[str] = ("chrom",)) -> DataFrame:
     """Mean (over all bases, uncovered ones too) or sum of per-base values over each region.
 
     The value intervals must not overlap each other; disjoin and keep the last
-    writer's value first where they do.
+    writer's value first where they do. Equal regions count once each.
     """
     covered = F.least("end", "end_r") - F.greatest("start", "start_r")
     found = overlap_join(regions, values, bin_size, on).groupBy(*regions.columns).agg(F.sum(F.col("value_r") * covered).alias("_s"))
@@ -41,13 +65,28 @@ def last_writer(values: DataFrame, bin_size: int, order: str = "line", on: Seque
     return overlap_join(pieces, values, bin_size, on).groupBy(*on, "start", "end").agg(F.max_by("value_r", f"{order}_r").alias("value"))
 
 
+def mark_counts(regions: DataFrame, marks: DataFrame, bin_size: int, on: Sequence[str] = ("chrom", "strand")) -> DataFrame:
+    """How many marked bases (chrom, pos, strand), counted from 0, each region of the same strand holds, its last base aside."""
+    points = marks.select(*on, F.col("pos").alias("start"), (F.col("pos") + 1).alias("end")).distinct()
+    found = overlap_join(regions, points, bin_size, on).where("start_r + 1 <> end").groupBy(*regions.columns).agg(F.count("*").alias("_n"))
+    return regions.join(found, regions.columns, "left").select(*regions.columns, F.coalesce("_n", F.lit(0)).alias("value"))
+
+
+def _islands(rows: DataFrame, on: Sequence[str], order: Sequence[str], new: Column) -> DataFrame:
+    """Dealt rows with _island, the first of the order's values of the run each belongs to; new tells a run's first row."""
+    marked = rows.withColumn("_begin", F.when(new, F.col(order[0])))
+    known = carried(marked, on, _from=(F.max("_begin"), "max"))
+    return known.withColumn("_island", F.coalesce(F.max("_begin").over(inside(on, order).rowsBetween(Window.unboundedPreceding, 0)), "_from"))
+
+
 def coalesce(intervals: DataFrame, gap: int = 2, on: Sequence[str] = ("chrom",)) -> DataFrame:
     """Closed intervals merged wherever the gap to what came before is below gap."""
-    order = Window.partitionBy(*on).orderBy("start", "end")
-    reach = F.max("end").over(order.rowsBetween(Window.unboundedPreceding, -1))
-    flagged = intervals.select(*on, "start", "end", F.when(reach.isNull() | (F.col("start") - reach >= gap), 1).otherwise(0).alias("_new"))
-    islands = flagged.withColumn("_island", F.sum("_new").over(order.rowsBetween(Window.unboundedPreceding, 0)))
-    return islands.groupBy(*on, "_island").agg(F.min("start").alias("start"), F.max("end").alias("end")).drop("_island")
+    order = ("start", "end")
+    rows = carried(dealt(intervals.select(*on, *order), [*on, *order]), on, _reach=(F.max("end"), "max"))
+    before = F.greatest(F.max("end").over(inside(on, order).rowsBetween(Window.unboundedPreceding, -1)), "_reach")
+    flagged = rows.withColumn("_gap", F.col("start") - before).drop("_reach")
+    runs = _islands(flagged, on, order, F.col("_gap").isNull() | (F.col("_gap") >= gap))
+    return runs.groupBy(*on, "_island").agg(F.min("start").alias("start"), F.max("end").alias("end")).drop("_island")
 
 
 def disjoin(intervals: DataFrame, on: Sequence[str] = ("chrom",)) -> DataFrame:
@@ -57,23 +96,29 @@ def disjoin(intervals: DataFrame, on: Sequence[str] = ("chrom",)) -> DataFrame:
     end; a piece lies between neighbouring cuts where the depth is above zero.
     """
     cuts = intervals.select(*on, F.explode(F.array(F.struct(F.col("start").alias("at"), F.lit(1).alias("step")), F.struct((F.col("end") + 1).alias("at"), F.lit(-1).alias("step")))).alias("c"))
-    steps = cuts.groupBy(*on, F.col("c.at").alias("start")).agg(F.sum("c.step").alias("step"))
-    order = Window.partitionBy(*on).orderBy("start")
-    depth = F.sum("step").over(order.rowsBetween(Window.unboundedPreceding, 0))
-    return steps.select(*on, "start", (F.lead("start").over(order) - 1).alias("end"), depth.alias("_depth")).where("_depth > 0").drop("_depth")
+    steps = dealt(cuts.groupBy(*on, F.col("c.at").alias("start")).agg(F.sum("c.step").alias("step")), [*on, "start"])
+    rows = carried(carried(steps, on, _before=(F.sum("step"), "sum")), on, back=True, _after=(F.min("start"), "min"))
+    order = inside(on, ["start"])
+    depth = F.sum("step").over(order.rowsBetween(Window.unboundedPreceding, 0)) + F.coalesce("_before", F.lit(0))
+    end = F.coalesce(F.lead("start").over(order), "_after") - 1
+    return rows.select(*on, "start", end.alias("end"), depth.alias("_depth")).where("_depth > 0").drop("_depth")
+
+
+def _positions(positions: DataFrame, position: str, on: Sequence[str]) -> DataFrame:
+    """Different positions p of each key with the one before, dealt by range."""
+    rows = carried(dealt(positions.select(*on, F.col(position).alias("p")).distinct(), [*on, "p"]), on, _last=(F.max("p"), "max"))
+    return rows.withColumn("_previous", F.coalesce(F.lag("p").over(inside(on, ["p"])), "_last")).drop("_last")
 
 
 def islands(positions: DataFrame, position: str, on: Sequence[str] = ()) -> DataFrame:
     """Runs of consecutive positions as first, last and a range text such as 3-7."""
-    distinct = positions.select(*on, F.col(position).alias("p")).distinct()
-    order = Window.partitionBy(*on).orderBy("p")
-    grouped = distinct.withColumn("_g", F.col("p") - F.row_number().over(order)).groupBy(*on, "_g").agg(F.min("p").alias("first"), F.max("p").alias("last")).drop("_g")
+    rows = _positions(positions, position, on)
+    runs = _islands(rows, on, ["p"], F.col("_previous").isNull() | (F.col("p") - F.col("_previous") > 1))
+    grouped = runs.groupBy(*on, "_island").agg(F.min("p").alias("first"), F.max("p").alias("last")).drop("_island")
     text = F.when(F.col("first") == F.col("last"), F.col("first").cast("string")).otherwise(F.concat_ws("-", F.col("first").cast("string"), F.col("last").cast("string")))
     return grouped.withColumn("range", text)
 
 
 def gaps(positions: DataFrame, position: str, on: Sequence[str] = ()) -> DataFrame:
     """The ranges between runs of consecutive positions."""
-    distinct = positions.select(*on, F.col(position).alias("p")).distinct()
-    before = F.lag("p").over(Window.partitionBy(*on).orderBy("p"))
-    return distinct.select(*on, (before + 1).alias("first"), (F.col("p") - 1).alias("last")).where("first <= last")
+    return _positions(positions, position, on).select(*on, (F.col("_previous") + 1).alias("first"), (F.col("p") - 1).alias("last")).where("first <= last")

@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tallyweave import folders
+
 
 def padded_join(small: DataFrame, large: DataFrame, key: str, how: str = "full") -> DataFrame:
     """Join with the small side's columns first; columns of both sides come from the small one, and misses are ''.
@@ -25,6 +27,10 @@ def must_match(rows: DataFrame, table: DataFrame, on: Sequence[str], what: str =
     return rows.join(table, list(on))
 
 
+#: Words that become an expression; a longer list is joined.
+WORDS = 10_000
+
+
 def filter_by(rows: DataFrame, column: str, words: DataFrame, word: str, delimiter: str | None = None, field: int | None = None, exclude: bool = False, repeat: bool = False, ignore_case: bool = False) -> DataFrame:
     """Rows of which the column, or one of its delimited parts, is among the words.
 
@@ -40,19 +46,25 @@ def filter_by(rows: DataFrame, column: str, words: DataFrame, word: str, delimit
     parts = F.split(text, delimiter)
     if field is not None:
         return filter_by(rows.withColumn("_p", F.get(parts, F.lit(field))), "_p", table, "_w", exclude=exclude, repeat=repeat).drop("_p")
-    keyed = rows.withColumn("_id", F.struct(*rows.columns))
-    hits = keyed.select("_id", F.explode(F.array_distinct(parts)).alias("_w")).join(table if repeat else table.distinct(), "_w")
     if repeat:
-        return hits.select("_id.*")
-    return keyed.join(hits.select("_id").distinct(), "_id", "left_anti" if exclude else "left_semi").drop("_id")
+        return rows.withColumn("_w", F.explode(F.array_distinct(parts))).join(table, "_w").drop("_w")
+    few = [r[0] for r in table.where("_w is not null").distinct().limit(WORDS + 1).collect()]
+    if len(few) <= WORDS:
+        hit = F.coalesce(F.arrays_overlap(parts, F.array(*map(F.lit, few)).cast("array<string>")), F.lit(False))
+        return rows.where(~hit if exclude else hit)
+    keyed = folders.rewritten(rows.withColumn("_id", F.monotonically_increasing_id()), "filtered")
+    split = F.split(fold(F.col(column)), delimiter)
+    hits = keyed.select("_id", F.explode(F.array_distinct(split)).alias("_w")).join(table.distinct(), "_w").select("_id").distinct()
+    return keyed.join(hits, "_id", "left_anti" if exclude else "left_semi").drop("_id")
 
 
 def filter_by_patterns(rows: DataFrame, column: str, patterns: DataFrame, pattern: str, exclude: bool = False, most: int = 1000) -> DataFrame:
-    """Rows that some regular expression matches; a list of at most `most` patterns, checked, becomes one expression."""
-    found = [r[0] for r in patterns.select(pattern).distinct().limit(most + 1).collect()]
-    if len(found) > most:
-        raise ValueError(f"more than {most} patterns")
-    hit = F.col(column).rlike("|".join(f"(?:{p})" for p in sorted(found)) or "(?!)")
+    """Rows that some regular expression matches; each `most` patterns become one expression. A null text matches none."""
+    found = sorted(r[0] for r in patterns.select(pattern).where(F.col(pattern).isNotNull()).distinct().toLocalIterator())
+    hit = F.lit(False)
+    for i in range(0, len(found), most):
+        hit = hit | F.col(column).rlike("|".join(f"(?:{p})" for p in found[i : i + most]))
+    hit = F.coalesce(hit, F.lit(False))
     return rows.where(~hit if exclude else hit)
 
 

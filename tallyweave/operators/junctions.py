@@ -88,10 +88,25 @@ def merge_lifted(rows: DataFrame, offset: int = 0, extra: str | None = None) ->
     return merged.join(first, list(KEY))
 
 
-def sample_statistics(rows: DataFrame, key: Sequence[str] = KEY, cov: str = "cov") -> DataFrame:
-    """Number of samples, sum, mean and median of the coverage, the last two to three places."""
+def sample_statistics(rows: DataFrame, key: Sequence[str] = KEY, cov: str = "cov", places: int | None = 3) -> DataFrame:
+    """Number of samples, sum, mean and median of the coverage; the last two rounded, or in full where places is None."""
     c = F.col(cov)
-    return rows.groupBy(*key).agg(F.count(c).alias("count"), F.sum(c).alias("sum"), F.round(F.avg(c), 3).alias("avg"), F.round(F.percentile(c, 0.5), 3).alias("median"))
+    cut = (lambda x: x) if places is None else (lambda x: F.round(x, places))
+    return rows.groupBy(*key).agg(F.count(c).alias("count"), F.sum(c).alias("sum"), cut(F.avg(c)).alias("avg"), cut(F.percentile(c, 0.5)).alias("median"))
+
+
+def repaired(merged: DataFrame, key: Sequence[str], samples: str = "samples") -> DataFrame:
+    """Rows of a merged table that share a key joined into one, with its statistics computed anew.
+
+    Lists are joined in the order of their texts; no sample is lost, wherever
+    the rows stood.
+    """
+    joined = merged.groupBy(*key).agg(F.array_join(F.sort_array(F.collect_list(samples)), "").alias(samples))
+    covs = F.transform(scalars.unpack_samples(F.col(samples)), lambda e: e["cov"])
+    total = F.aggregate(covs, F.lit(0).cast("long"), lambda s, x: s + x)
+    ranked, n = F.sort_array(covs), F.size(covs)
+    middle = (F.get(ranked, F.floor((n - 1) / 2).cast("int")) + F.get(ranked, F.floor(n / 2).cast("int"))) / 2
+    return joined.select(*key, samples, n.cast("long").alias("count"), total.alias("sum"), F.round(total / n, 3).alias("avg"), F.round(middle, 3).alias("median"))
 
 
 def intersect(sources: Sequence[DataFrame], extras: Sequence[str] = (), key: Sequence[str] = KEY) -> DataFrame:
@@ -130,13 +145,20 @@ def genome_chunks(sequences: DataFrame, size: int = 65_536) -> DataFrame:
     return sequences.select("chrom", F.explode(F.sequence(F.lit(0), n)).alias("chunk"), "seq").select("chrom", "chunk", F.substr("seq", F.col("chunk") * size + 1, F.lit(size + 1)).alias("seq"))
 
 
-def look_up_motifs(junctions: DataFrame, chunks: DataFrame, size: int = 65_536) -> DataFrame:
-    """The two bases at either end of each intron (one-based, closed), as xx-yy in the genome's case."""
+def look_up_motifs(junctions: DataFrame, chunks: DataFrame, size: int = 65_536, unknown: bool = True) -> DataFrame:
+    """The two bases at either end of each intron (one-based, closed), as xx-yy in the genome's case.
+
+    A junction on a chromosome that the chunks lack, or that reaches beyond its
+    end, has a null motif; with unknown=False such rows go.
+    """
+    columns = junctions.columns
     for name, at in (("_left", F.col("start")), ("_right", F.col("end") - 1)):
         side = chunks.select("chrom", F.col("chunk").cast("long").alias(name + "_chunk"), F.col("seq").alias(name + "_seq"))
-        junctions = junctions.withColumn(name + "_chunk", F.floor((at - 1) / size)).join(side, ["chrom", name + "_chunk"], "left")
-        junctions = junctions.withColumn(name, F.substr(F.col(name + "_seq"), ((at - 1) % size + 1).cast("int"), F.lit(2))).drop(name + "_chunk", name + "_seq")
-    return junctions.withColumn("motif", F.concat_ws("-", "_left", "_right")).drop("_left", "_right")
+        junctions = junctions.withColumn(name + "_chunk", F.floor((at - 1) / size)).join(side, ["chrom", name + "_chunk"], "left" if unknown else "inner")
+        two = F.substr(F.col(name + "_seq"), ((at - 1) % size + 1).cast("int"), F.lit(2))
+        junctions = junctions.withColumn(name, F.when((at > 0) & (F.length(two) == 2), two)).drop(name + "_chunk", name + "_seq")
+    found = junctions.select(*columns, F.concat("_left", F.lit("-"), "_right").alias("motif"))
+    return found if unknown else found.where("motif is not null")
 
 
 def consolidate_bed12(rows: DataFrame) -> DataFrame:
@@ -152,20 +174,3 @@ def sample_totals(samples: DataFrame, rows: DataFrame, sample: str = "sample", c
     out = samples.join(n, sample, "left")
     count, total = F.coalesce("_n", F.lit(0)), F.coalesce("_c", F.lit(0))
     return out.select(*samples.columns, count.alias("junction_count"), total.alias("coverage"), F.when(count > 0, F.round(total / count, 3)).otherwise(F.lit(0.0)).alias("avg"))
-
-
-def numbered(df: DataFrame, order: Sequence[str], name: str = "row_id", start: int = 0, parts: int | None = None) -> DataFrame:
-    """Dense global numbers in the given order, without a window over one partition.
-
-    Rows are range-partitioned by the order, numbered inside each partition,
-    and lifted by the sizes of the partitions before; only those few sizes meet
-    in one place. The partitioned rows are written once, so that both uses see
-    the same partitions. Columns should make the order total.
-    """
-    spark = df.sparkSession
-    parts = parts or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    dealt = df.repartitionByRange(parts, *order).withColumn("_p", F.spark_partition_id()).cache()
-    sizes = dealt.groupBy("_p").agg(F.count("*").alias("_size"))
-    before = sizes.withColumn("_before", F.coalesce(F.sum("_size").over(Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).drop("_size")
-    within = F.row_number().over(Window.partitionBy("_p").orderBy(*order))
-    return dealt.withColumn("_r", within).join(F.broadcast(before), "_p").withColumn(name, (F.col("_r") + F.col("_before") - 1 + start).cast("long")).drop("_p", "_r", "_before")

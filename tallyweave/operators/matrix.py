@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyweave.functions import scalars
-from tallyweave.operators.junctions import numbered
+from tallyweave.operators.ranges import numbered
 
 
 def reduce_axis(long: DataFrame, by: Sequence[str], value: str = "value", how: str = "sum") -> DataFrame:
@@ -23,9 +23,10 @@ def sparse(long: DataFrame, row: Sequence[str], column: str, value: str) -> tupl
     return long.join(rows, list(row)).join(columns, column).select("row_idx", "col_idx", value), rows, columns
 
 
-def packed_to_long(packed: DataFrame, samples: str = "samples") -> DataFrame:
+def packed_to_long(packed: DataFrame, samples: str = "samples", kind: str = "string") -> DataFrame:
+    """A row for each entry of a packed list; kind is the type of sample ids."""
     keep = [c for c in packed.columns if c != samples]
-    return packed.select(*keep, F.explode(scalars.unpack_samples(F.col(samples))).alias("_e")).select(*keep, "_e.sample", "_e.cov")
+    return packed.select(*keep, F.explode(scalars.unpack_samples(F.col(samples))).alias("_e")).select(*keep, F.col("_e.sample").cast(kind).alias("sample"), "_e.cov")
 
 
 def wide_to_packed(wide: DataFrame, key: Sequence[str], samples: Sequence[str]) -> DataFrame:
@@ -39,6 +40,30 @@ def long_to_wide(long: DataFrame, key: Sequence[str], column: str, value: str, c
     return long.groupBy(*key).pivot(column, list(columns)).agg(F.sum(value)).na.fill(0)
 
 
+def positions_to_packed(wide: DataFrame, key: Sequence[str], counts: str, positions: DataFrame) -> DataFrame:
+    """An array of counts for each row as ,id:count of its positive ones, in array order.
+
+    positions maps places in the array, counted from 0, to ids; rows without a
+    positive count keep an empty text, and places without an id are left out.
+    """
+    each = wide.select(*key, F.posexplode(counts).alias("position", "cov")).where("cov > 0").join(positions.select("position", "id"), "position")
+    packed = each.groupBy(*key).agg(F.sort_array(F.collect_list(F.struct("position", F.col("id").alias("sample"), "cov"))).alias("_e")).select(*key, scalars.pack_samples(F.col("_e")).alias("samples"))
+    return wide.select(*key).join(packed, list(key), "left").withColumn("samples", F.coalesce("samples", F.lit("")))
+
+
+def renamed_columns(wide: DataFrame, names: DataFrame, id: str = "rail_id", to: str = "accession") -> DataFrame:
+    """A wide table whose sample columns are numbers, headed by accessions instead; other columns stay.
+
+    The table of names is read for the columns that the table has, so what
+    comes to the driver is as long as its header.
+    """
+    numbers = [int(c) for c in wide.columns if c.isdigit()]
+    found = {str(r[0]): r[1] for r in names.where(F.col(id).isin(numbers)).select(id, to).collect()}
+    if lost := [c for c in map(str, numbers) if c not in found]:
+        raise ValueError(f"columns without a name, such as {lost[0]}")
+    return wide.select(*(F.col(f"`{c}`").alias(found.get(c, c)) for c in wide.columns))
+
+
 def filled(long: DataFrame, rows: DataFrame, row: str, value: str = "value") -> DataFrame:
     """Every row of the dimension, with zero where nothing was measured."""
     return rows.join(long, row, "left").withColumn(value, F.coalesce(value, F.lit(0)))

@@ -63,7 +63,29 @@ def update_report(updated: DataFrame, gene: str = "gene_id", by: Sequence[str] =
     return changed.groupBy(*by).agg(F.count_distinct(gene).alias("genes"), F.sort_array(F.collect_set(gene)).alias("changed_genes"))
 
 
-def annotation_with_lengths(gtf: DataFrame, sums: DataFrame, feature: str, annotations: Sequence[str]) -> DataFrame:
+def samples_per_study(manifest: DataFrame, study: str = "study") -> DataFrame:
+    """How many samples each study has."""
+    return manifest.groupBy(study).agg(F.count("*").alias("n"))
+
+
+def of_source(rows: DataFrame, source: str, column: str = "annotation") -> DataFrame:
+    """Rows of one annotation."""
+    return rows.where(F.col(column) == source)
+
+
+def of_studies(rows: DataFrame, studies: Sequence[str], study: str = "study") -> DataFrame:
+    """Rows of the studies named, by equality."""
+    return rows.where(F.col(study).isin(list(studies)))
+
+
+def with_intron_sums(qc: DataFrame, sums: DataFrame, total: str, sample: str = "sample") -> DataFrame:
+    """Quality rows with their sample's intron sum and its percentage of a total, 0 where either is unknown."""
+    joined = qc.join(sums.select(sample, F.col("intron_sum").alias("_s")), sample, "left")
+    known = F.col("_s").isNotNull() & (F.coalesce(F.col(total), F.lit(0)) > 0)
+    return joined.select(*qc.columns, F.when(known, F.col("_s")).otherwise(F.lit(0)).alias("intron_sum"), F.when(known, F.round(100.0 * F.col("_s") / F.col(total), 2)).otherwise(F.lit(0.0)).alias("intron_sum_percent"))
+
+
+def annotation_with_lengths(gtf: DataFrame, sums: DataFrame, feature: str, annotations: Sequence[str], exon_key: str = "exon_key") -> DataFrame:
     """GTF rows of one feature that the sums have, scored by their length in bases; the gene id without its annotation.
 
     Rows are found by gene id, or else by gene id and chromosome.
@@ -73,4 +95,4 @@ def annotation_with_lengths(gtf: DataFrame, sums: DataFrame, feature: str, annot
     keyed = rows.withColumn("_k1", F.col("gene_id")).withColumn("_k2", F.concat_ws(".", "gene_id", "chrom"))
     found = joins.first_match(keyed, sums.withColumnRenamed("gene_id", "_g"), ["_k1", "_k2"], "_g", "bp_length").where("bp_length is not null")
     exon = F.concat_ws("|", "chrom", F.col("start").cast("string"), F.col("end").cast("string"), "strand")
-    return found.withColumn("score", F.col("bp_length").cast("string")).withColumn("recount_exon_id", exon).drop("_k1", "_k2", "bp_length")
+    return found.withColumn("score", F.col("bp_length").cast("string")).withColumn(exon_key, exon).drop("_k1", "_k2", "bp_length")

@@ -19,6 +19,77 @@ def metrics(logs: DataFrame, patterns: Mapping[str, str], text: str = "text") ->
     return each.withColumn("key", F.when(F.col("_i") > 0, F.concat("key", (F.col("_i") + 1).cast("string"))).otherwise(F.col("key"))).drop("_i")
 
 
+#: What each kind of log holds: a name and a number on a line. Fixed values of the tools' formats.
+LINES = {
+    "star": r"^\s*([^|]+?)\s+\|\t(\d+(?:\.\d+)?)",
+    "idxstats": r"^([^*\t][^\t]*)\t\d+\t(\d+)\t",
+    "bc_auc": r"^([^\t]+)\t(\d+)$",
+    "bc_frag": r"^STAT\t([^\t]+)\t(\d+(?:\.\d+)?)$",
+}
+#: A feature counter's log gives two numbers on two lines. Fixed values.
+COUNTER = {"total": r"Total\s+[^\s]+\s*:\s*(\d+)", "assigned": r"Successfully\s+assigned\s+[^\s]+\s*:\s*(\d+)"}
+
+
+def log_lines(logs: DataFrame, kind: str, text: str = "text") -> DataFrame:
+    """(…, key, value) of every line of a kind of log, in order: key is the kind and the line's name with underscores.
+
+    A name that comes again is name2, name3, as where an aligner ran twice.
+    """
+    keep = [c for c in logs.columns if c != text]
+    names, values = (F.regexp_extract_all(F.col(text), F.lit("(?m)" + LINES[kind]), F.lit(i)) for i in (1, 2))
+    each = logs.select(*keep, F.posexplode(F.arrays_zip(names.alias("k"), values.alias("v"))).alias("_i", "_l"))
+    named = each.select(*keep, "_i", F.concat(F.lit(f"{kind}."), F.regexp_replace("_l.k", " ", "_")).alias("key"), F.col("_l.v").cast("double").alias("value"))
+    n = F.row_number().over(Window.partitionBy(*keep, "key").orderBy("_i"))
+    return named.withColumn("_n", n).withColumn("key", F.when(F.col("_n") > 1, F.concat("key", F.col("_n").cast("string"))).otherwise(F.col("key"))).drop("_n", "_i")
+
+
+def counter_lines(logs: DataFrame, name: str, text: str = "text") -> DataFrame:
+    """(…, key, value) of a feature counter's log: total and assigned reads."""
+    found = metrics(logs, COUNTER, text)
+    return found.withColumn("key", F.concat(F.lit(f"{name}."), "key")).withColumn("value", F.col("value").cast("double"))
+
+
+#: Ratios of the report: name, part, whole. Fixed values.
+RATIOS = (
+    ("bc_auc.all_percent", "bc_auc.ALL_READS_ANNOTATED_BASES", "bc_auc.ALL_READS_ALL_BASES"),
+    ("bc_auc.unique_percent", "bc_auc.UNIQUE_READS_ANNOTATED_BASES", "bc_auc.UNIQUE_READS_ALL_BASES"),
+    ("gene_fc.all_percent", "gene_fc_count_all.assigned", "star.All_mapped_reads"),
+    ("gene_fc.unique_percent", "gene_fc_count_unique.assigned", "star.Uniquely_mapped_reads_number"),
+    ("exon_fc.all_percent", "exon_fc_count_all.assigned", "star.All_mapped_reads"),
+    ("exon_fc.unique_percent", "exon_fc_count_unique.assigned", "star.Uniquely_mapped_reads_number"),
+)
+
+
+def report(long: DataFrame, key: Sequence[str] = ("study", "sample"), ratios: Sequence[tuple[str, str, str]] = RATIOS, chromosomes: Sequence[str] = ("chrM", "chrX", "chrY")) -> DataFrame:
+    """One row for each sample from (…, key, value) rows: all reads mapped, the ratios, and chromosomes' shares of mapped reads.
+
+    A missing figure counts as 0 and a ratio to nothing is 0; a chromosome's
+    share is -1 where nothing is mapped or the chromosome isn't listed.
+    """
+    one, many = "star.Uniquely_mapped_reads_number", "star.Number_of_reads_mapped_to_multiple_loci"
+    names = sorted({one, many, *(x for _, a, b in ratios for x in (a, b) if x != "star.All_mapped_reads")})
+    figures = {n: F.max(F.when(F.col("key") == n, F.col("value"))) for n in names}
+    shares = {c: F.max(F.when(F.col("key") == f"idxstats.{c}", F.col("value"))) for c in chromosomes}
+    wide = long.groupBy(*key).agg(*(F.coalesce(v, F.lit(0.0)).alias(n) for n, v in figures.items()), *(v.alias(c) for c, v in shares.items()), F.sum(F.when(F.col("key").startswith("idxstats."), F.col("value"))).alias("_mapped"))
+    col = lambda n: F.col(f"`{n}`") if n != "star.All_mapped_reads" else col(one) + col(many)
+    ratio = [F.when(col(b) != 0, F.round(100 * col(a) / col(b), 2)).otherwise(F.lit(0.0)).alias(n) for n, a, b in ratios]
+    share = [percent(F.col(c), F.col("_mapped")).alias(f"idxstats.{c}_percent") for c in chromosomes]
+    return wide.select(*key, *(col(n) for n in names), col("star.All_mapped_reads").alias("star.All_mapped_reads"), *ratio, *share)
+
+
+def condensed_report(rows: DataFrame, key: Sequence[str], counts: Sequence[str], input_reads: str, mapped: str, bases: str, length: str) -> DataFrame:
+    """A few figures of each sample: each count with that of a second run added, both input counts as a:b, and whole percentages.
+
+    A second run's columns end in 2. all_reads_mapped is the share of input
+    reads that are mapped, all_bases_mapped that of the input's bases.
+    """
+    two = lambda n: F.coalesce(F.col(f"`{n}`"), F.lit(0)) + F.coalesce(F.col(f"`{n}2`"), F.lit(0))
+    both = F.concat_ws(":", F.coalesce(F.col(f"`{input_reads}`"), F.lit(0)).cast("string"), F.coalesce(F.col(f"`{input_reads}2`"), F.lit(0)).cast("string"))
+    total = sum((F.coalesce(F.col(f"`{input_reads}{x}`"), F.lit(0)) * F.coalesce(F.col(f"`{length}{x}`"), F.lit(0)) for x in ("", "2")), F.lit(0))
+    share = lambda part, whole: F.when(whole > 0, F.round(100.0 * part / whole)).otherwise(F.lit(0.0)).cast("long")
+    return rows.select(*key, share(two(mapped), two(input_reads)).alias("all_reads_mapped"), share(F.col(f"`{bases}`"), total).alias("all_bases_mapped"), *(two(n).alias(n) for n in counts), both.alias("both_input_reads"), total.alias("all_bases"))
+
+
 def percent(part: Column, whole: Column, places: int = 2, missing: float = -1.0) -> Column:
     return F.when(whole.isNull() | part.isNull() | (whole == 0), F.lit(missing)).otherwise(F.round(100.0 * part / whole, places))
 

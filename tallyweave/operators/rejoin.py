@@ -16,12 +16,20 @@ def split_types(counts: DataFrame, kind: str = "type") -> tuple[DataFrame, DataF
     return counts.where(F.col(kind) != 1), counts.where(F.col(kind) == 1)
 
 
-def rejoin(counts: DataFrame, edges: DataFrame, key: Sequence[str], feature: Sequence[str], sample: str = "sample", cov: str = "cov", order: Sequence[str] | None = None) -> DataFrame:
+def from_zero(counts: DataFrame, start: str = "start") -> DataFrame:
+    """One-based starts as those of half-open intervals, for counts whose mapping is in BED coordinates."""
+    return counts.withColumn(start, F.col(start) - 1)
+
+
+def rejoin(counts: DataFrame, edges: DataFrame, key: Sequence[str], feature: Sequence[str], sample: str = "sample", cov: str = "cov", order: Sequence[str] | None = None, strict: bool = False) -> DataFrame:
     """Sum of each feature's disjoint pieces for each sample.
 
     With order, a piece listed twice for a sample counts once, the first time.
-    Pieces without a feature add nothing; unmapped() lists them.
+    Pieces without a feature add nothing, or are an error if strict; unmapped()
+    lists them.
     """
+    if strict and (lost := unmapped(counts, edges, key).take(1)):
+        raise ValueError(f"pieces without a feature, such as {lost[0]}")
     if order:
         counts = first_of(counts, [*key, sample], order)
     return counts.join(edges.select(*key, *feature).distinct(), list(key)).groupBy(*feature, sample).agg(F.sum(cov).alias(cov))
@@ -48,6 +56,30 @@ def genes_by_annotation(genes: DataFrame, annotations: Sequence[str], name: str
     return first_of(out, ["gene_id", "annotation"], ["chrom", "start", "end"])
 
 
+def by_gene_map(rows: DataFrame, gene_map: DataFrame, annotations: Sequence[str], names: str = "names") -> DataFrame:
+    """Rejoined gene rows for each annotation that the gene map has for their place, strand and gene.
+
+    names are ;-joined; a name without a known annotation gives no row, nor
+    does a gene that the map lacks at that place. Starts of both sides, half
+    open, become one-based. The first row of each gene and annotation by
+    coordinate stays.
+    """
+    place = ["chrom", "start", "end", "strand"]
+
+    def named(table: DataFrame, column: str) -> DataFrame:
+        gene, annotation = scalars.gene_and_annotation(F.col(column), annotations)
+        return table.withColumn("gene_id", gene).withColumn("annotation", annotation).where("annotation is not null").withColumn("start", F.col("start") + 1)
+
+    known = named(gene_map.select(*place, "name"), "name").select(*place, "gene_id", "annotation").distinct()
+    found = named(rows.withColumn("_name", F.explode(F.split(names, ";"))), "_name").drop("_name", "annotation", names)
+    return first_of(found.join(known, [*place, "gene_id"]), ["gene_id", "annotation"], ["chrom", "start", "end"])
+
+
+def sums_by_gene_list(sums: DataFrame, genes: DataFrame, row: str = "exon_id", cov: str = "cov", sample: Sequence[str] = ("sample",)) -> DataFrame:
+    """Gene sums from exon sums and a list of each exon's genes, joined on the exon's id and not by place in a file."""
+    return sums_of_listed_genes(sums.join(genes.select(row, "gene_ids"), row), cov=cov, sample=sample)
+
+
 def exon_masks(exons: DataFrame, gene_names: DataFrame, annotations: Sequence[str], exon: str = "exon") -> DataFrame:
     """How often each annotation holds an exon, as a column for each and as a digit mask."""
     known = gene_names.withColumn("annotation", scalars.last_annotation(F.col("gene"), annotations)).where("annotation is not null")
@@ -96,6 +128,14 @@ def updated(old: DataFrame, new: DataFrame, key: Sequence[str], columns: Sequenc
     return out.select(*key, *(F.coalesce(f"_{c}", c).alias(c) for c in columns), *(c for c in old.columns if c not in (*key, *columns)), any_change.alias("changed"))
 
 
+def guarded_update(old: DataFrame, new: DataFrame, key: str, columns: Sequence[str], guard: Sequence) -> DataFrame:
+    """updated(), which fails if it would change a guarded key: one whose counts must be the same after any update."""
+    out = updated(old, new, [key], columns)
+    if broken := out.where(F.col(key).isin(list(guard)) & F.col("changed")).take(1):
+        raise ValueError(f"counts of {broken[0][key]} must not change")
+    return out
+
+
 def previous_exon_introns(exons: DataFrame, transcript: str = "transcript") -> DataFrame:
     """Introns between a transcript's exons: from one past an exon to one before the next."""
     before = F.lag("end").over(Window.partitionBy(transcript).orderBy("start", "end"))

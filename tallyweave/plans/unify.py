@@ -3,14 +3,15 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyweave.operators import junctions, matrix, rejoin
+from tallyweave.operators import junctions, matrix, ranges, rejoin
 
 
-def junction_tables(raw: DataFrame, annotation: DataFrame, chunks: DataFrame, kind: str = "all", chunk_size: int = 65_536, existing: DataFrame | None = None) -> DataFrame:
+def junction_tables(raw: DataFrame, annotation: DataFrame, chunks: DataFrame, kind: str = "all", chunk_size: int = 65_536, existing: DataFrame | None = None, id: str = "junction_id") -> DataFrame:
     """Raw aligner rows of all samples (with sample and line) to annotated junctions with statistics.
 
     The junction's own row is merged once over all samples; the steps by run
@@ -23,22 +24,74 @@ def junction_tables(raw: DataFrame, annotation: DataFrame, chunks: DataFrame, ki
     first = long.groupBy(*junctions.KEY).agg(F.min(F.struct("cov", "strand", "motif", "sample")).alias("_f"))
     stats = junctions.sample_statistics(long)
     found = junctions.look_up_motifs(first.select(*junctions.KEY, F.col("_f.strand").alias("strand")), chunks, chunk_size)
-    return junctions.numbered(junctions.annotate(found, annotation).join(stats, list(junctions.KEY)), list(junctions.KEY), "snaptron_id")
+    return ranges.numbered(junctions.annotate(found, annotation).join(stats, list(junctions.KEY)), list(junctions.KEY), id)
 
 
-def gene_and_exon_sums(sums: DataFrame, exons: DataFrame, samples: DataFrame, gene_edges: DataFrame, exon_edges: DataFrame) -> dict[str, DataFrame]:
-    """Long (exon_id, sample, sum) rows to gene, exon and intron sums for each sample; rows not measured count zero."""
-    grid = sums.join(samples.select("sample"), "sample", "left_semi").join(exons, "exon_id")
-    kept, introns = rejoin.split_types(grid)
-    key = ("chrom", "start", "end", "strand")
+#: A piece of an exon: its coordinates and strand.
+PIECE = ("chrom", "start", "end", "strand")
+
+
+def gene_and_exon_sums(sums: DataFrame, exons: DataFrame, samples: DataFrame, gene_edges: DataFrame, exon_edges: DataFrame, gene_map: DataFrame, annotations: Sequence[str], order: Sequence[str] = ()) -> dict[str, DataFrame]:
+    """Long (exon_id, sample, sum) rows to gene, exon and intron sums, features with their annotations.
+
+    sums may lack rows, and hold no more than a sample's own file had. exons
+    has each exon_id's piece and type, and with order a piece listed again for
+    a sample counts once, the first time. Rows of samples that aren't listed
+    go. The long results hold what was measured; features and studies that lack
+    rows count zero in study_rows().
+    """
+    kept, introns = rejoin.split_types(sums.join(samples.select("sample"), "sample", "left_semi").join(exons, "exon_id"))
+    place = ("f_chrom", "f_start", "f_end", "f_strand")
+    genes = rejoin.rejoin(kept, gene_edges, PIECE, place, cov="sum", order=order or None)
+    exon_sums = rejoin.rejoin(kept, exon_edges, PIECE, place, cov="sum", order=order or None)
+    renamed = {f"f_{c}": c for c in PIECE}
+    plain = lambda df: df.withColumnsRenamed(renamed)
+    features = plain(rejoin.feature_lengths(gene_edges.select(*place, "name", *PIECE).distinct(), place, "name"))
+    listed = rejoin.by_gene_map(features.select(*PIECE, "names", "bp_length"), gene_map, annotations)
+    exon_features = plain(rejoin.feature_lengths(exon_edges.select(*place, "name", *PIECE).distinct(), place, "name"))
     return {
-        "genes": rejoin.rejoin(kept, gene_edges, key, ("name",), cov="sum"),
-        "exons": rejoin.rejoin(kept, exon_edges, key, ("name", "f_chrom", "f_start", "f_end"), cov="sum"),
+        "genes": plain(genes).withColumn("start", F.col("start") + 1).join(listed, list(PIECE)).select("gene_id", "annotation", "bp_length", *PIECE, "sample", "sum"),
+        "gene_features": listed,
+        "exons": plain(exon_sums),
+        "exon_features": exon_features,
         "introns": matrix.reduce_axis(introns.withColumnRenamed("sum", "value"), ["sample"]),
     }
 
 
-def study_matrices(long: DataFrame, study: str, samples: DataFrame, key: Sequence[str], value: str = "sum") -> DataFrame:
-    """One study's wide table; its samples, a bounded number in one study, are the columns in order."""
-    names = [r[0] for r in samples.where(F.col("study") == study).select("sample").distinct().orderBy("sample").collect()]
-    return matrix.long_to_wide(long.join(F.broadcast(samples.where(F.col("study") == study).select("sample").distinct()), "sample", "left_semi"), key, "sample", value, names)
+def study_rows(long: DataFrame, features: DataFrame, samples: DataFrame, key: Sequence[str], value: str = "sum") -> DataFrame:
+    """For each study and feature one array of sums, in the order of the study's samples; what wasn't measured is zero.
+
+    Returns study, the features' columns, samples and counts. A feature's row is
+    there for every study, as a study's file lists all features; a study's
+    samples are a bounded number, and never columns.
+    """
+    studies = samples.groupBy("study").agg(F.sort_array(F.collect_set("sample")).alias("samples"))
+    found = long.join(samples.select("study", "sample").distinct(), "sample").groupBy("study", *key).agg(F.map_from_entries(F.collect_list(F.struct("sample", value))).alias("_m"))
+    numbered = studies.select("study", "samples").withColumn("_s", F.row_number().over(Window.orderBy("study")))  # one row for each study
+    grid = features.withColumn("_s", F.explode(F.sequence(F.lit(1), F.lit(samples.select("study").distinct().count())))).join(numbered, "_s").drop("_s")
+    counts = F.transform("samples", lambda s: F.coalesce(F.col("_m")[s], F.lit(0).cast("long")))
+    return grid.join(found, ["study", *key], "left").select("study", *features.columns, "samples", counts.alias("counts"))
+
+
+def write_studies(rows: DataFrame, path: str, columns: Sequence[str], preamble: Sequence[str] = ("annotation", "date.generated"), values: dict[str, str] | None = None, kind: str = "gene_sums") -> None:
+    """Text files by study and annotation, in folders named by the study's last two signs, the study and the annotation.
+
+    Each begins with ## lines (the annotation and what values gives) and a
+    header with the study's samples; lines are in the features' order. A study
+    and annotation is one sorted group of lines, written in one go.
+    """
+    by = ("study_lo", "study", "annotation")
+    rows = rows.withColumn("study_lo", F.right("study", F.lit(2))).withColumn("kind", F.lit(kind))
+    text = F.concat_ws("\t", *(F.coalesce(F.col(c).cast("string"), F.lit("")) for c in columns), F.array_join(F.transform("counts", lambda c: c.cast("string")), "\t"))
+    body = rows.select(*by, F.lit(1).alias("_o"), F.struct(*columns).alias("_k"), text.alias("value"))
+    first = rows.groupBy(*by).agg(F.first("samples").alias("samples"))
+    given = lambda p: F.col("annotation") if p == "annotation" else F.lit((values or {}).get(p, ""))
+    lines = [F.concat(F.lit(f"##{p}="), given(p)) for p in preamble] + [F.concat_ws("\t", *map(F.lit, columns), F.array_join("samples", "\t"))]
+    none = F.lit(None).cast(body.schema["_k"].dataType)
+    head = first.select(*by, F.posexplode(F.array(*lines)).alias("_n", "value")).select(*by, (F.col("_n") - 100).alias("_o"), none.alias("_k"), "value")
+    body.unionByName(head).repartition(*by).sortWithinPartitions(*by, "_o", "_k").select(*by, "value").write.partitionBy(*by).text(path, compression="gzip")
+
+
+def across_tranches(tranches: Sequence[dict[str, DataFrame]]) -> dict[str, DataFrame]:
+    """The long results of several tranches, each of its own samples, as one."""
+    return {name: reduce(DataFrame.unionByName, (t[name] for t in tranches)) for name in ("genes", "exons", "introns")} | {name: tranches[0][name] for name in ("gene_features", "exon_features")}

@@ -8,6 +8,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from tallyweave import folders
 from tallyweave.functions import scalars
 
 ALIGNER = "chrom string, start long, end long, strand int, motif int, annotated int, num_uniques long, num_multis long, max_overhang long"
@@ -65,10 +66,87 @@ def fasta(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
     return text.select(head.alias("chrom"), F.regexp_replace(F.regexp_replace("value", r"^[^\n]*\n?", ""), r"\s", "").alias("seq"))
 
 
+def fasta_chunks(spark: SparkSession, paths: str | Sequence[str], size: int = 65_536) -> DataFrame:
+    """(chrom, chunk, seq) of each record, one base of overlap on the right, cut while the lines are read.
+
+    A task joins the lines of its split into segments of about `size` bases; the
+    segments' lengths, small rows, give each its place, and pieces of segments
+    make up the chunks. So no row holds a whole chromosome.
+    """
+
+    def join_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kinds = (pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string())
+        out: list[tuple] = []
+        held: list[str] = []
+        at, n, bases = (None, None), 0, 0
+
+        def close() -> None:
+            nonlocal held, n, bases
+            if held:
+                out.append((*at, n, None, "".join(held)))
+                held, n, bases = [], n + 1, 0
+
+        def rows() -> Iterator[pa.RecordBatch]:
+            if out:
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), kinds, strict=True)], names=["path", "block", "n", "head", "seq"])
+                out.clear()
+
+        for b in batches:
+            for path, block, line in zip(*(b.column(i).to_pylist() for i in range(3)), strict=True):
+                if at != (path, block):
+                    close()
+                    at, n = (path, block), 0
+                if line.startswith(">"):
+                    close()
+                    out.append((*at, n, (line[1:].split() or [""])[0], ""))
+                    n += 1
+                elif line := line.strip():
+                    held.append(line)
+                    bases += len(line)
+                    if bases >= size:
+                        close()
+            yield from rows()
+        close()
+        yield from rows()
+
+    lines = spark.read.text(paths if isinstance(paths, str) else list(paths)).select(F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("block"), "value")
+    segments = folders.rewritten(lines.mapInArrow(join_lines, "path string, block long, n long, head string, seq string"), "fasta")
+    order = Window.partitionBy("path").orderBy("block", "n")
+    placed = segments.select("path", "block", "n", "head", F.length("seq").cast("long").alias("len"))  # without bases: one small row for each 64 kB
+    placed = placed.withColumn("chrom", F.last("head", ignorenulls=True).over(order)).withColumn("_r", F.count("head").over(order))
+    inside = Window.partitionBy("path", "_r").orderBy("block", "n").rowsBetween(Window.unboundedPreceding, -1)
+    placed = placed.withColumn("at", F.coalesce(F.sum("len").over(inside), F.lit(0))).where("len > 0 and chrom is not null")
+    rows = segments.select("path", "block", "n", "seq").join(placed.select("path", "block", "n", "chrom", "at", "len"), ["path", "block", "n"])
+    # a segment's piece of each chunk that it touches, the chunk's overlap included
+    first = F.greatest(F.floor((F.col("at") - 1) / size), F.lit(0))
+    cut = rows.withColumn("chunk", F.explode(F.sequence(first, F.floor((F.col("at") + F.col("len") - 1) / size))))
+    begin = F.greatest(F.col("chunk") * size, F.col("at"))
+    stop = F.least((F.col("chunk") + 1) * size + 1, F.col("at") + F.col("len"))
+    pieces = cut.withColumn("_b", begin).withColumn("_e", stop).where("_e > _b")
+    pieces = pieces.select("chrom", "chunk", "_b", F.substr("seq", (F.col("_b") - F.col("at") + 1).cast("int"), (F.col("_e") - F.col("_b")).cast("int")).alias("_s"))
+    whole = F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("_b", "_s"))), lambda x: x["_s"]), "")
+    return pieces.groupBy("chrom", F.col("chunk").cast("int").alias("chunk")).agg(whole.alias("seq")).where(F.length("seq") > 0)
+
+
+def chromosome_sizes(chunks: DataFrame, size: int = 65_536) -> DataFrame:
+    """Bases of each chromosome, from its chunks."""
+    return chunks.groupBy("chrom").agg(F.max(F.col("chunk").cast("long") * size + F.least(F.length("seq"), F.lit(size))).alias("size"))
+
+
 def sizes(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.csv(path, sep="\t", schema="chrom string, size long")
 
 
+def exon_sums(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
+    """(path, line, sum) of per-sample sums, of which only the fourth column is read; line counts rows of a file from 0.
+
+    Rows come in their file's order from one split each, as such files are
+    small or compressed whole.
+    """
+    sums = spark.read.csv(paths if isinstance(paths, str) else list(paths), sep="\t", schema=EXON_SUMS).select("sum", F.col("_metadata.file_path").alias("path"), F.monotonically_increasing_id().alias("_m"))
+    return sums.select("path", (F.row_number().over(Window.partitionBy("path").orderBy("_m")) - 1).cast("long").alias("line"), "sum")
+
+
 def gtf(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
     return spark.read.csv(paths if isinstance(paths, str) else list(paths), sep="\t", schema=GTF, comment="#", quote="")
 
@@ -104,10 +182,25 @@ def texts(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
     return spark.read.text(paths if isinstance(paths, str) else list(paths), wholetext=True).select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("text"))
 
 
-def run_statistics(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
-    """Run statistics in JSON as (path, total, rule, seconds)."""
+def study_cells(spark: SparkSession, path: str, columns: Sequence[str]) -> DataFrame:
+    """Cells of the text files of studies: the folders' study_lo, study and annotation, the columns, sample and value.
+
+    A file's header, the line after its ## lines, names the samples.
+    """
+    schema = "value string, study_lo string, study string, annotation string"
+    lines = spark.read.schema(schema).text(path, recursiveFileLookup=False).where(~F.col("value").startswith("##"))
+    by, fields, n = ["study_lo", "study", "annotation"], F.split("value", "\t"), len(columns)
+    lines = lines.select(*by, fields.alias("f"))
+    header = F.get("f", F.lit(0)) == columns[0]
+    heads = lines.where(header).select(*by, F.slice("f", n + 1, F.size("f") - n).alias("samples")).distinct()
+    rows = lines.where(~header).select(*by, *(F.get("f", F.lit(i)).alias(c) for i, c in enumerate(columns)), F.slice("f", n + 1, F.size("f") - n).alias("v"))
+    return rows.join(heads, by).select(*by, *columns, F.explode(F.arrays_zip(F.col("samples").alias("s"), F.col("v").alias("v"))).alias("x")).select(*by, *columns, F.col("x.s").alias("sample"), F.col("x.v").alias("value"))
+
+
+def run_statistics(spark: SparkSession, paths: str | Sequence[str], lines: bool = False) -> DataFrame:
+    """Run statistics in JSON as (path, total, rule, seconds); lines where each line is a run, else a file is one."""
     schema = "total_runtime double, rules map<string, struct<`min-runtime`: double>>"
-    j = spark.read.schema(schema).json(paths if isinstance(paths, str) else list(paths), multiLine=True)
+    j = spark.read.schema(schema).json(paths if isinstance(paths, str) else list(paths), multiLine=not lines)
     return j.select(F.col("_metadata.file_path").alias("path"), F.col("total_runtime").alias("total"), F.explode("rules").alias("rule", "_s")).select("path", "total", "rule", F.col("_s.min-runtime").alias("seconds"))
 
 

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyweave.operators.junctions import numbered
+from tallyweave.operators.ranges import numbered
 
 
 def compressed_tsv(df: DataFrame, path: str, header: bool = False) -> None:

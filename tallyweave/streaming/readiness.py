@@ -26,6 +26,22 @@ def ready_studies(stream: DataFrame, expected: DataFrame, study: str = "study",
     return done_counts(stream, study, sample).join(expected.select(study, F.col("n").alias("_e")), study).where("n = _e").drop("_e")
 
 
+def counts_of(stream: DataFrame, folder: str, study: str = "study", sample: str = "sample") -> DataFrame:
+    """Finished samples of each study once all of the stream that there is has been read.
+
+    Each batch's updates are written as Parquet under the folder, in a place of
+    its own, so a batch that runs again overwrites itself; the largest count of
+    a study is its last.
+    """
+    spark = stream.sparkSession
+
+    def write(batch: DataFrame, number: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{folder}/counts/batch={number}")
+
+    done_counts(stream, study, sample).writeStream.outputMode("update").option("checkpointLocation", f"{folder}/progress").foreachBatch(write).trigger(availableNow=True).start().awaitTermination()
+    return spark.read.parquet(f"{folder}/counts").groupBy(study).agg(F.max("n").alias("n"))
+
+
 def start(stream: DataFrame, expected: DataFrame, act: Callable[[DataFrame], None], checkpoint: str, log: str, study: str = "study", sample: str = "sample", once: bool = True) -> StreamingQuery:
     """Call act with the studies that have become ready since the last time.
 

@@ -8,12 +8,15 @@ coverage.
 from __future__ import annotations
 
 from collections.abc import Callable
+from uuid import uuid4
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyweave.functions import scalars
-from tallyweave.operators import annotation, checks, ids, intervals, joins, junctions, matrix, metadata, qc, rejoin
+from tallyweave import folders
+from tallyweave.operators import annotation, checks, ids, intervals, joins, junctions, matrix, metadata, qc, ranges, rejoin
+from tallyweave.plans import unify
 from tallyweave.sources import readers
 from tallyweave.streaming import readiness
 
@@ -142,14 +145,14 @@ def annotate_exact_left_right(spark, d):
 
 @_query("select p_name, p_partkey, row_number() over (order by p_name, p_partkey) - 1 as row_id from part")
 def dense_ids(spark, d):
-    return junctions.numbered(_table(spark, d, "part").select("p_name", "p_partkey"), ["p_name", "p_partkey"])
+    return ranges.numbered(_table(spark, d, "part").select("p_name", "p_partkey"), ["p_name", "p_partkey"])
 
 
-@_query("""with j as (select cast(doc_id as varchar) chrom, n_chars // 4 + 1 as start, n_chars // 2 + 3 as "end" from documents where n_chars > 40)
-  select j.chrom, j.start, j."end", substr(text, cast(j.start as bigint), 2) || '-' || substr(text, cast(j."end" - 1 as bigint), 2) motif from j join documents on cast(doc_id as varchar) = chrom""")
+@_query("""with j as (select cast(doc_id as varchar) chrom, length(text) n, text, length(text) // 4 + 1 as start, length(text) // 2 + 3 as "end" from documents)
+  select chrom, start, "end", case when "end" <= n and start + 1 <= n then substr(text, cast(start as bigint), 2) || '-' || substr(text, cast("end" - 1 as bigint), 2) end motif from j""")
 def motif_lookup(spark, d):
-    """Two characters at either end of a span, from texts cut into overlapping chunks."""
-    docs = _table(spark, d, "documents").where("n_chars > 40")
+    """Two characters at either end of a span, from texts cut into overlapping chunks; null where a span leaves the text."""
+    docs = _table(spark, d, "documents").withColumn("n_chars", F.length("text").cast("long"))
     spans = docs.select(F.col("doc_id").cast("string").alias("chrom"), F.expr("n_chars div 4 + 1").alias("start"), F.expr("n_chars div 2 + 3").alias("end"))
     chunks = junctions.genome_chunks(docs.select(F.col("doc_id").cast("string").alias("chrom"), F.col("text").alias("seq")), 1000)
     return junctions.look_up_motifs(spans, chunks, 1000).select("chrom", "start", "end", "motif")
@@ -214,7 +217,7 @@ def matrix_check(spark, d):
 @_query(f"with {_J} select chrom, start, \"end\", sample, cov from j")
 def packed_round_trip(spark, d):
     """Packed lists taken apart again give back every sample and coverage."""
-    return matrix.packed_to_long(junctions.merge_packed(_rows(spark, d))).select("chrom", "start", "end", "sample", "cov")
+    return matrix.packed_to_long(junctions.merge_packed(_rows(spark, d)), kind="long").select("chrom", "start", "end", "sample", "cov")
 
 
 @_query("""with w as (select l_suppkey, l_returnflag, cast(sum(cast(l_quantity as bigint)) as bigint) v from lineitem group by all),
@@ -261,16 +264,19 @@ def redundant_filter(spark, d):
     return joins.filter_by(_table(spark, d, "customer").select("c_custkey", "c_name"), "c_custkey", _table(spark, d, "orders"), "o_custkey", repeat=True)
 
 
-@_query("select p_partkey, p_type from part where list_has_any(string_split(lower(p_type), ' '), ['small', 'promo'])")
+@_query("select p_partkey, p_type from part where list_has_any(string_split(lower(p_type), ' '), (select list(distinct lower(p_name)) || list(distinct lower(split_part(p_type, ' ', 2))) from part where p_size <= 5))")
 def word_filter(spark, d):
-    words = _table(spark, d, "region").select(F.explode(F.array(F.lit("SMALL"), F.lit("Promo"))).alias("w")).distinct()
+    """Parts whose type holds a word that small parts have as their second."""
+    small = _table(spark, d, "part").where("p_size <= 5")
+    words = small.select(F.upper("p_name").alias("w")).unionByName(small.select(F.upper(F.split_part("p_type", F.lit(" "), F.lit(2))).alias("w")))
     return joins.filter_by(_table(spark, d, "part").select("p_partkey", "p_type"), "p_type", words, "w", delimiter=" ", ignore_case=True)
 
 
-@_query("select c_custkey, c_mktsegment from customer where regexp_matches(c_mktsegment, '^(AUTO|BUILD)|HOLD$')")
+@_query("select c_custkey, c_mktsegment from customer where exists (select 1 from supplier where regexp_matches(c_name, '0' || s_suppkey || '$'))")
 def pattern_filter(spark, d):
-    patterns = _table(spark, d, "region").select(F.explode(F.array(F.lit("^AUTO"), F.lit("^BUILD"), F.lit("HOLD$"))).alias("p"))
-    return joins.filter_by_patterns(_table(spark, d, "customer").select("c_custkey", "c_mktsegment"), "c_mktsegment", patterns, "p")
+    """Customers whose name ends in a supplier's number."""
+    patterns = _table(spark, d, "supplier").select(F.concat(F.lit("0"), F.col("s_suppkey").cast("string"), F.lit("$")).alias("p"))
+    return joins.filter_by_patterns(_table(spark, d, "customer"), "c_name", patterns, "p").select("c_custkey", "c_mktsegment")
 
 
 @_query("""select p_partkey, coalesce(a.s_name, b.s_name) s_name from part left join supplier a on a.s_suppkey = p_size * 100 left join supplier b on b.s_suppkey = p_size""")
@@ -287,15 +293,11 @@ def upsert_counts(spark, d):
     return rejoin.updated(old, new, ["s_suppkey"], ["s_nationkey"])
 
 
-@_query("select p_partkey, p_name, o.position from part join (select p_partkey, row_number() over (order by p_name desc, p_partkey) as position from part) o using (p_partkey)")
+@_query("select p_partkey, p_name, o.position from part join (select p_partkey, row_number() over (order by p_name, p_partkey) as position from part) o using (p_partkey)")
 def gene_order(spark, d):
     part = _table(spark, d, "part")
-    order = junctions.numbered(part.select("p_partkey", F.col("p_name")).withColumn("_k", F.col("p_name")), ["p_name", "p_partkey"], "_n").select("p_partkey", "p_name", "_n")
-    # the largest name first, equal names by key: count back from the name's last place
-    last = order.groupBy("p_name").agg(F.max("_n").alias("_last"), F.min("_n").alias("_first"))
-    total = order.agg(F.count("*").alias("_all"))
-    position = order.join(last, "p_name").crossJoin(F.broadcast(total)).select("p_partkey", (F.col("_all") - 1 - F.col("_last") + F.col("_n") - F.col("_first") + 1).alias("position"))
-    return rejoin.in_order(part.select("p_partkey", "p_name"), position, "p_partkey", "position")[0]
+    order = ranges.numbered(part.select("p_partkey", "p_name"), ["p_name", "p_partkey"], "position", 1)
+    return rejoin.in_order(part.select("p_partkey", "p_name"), order, "p_partkey", "position")[0]
 
 
 @_query("""with iv as (select l_returnflag chrom, l_orderkey id, l_partkey * 1000 + l_orderkey % 1000 as start, l_partkey * 1000 + l_orderkey % 1000 + cast(l_quantity as bigint) as "end" from lineitem)
@@ -382,15 +384,8 @@ def readiness_batch(spark, d):
 @_query("""select event_type as study, count(distinct user_id) as n from events group by event_type""")
 def readiness_stream(spark, d):
     """Markers read as a stream until none is left; a study's last count is its distinct users."""
-    import tempfile
-    import uuid
-
     stream = spark.readStream.schema(_table(spark, d, "events").schema).parquet(f"{d}/events.parquet*").select(F.col("event_type").alias("study"), F.col("user_id").cast("string").alias("sample"))
-    name = f"ready_{uuid.uuid4().hex}"
-    folder = spark.sparkContext.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="stream-")
-    run = readiness.done_counts(stream).writeStream.outputMode("complete").format("memory").queryName(name).option("checkpointLocation", f"{folder}/{name}").trigger(availableNow=True).start()
-    run.awaitTermination()
-    return spark.table(name)
+    return readiness.counts_of(stream, f"{folders.shared_folder(spark)}/ready-{uuid4().hex}")
 
 
 @_query("""select c_custkey as sample, coalesce(n, 0) junction_count, coalesce(s, 0) coverage, case when n > 0 then round(s / n, 3) else 0.0 end as avg from customer left join (select o_custkey + 100 k, count(*) n, cast(sum(cast(o_totalprice as bigint)) as bigint) s from orders group by o_custkey) on k = c_custkey""")
@@ -433,10 +428,13 @@ def log_metrics(spark, d):
     return qc.metrics(_table(spark, d, "events").select("event_id", F.col("props").alias("text")), {"k": r'"k": (\d+)'})
 
 
-@_query("""select event_type, cast(count(*) as bigint) n, cast(sum(k) as bigint) total, cast(min(k) as bigint) least, cast(max(k) as bigint) most from (select event_type, cast(json_extract_string(props, '$.k') as bigint) k from events) group by event_type""")
+@_query("""with e as (select event_type as rule, cast(json_extract_string(props, '$.k') as double) s from events), g as (select rule, sum(s) total, min(s) least, max(s) most from e group by rule) select *, round(100.0 * total / (select sum(total) from g), 2) as percent from g""")
 def json_stats(spark, d):
-    k = F.get_json_object("props", "$.k").cast("long")
-    return _table(spark, d, "events").groupBy("event_type").agg(F.count("*").alias("n"), F.sum(k).alias("total"), F.min(k).alias("least"), F.max(k).alias("most"))
+    """Run statistics in JSON, one file's text for each event, read back and shared out by rule."""
+    path = f"{folders.shared_folder(spark)}/stats-{uuid4().hex}"
+    rules = F.map_from_arrays(F.array("event_type"), F.array(F.struct(F.get_json_object("props", "$.k").cast("double").alias("min-runtime"))))
+    _table(spark, d, "events").select(F.to_json(F.struct(F.lit(1.0).alias("total_runtime"), rules.alias("rules"))).alias("value")).write.text(path)
+    return qc.run_times(readers.run_statistics(spark, path, lines=True))
 
 
 @_query("""with e as (select event_type as rule, cast(user_id as double) s from events), g as (select rule, sum(s) total, min(s) least, max(s) most from e group by rule) select *, round(100.0 * total / (select sum(total) from g), 2) as percent from g""")
@@ -508,14 +506,13 @@ _SQL["exon_makeup"] = """with e as (select distinct p_brand gene_id, p_partkey s
 
 @_query("""select o_orderstatus as study, count(*) n from orders group by o_orderstatus""")
 def samples_per_study(spark, d):
-    return _table(spark, d, "orders").groupBy(F.col("o_orderstatus").alias("study")).agg(F.count("*").alias("n"))
+    return metadata.samples_per_study(_table(spark, d, "orders").withColumnRenamed("o_orderstatus", "study"))
 
 
-@_query("""select a.l_partkey as name, a.l_orderkey as sample, a.l_linenumber line from lineitem a join part on l_partkey = p_partkey and p_size <= 5""")
+@_query("""select l_partkey as name, l_orderkey as sample, l_linenumber line from lineitem where l_returnflag = 'R'""")
 def source_filter(spark, d):
-    """Rows of features that a list holds, by a semi-join."""
-    rows = _table(spark, d, "lineitem").select(F.col("l_partkey").alias("name"), F.col("l_orderkey").alias("sample"), F.col("l_linenumber").alias("line"))
-    return rows.join(_table(spark, d, "part").where("p_size <= 5").select(F.col("p_partkey").alias("name")), "name", "left_semi")
+    rows = _table(spark, d, "lineitem").select(F.col("l_partkey").alias("name"), F.col("l_orderkey").alias("sample"), F.col("l_linenumber").alias("line"), F.col("l_returnflag").alias("annotation"))
+    return metadata.of_source(rows, "R").drop("annotation")
 
 
 @_query("""select c_custkey * 3 as rail_id, c_nationkey as study, c_custkey as sample, c_mktsegment from customer""")
@@ -537,12 +534,26 @@ def column_cut(spark, d):
     return metadata.cut(_table(spark, d, "lineitem"), [(1, 2), (4, 5)])
 
 
-@_query("""select p_brand as gene_id, l_shipmode_n as study, cast(sum(q) as bigint) v from (select p_brand, l_linenumber % 4 l_shipmode_n, cast(l_quantity as bigint) q from lineitem join part on l_partkey = p_partkey) where l_shipmode_n in (0, 1) group by all""")
+_LONG = """g as (select cast(l_linenumber as varchar) study, l_suppkey sample, l_partkey % 40 gene, cast(sum(cast(l_quantity as bigint)) as bigint) v from lineitem group by all)"""
+
+
+@_query(f"""with {_LONG}, s as (select distinct study, sample from g), f as (select distinct gene, 'A' || gene % 2 annotation from g)
+  select right(s.study, 2) study_lo, s.study, f.annotation, f.gene, s.sample, coalesce(g.v, 0) as value from s cross join f left join g on g.study = s.study and g.sample = s.sample and g.gene = f.gene""")
 def study_split(spark, d):
-    """Long rows of some studies only, as a per-study split reads them."""
-    rows = _table(spark, d, "lineitem").withColumn("study", F.col("l_linenumber") % 4).where("study in (0, 1)")
-    joined = rows.join(_table(spark, d, "part").select("p_partkey", "p_brand"), F.col("l_partkey") == F.col("p_partkey"))
-    return joined.groupBy(F.col("p_brand").alias("gene_id"), "study").agg(F.sum(_long("l_quantity")).alias("v"))
+    """Sums of every study, written as text by study and annotation, read back, and taken apart into cells."""
+    long, features, samples = _gene_sums(spark, d)
+    rows = unify.study_rows(long, features, samples, ["gene"])
+    path = f"{folders.shared_folder(spark)}/studies-{uuid4().hex}"
+    unify.write_studies(rows, path, ["gene"])
+    return readers.study_cells(spark, path, ["gene"]).select("study_lo", "study", "annotation", _long("gene").alias("gene"), F.split_part("sample", F.lit("/"), F.lit(2)).cast("long").alias("sample"), _long("value").alias("value"))
+
+
+def _gene_sums(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Long sums of forty genes, the genes with their annotation, and the samples of each study."""
+    rows = _table(spark, d, "lineitem").select(F.col("l_linenumber").cast("string").alias("study"), F.col("l_suppkey").alias("own"), (F.col("l_partkey") % 40).alias("gene"), _long("l_quantity").alias("v"))
+    rows = rows.withColumn("sample", F.concat_ws("/", "study", F.col("own").cast("string")))
+    long = rows.groupBy("sample", "gene").agg(F.sum("v").alias("sum"))
+    return long, long.select("gene", F.concat(F.lit("A"), (F.col("gene") % 2).cast("string")).alias("annotation")).distinct(), rows.select("study", "sample").distinct()
 
 
 @_query("""with r as (select p_partkey, p_brand, (case when p_size > 25 then p_size + 1 else p_size end) <> p_size changed from part) select p_brand, count(distinct p_partkey) genes, string_agg(cast(p_partkey as varchar), ',' order by p_partkey) changed_genes from r where changed group by p_brand""")

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tallyweave.functions import scalars
-from tallyweave.operators import annotation, checks, ids, intervals, joins, junctions, matrix, qc, rejoin
+from tallyweave.operators import annotation, checks, ids, intervals, joins, junctions, matrix, qc, ranges, rejoin
 from tallyweave.plans import unify
 from tallyweave.sources import readers, writers
 from tallyweave.streaming import readiness
@@ -64,7 +64,7 @@ def test_motifs_across_chunk_borders(spark):
 
 def test_numbers_are_dense_and_ordered(spark):
     df = spark.range(1000).select((F.col("id") * 7919 % 1000).alias("v"))
-    assert [r.n for r in junctions.numbered(df, ["v"], "n").orderBy("v").collect()] == list(range(1000))
+    assert [r.n for r in ranges.numbered(df, ["v"], "n").orderBy("v").collect()] == list(range(1000))
 
 
 def test_overlap_join_equals_double_loop(spark):
@@ -233,7 +233,7 @@ def test_plans(spark):
     chunks = junctions.genome_chunks(spark.createDataFrame([("c", "aaGTAGcc")], "chrom string, seq string"))
     ann = spark.createDataFrame([("c", 3, 6, "x")], "chrom string, start long, end long, sources string")
     r = unify.junction_tables(raw, ann, chunks).first()
-    assert (r.motif, r.annotated, r["count"], r["sum"], r.snaptron_id) == ("GT-AG", 1, 2, 7, 0)
+    assert (r.motif, r.annotated, r["count"], r["sum"], r.junction_id) == ("GT-AG", 1, 2, 7, 0)
 
 
 def test_streamed_studies_are_passed_on_once(spark, tmp_path):
