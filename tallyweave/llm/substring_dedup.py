@@ -118,18 +118,24 @@ def remove_repeated_windows(docs: DataFrame, doc_id: str = "doc_id", text: str =
     def windows(table: pa.Table, answers: pa.Table) -> pa.Table:
         shard = Shard(table, window)
         high, low, at, again = shard.distinct(shard.candidates(answers["key"].to_numpy().view(np.uint64)))
-        return pa.table({"local": again, "high": high, "low": low, "doc_id": shards.ids(shard.doc[at], table), "shard": shards.me(table, len(at)), "at": at.astype(np.int32)})
+        flags = np.zeros(len(shard.starts), bool)
+        flags[at[again]] = True
+        s, e = textops.runs(flags)  # windows that repeat in the shard need no answer
+        high, low, at = high[~again], low[~again], at[~again]
+        local = np.arange(len(s) + len(at)) < len(s)
+        start, end = np.concatenate([s, at]).astype(np.int32), np.concatenate([e, at + 1]).astype(np.int32)
+        high, low = np.concatenate([s, high]), np.concatenate([np.zeros(len(s), np.int32), low])
+        return pa.table({"local": local, "high": high, "low": low, "doc_id": shards.ids(shard.doc[start], table), "shard": shards.me(table, len(start)), "start": start, "end": end})
 
     def cut(table: pa.Table, answers: pa.Table) -> pa.Table:
         shard = Shard(table, window)
-        at = answers["at"].to_numpy().astype(np.int64)
-        return _kept(shard, textops.covered(at, at + window, len(shard.starts)))
+        s, e = (x.astype(np.int64) for x in shards.numbers(answers, "start", "end"))
+        return _kept(shard, textops.covered(s, e + window - 1, len(shard.starts)))
 
     found = shards.shared(shards.per_shard(parts, anchors, "key long, shard int"))
-    candidates = shards.resume(parts, found, windows, "local boolean, high long, low int, doc_id long, shard int, at int")
-    spread = F.when(F.col("local"), F.col("at"))  # repeats inside a shard need no other place's answer
-    earlier = Window.partitionBy("high", "low", spread).orderBy(F.col("doc_id").asc_nulls_last(), "shard")
-    repeats = candidates.withColumn("_n", F.row_number().over(earlier)).where("_n > 1 or local").select("shard", "at")
+    candidates = shards.resume(parts, found, windows, "local boolean, high long, low int, doc_id long, shard int, start int, end int")
+    earlier = Window.partitionBy("high", "low", "local").orderBy(F.col("doc_id").asc_nulls_last(), "shard")
+    repeats = candidates.withColumn("_n", F.row_number().over(earlier)).where("_n > 1 or local").select("shard", "start", "end")
     return shards.resume(parts, repeats, cut, RESULT)
 
 

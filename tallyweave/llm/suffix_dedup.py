@@ -22,14 +22,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyweave.llm import durable, shards, textops
+from tallyweave.llm import shards, textops
 
 RESULT = "doc_id long, n_bytes long, n_removed long, kept binary, removed array<struct<start:int,end:int>>"
 
 #: Stretches of one anchor beyond which its strings travel one by one, as 128-bit digests.
-HOT = 4_096
+HOT = 16_384
 
-#: What shards send. Kind 0: a stretch (anchor, body, document, first string). 1: a string of a hot anchor (body is its digest). 2: strings [start, end) repeat in the shard.
+#: What shards send; equal things meet by anchor. Kind 0: a stretch (anchor, body, document, first string). 1: a string of a
+#: hot anchor (body is its digest, anchor half of that). 2: strings [start, end) that repeat in the shard.
 SENT = "kind int, anchor long, body binary, doc_id long, shard int, start int, end int"
 _SENT = pa.schema([("kind", pa.int32()), ("anchor", pa.int64()), ("body", pa.binary()), ("doc_id", pa.int64()), ("shard", pa.int32()), ("start", pa.int32()), ("end", pa.int32())])
 
@@ -217,8 +218,7 @@ def remove_repeated_strings(docs: DataFrame, doc_id: str = "doc_id", text: str =
         chosen = shard.candidates(keys)
         again, rank = shard.local_repeats(chosen)
         s, e = textops.runs(again)
-        none = {"anchor": pa.nulls(len(s), pa.int64()), "body": pa.nulls(len(s), pa.binary()), "doc_id": pa.nulls(len(s), pa.int64())}
-        out = [{"kind": 2, **none, "start": s, "end": e}]
+        out = [{"kind": 2, "anchor": s, "body": pa.nulls(len(s), pa.binary()), "doc_id": pa.nulls(len(s), pa.int64()), "start": s, "end": e}]
         fresh = np.concatenate(([0], np.cumsum(~again)))
         chosen = chosen[fresh[shard.end[chosen]] > fresh[shard.start[chosen]]]  # with a string that is new to this shard
         chosen = chosen[np.isin(shard.anchor[chosen], keys, kind="sort")]  # and that another shard may have
@@ -228,13 +228,13 @@ def remove_repeated_strings(docs: DataFrame, doc_id: str = "doc_id", text: str =
         out.append({"kind": 0, "anchor": shard.anchor[chosen[~many]].view(np.int64), "body": shard.bodies(chosen[~many]), "doc_id": shards.ids(shard.doc[s], table), "start": s, "end": shard.end[chosen[~many]]})
         at = np.flatnonzero(textops.covered(shard.start[chosen[many]], shard.end[chosen[many]], len(shard.buf)) & ~again)
         raw = memoryview(shard.buf)
-        digests = [hashlib.blake2b(raw[i : i + length], digest_size=16).digest() for i in at.tolist()]
-        out.append({"kind": 1, "anchor": pa.nulls(len(at), pa.int64()), "body": pa.array(digests, pa.binary()), "doc_id": shards.ids(shard.doc[at], table), "start": at, "end": at + 1})
+        digests = np.frombuffer(b"".join(hashlib.blake2b(raw[i : i + length], digest_size=16).digest() for i in at.tolist()), np.uint8)
+        out.append({"kind": 1, "anchor": digests.view(np.int64)[::2], "body": textops.strings(digests, np.full(len(at), 16), False), "doc_id": shards.ids(shard.doc[at], table), "start": at, "end": at + 1})
         return pa.concat_tables([pa.table({**x, "kind": np.full(len(x["start"]), x["kind"], np.int32), "shard": shards.me(table, len(x["start"]))}).select(_SENT.names).cast(_SENT) for x in out])
 
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = list(batches)  # a partition's share of the stretches, about as many as a shard sends
-        if sum(b.num_rows for b in held):
+        held = [b for b in batches if b.num_rows]  # a partition's share, about as much as a shard sends
+        if held:
             yield from repeats_across(pa.Table.from_batches(held), length).to_batches()
 
     def cut(table: pa.Table, answers: pa.Table) -> pa.Table:
@@ -244,23 +244,40 @@ def remove_repeated_strings(docs: DataFrame, doc_id: str = "doc_id", text: str =
         return _kept(table, buf, offs, textops.covered(at, at + length, len(buf)))
 
     counted = shards.per_shard(parts, anchors, "key long, shard int, n int").withColumn("shards", F.count("*").over(Window.partitionBy("key"))).withColumn("n", F.sum("n").over(Window.partitionBy("key")))
-    sent = durable.rewritten(shards.resume(parts, counted.where("shards > 1").select("key", "shard", "n"), sort_suffixes, SENT), "stretches")
-    stretches = sent.where("kind = 0").select("anchor", "body", "doc_id", "shard", "start")
-    merged = stretches.repartition(n, "anchor").mapInArrow(merge, "shard int, start int, end int")
-    earlier = Window.partitionBy("body").orderBy(F.col("doc_id").asc_nulls_last(), "shard", "start")
-    single = sent.where("kind = 1").withColumn("_n", F.row_number().over(earlier)).where("_n > 1")
-    gone = merged.unionByName(single.select("shard", "start", "end")).unionByName(sent.where("kind = 2").select("shard", "start", "end"))
+    sent = shards.resume(parts, counted.where("shards > 1").select("key", "shard", "n"), sort_suffixes, SENT)
+    gone = sent.repartition(n, "anchor").mapInArrow(merge, "shard int, start int, end int")
     return shards.resume(parts, gone, cut, RESULT)
 
 
 def repeats_across(table: pa.Table, length: int) -> pa.Table:
-    """Ranges (shard, start, end) of strings that another of the stretches has from an earlier place."""
-    anchor, shard, start = shards.numbers(table, "anchor", "shard", "start")
+    """Ranges (shard, start, end) of strings that are somewhere earlier, from rows of all kinds that share anchors."""
+    kind = table["kind"].to_numpy()
+    local = table.filter(pa.array(kind == 2)).select(["shard", "start", "end"])
+    single = table.filter(pa.array(kind == 1))
+    if len(single):
+        digests, _ = textops.batch(single["body"])
+        rank = _ranks(single)
+        single = single.filter(pa.array(rank != least_owners(digests.view("S16"), rank)))
+    stretches = table.filter(pa.array(kind == 0))
+    found = [_repeats_in_stretches(stretches, length)] if len(stretches) else []
+    return pa.concat_tables([local, single.select(["shard", "start", "end"]), *found])
+
+
+def _ranks(table: pa.Table) -> np.ndarray:
+    """Place of each row in the order of documents: by doc_id, nulls last, then shard and place in the shard."""
+    shard, start = shards.numbers(table, "shard", "start")
     doc = table["doc_id"].combine_chunks()
     null = doc.is_null().to_numpy(zero_copy_only=False)
     order = np.lexsort((start, shard, doc.fill_null(0).to_numpy(zero_copy_only=False), null))
     rank = np.empty(len(order), np.int64)
     rank[order] = np.arange(len(order))
+    return rank
+
+
+def _repeats_in_stretches(table: pa.Table, length: int) -> pa.Table:
+    """Ranges of strings that another of the stretches has from an earlier place."""
+    anchor, shard, start = shards.numbers(table, "anchor", "shard", "start")
+    rank = _ranks(table)
     body = table["body"].combine_chunks().dictionary_encode().indices.to_numpy()
     first = np.full(int(body.max()) + 1, len(rank))
     np.minimum.at(first, body, rank)

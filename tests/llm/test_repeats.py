@@ -84,7 +84,7 @@ def test_merging_runs_keeps_the_least_owner():
     assert suffix_dedup.least_owners(keys, np.array([d for _, o in runs for d in o])).tolist() == [7, 3, 1, 3, 2, 7, 2, 1]
 
 
-@pytest.mark.parametrize("hot", [0, 5, 4096])
+@pytest.mark.parametrize("hot", [0, 5, 16_384])
 def test_many_shards_and_rows_without_ids(spark, monkeypatch, hot):
     """Null ids come last; rows of equal id come by shard and hash. Passages cross the shards, with and without hot anchors."""
     monkeypatch.setattr(shards, "LEAST_SHARDS", 30)
