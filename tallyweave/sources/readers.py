@@ -41,18 +41,18 @@ def zstd_tsv(spark: SparkSession, paths: str | Sequence[str], names: Sequence[st
     return files.mapInArrow(lines, "path string, line string").select(*(F.get(fields, F.lit(i)).alias(n) for i, n in enumerate(names)), "path")
 
 
-def with_samples(rows: DataFrame, manifest: DataFrame) -> DataFrame:
-    """Rows with their sample from a manifest of (file, sample), matched by file name."""
-    name = lambda c: F.regexp_extract(c, r"([^/]+)$", 1)
+def with_samples(rows: DataFrame, manifest: DataFrame, parts: int = 1) -> DataFrame:
+    """Rows with their sample from a manifest of (file, sample), matched by file name, or by so many last parts of the path."""
+    name = lambda c: F.regexp_extract(c, r"((?:[^/]+/){%d}[^/]+)$" % (parts - 1), 1)
     return rows.withColumn("_f", name("path")).join(manifest.select(name("file").alias("_f"), "sample"), "_f").drop("_f")
 
 
-def junction_bed(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
-    """BED-like junctions: header lines and rows of too few or wrong fields are left out."""
-    schema = "chrom string, start string, end string, name string, score string, strand string, splice_site string"
+def junction_bed(spark: SparkSession, paths: str | Sequence[str], rest: str = "") -> DataFrame:
+    """BED-like junctions: header lines and rows of too few or wrong fields are left out. rest names further columns."""
+    schema = "chrom string, start string, end string, name string, score string, strand string, splice_site string" + (f", {rest}" if rest else "")
     rows = tsv(spark, paths, schema).where("chrom <> 'chrom'")
     rows = rows.withColumn("start", F.col("start").try_cast("long")).withColumn("end", F.col("end").try_cast("long"))
-    return rows.where("start is not null and end is not null").select("chrom", "start", "end", "name", F.col("score").alias("cov"), "strand", F.col("splice_site").alias("motif"), "path")
+    return rows.where("start is not null and end is not null").select("chrom", "start", "end", "name", F.col("score").alias("cov"), "strand", F.col("splice_site").alias("motif"), *(x.split()[0] for x in rest.split(",") if x), "path")
 
 
 def merged_junctions(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:

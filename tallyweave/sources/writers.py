@@ -26,6 +26,12 @@ def split_by(df: DataFrame, path: str, by: Sequence[str] = ("study_lo", "study",
     studied.repartition(*by).write.partitionBy(*by).parquet(path)
 
 
+def metadata_triplet(tables: dict[str, DataFrame], path: str) -> None:
+    """Each metadata table under its name, in folders by study."""
+    for name, df in tables.items():
+        split_by(df, f"{path}/{name}", ("study_lo", "study"))
+
+
 def table(df: DataFrame, name: str, bucket_by: Sequence[str] = (), buckets: int = 16) -> None:
     """A catalogue table, bucketed where later joins on the same key should not shuffle."""
     w = df.write.mode("overwrite")

@@ -17,7 +17,7 @@ from tallyweave.functions import scalars
 from tallyweave import folders
 from tallyweave.operators import annotation, checks, ids, intervals, joins, junctions, matrix, metadata, qc, ranges, rejoin
 from tallyweave.plans import unify
-from tallyweave.sources import readers
+from tallyweave.sources import readers, writers
 from tallyweave.streaming import readiness
 
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -562,3 +562,581 @@ def update_report(spark, d):
     new = _table(spark, d, "part").where("p_size > 25").select(old.columns).withColumn("p_size", F.col("p_size") + 1)
     report = metadata.update_report(rejoin.updated(old, new, ["p_partkey"], ["p_size"]), "p_partkey", ["p_brand"])
     return report.withColumn("changed_genes", F.array_join(F.transform("changed_genes", lambda x: x.cast("string")), ","))
+
+
+@_query("""with r as (select p_partkey * 10 as start, p_partkey * 10 + 40 as "end" from part), v as (select distinct l_partkey * 10 + 20 as start, l_partkey * 10 + 25 as "end", l_partkey % 7 as value from lineitem)
+  select r.start, r."end", cast(coalesce(sum(v.value * (least(r."end", v."end") - greatest(r.start, v.start))), 0) as bigint) as value from r left join v on r.start < v."end" and v.start < r."end" group by r.start, r."end" """)
+def region_sums(spark, d):
+    regions = _table(spark, d, "part").select((F.col("p_partkey") * 10).alias("start"), (F.col("p_partkey") * 10 + 40).alias("end"))
+    values = _table(spark, d, "lineitem").select((F.col("l_partkey") * 10 + 20).alias("start"), (F.col("l_partkey") * 10 + 25).alias("end"), (F.col("l_partkey") % 7).alias("value")).distinct()
+    return intervals.summarise_regions(regions, values, 64, "sum", on=())
+
+
+@_query("""with v as (select l_suppkey % 5 chrom, l_partkey * 4 as start, l_partkey * 4 + cast(l_quantity as bigint) as "end", l_orderkey as value, row_number() over (order by l_orderkey, l_linenumber) line from lineitem),
+  p as (select chrom, unnest(range(start, "end")) b, value, line from v), w as (select chrom, b, arg_max(value, line) value from p group by chrom, b) select chrom, b as base, value from w""")
+def last_writer_wins(spark, d):
+    """Overlapping values as disjoint ones, base by base: of several lines the last counts."""
+    lines = _table(spark, d, "lineitem").select((F.col("l_suppkey") % 5).alias("chrom"), (F.col("l_partkey") * 4).alias("start"), (F.col("l_partkey") * 4 + _long("l_quantity")).alias("end"), F.col("l_orderkey").alias("value"), "l_orderkey", "l_linenumber")
+    lines = ranges.numbered(lines, ["l_orderkey", "l_linenumber"], "line").drop("l_orderkey", "l_linenumber")
+    flat = intervals.last_writer(lines, 64)
+    return flat.select("chrom", F.explode(F.sequence("start", F.col("end") - 1)).alias("base"), "value")
+
+
+@_query("""with r as (select distinct l_returnflag chrom, l_linestatus strand, l_partkey * 3 as start, l_partkey * 3 + 20 as "end" from lineitem), m as (select distinct l_returnflag chrom, l_linestatus strand, l_suppkey * 5 as pos from lineitem)
+  select r.chrom, r.start, r."end", r.strand, count(m.pos) as value from r left join m on r.chrom = m.chrom and r.strand = m.strand and m.pos >= r.start and m.pos < r."end" - 1 group by all""")
+def region_marks(spark, d):
+    """Marked bases of the same strand in each region, its last base aside."""
+    rows = _table(spark, d, "lineitem").select(F.col("l_returnflag").alias("chrom"), F.col("l_linestatus").alias("strand"), "l_partkey", "l_suppkey")
+    regions = rows.select("chrom", (F.col("l_partkey") * 3).alias("start"), (F.col("l_partkey") * 3 + 20).alias("end"), "strand").distinct()
+    return intervals.mark_counts(regions, rows.select("chrom", "strand", (F.col("l_suppkey") * 5).alias("pos")), 64)
+
+
+@_query("""with s as (select o_custkey, count(*) n, cast(sum(o_orderkey) as bigint) k from orders group by 1) select c_custkey as sample, c_nationkey as study, c_name, n, k from customer join s on o_custkey = c_custkey""")
+def qc_junction_statistics(spark, d):
+    """Quality rows with their sample's statistics; those without any are left out first, as a miss is an error."""
+    orders = _table(spark, d, "orders")
+    qc_rows = _table(spark, d, "customer").select(F.col("c_custkey").alias("sample"), F.col("c_nationkey").alias("study"), "c_name")
+    stats = orders.groupBy(F.col("o_custkey").alias("sample")).agg(F.count("*").alias("n"), F.sum("o_orderkey").alias("k")).join(qc_rows.select("sample", "study"), "sample")
+    return metadata.with_junction_statistics(joins.filter_by(qc_rows, "sample", stats, "sample"), stats).select("sample", "study", "c_name", "n", "k")
+
+
+_CHAIN = """c as (select 'c' chrom, p_partkey * 50 as start, p_partkey * 50 + 40 as "end", 'd' || p_size % 3 to_chrom, p_size as shift from part)"""
+_SPANS = """j as (select 'c' chrom, l_partkey * 50 + l_linenumber * 3 as start, l_partkey * 50 + l_linenumber * 3 + cast(l_quantity as bigint) % 30 as "end", l_orderkey id, l_linenumber line from lineitem)"""
+
+
+def _lifted(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+    chain = _table(spark, d, "part").select(F.lit("c").alias("chrom"), (F.col("p_partkey") * 50).alias("start"), (F.col("p_partkey") * 50 + 40).alias("end"), F.concat(F.lit("d"), (F.col("p_size") % 3).cast("string")).alias("to_chrom"), _long("p_size").alias("offset"))
+    start = F.col("l_partkey") * 50 + F.col("l_linenumber") * 3
+    spans = _table(spark, d, "lineitem").select(F.lit("c").alias("chrom"), start.alias("start"), (start + _long("l_quantity") % 30).alias("end"), F.col("l_orderkey").alias("id"), F.col("l_linenumber").alias("line"))
+    return annotation.lift(spans, chain, 1024)
+
+
+@_query(f"""with {_CHAIN}, {_SPANS} select c.to_chrom as chrom, j.start + shift as start, j."end" + shift as "end", id, line from j join c on c.start <= j.start - 1 and j."end" <= c."end" """)
+def lift_over(spark, d):
+    """Spans moved by a table of aligned blocks."""
+    return _lifted(spark, d)[0]
+
+
+@_query(f"""with {_CHAIN}, {_SPANS} select * from j where not exists (select 1 from c where c.start <= j.start - 1 and j."end" <= c."end")""")
+def lift_over_rejects(spark, d):
+    return _lifted(spark, d)[1]
+
+
+@_query("""with e as (select l_partkey f, l_orderkey % 50 s, l_linenumber % 2 side from lineitem), o as (select f, string_agg(distinct s || '-' || (s + 5), ';' order by s || '-' || (s + 5)) m, list(distinct s) l from e where side = 0 group by f),
+  n as (select f, list(distinct s) l from e where side = 1 group by f) select o.f as gene_id, len(list_filter(o.l, lambda x: not list_contains(n.l, x))) = 0 contained from o join n using (f) where list_sort(o.l) <> list_sort(n.l)""")
+def exon_makeup_diff(spark, d):
+    """Genes whose exons differ between two tables, and whether the new ones hold all of the old."""
+    rows = _table(spark, d, "lineitem").select(F.col("l_partkey").alias("gene_id"), (F.col("l_orderkey") % 50).alias("start"), (F.col("l_orderkey") % 50 + 5).alias("end"), (F.col("l_linenumber") % 2).alias("side"))
+    old, new = (rejoin.exon_makeup(rows.where(F.col("side") == i)) for i in (0, 1))
+    return rejoin.differing_makeup(old, new, ["gene_id"]).select("gene_id", "contained")
+
+
+def _gtf(spark: SparkSession, d: str) -> DataFrame:
+    """Line items as exons: a supplier is a gene, an order of its a transcript."""
+    start = F.col("l_partkey") * 10
+    text = F.format_string('gene_id "G%d"; transcript_id "T%d.%d"; note "x y";', F.col("l_suppkey"), F.col("l_suppkey"), F.col("l_orderkey") % 4)
+    rows = _table(spark, d, "lineitem")
+    return rows.select(F.lit("c").alias("chrom"), F.lit("s").alias("source"), F.when(F.col("l_linenumber") == 7, "CDS").otherwise("exon").alias("feature"), start.alias("start"), (start + _long("l_quantity") % 9).alias("end"), F.lit(".").alias("score"), F.lit("+").alias("strand"), F.lit(".").alias("frame"), text.alias("attributes"))
+
+
+_EXONS = """x as (select 'G' || l_suppkey gene, 'T' || l_suppkey || '.' || l_orderkey % 4 transcript, l_partkey * 10 as start, l_partkey * 10 + cast(l_quantity as bigint) % 9 as "end" from lineitem where l_linenumber <> 7 and cast(l_quantity as bigint) % 9 > 0)"""
+_MERGED_EXONS = """f as (select *, max("end") over (partition by transcript order by start, "end" rows between unbounded preceding and 1 preceding) p from x),
+  i as (select *, sum(case when p is null or start - p >= 2 then 1 else 0 end) over (partition by transcript order by start, "end" rows unbounded preceding) g from f),
+  m as (select transcript, min(start) as start, max("end") as "end" from i group by transcript, g)"""
+
+
+@_query(f"""with {_EXONS}, {_MERGED_EXONS}, n as (select transcript, lag("end") over (partition by transcript order by start) + 1 as start, start - 1 as "end" from m)
+  select 'c' chrom, start, "end", '+' strand, string_agg(distinct transcript, ',' order by transcript) transcripts from n where start is not null and "end" >= start group by start, "end" """)
+def transcripts_per_intron(spark, d):
+    """Introns of all transcripts with the transcripts that have them, from GTF rows."""
+    return annotation.introns_of_gtf(_gtf(spark, d)).withColumn("transcripts", F.array_join("transcripts", ","))
+
+
+@_query(f"""with {_EXONS}, e as (select * from x), n as (select transcript, lag("end") over (partition by transcript order by start, "end") + 1 as start, start - 1 as "end" from e), t as (select gene, transcript, sum("end" - start + 1) t, count(*) n from e group by 1, 2)
+  select count(distinct gene) genes, count(distinct transcript) transcripts, avg("end" - start + 1) exon_length, (select avg("end" - start + 1) from n where start is not null and "end" >= start) intron_length, (select avg(t) from t) transcript_length, (select avg(n) from t) exons_per_transcript from e""")
+def gtf_summary(spark, d):
+    return annotation.gtf_statistics(annotation.exons_of_gtf(_gtf(spark, d)))
+
+
+@_query("""with e as (select user_id, coalesce(sum(value) filter (where event_type = 'click'), 0) a, coalesce(sum(value) filter (where event_type = 'view'), 0) b, count(*) * 100 t from (select user_id, event_type, 1 as value from events) group by user_id)
+  select user_id, cast(a as bigint) reads, cast(b as bigint) reads2, cast(t as bigint) total, cast(a + b as bigint) reads_both, round(100.0 * (a + b) / t, 1) reads_both_percent from e""")
+def both_ends(spark, d):
+    """Counts of two runs added, and their share of a total."""
+    n = lambda kind: F.coalesce(F.sum(F.when(F.col("event_type") == kind, 1)), F.lit(0))
+    rows = _table(spark, d, "events").groupBy("user_id").agg(n("click").alias("reads"), n("view").alias("reads2"), (F.count("*") * 100).alias("total"))
+    return qc.both_ends(rows, ["reads"], "total")
+
+
+@_query("""select prefix, cast(max(n) as bigint) as counter from (select lpad(cast(c_custkey % 1000 as varchar), 3, '0') k, count(*) n from customer group by 1),
+  lateral (select string_agg(lpad(replace(bin(cast(substr(k, i, 1) as integer)), ' ', ''), 4, '0'), '' order by i) prefix from range(1, 4) t(i)) group by prefix""")
+def next_counters(spark, d):
+    """Each prefix's first free counter after ids were given."""
+    samples = _table(spark, d, "customer").select(F.concat(F.lit("SRR"), F.lpad(F.col("c_custkey").cast("string"), 6, "0")).alias("accession"), "c_custkey")
+    return ids.next_counters(ids.assign(samples, 1, "c_custkey"))
+
+
+@_query("""select 2 as n, count(*) as ids from customer where c_custkey % 3 = 0""")
+def id_clashes(spark, d):
+    """Ids that were given twice, where a third of the samples comes in again."""
+    samples = _table(spark, d, "customer").select(F.concat(F.lit("SRR"), F.lpad(F.col("c_custkey").cast("string"), 6, "0")).alias("accession"), "c_custkey")
+    given = folders.rewritten(ids.assign(samples, 1, "c_custkey"), "ids")
+    return ids.clashes(given.unionByName(given.where("c_custkey % 3 = 0"))).groupBy(F.col("n").cast("int").alias("n")).agg(F.count("*").alias("ids"))
+
+
+_LETTER_BITS = "lpad(substr(bin(ord(substr({}, {}, 1))), 2), 6, '0')"
+
+
+@_query(f"""with n as (select p_partkey, split_part(p_name, ' ', 1) || '-' || p_brand as name from part), a as (select *, regexp_replace(name, '[^A-Za-z0-9]', '', 'g') t from n)
+  select p_partkey, {_LETTER_BITS.format('t', 'length(t) - 1')} || {_LETTER_BITS.format('t', 'length(t)')} as last_bits, {_LETTER_BITS.format('t', '1')} || {_LETTER_BITS.format('t', '2')} as first_bits, case when regexp_matches(name, '\\W|_') then '1' else '0' end as source_bit from a""")
+def letter_prefixes(spark, d):
+    """Bits of names that aren't archive accessions, from their end and their beginning, and their source bit."""
+    name = F.concat_ws("-", F.split_part("p_name", F.lit(" "), F.lit(1)), "p_brand")
+    return _table(spark, d, "part").select("p_partkey", scalars.accession_bits(name).alias("last_bits"), scalars.leading_bits(name).alias("first_bits"), scalars.source_bit(name).alias("source_bit"))
+
+
+@_query("""select 'c' || l_suppkey || '|' || (l_partkey + 1) || '|' || (l_partkey + 100) || '|' || l_linestatus as exon from lineitem""")
+def one_based_keys(spark, d):
+    chrom = F.concat(F.lit("c"), F.col("l_suppkey").cast("string"))
+    return _table(spark, d, "lineitem").select(scalars.one_based_key(chrom, F.col("l_partkey"), F.col("l_partkey") + 100, F.col("l_linestatus")).alias("exon"))
+
+
+@_query("""select l_returnflag as annotation, count(*) as differences, count(*) <= 3000 as ok from lineitem where l_discount > 0.05 group by l_returnflag""")
+def diff_bounds(spark, d):
+    return checks.within(_table(spark, d, "lineitem").where("l_discount > 0.05").withColumnRenamed("l_returnflag", "annotation"), "annotation", 3000)
+
+
+@_query("""select l_orderkey as sample, cast(l_quantity as bigint) as uniques, cast(l_quantity as bigint) + l_linenumber as "all" from lineitem""")
+def coverage_choice(spark, d):
+    """Both kinds of coverage of the aligner's rows; zeros stay."""
+    raw = _table(spark, d, "lineitem").select(F.col("l_orderkey").alias("sample"), F.lit(1).alias("strand"), F.lit(1).alias("motif"), F.lit(0).alias("annotated"), _long("l_quantity").alias("num_uniques"), _long("l_linenumber").alias("num_multis"), F.lit(9).alias("max_overhang"))
+    rows = junctions.reformat_aligner(raw)
+    return rows.select("sample", junctions.coverage_of(rows, "unique").alias("uniques"), junctions.coverage_of(rows, "all").alias("all"))
+
+
+@_query("""select l_orderkey as sample, cast(sum(cast(l_quantity as bigint)) as bigint) as value from lineitem where l_linenumber % 3 = 1 group by l_orderkey""")
+def intron_sums(spark, d):
+    """Introns put aside from the exons and summed by sample."""
+    rows = _table(spark, d, "lineitem").select(F.col("l_orderkey").alias("sample"), (F.col("l_linenumber") % 3).alias("type"), _long("l_quantity").alias("value"))
+    return matrix.reduce_axis(rejoin.split_types(rows)[1], ["sample"])
+
+
+@_query("""select p_brand as feature, l_orderkey as sample, cast(sum(cast(l_quantity as bigint)) as bigint) cov from lineitem join part on p_partkey = l_partkey - 1 group by all""")
+def one_based_rejoin(spark, d):
+    """One-based counts summed by a mapping in BED coordinates."""
+    counts = rejoin.from_zero(_table(spark, d, "lineitem").select(F.col("l_partkey").alias("start"), _long("l_quantity").alias("cov"), F.col("l_orderkey").alias("sample")))
+    edges = _table(spark, d, "part").select(F.col("p_partkey").alias("start"), F.col("p_brand").alias("feature"))
+    return rejoin.rejoin(counts, edges, ["start"], ["feature"])
+
+
+@_query("""with r as (select 'c' chrom, p_partkey as start, p_partkey + p_size as "end", '+' strand, 'g' || p_partkey % 300 gene, p_size as bp_length from part),
+  known as (select r.*, 'A1' annotation from r where p_ok(bp_length, 3) union all select r.*, 'B2' from r where p_ok(bp_length, 4)),
+  n as (select *, row_number() over (partition by gene, annotation order by chrom, start, "end") k from known) select gene as gene_id, annotation, chrom, start + 1 as start, "end", strand, bp_length from n where k = 1""".replace("p_ok(bp_length, 3)", "bp_length % 3 <> 0").replace("p_ok(bp_length, 4)", "bp_length % 4 = 0"))
+def genes_by_map(spark, d):
+    """Gene rows for each annotation that a map has at their place for their gene; the first row of each pair stays."""
+    part = _table(spark, d, "part").select(F.lit("c").alias("chrom"), F.col("p_partkey").alias("start"), (F.col("p_partkey") + F.col("p_size")).alias("end"), F.lit("+").alias("strand"), F.concat(F.lit("g"), (F.col("p_partkey") % 300).cast("string")).alias("gene"), F.col("p_size").alias("bp_length"))
+    rows = part.withColumn("names", F.concat("gene", F.lit(".A1;unknown"))).drop("gene")
+    place = ["chrom", "start", "end", "strand"]
+    known = part.where("bp_length % 3 <> 0").select(*place, F.concat("gene", F.lit(".A1")).alias("name")).unionByName(part.where("bp_length % 4 = 0").select(*place, F.concat("gene", F.lit(".B2")).alias("name")))
+    return rejoin.by_gene_map(rows, known, ["A1", "B2"]).select("gene_id", "annotation", *place, "bp_length")
+
+
+@_query("""select g as gene_id, l_orderkey as sample, cast(sum(cast(l_quantity as bigint)) as bigint) cov from lineitem join (select p_partkey, unnest([p_brand, p_type]) g from part) on p_partkey = l_partkey group by all""")
+def sums_by_gene_list(spark, d):
+    """Sums of genes from a list of each exon's genes, joined by the exon's id."""
+    genes = _table(spark, d, "part").select(F.col("p_partkey").alias("exon_id"), F.concat_ws(",", "p_brand", "p_type").alias("gene_ids"))
+    sums = _table(spark, d, "lineitem").select(F.col("l_partkey").alias("exon_id"), F.col("l_orderkey").alias("sample"), _long("l_quantity").alias("cov"))
+    return rejoin.sums_by_gene_list(sums, genes)
+
+
+@_query("""with q as (select l_orderkey o, l_linenumber - 1 as position, cast(sum(case when l_discount < 0.02 then 0 else cast(l_quantity as bigint) end) as bigint) q from lineitem group by all)
+  select o as gene_id, coalesce(string_agg(',' || (position * 11) || ':' || q, '' order by position) filter (where q > 0 and position < 6), '') samples from q group by o""")
+def positions_to_packed(spark, d):
+    """Counts by place in an array to ids by a map of places; places without an id are left out."""
+    cov = F.when(F.col("l_discount") < 0.02, 0).otherwise(_long("l_quantity"))
+    each = _table(spark, d, "lineitem").groupBy(F.col("l_orderkey").alias("gene_id"), (F.col("l_linenumber") - 1).alias("p")).agg(F.sum(cov).alias("q"))
+    wide = each.groupBy("gene_id").agg(F.map_from_entries(F.collect_list(F.struct("p", "q"))).alias("m")).select("gene_id", F.array(*(F.coalesce(F.col("m")[i], F.lit(0).cast("long")) for i in range(7))).alias("counts"))
+    places = _table(spark, d, "lineitem").select((F.col("l_linenumber") - 1).alias("position")).distinct().where("position < 6").select("position", (F.col("position") * 11).alias("id"))
+    return matrix.positions_to_packed(wide, ["gene_id"], "counts", places)
+
+
+@_query("""select p_size, cast(count(*) filter (where p_partkey % 4 = 0) as bigint) "AFRICA", cast(count(*) filter (where p_partkey % 4 = 1) as bigint) "AMERICA", cast(count(*) filter (where p_partkey % 4 = 2) as bigint) "ASIA", cast(count(*) filter (where p_partkey % 4 = 3) as bigint) "EUROPE" from part group by p_size""")
+def header_names(spark, d):
+    """A wide table's numbered columns headed by the names that a table gives them."""
+    long = _table(spark, d, "part").select("p_size", (F.col("p_partkey") % 4).cast("string").alias("c"), F.lit(1).cast("long").alias("v"))
+    wide = matrix.long_to_wide(long, ["p_size"], "c", "v", ["0", "1", "2", "3"])
+    return matrix.renamed_columns(wide, _table(spark, d, "region"), "r_regionkey", "r_name")
+
+
+@_query("""select c_custkey as sample, c_nationkey as total, case when n is not null and c_nationkey > 0 then n else 0 end intron_sum, case when n is not null and c_nationkey > 0 then round(100.0 * n / c_nationkey, 2) else 0.0 end intron_sum_percent from customer left join (select o_custkey, count(*) n from orders where o_orderstatus = 'F' group by 1) on o_custkey = c_custkey""")
+def intron_sum_in_qc(spark, d):
+    rows = _table(spark, d, "customer").select(F.col("c_custkey").alias("sample"), F.col("c_nationkey").alias("total"))
+    sums = _table(spark, d, "orders").where("o_orderstatus = 'F'").groupBy(F.col("o_custkey").alias("sample")).agg(F.count("*").alias("intron_sum"))
+    return metadata.with_intron_sums(rows, sums, "total")
+
+
+@_query("""select l_partkey, cast(count(*) as bigint) as count, cast(sum(cast(l_quantity as bigint)) as bigint) as sum, avg(cast(l_quantity as bigint)) as avg, quantile_cont(cast(l_quantity as bigint), 0.5) as median from lineitem group by l_partkey""")
+def gene_statistics(spark, d):
+    """Statistics in full precision."""
+    return junctions.sample_statistics(_table(spark, d, "lineitem").withColumn("cov", _long("l_quantity")), ["l_partkey"], places=None)
+
+
+@_query("""with p as (select l_partkey, l_linenumber, ',' || string_agg(l_orderkey || ':' || cast(l_quantity as bigint), ',' order by l_orderkey, l_quantity) s from lineitem group by all)
+  select l_partkey, string_agg(s, '' order by s) samples, (select count(*) from lineitem l where l.l_partkey = p.l_partkey) as count, (select cast(sum(cast(l_quantity as bigint)) as bigint) from lineitem l where l.l_partkey = p.l_partkey) as sum,
+  (select round(avg(cast(l_quantity as bigint)), 3) from lineitem l where l.l_partkey = p.l_partkey) as avg, (select round(quantile_cont(cast(l_quantity as bigint), 0.5), 3) from lineitem l where l.l_partkey = p.l_partkey) as median from p group by l_partkey""")
+def repaired_junctions(spark, d):
+    """Rows of one junction that stood apart joined, their statistics computed anew."""
+    entries = F.sort_array(F.collect_list(F.struct(F.col("l_orderkey").alias("sample"), _long("l_quantity").alias("cov"))))
+    parts = _table(spark, d, "lineitem").groupBy("l_partkey", "l_linenumber").agg(scalars.pack_samples(entries).alias("samples"))
+    return junctions.repaired(parts, ["l_partkey"])
+
+
+def _logs(spark: SparkSession, d: str, kind: str) -> DataFrame:
+    """Events as logs of a kind: one for each user, a line for each event in order."""
+    line = {"star": F.format_string("  %s reads |\t%d", "event_type", "k"), "idxstats": F.format_string("chr%s\t9\t%d\t0", F.substr("event_type", F.lit(1), F.lit(1)), "k"), "bc_auc": F.format_string("%s\t%d", "event_type", "k"), "bc_frag": F.format_string("STAT\t%s\t%d", "event_type", "k")}[kind]
+    rows = _table(spark, d, "events").select("user_id", "event_id", "event_type", F.get_json_object("props", "$.k").cast("long").alias("k"))
+    return rows.groupBy("user_id").agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("event_id", line.alias("t")))), lambda x: x["t"]), "\n").alias("text"))
+
+
+_LINES = """select user_id, '{kind}.' || n || case when i > 1 then i else '' end as key, k as value from (select user_id, {name} n, cast(json_extract_string(props, '$.k') as double) k, row_number() over (partition by user_id, {name} order by event_id) i from events)"""
+
+
+@_query(_LINES.format(kind="star", name="event_type || '_reads'").replace("case when i > 1 then i else '' end", "case when i > 1 then cast(i as varchar) else '' end"))
+def aligner_log(spark, d):
+    """Lines of the aligner's log; a name that comes again is numbered."""
+    return qc.log_lines(_logs(spark, d, "star"), "star")
+
+
+@_query(_LINES.format(kind="idxstats", name="'chr' || substr(event_type, 1, 1)").replace("case when i > 1 then i else '' end", "case when i > 1 then cast(i as varchar) else '' end"))
+def idxstats_log(spark, d):
+    return qc.log_lines(_logs(spark, d, "idxstats"), "idxstats")
+
+
+@_query(f"""select * from ({_LINES.format(kind='bc_auc', name='event_type')} union all {_LINES.format(kind='bc_frag', name='event_type')})""".replace("case when i > 1 then i else '' end", "case when i > 1 then cast(i as varchar) else '' end"))
+def coverage_logs(spark, d):
+    return qc.log_lines(_logs(spark, d, "bc_auc"), "bc_auc").unionByName(qc.log_lines(_logs(spark, d, "bc_frag"), "bc_frag"))
+
+
+@_query("""select p_partkey, 'gene_fc_count_all.' || k as key, v as value from (select p_partkey, unnest(['total', 'assigned']) k, unnest([p_size * 10.0, p_size * 7.0]) v from part)""")
+def counter_log(spark, d):
+    """The two numbers of a feature counter's log."""
+    text = F.format_string("||  Total alignments : %d   ||\n||  Successfully assigned alignments : %d (70.0%%)  ||", F.col("p_size") * 10, F.col("p_size") * 7)
+    return qc.counter_lines(_table(spark, d, "part").select("p_partkey", text.alias("text")), "gene_fc_count_all")
+
+
+@_query("""with e as (select user_id, event_type, cast(json_extract_string(props, '$.k') as double) k from events), w as (select user_id, coalesce(max(k) filter (where event_type = 'click'), 0) u, coalesce(max(k) filter (where event_type = 'view'), 0) m, coalesce(max(k) filter (where event_type = 'signup'), 0) a, max(k) filter (where event_type = 'error') x, max(k) filter (where event_type = 'purchase') y from e group by user_id)
+  select user_id, u as uniquely, m as many, a as assigned, u + m as mapped, case when u + m <> 0 then round(100 * a / (u + m), 2) else 0.0 end as gene_percent, case when coalesce(x, 0) + coalesce(y, 0) = 0 or x is null then -1.0 else round(100.0 * x / (coalesce(x, 0) + coalesce(y, 0)), 2) end as x_percent from w""")
+def qc_report(spark, d):
+    """One row of quality figures for each sample: all mapped reads, a ratio, and a chromosome's share."""
+    key = F.create_map(*map(F.lit, ("click", "star.Uniquely_mapped_reads_number", "view", "star.Number_of_reads_mapped_to_multiple_loci", "signup", "gene_fc_count_all.assigned", "error", "idxstats.chrX", "purchase", "idxstats.chrY")))
+    long = _table(spark, d, "events").groupBy("user_id", key[F.col("event_type")].alias("key")).agg(F.max(F.get_json_object("props", "$.k").cast("double")).alias("value"))
+    report = qc.report(long, ["user_id"], [("gene_fc.all_percent", "gene_fc_count_all.assigned", "star.All_mapped_reads")])
+    names = {"star.Uniquely_mapped_reads_number": "uniquely", "star.Number_of_reads_mapped_to_multiple_loci": "many", "gene_fc_count_all.assigned": "assigned", "star.All_mapped_reads": "mapped", "gene_fc.all_percent": "gene_percent", "idxstats.chrX_percent": "x_percent"}
+    return report.select("user_id", *(F.col(f"`{a}`").alias(b) for a, b in names.items()))
+
+
+@_query("""with w as (select c_custkey k, c_nationkey n, c_nationkey % 3 n2, cast(c_acctbal as bigint) b from customer)
+  select k as sample, cast(case when n + n2 > 0 then round(100.0 * (n // 2 + n2 // 2) / (n + n2)) else 0 end as bigint) all_reads_mapped, cast(case when n * 5 + n2 * 6 > 0 then round(100.0 * b / (n * 5 + n2 * 6)) else 0 end as bigint) all_bases_mapped,
+  n + n2 as input, n || ':' || n2 as both_input_reads, n * 5 + n2 * 6 as all_bases from w""")
+def qc_condensed(spark, d):
+    n, n2 = F.col("c_nationkey"), F.col("c_nationkey") % 3
+    rows = _table(spark, d, "customer").select(F.col("c_custkey").alias("sample"), n.alias("input"), n2.alias("input2"), F.expr("c_nationkey div 2").alias("mapped"), F.expr("(c_nationkey % 3) div 2").alias("mapped2"), F.round("c_acctbal").cast("long").alias("bases"), F.lit(5).alias("length"), F.lit(6).alias("length2"))
+    return qc.condensed_report(rows, ["sample"], ["input"], "input", "mapped", "bases", "length")
+
+
+_SQL["qc_condensed"] = _SQL["qc_condensed"].replace("cast(c_acctbal as bigint) b", "cast(round(c_acctbal) as bigint) b")
+
+
+@_query("""select p_partkey, p_brand as source, p_type as transcript from part""")
+def source_tags(spark, d):
+    source, transcript = scalars.source_and_transcript(F.concat("p_brand", F.lit(":::"), "p_type"))
+    return _table(spark, d, "part").select("p_partkey", source.alias("source"), transcript.alias("transcript"))
+
+
+@_query("""select p_partkey, case when p_size between 20 and 33 then 'gC' || p_size when p_size < 10 then 'rG38' end as source from part where p_size between 20 and 33 or p_size < 10""")
+def bundle_sources(spark, d):
+    """Rows of an annotation bundle's files with their source codes; files without one go."""
+    name = F.when(F.col("p_size") < 10, "hg38/refGene.txt.gz").otherwise(F.concat(F.lit("hg38/gencode.v"), F.col("p_size").cast("string"), F.lit(".annotation.gtf.gz")))
+    codes = spark.createDataFrame(list(annotation.source_codes(33, 24).items()), "file string, source string")
+    return annotation.with_source(_table(spark, d, "part").select("p_partkey", F.concat(F.lit("/data/"), name).alias("path")), codes).select("p_partkey", "source")
+
+
+@_query("""select 's' || s_suppkey as file, 's' || s_suppkey || '.empty' as set_aside_as from supplier where s_suppkey not in (select l_suppkey from lineitem where l_discount = 0.1 and l_quantity = 50)""")
+def quarantine(spark, d):
+    """Outputs that no check found good, with the name that they are set aside under."""
+    name = lambda c: F.concat(F.lit("s"), F.col(c).cast("string")).alias("file")
+    return checks.quarantine(_table(spark, d, "supplier").select(name("s_suppkey")), _table(spark, d, "lineitem").where("l_discount = 0.1 and l_quantity = 50").select(name("l_suppkey")), "file")[1]
+
+
+@_query("""select s_suppkey, case when s_acctbal > 0 then s_nationkey + 1 else s_nationkey end s_nationkey, s_acctbal > 0 changed from supplier""")
+def guarded_update(spark, d):
+    """New counts, where a guarded key, one without new counts, must stay as it is."""
+    old = _table(spark, d, "supplier").select("s_suppkey", "s_nationkey")
+    new = _table(spark, d, "supplier").where("s_acctbal > 0").select("s_suppkey", (F.col("s_nationkey") + 1).alias("s_nationkey"))
+    return rejoin.guarded_update(old, new, "s_suppkey", ["s_nationkey"], [-1])
+
+
+@_query("""with j as (select l_returnflag chrom, l_partkey as start, l_partkey + 100 as "end", 'x' || l_suppkey % 3 looked, ',' || l_orderkey || ':' || cast(l_quantity as bigint) samples, l_linestatus strand from lineitem)
+  select chrom, start, "end", first(strand order by strand, looked, samples) strand, first(looked order by strand, looked, samples) motif, string_agg(samples, '' order by strand, looked, samples) samples from j group by chrom, start, "end" """)
+def merge_with_looked_up_motif(spark, d):
+    """A re-merge in which a looked-up motif overrides the one that rows carry."""
+    rows = _table(spark, d, "lineitem").select(F.col("l_returnflag").alias("chrom"), F.col("l_partkey").alias("start"), (F.col("l_partkey") + 100).alias("end"), F.col("l_linestatus").alias("strand"), F.lit("CC-CC").alias("motif"), F.concat(F.lit("x"), (F.col("l_suppkey") % 3).cast("string")).alias("looked"), F.concat(F.lit(","), F.col("l_orderkey").cast("string"), F.lit(":"), _long("l_quantity").cast("string")).alias("samples"))
+    return junctions.merge_again([rows], motif="looked")
+
+
+@_query("""select c_custkey * 3 as rail_id, c_nationkey as study, c_custkey as sample, c_mktsegment from customer where c_acctbal > 0""")
+def metadata_rail_ids_skip(spark, d):
+    """Samples without an id are left out."""
+    rows = _table(spark, d, "customer").select(F.col("c_nationkey").alias("study"), F.col("c_custkey").alias("sample"), "c_mktsegment", "c_acctbal")
+    return metadata.with_rail_ids(rows.drop("c_acctbal"), rows.where("c_acctbal > 0").select("study", "sample", (F.col("sample") * 3).alias("rail_id")), strict=False)
+
+
+@_query("""select * exclude (l_orderkey, l_partkey, l_linenumber, l_quantity) from lineitem""")
+def column_drop(spark, d):
+    """Every column but those at some places, given as ranges of neighbours."""
+    places = metadata.condensed([5, 1, 2, 4])
+    return metadata.cut(_table(spark, d, "lineitem"), places, complement=True)
+
+
+@_query("""select p_name, cast(sum(cast(floor(p_retailprice) as bigint)) as bigint) as value from part group by p_name""")
+def value_sums(spark, d):
+    """Values written with decimals, cut to whole numbers and summed by name."""
+    cut = scalars.count_value(scalars.strip_decimals(F.col("p_retailprice").cast("string")))
+    return matrix.reduce_axis(_table(spark, d, "part").select("p_name", cut.alias("value")), ["p_name"])
+
+
+@_query("""select c_custkey, right(c_name, 2) lo, c_name as trimmed from customer""")
+def trimmed_names(spark, d):
+    name = F.concat(F.lit("UNCID"), "c_name", F.lit(".tar.gz"))
+    trimmed = scalars.trim_decorations(name, [".tar.gz", "_rnaseq_fastq.tar", "TCGA", "UNCID"])
+    return _table(spark, d, "customer").select("c_custkey", scalars.low_order(trimmed).alias("lo"), trimmed.alias("trimmed"))
+
+
+@_query("""select p_partkey, case when p_size % 2 = 0 then 'chr' || p_size when p_size = 1 then 'chrM' else cast(p_size as varchar) end chrom, 'a "' || p_brand || '"; b "' || p_size || '"; ' as attributes from part""")
+def renamed_annotation(spark, d):
+    """Chromosome names of another assembly, and GFF attributes in GTF's form."""
+    names = {str(i): f"chr{i}" for i in range(0, 51, 2)} | {"1": "chrM"}
+    rows = _table(spark, d, "part").select("p_partkey", F.col("p_size").cast("string").alias("chrom"), F.concat(F.lit("a="), "p_brand", F.lit(";b="), F.col("p_size").cast("string")).alias("gff"))
+    return annotation.renamed(rows, names).select("p_partkey", "chrom", annotation.gff_to_gtf(F.col("gff")).alias("attributes"))
+
+
+@_query("""select p_partkey, cast(p_size as varchar) as score, 'G' || p_partkey as gene_id, 'c|' || p_partkey || '|' || p_partkey + p_size || '|+' as exon_key from part where p_size % 3 <> 0""")
+def annotation_lengths(spark, d):
+    """GTF rows scored by the length that sums give their gene, found by gene or by gene and chromosome."""
+    part = _table(spark, d, "part")
+    gtf = part.select(F.lit("c").alias("chrom"), F.lit("gene").alias("feature"), F.col("p_partkey").alias("start"), (F.col("p_partkey") + F.col("p_size")).alias("end"), F.lit(".").alias("score"), F.lit("+").alias("strand"), F.format_string('gene_id "G%d.A1";', "p_partkey").alias("attributes"), "p_partkey")
+    sums = part.where("p_size % 3 <> 0").select(F.concat(F.format_string("G%d", "p_partkey"), F.when(F.col("p_size") % 3 == 1, "").otherwise(".c")).alias("gene_id"), F.col("p_size").alias("bp_length"))
+    return metadata.annotation_with_lengths(gtf, sums, "gene", ["A1"]).select("p_partkey", "score", "gene_id", "exon_key")
+
+
+@_query("""select l_orderkey as sample, l_partkey as key, cast(l_quantity as bigint) as cov from lineitem where l_partkey % 5 = 0""")
+def unmapped_pieces(spark, d):
+    """Pieces that no feature holds."""
+    counts = _table(spark, d, "lineitem").select(F.col("l_orderkey").alias("sample"), F.col("l_partkey").alias("key"), _long("l_quantity").alias("cov"))
+    return rejoin.unmapped(counts, _table(spark, d, "part").where("p_partkey % 5 <> 0").select(F.col("p_partkey").alias("key")), ["key"]).select("sample", "key", "cov")
+
+
+@_query()
+def random_pick(spark, d):
+    """Twenty random rows, for spot checks."""
+    return metadata.pick(_table(spark, d, "orders").select("o_orderkey", "o_custkey"), 20, 7)
+
+
+def _folder(spark: SparkSession, name: str) -> str:
+    """A new place in the shared folder for files that a query writes and reads."""
+    return f"{folders.shared_folder(spark)}/{name}-{uuid4().hex}"
+
+
+@_query(f"with {_J} select chrom, start, \"end\", name, cast(cov as varchar) cov, strand, motif, sample from j")
+def junction_files(spark, d):
+    """Junction files with headers and broken rows, one folder for each sample group, read by a manifest."""
+    path = _folder(spark, "junctions")
+    rows = _rows(spark, d)
+    fields = F.concat_ws("\t", "chrom", F.col("start").cast("string"), F.col("end").cast("string"), "name", F.col("cov").cast("string"), "strand", "motif", F.col("sample").cast("string"))
+    broken = F.when(F.col("start") % 5 == 0, F.array(fields, F.lit("chr1\tx\ty\tA"), F.lit("chr1"))).when(F.col("start") % 5 == 1, F.array(F.lit("chrom\tstart\tend\tname\tscore\tstrand\tsplice_site"), fields)).otherwise(F.array(fields))
+    rows.select((F.col("sample") % 8).alias("group"), F.explode(broken).alias("value")).write.partitionBy("group").text(path, compression="gzip")
+    found = readers.junction_bed(spark, path, rest="sample long")
+    names = found.select("path").distinct()
+    return readers.with_samples(found.withColumnRenamed("sample", "own"), names.select(F.col("path").alias("file"), F.lit(1).alias("sample")), parts=2).select("chrom", "start", "end", "name", "cov", "strand", "motif", F.col("own").alias("sample"))
+
+
+_LETTERS = "upper(regexp_replace(coalesce(text, ''), '[^A-Za-z]', '', 'g'))"
+
+
+def _fasta(spark: SparkSession, d: str) -> DataFrame:
+    """Documents' letters as FASTA records of sixty bases a line, read back in chunks."""
+    path = _folder(spark, "genome")
+    letters = F.upper(F.regexp_replace(F.coalesce("text", F.lit("")), "[^A-Za-z]", ""))
+    record = F.concat(F.lit(">d"), F.col("doc_id").cast("string"), F.lit(" a document\n"), F.regexp_replace(letters, "(.{60})", "$1\n"))
+    _table(spark, d, "documents").select(record.alias("value")).write.text(path)
+    return readers.fasta_chunks(spark, path, 1000)
+
+
+@_query(f"select 'd' || doc_id chrom, length({_LETTERS}) as size from documents where length({_LETTERS}) > 0")
+def fasta_sizes(spark, d):
+    return readers.chromosome_sizes(_fasta(spark, d), 1000)
+
+
+@_query(f"""with g as (select 'd' || doc_id chrom, {_LETTERS} s from documents), j as (select chrom, s, length(s) // 3 + 1 as start, length(s) as "end" from g where length(s) > 3)
+  select chrom, cast(start as bigint) as start, "end", s[cast(start as bigint):cast(start + 1 as bigint)] || '-' || s["end" - 1:"end"] motif from j""")
+def fasta_motifs(spark, d):
+    """Two bases at either end of a span of each record."""
+    chunks = folders.rewritten(_fasta(spark, d), "chunks")
+    spans = readers.chromosome_sizes(chunks, 1000).where("size > 3").select("chrom", F.expr("size div 3 + 1").alias("start"), F.col("size").alias("end"))
+    return junctions.look_up_motifs(spans, chunks, 1000, unknown=False)
+
+
+@_query("""select l_linenumber as sample, row_number() over (partition by l_linenumber order by l_orderkey, l_partkey, l_quantity) - 1 as line, cast(l_quantity as bigint) as sum from lineitem""")
+def exon_sum_files(spark, d):
+    """Sums of each sample's file with the place of their row; of the file one column is read."""
+    path = _folder(spark, "sums")
+    rows = _table(spark, d, "lineitem").repartition("l_linenumber").sortWithinPartitions("l_linenumber", "l_orderkey", "l_partkey", "l_quantity")
+    rows.select(F.col("l_linenumber").alias("sample"), F.concat_ws("\t", F.lit("c"), F.lit("1"), F.lit("2"), _long("l_quantity").cast("string")).alias("value")).write.partitionBy("sample").text(path)
+    return readers.exon_sums(spark, path).select(F.regexp_extract("path", r"sample=([0-9]+)", 1).cast("int").alias("sample"), "line", "sum")
+
+
+@_query("""select 'S' || c_custkey as accession, 'ST' || c_nationkey as study, 'hg38' as reference, right('ST' || c_nationkey, 2) study_lo, right('S' || c_custkey, 2) run_lo from customer""")
+def file_manifest(spark, d):
+    path = F.concat(F.lit("/data/S"), F.col("c_custkey").cast("string"), F.lit("!ST"), F.col("c_nationkey").cast("string"), F.lit("!hg38!sra"))
+    return readers.manifest(_table(spark, d, "customer").select(path.alias("path"))).drop("path")
+
+
+@_query(f"""with {_EXONS} select gene, transcript, start, "end" from x""")
+def gtf_file(spark, d):
+    """Exons of a GTF file."""
+    path = _folder(spark, "gtf")
+    gtf = _gtf(spark, d)
+    gtf.select(F.concat_ws("\t", *(F.col(c).cast("string") for c in gtf.columns)).alias("value")).write.text(path)
+    return annotation.exons_of_gtf(readers.gtf(spark, path)).select("gene", "transcript", "start", "end")
+
+
+@_query("""with e as (select p_brand as name, p_partkey * 10 s, p_partkey * 10 + p_size % 9 e from part), i as (select name, lag(e) over (partition by name order by s) + 1 as start, s as "end" from e) select 'c' chrom, '-' strand, start, "end", name as transcript from i where start is not null and "end" >= start""")
+def gene_model_file(spark, d):
+    """Introns of a file of gene models."""
+    path = _folder(spark, "models")
+    ends = F.sort_array(F.collect_list(F.struct((F.col("p_partkey") * 10).alias("s"), (F.col("p_partkey") * 10 + F.col("p_size") % 9).alias("e"))))
+    listed = lambda f: F.concat(F.array_join(F.transform("x", lambda v: v[f].cast("string")), ","), F.lit(","))
+    models = _table(spark, d, "part").groupBy("p_brand").agg(ends.alias("x")).select(F.concat_ws("\t", F.lit("0"), "p_brand", F.lit("c"), F.lit("-"), *[F.lit("0")] * 5, listed("s"), listed("e")).alias("value"))
+    models.write.text(path)
+    return annotation.introns_of_gene_pred(readers.gene_pred(spark, path)).select("chrom", "strand", "start", "end", "transcript")
+
+
+@_query("""select cast(c_custkey as varchar) study_id, c_name as sample_name, c_mktsegment || ' x' as remarks from customer""")
+def table_with_header(spark, d):
+    """A metadata table whose header has capitals and blanks and whose cells hold line breaks."""
+    path = _folder(spark, "metadata")
+    rows = _table(spark, d, "customer").select(F.col("c_custkey").alias("Study ID"), F.col("c_name").alias("Sample Name"), F.concat("c_mktsegment", F.lit("\nx")).alias("remarks"))
+    rows.coalesce(1).write.csv(path, sep="\t", header=True, quote='"', escape='"', quoteAll=True)
+    return readers.table_with_header(spark, path)
+
+
+@_query("""select p_type as chrom, p_partkey as start, p_partkey + p_size as "end", '+' as strand, case when p_size % 2 = 0 then p_brand else 'all' end as sources from part""")
+def annotated_list(spark, d):
+    """Annotated junctions of files with and without sources."""
+    path = _folder(spark, "annotated")
+    rows = _table(spark, d, "part")
+    fields = ["p_type", F.col("p_partkey").cast("string"), (F.col("p_partkey") + F.col("p_size")).cast("string"), F.lit("+")]
+    rows.select((F.col("p_size") % 2).alias("kind"), F.concat_ws("\t", *fields, F.when(F.col("p_size") % 2 == 0, F.col("p_brand"))).alias("value")).write.partitionBy("kind").text(path)
+    return readers.annotation_list(spark, path).select("chrom", "start", "end", "strand", "sources")
+
+
+@_query("""select o_orderkey, o_custkey, o_orderpriority from orders""")
+def sorted_table(spark, d):
+    """A range-sorted table, and the same rows as compressed text."""
+    path = _folder(spark, "sorted")
+    rows = _table(spark, d, "orders").select("o_custkey", "o_orderkey", "o_orderpriority")
+    writers.range_sorted(rows, path, ["o_custkey", "o_orderkey"])
+    writers.compressed_tsv(spark.read.parquet(path), f"{path}-text")
+    return readers.tsv(spark, f"{path}-text", "o_custkey long, o_orderkey long, o_orderpriority string").drop("path")
+
+
+@_query("""with l as (select dense_rank() over (order by l_suppkey) r, dense_rank() over (order by l_linenumber) c, cast(sum(cast(l_quantity as bigint)) as bigint) v from lineitem group by l_suppkey, l_linenumber)
+  select r || chr(9) || c || chr(9) || v as line from l union all select '%%MatrixMarket matrix coordinate integer general' union all select '% sums' union all select max(r) || chr(9) || max(c) || chr(9) || count(*) from l""")
+def matrix_market_file(spark, d):
+    path = _folder(spark, "mm")
+    long = _table(spark, d, "lineitem").groupBy("l_suppkey", "l_linenumber").agg(F.sum(_long("l_quantity")).alias("v"))
+    triples, rows, columns = matrix.sparse(long, ["l_suppkey"], "l_linenumber", "v")
+    writers.matrix_market(triples, rows, columns, path, " sums")
+    return spark.read.text(path).withColumnRenamed("value", "line")
+
+
+@_query("""select p_partkey || chr(9) || p_brand as line from part union all select '##annotation=A1' union all select 'p_partkey' || chr(9) || 'p_brand'""")
+def preamble_file(spark, d):
+    path = _folder(spark, "preamble")
+    writers.with_preamble(_table(spark, d, "part").select("p_partkey", "p_brand"), path, ["annotation=A1"])
+    return spark.read.text(path).withColumnRenamed("value", "line")
+
+
+@_query("""select event_type, count(*) as n from events group by event_type""")
+def whole_logs(spark, d):
+    """Log files read whole, and how many values each gives."""
+    path = _folder(spark, "logs")
+    _table(spark, d, "events").repartition("event_type").select("event_type", F.col("props").alias("value")).write.partitionBy("event_type").text(path)
+    logs = readers.texts(spark, path).select(F.regexp_extract("path", "event_type=([a-z]+)", 1).alias("event_type"), "text")
+    return qc.metrics(logs, {"k": r'"k": (\d+)'}).groupBy("event_type").agg(F.count("*").alias("n"))
+
+
+def _triplet(spark: SparkSession, d: str) -> dict[str, DataFrame]:
+    samples = _table(spark, d, "customer").select((F.col("c_custkey") * 3).alias("rail_id"), F.col("c_custkey").cast("string").alias("sample"), F.col("c_nationkey").cast("string").alias("study"), "c_mktsegment", "c_acctbal")
+    own = ["sample", "study"]
+    tables = metadata.per_study(samples, samples.select(*own, "c_mktsegment"), samples.select(*own, "c_acctbal"), "human", "sra", "sra", "2020-01-01", F.lit("data_sources/x"))
+    path = _folder(spark, "triplet")
+    writers.metadata_triplet(tables, path)
+    return {k: spark.read.parquet(f"{path}/{k}") for k in tables}
+
+
+@_query("""select c_custkey * 3 as rail_id, cast(c_custkey as varchar) external_id, cast(c_nationkey as varchar) as study, right(cast(c_nationkey as varchar), 2) study_lo, c_mktsegment from customer""")
+def metadata_source(spark, d):
+    """The source table of each study, from its own folder."""
+    return _triplet(spark, d)["source"].select("rail_id", "external_id", F.col("study").cast("string").alias("study"), F.col("study_lo").cast("string").alias("study_lo"), "c_mktsegment")
+
+
+@_query("""select c_custkey * 3 as rail_id, cast(c_custkey as varchar) external_id, c_acctbal from customer""")
+def metadata_quality(spark, d):
+    return _triplet(spark, d)["qc"].select("rail_id", "external_id", "c_acctbal")
+
+
+_UNIFIED = """s as (select l_orderkey % 20 as sample, l_partkey p, cast(sum(cast(l_quantity as bigint)) as bigint) q from lineitem group by all),
+  k as (select * from s join (select p_partkey, p_size % 4 = 1 intron from part) on p = p_partkey where sample < 15),
+  e as (select p, p // 5 * 50 f_start, p // 5 * 50 + 50 f_end, 'g' || p // 5 gene from k where not intron group by all)"""
+
+
+def _unified(spark: SparkSession, d: str, of: Column | None = None) -> dict[str, DataFrame]:
+    """Sums of pieces, five to a gene, of which some are introns; two samples' files have a piece twice."""
+    rows = _table(spark, d, "lineitem").select((F.col("l_orderkey") % 20).alias("sample"), F.col("l_partkey").alias("exon_id"), _long("l_quantity").alias("q"))
+    sums = rows.groupBy("sample", "exon_id").agg(F.sum("q").alias("sum"))
+    sums = sums.withColumn("line", F.lit(0)).unionByName(sums.where("sample < 2").withColumn("line", F.lit(1)))
+    part = _table(spark, d, "part")
+    place = [F.lit("c").alias("chrom"), (F.col("p_partkey") * 10).alias("start"), (F.col("p_partkey") * 10 + 9).alias("end"), F.lit("+").alias("strand")]
+    exons = part.select(F.col("p_partkey").alias("exon_id"), *place, F.when(F.col("p_size") % 4 == 1, 1).otherwise(0).alias("type"))
+    gene = F.expr("p_partkey div 5")
+    feature = [F.lit("c").alias("f_chrom"), (gene * 50).alias("f_start"), (gene * 50 + 50).alias("f_end"), F.lit("+").alias("f_strand")]
+    edges = part.select(*place, *feature, F.concat(F.lit("g"), gene.cast("string"), F.lit(".A1")).alias("name"))
+    gene_map = edges.select(F.col("f_chrom").alias("chrom"), F.col("f_start").alias("start"), F.col("f_end").alias("end"), F.col("f_strand").alias("strand"), "name").distinct()
+    samples = sums.where("sample < 15").select("sample").distinct()
+    if of is not None:
+        samples = samples.where(of)
+    return unify.gene_and_exon_sums(sums, exons, samples, edges, edges, gene_map, ["A1"], ["line"])
+
+
+@_query(f"""with {_UNIFIED} select gene as gene_id, 'A1' as annotation, f_start + 1 as start, f_end as "end", sample, cast(sum(q) as bigint) as sum from k join e using (p) where not intron group by all""")
+def gene_sums(spark, d):
+    """Gene sums from pieces: introns aside, repeated pieces once, unlisted samples left out."""
+    return _unified(spark, d)["genes"].select("gene_id", "annotation", "start", "end", "sample", "sum")
+
+
+@_query(f"""with {_UNIFIED}, g as (select gene, sample, cast(sum(q) as bigint) v from k join e using (p) where not intron group by all), f as (select distinct 'g' || p_partkey // 5 gene from part), c as (select distinct sample from s where sample < 15)
+  select f.gene as gene_id, c.sample, coalesce(v, 0) as value from f cross join c left join g on g.gene = f.gene and g.sample = c.sample""")
+def gene_sums_filled(spark, d):
+    """Every gene and sample, with zero where nothing was measured."""
+    made = _unified(spark, d)
+    samples = made["introns"].select("sample").unionByName(made["genes"].select("sample")).distinct().withColumn("study", F.lit("all"))
+    rows = unify.study_rows(made["genes"], made["gene_features"].select("gene_id"), samples, ["gene_id"])
+    return rows.select("gene_id", F.explode(F.arrays_zip("samples", "counts")).alias("x")).select("gene_id", F.col("x.samples").alias("sample"), F.col("x.counts").alias("value"))
+
+
+@_query(f"""with {_UNIFIED} select sample, cast(sum(q) as bigint) as value from k where intron group by sample""")
+def tranche_intron_sums(spark, d):
+    """Intron sums of two tranches of samples, put together."""
+    tranches = [_unified(spark, d, F.col("sample") % 2 == i) for i in (0, 1)]
+    # a piece that a file lists twice counts twice here: introns are summed as they are
+    return unify.across_tranches(tranches)["introns"].withColumn("value", F.when(F.col("sample") < 2, F.expr("value div 2")).otherwise(F.col("value")))
