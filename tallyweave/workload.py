@@ -264,12 +264,11 @@ def redundant_filter(spark, d):
     return joins.filter_by(_table(spark, d, "customer").select("c_custkey", "c_name"), "c_custkey", _table(spark, d, "orders"), "o_custkey", repeat=True)
 
 
-@_query("select p_partkey, p_type from part where list_has_any(string_split(lower(p_type), ' '), (select list(distinct lower(p_name)) || list(distinct lower(split_part(p_type, ' ', 2))) from part where p_size <= 5))")
+@_query("select p_partkey, p_name from part where list_has_any(string_split(lower(p_name), ' '), (select list(distinct lower(split_part(p_name, ' ', 2))) from part where p_brand = 'Brand#1' and p_size <= 5))")
 def word_filter(spark, d):
-    """Parts whose type holds a word that small parts have as their second."""
-    small = _table(spark, d, "part").where("p_size <= 5")
-    words = small.select(F.upper("p_name").alias("w")).unionByName(small.select(F.upper(F.split_part("p_type", F.lit(" "), F.lit(2))).alias("w")))
-    return joins.filter_by(_table(spark, d, "part").select("p_partkey", "p_type"), "p_type", words, "w", delimiter=" ", ignore_case=True)
+    """Parts whose name holds a word that the second word of a small part's name is, in either case."""
+    words = _table(spark, d, "part").where("p_brand = 'Brand#1' and p_size <= 5").select(F.upper(F.split_part("p_name", F.lit(" "), F.lit(2))).alias("w"))
+    return joins.filter_by(_table(spark, d, "part").select("p_partkey", "p_name"), "p_name", words, "w", delimiter=" ", ignore_case=True)
 
 
 @_query("select c_custkey, c_mktsegment from customer where exists (select 1 from supplier where regexp_matches(c_name, '0' || s_suppkey || '$'))")
