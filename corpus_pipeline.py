@@ -1,7 +1,10 @@
 """From documents to packed training sequences, in five stages.
 
 Each stage takes the documents that the one before kept, and all but the last
-return the columns of documents.
+return the columns of documents, whatever others there are. Every stage judges
+a row by its text: ids may be null or repeated, null and empty texts pass, long
+ones count whole, and empty tables, labels and benchmark too, give what they
+can. Only the second stage looks at ids, to say which of several rows stays.
 """
 
 from __future__ import annotations
@@ -17,19 +20,22 @@ ORACLE_SQL = None
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that score below one half."""
+    """Documents that score below one half; with no labels to learn from, all of them."""
     ship(spark)
     return toxicity.below(docs, queries.toxicity_model(spark, docs, sf_dir), 0.5)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group whose sets of five-word shingles are linked at 0.8 or more."""
+    """One document, of the smallest id, of each group whose sets of five-word shingles are linked at 0.8 or more.
+
+    Of rows alike in id and text one stays; rows without a word all do.
+    """
     ship(spark)
     return near_dedup.one_of_each(docs, words=5, percent=80)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a benchmark passage."""
+    """Documents without a benchmark passage; equal texts share their fate."""
     ship(spark)
     return decontaminate.without_passages(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"), window=decontaminate.WINDOW)
 
