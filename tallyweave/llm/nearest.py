@@ -93,7 +93,10 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 5, vec_id: str = "vec
     Ties go to the smaller vec_id. Rows whose id or vector is null, or whose
     vector is zero, empty or has null or non-finite components, take no part;
     vectors of different lengths are not compared; a vec_id is never its own
-    neighbour, even if repeated. Fewer than k candidates are all returned. Of
+    neighbour, even if repeated. Fewer than k candidates are all returned, and
+    an empty table gives none; other columns are ignored, whatever their names.
+    Every block of queries meets every block of candidates, once: the work is
+    the product of both numbers, as exact search needs. Of
     equal vectors only the k + 1 smallest ids can be among the nearest, so the
     rest leave before the join.
     """

@@ -42,7 +42,9 @@ def format_preferences(turns: DataFrame, pair: Column, chosen: Column, turn: str
     pair names the pair a row belongs to, chosen says on which side; rows where
     either is null are left out. Turns are in the order of their number, null
     first, then of role and text, so repeated rows are repeated turns. A null
-    role or text counts as empty. Turns are equal if role and text are.
+    role or text counts as empty. Turns are equal if role and text are. An
+    empty table gives an empty result; other columns are ignored, whatever
+    their names. A conversation is gathered whole, with texts of any length.
     Returns pair_id, n_common, prompt, chosen, rejected and, for both
     completions, the spans to learn.
     """

@@ -2,7 +2,7 @@ import random
 
 import pytest
 
-from tests.llm.cases import documents, prose
+from tests.llm.cases import CLASHING, documents, prose
 from tests.llm.test_toxicity import BAD
 
 corpus_pipeline = pytest.importorskip("corpus_pipeline")
@@ -27,7 +27,7 @@ def folder(spark, tmp_path_factory):
     texts += [texts[j] + " tail" for j in copies.values()]
     texts += [f"{prose(r, 20)} {b} {prose(r, 20)}" for b in bench]
     texts += [f"{prose(r, 20)} 4845168114407329 {prose(r, 20)}", None, ""]
-    docs = documents(spark, texts, clash=False).selectExpr("doc_id", "text", "'en' lang", "'s' source", "cast(length(text) as bigint) n_chars")
+    docs = documents(spark, texts).selectExpr("doc_id", "text", "'en' lang", "'s' source", "cast(length(text) as bigint) n_chars", *(c for c in CLASHING))
     docs.write.parquet(str(d / "documents.parquet"))
     spark.createDataFrame([(i, 1, t) for i, t in labels], "doc_id long, quality int, toxic int").write.parquet(str(d / "labels.parquet"))
     spark.createDataFrame(list(enumerate(bench)), "item_id long, text string").write.parquet(str(d / "benchmark.parquet"))
@@ -57,3 +57,34 @@ def test_each_stage_drops_what_it_should(spark, folder):
 def test_run_gives_the_last_stage(spark, folder):
     d, *_ = folder
     assert corpus_pipeline.run(spark, d).count() == spark.read.parquet(f"{d}/out-pack").count()
+
+
+def test_null_and_repeated_rows_in_each_stage(spark, folder):
+    """Rows are judged by their texts; of rows alike one stays after the second stage, and null texts stay throughout."""
+    d, texts, _ = folder
+    r = random.Random(22)
+    clean, other = prose(r, 60), prose(r, 60)
+    toxic = " ".join(f"{BAD[i % len(BAD)]} {prose(r, 8)}" for i in range(6))
+    leak = f"{prose(r, 20)} {spark.read.parquet(f'{d}/benchmark.parquet').first().text} {prose(r, 20)}"
+    rows = [(None, clean), (None, clean), (1007, other), (1007, other), (1007, clean + " more"), (None, toxic), (1007, toxic), (None, leak), (1008, None), (None, None), (1009, "")]
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t or "")) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    base = spark.read.parquet(f"{d}/documents.parquet").select(docs.columns)
+    docs, seen = base.unionByName(docs), []
+    own = lambda df: df.where("doc_id is null or doc_id >= 1000")
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        docs = stage(spark, docs, d)
+        seen.append(sorted((str(x.doc_id), str(x.text)) for x in own(docs).collect()))
+    assert seen[0] == sorted((str(i), str(t)) for i, t in rows if t != toxic)
+    assert seen[1] == sorted([("1007", other), ("1007", clean + " more"), ("None", leak), ("1008", "None"), ("None", "None"), ("1009", "")])
+    assert seen[2] == seen[3] == sorted(x for x in seen[1] if x[1] != leak)
+    assert sum(x.length for x in own(corpus_pipeline.STAGES[-1][1](spark, docs, d)).where("doc_id is null or doc_id > 1007").collect()) == 3
+
+
+def test_empty_tables_in_each_stage(spark, folder, tmp_path):
+    d, *_ = folder
+    for name in ("documents", "labels", "benchmark"):
+        spark.read.parquet(f"{d}/{name}.parquet").where("false").write.parquet(str(tmp_path / f"{name}.parquet"))
+    assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
+    docs = spark.read.parquet(f"{d}/documents.parquet")
+    for _, stage in (corpus_pipeline.STAGES[0], corpus_pipeline.STAGES[2]):  # no labels, no benchmark: all stay
+        assert stage(spark, docs, str(tmp_path)).count() == docs.count()
