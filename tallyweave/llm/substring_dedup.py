@@ -20,6 +20,9 @@ from pyspark.sql import functions as F
 
 from tallyweave.llm import shards, textops
 
+#: Bits of a place in a shard, and of an anchor's key, which only rules windows out and may be shared by chance.
+PLACE_BITS, KEY_BITS = 34, 48
+
 RESULT = "doc_id long, n_words long, n_removed long, kept_text string, removed array<struct<start:int,end:int>>"
 
 
@@ -67,7 +70,7 @@ class Shard:
         at_cover[list(self.cover)] = True
         pos = np.arange(len(self.starts)) - self.first[self.doc]
         at = np.flatnonzero(at_cover[pos % self.period] & (self.room >= self.anchor))
-        return at, self.sums.hash(at, at + self.anchor)
+        return at, self.sums.hash(at, at + self.anchor) >> np.uint64(64 - KEY_BITS)
 
     def candidates(self, shared: np.ndarray) -> np.ndarray:
         """Windows that hold an anchor which occurs elsewhere too."""
@@ -121,22 +124,29 @@ def remove_repeated_windows(docs: DataFrame, doc_id: str = "doc_id", text: str =
         flags = np.zeros(len(shard.starts), bool)
         flags[at[again]] = True
         s, e = textops.runs(flags)  # windows that repeat in the shard need no answer
-        high, low, at = high[~again], low[~again], at[~again]
-        local = np.arange(len(s) + len(at)) < len(s)
-        start, end = np.concatenate([s, at]).astype(np.int32), np.concatenate([e, at + 1]).astype(np.int32)
-        high, low = np.concatenate([s, high]), np.concatenate([np.zeros(len(s), np.int32), low])
-        return pa.table({"local": local, "high": high, "low": low, "doc_id": shards.ids(shard.doc[start], table), "shard": shards.me(table, len(start)), "start": start, "end": end})
+        order = np.argsort(at[~again], kind="stable")  # by place: neighbours share their document
+        high, low, at = (x[~again][order] for x in (high, low, at))
+        base = (table["shard"][0].as_py() if len(table) else 0) << PLACE_BITS
+        known = np.arange(len(at) + 2 * len(s)) >= len(at)
+        place = base + np.concatenate([at << 2, (s << 2) + 1, (e << 2) + 2])
+        doc = shards.ids(np.concatenate([shard.doc[at], np.zeros(2 * len(s), np.int64)]), table) if len(place) else pa.nulls(0, pa.int64())
+        spread = lambda x, kind: pa.array(np.concatenate([x, np.zeros(2 * len(s), x.dtype)]), kind, mask=known)
+        return pa.table({"high": np.where(known, place, np.concatenate([high, np.zeros(2 * len(s), np.int64)])), "low": spread(low, pa.int32()), "doc_id": doc, "place": place})
 
     def cut(table: pa.Table, answers: pa.Table) -> pa.Table:
         shard = Shard(table, window)
-        s, e = (x.astype(np.int64) for x in shards.numbers(answers, "start", "end"))
+        mark = answers["mark"].to_numpy()
+        single, s, e = (np.sort(mark[(mark & 3) == kind] >> 2) for kind in (0, 1, 2))
+        s, e = np.concatenate([single, s]), np.concatenate([single + 1, e])
         return _kept(shard, textops.covered(s, e + window - 1, len(shard.starts)))
 
     found = shards.shared(shards.per_shard(parts, anchors, "key long, shard int"))
-    candidates = shards.resume(parts, found, windows, "local boolean, high long, low int, doc_id long, shard int, start int, end int")
-    earlier = Window.partitionBy("high", "low", "local").orderBy(F.col("doc_id").asc_nulls_last(), "shard")
-    repeats = candidates.withColumn("_n", F.row_number().over(earlier)).where("_n > 1 or local").select("shard", "start", "end")
-    return shards.resume(parts, repeats, cut, RESULT)
+    # place holds the shard, the window's word, and whether it is one window (0) or begins (1) or ends (2) a range of known repeats
+    candidates = shards.resume(parts, found, windows, "high long, low int, doc_id long, place long")
+    earlier = Window.partitionBy("high", "low").orderBy(F.col("doc_id").asc_nulls_last(), "place")
+    repeats = candidates.withColumn("_n", F.row_number().over(earlier)).where("_n > 1 or low is null")
+    mark = F.col("place").bitwiseAND((1 << PLACE_BITS) - 1).alias("mark")
+    return shards.resume(parts, repeats.select(F.shiftright("place", PLACE_BITS).cast("int").alias("shard"), mark), cut, RESULT)
 
 
 def _kept(shard: Shard, gone: np.ndarray) -> pa.Table:
