@@ -438,7 +438,7 @@ def _found(docs: DataFrame, benchmark: DataFrame, doc_id: Column, text: str, ite
                 if rows:
                     yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), _STRETCH, strict=True)], schema=_STRETCH)
 
-    stretches = durable.checkpoint(docs.select(doc_id.cast("long").alias("doc_id"), F.col(text).alias("text")).mapInArrow(look, _STRETCHES))
+    stretches = durable.checkpoint(docs.select(doc_id.cast("long").alias("doc_id"), F.col(text).alias("text")).mapInArrow(textops.light(look), _STRETCHES))
     hits = stretches.where("codes is not null").select("stretch", F.explode(F.arrays_zip("codes", "places")).alias("h")).select("stretch", F.col("h.codes").alias("code"), F.col("h.places").alias("place"))
     diagonal = F.col("place") - F.col("pos") + F.col("size")
     band = F.floor(diagonal / F.col("half")).cast("int")
@@ -460,7 +460,7 @@ def _found(docs: DataFrame, benchmark: DataFrame, doc_id: Column, text: str, ite
                     yield pa.RecordBatch.from_arrays([*(b.column(c).take(p) for c in keep), s, e, x], names=[*keep, "start", "end", "edits"])
 
     kinds = "doc_id long, digest binary, item_id long, start int, end int, edits int"
-    found = texts.select(*keep, "start", "core_from", "core_to", "body", "item_body").mapInArrow(verify, kinds)
+    found = texts.select(*keep, "start", "core_from", "core_to", "body", "item_body").mapInArrow(textops.light(verify), kinds)
     if not bench.short_lengths:
         return found
     words = stretches.where("short_at is not null").select("doc_id", "digest", F.explode(F.arrays_zip("short_at", "short_text")).alias("h"))

@@ -102,7 +102,7 @@ def signatures(rows: DataFrame, words: int) -> DataFrame:
                 longs = pa.list_(pa.int64())
                 yield pa.RecordBatch.from_arrays([b.column(0), b.column(2), pa.array(n, pa.int64()), pa.array(name[0].view(np.int64)), pa.array(name[1].view(np.int64)), pa.array(bands, longs), pa.array(sketch, longs)], names=["doc_id", "row_key", "n_shingles", "set_a", "set_b", "bands", "sketch"])
 
-    return rows.mapInArrow(work, SIGNATURE)
+    return rows.mapInArrow(textops.light(work), SIGNATURE)
 
 
 def _similarity(x: Column, y: Column) -> Column:
@@ -145,7 +145,7 @@ def _confirm(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> Da
                     good[i] = 100 * both >= percent * (len(lead) + len(own) - both)
                 yield pa.RecordBatch.from_arrays([pa.array(a[good]), pa.array(node[good])], names=["a", "b"])
 
-    return rows.select("a", "part", "role", "node", "text").mapInArrow(check, "a long, b long").distinct()
+    return rows.select("a", "part", "role", "node", "text").mapInArrow(textops.light(check), "a long, b long").distinct()
 
 
 def _across_small(members: DataFrame, least: float) -> DataFrame:
@@ -202,7 +202,7 @@ def _links_in_large(members: DataFrame, texts: DataFrame, least: float, words: i
 
     kinds = "key long, i int, j int, mine int, node long, label long, sketch array<long>"
     stay = durable.checkpoint(dealt.groupBy("key", "i", "j").applyInArrow(near, kinds))
-    whole = texts.join(stay.select("node").distinct(), "node", "left_semi").select("node", "text").mapInArrow(sets, "node long, codes binary")
+    whole = texts.join(stay.select("node").distinct(), "node", "left_semi").select("node", "text").mapInArrow(textops.light(sets), "node long, codes binary")
 
     def compare(table: pa.Table) -> pa.Table:
         node, label, open_pair = _open_pairs(table := table.sort_by("node"), least)

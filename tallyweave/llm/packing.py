@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyweave.llm import durable
+from tallyweave.llm import durable, textops
 from tallyweave.llm.wordtokens import WordTokenizer
 
 #: Pieces that one lane packs, sequences that it keeps open meanwhile, and pieces that it looks ahead.
@@ -68,7 +68,7 @@ def token_pieces(docs: DataFrame, tokenizer: str, size: int = 2048, end_id: int
                 kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.binary()]
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds, strict=False)], names=["doc_id", "piece", "start", "length", "ids_crc32", "ids"][: len(cols)])
 
-    return docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")).mapInArrow(cut, PIECES + (", ids binary" if keep_ids else ""))
+    return docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")).mapInArrow(textops.light(cut), PIECES + (", ids binary" if keep_ids else ""))
 
 
 class OpenBins:

@@ -20,6 +20,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tallyweave.llm import textops
+
 RESULT = "doc_id long, text string, found array<struct<start:int,end:int,kind:string>>"
 
 ROUNDS = 8
@@ -322,7 +324,7 @@ def pseudonymise(docs: DataFrame, key: bytes, doc_id: str = "doc_id", text: str
                 found.append(spans)
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(texts, pa.string()), pa.array(found, kind)], names=["doc_id", "text", "found"])
 
-    return docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")).mapInArrow(replace, RESULT)
+    return docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")).mapInArrow(textops.light(replace), RESULT)
 
 
 def pseudonymise_rows(docs: DataFrame, key: bytes, text: str = "text") -> DataFrame:
@@ -335,4 +337,4 @@ def pseudonymise_rows(docs: DataFrame, key: bytes, text: str = "text") -> DataFr
             texts = [_replace(names, t)[0] if t and _HINT.search(t) else t for t in b.column(at).to_pylist()]
             yield b.set_column(at, b.schema.field(at), pa.array(texts, b.schema.field(at).type))
 
-    return docs.mapInArrow(replace, docs.schema)
+    return docs.mapInArrow(textops.light(replace), docs.schema)

@@ -217,7 +217,7 @@ def scan(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", false_shar
         used = np.flatnonzero(total)  # the words of this task, as one row
         yield pa.RecordBatch.from_arrays([pa.nulls(1, pa.int64()), pa.nulls(1, span), pa.nulls(1, run), pa.array([used.tolist()], pa.list_(pa.int32())), pa.array([total[used].tolist()], pa.list_(pa.int64()))], names=names)
 
-    found = durable.checkpoint(docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")).mapInArrow(find, FOUND))
+    found = durable.checkpoint(docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")).mapInArrow(textops.light(find), FOUND))
     words = found.where("cells is not null").select(F.explode(F.arrays_zip("cells", "counts")).alias("x")).groupBy(F.col("x.cells").alias("cell")).agg(F.sum("x.counts").alias("n"), F.lit(0).alias("kind"))
     judged = found.where("base is not null").select(F.explode("runs").alias("x")).groupBy(F.col("x.cell").alias("cell")).agg(F.count("*").alias("n"), F.lit(1).alias("kind"))
     accepted = accept(words.unionByName(judged).collect(), false_share)  # at most two rows a cell

@@ -7,7 +7,9 @@ look-ups whatever its length.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import contextlib
+import ctypes
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -31,21 +33,32 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 
 _BYTE_CODES = [mix(np.arange(256, dtype=np.uint64) + np.uint64(1 + 1000 * k)) for k in range(2)]
-_POWERS: dict[tuple[int, bool], np.ndarray] = {}
+_STEP = 1 << 16
+_POWERS: dict[tuple[int, bool], tuple[np.ndarray, np.ndarray]] = {}
 
 
-def powers(n: int, base: int = 0, inverse: bool = False) -> np.ndarray:
-    """The first n powers of a base, or of its inverse, modulo 2**64."""
-    have = _POWERS.get((base, inverse))
-    if have is None or len(have) < n:
+def _steps(base: int, inverse: bool) -> tuple[np.ndarray, np.ndarray]:
+    """Powers 0 to _STEP - 1 of a base, or of its inverse, modulo 2**64, and those of its _STEP-th power."""
+    if (base, inverse) not in _POWERS:
         b = pow(_BASES[base], -1, 1 << 64) if inverse else _BASES[base]
-        size = 1 << max(16, int(n - 1).bit_length())
-        steps = np.full(size, b, np.uint64)
-        steps[0] = 1
-        have = np.cumprod(steps, dtype=np.uint64)
-        if size <= 1 << 21:  # larger ones are rare and would stay in memory
-            _POWERS[base, inverse] = have
-    return have[:n]
+        tables = []
+        for x in (b, pow(b, _STEP, 1 << 64)):
+            table = np.full(_STEP, x, np.uint64)
+            table[0] = 1
+            tables.append(np.cumprod(table, dtype=np.uint64))
+        _POWERS[base, inverse] = tuple(tables)
+    return _POWERS[base, inverse]
+
+
+def powers(n: int, base: int = 0, inverse: bool = False) -> np.ndarray:
+    """The first n powers; only two small tables stay in memory."""
+    low, high = _steps(base, inverse)
+    return (high[: -(-n // _STEP), None] * low[None, :]).ravel()[:n] if n > _STEP else low[:n]
+
+
+def powers_at(places: np.ndarray, base: int = 0, inverse: bool = False) -> np.ndarray:
+    low, high = _steps(base, inverse)
+    return high[places >> 16] * low[places & (_STEP - 1)]
 
 
 class Sums:
@@ -58,8 +71,9 @@ class Sums:
         np.cumsum(codes * powers(n, base), out=self.sums[1:])
 
     def hash(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-        inv = powers(len(self.sums), self.base, True)
-        return mix((self.sums[end] - self.sums[start]) * inv[start])
+        n = len(self.sums)
+        inv = powers(n, self.base, True)[start] if 4 * len(start) > n else powers_at(start, self.base, True)
+        return mix((self.sums[end] - self.sums[start]) * inv)
 
 
 def byte_sums(buf: np.ndarray, base: int = 0) -> Sums:
@@ -90,6 +104,25 @@ def slices(batch: pa.RecordBatch, most: int = 1 << 20) -> Iterator[pa.RecordBatc
         yield batch.slice(s, step)
 
 
+def light(work: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """The same work on batches, after which the worker gives unused memory back."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from work(batches)
+        finally:
+            give_back()
+
+    return run
+
+
+def give_back() -> None:
+    """Free memory that this worker holds but doesn't use, so that a reused worker is as small as a new one."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # where the C library has no such call
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def words(buf: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Start and end of each maximal run of non-separators, and the first word of each text."""
     edges = np.zeros(len(buf) + 1, bool)

@@ -312,7 +312,7 @@ def below(docs: DataFrame, model: Model, limit: float = 0.5, text: str = "text")
                 tokens = Tokens(*textops.batch(b.column(b.schema.get_field_index(text))))
                 yield b.filter(pa.array(scores(model, marginals(model, tokens), tokens) < limit))
 
-    return docs.mapInArrow(keep, docs.schema)
+    return docs.mapInArrow(textops.light(keep), docs.schema)
 
 
 def score(docs: DataFrame, model: Model, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -339,4 +339,4 @@ def score(docs: DataFrame, model: Model, doc_id: str = "doc_id", text: str = "te
                     spans[d].append({"start": s, "end": e})
                 yield pa.RecordBatch.from_arrays([b.column(0), pa.array(scores(model, p, tokens)), pa.array(spans, kind)], names=["doc_id", "score", "spans"])
 
-    return docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")).mapInArrow(mark, RESULT)
+    return docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")).mapInArrow(textops.light(mark), RESULT)
