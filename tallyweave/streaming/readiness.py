@@ -21,11 +21,6 @@ def done_counts(stream: DataFrame, study: str = "study", sample: str = "sample")
     return stream.dropDuplicates([study, sample]).groupBy(study).agg(F.count("*").alias("n"))
 
 
-def ready_studies(stream: DataFrame, expected: DataFrame, study: str = "study", sample: str = "sample") -> DataFrame:
-    """Updates of studies whose finished samples are as many as expected."""
-    return done_counts(stream, study, sample).join(expected.select(study, F.col("n").alias("_e")), study).where("n = _e").drop("_e")
-
-
 def counts_of(stream: DataFrame, folder: str, study: str = "study", sample: str = "sample") -> DataFrame:
     """Finished samples of each study once all of the stream that there is has been read.
 

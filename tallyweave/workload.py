@@ -1139,3 +1139,36 @@ def tranche_intron_sums(spark, d):
     tranches = [_unified(spark, d, F.col("sample") % 2 == i) for i in (0, 1)]
     # a piece that a file lists twice counts twice here: introns are summed as they are
     return unify.across_tranches(tranches)["introns"].withColumn("value", F.when(F.col("sample") < 2, F.expr("value div 2")).otherwise(F.col("value")))
+
+
+@_query("""with s as (select l_partkey k, cast(sum(cast(l_quantity as bigint)) as bigint) v from lineitem where l_discount > 0.09 group by 1) select p_partkey as exon_id, coalesce(v, 0) as value from part left join s on k = p_partkey""")
+def filled_sums(spark, d):
+    """Sums of every exon, zero where a file had none."""
+    sums = _table(spark, d, "lineitem").where("l_discount > 0.09").groupBy(F.col("l_partkey").alias("exon_id")).agg(F.sum(_long("l_quantity")).alias("value"))
+    return matrix.filled(sums, _table(spark, d, "part").select(F.col("p_partkey").alias("exon_id")), "exon_id")
+
+
+@_query("""select 'c' || l_suppkey % 10 as chrom, l_partkey as start, l_partkey + l_linenumber - 2 as "end", l_linestatus strand, string_agg(distinct l_returnflag, ',' order by l_returnflag) sources from lineitem where l_linenumber >= 2 and l_suppkey % 10 < 7 group by all""")
+def known_chromosomes(spark, d):
+    """Junctions of several sources, valid ones on the chromosomes that a sizes file lists."""
+    path = _folder(spark, "sizes")
+    chrom = F.concat(F.lit("c"), (F.col("l_suppkey") % 10).cast("string"))
+    rows = _table(spark, d, "lineitem").select(chrom.alias("chrom"), F.col("l_partkey").alias("start"), (F.col("l_partkey") + F.col("l_linenumber") - 2).alias("end"), F.col("l_linestatus").alias("strand"), F.col("l_returnflag").alias("source"))
+    rows.where("chrom < 'c7'").groupBy("chrom").agg(F.max("end").alias("size")).select(F.concat_ws("\t", "chrom", F.col("size").cast("string")).alias("value")).write.text(path)
+    return annotation.unite_sources(rows, readers.sizes(spark, path))
+
+
+@_query(f"with {_J} {_MERGED}")
+def merged_file(spark, d):
+    """A merged table written as text and read again."""
+    path = _folder(spark, "merged")
+    writers.compressed_tsv(junctions.merge_packed(_rows(spark, d)), path)
+    return readers.merged_junctions(spark, path)
+
+
+@_query("""with n as (select event_type as study, count(distinct user_id) as n from events group by 1) select study, n from n where study <> 'view'""")
+def ready_stream(spark, d):
+    """Studies whose finished samples, read as a stream, are as many as expected; of one more are expected than come."""
+    stream = spark.readStream.schema(_table(spark, d, "events").schema).parquet(f"{d}/events.parquet*").select(F.col("event_type").alias("study"), F.col("user_id").cast("string").alias("sample"))
+    expected = _table(spark, d, "events").groupBy(F.col("event_type").alias("study")).agg((F.count_distinct("user_id") + F.max(F.when(F.col("event_type") == "view", 1).otherwise(0))).alias("n"))
+    return readiness.ready_in(readiness.counts_of(stream, _folder(spark, "ready")), expected)
