@@ -31,14 +31,17 @@ def overlap_join(left: DataFrame, right: DataFrame, bin_size: int, on: Sequence[
     sides = [t.where("end > start").withColumn("_own", _level(bin_size)) for t in (left, right)]
     have = [sorted(r[0] for r in s.select("_own").distinct().collect()) for s in sides]  # LEVELS + 1 at most
 
-    def binned(side: DataFrame, others: list[int]) -> DataFrame:
-        higher = F.array(*(F.lit(x).cast("int") for x in others)) if others else F.array().cast("array<int>")
-        levels = F.array_union(F.array("_own"), F.filter(higher, lambda x: x > F.col("_own")))
-        size = F.lit(bin_size).cast("long") * F.pow(F.lit(LEVEL), F.col("_level")).cast("long")
-        each = side.withColumn("_level", F.explode(levels)).withColumn("_size", size)
-        return each.withColumn("_bin", F.explode(F.sequence(F.floor(F.col("start") / F.col("_size")), F.floor((F.col("end") - 1) / F.col("_size")))))
-
-    l, r = binned(sides[0], have[1]), binned(sides[1], have[0])
+    def binned(side: DataFrame, mine: list[int], others: list[int]) -> DataFrame:
+        higher = [x for x in others if mine and x > mine[0]]
+        if higher or len(mine) > 1:
+            levels = F.array_union(F.array("_own"), F.filter(F.array(*(F.lit(x).cast("int") for x in higher)).cast("array<int>"), lambda x: x > F.col("_own")))
+            side = side.withColumn("_level", F.explode(levels)).withColumn("_size", F.lit(bin_size).cast("long") * F.pow(F.lit(LEVEL), F.col("_level")).cast("long"))
+        else:  # one level for all, the usual case
+            level = mine[0] if mine else 0
+            side = side.withColumn("_level", F.lit(level)).withColumn("_size", F.lit(bin_size * LEVEL**level).cast("long"))
+        return side.withColumn("_bin", F.explode(F.sequence(F.floor(F.col("start") / F.col("_size")), F.floor((F.col("end") - 1) / F.col("_size")))))
+
+    l, r = binned(sides[0], *have), binned(sides[1], *have[::-1])
     r = r.select(*on, "_level", "_bin", F.col("_own").alias("_own_r"), *(F.col(c).alias(f"{c}_r") for c in right.columns if c not in on))
     both = l.join(r, [*on, "_level", "_bin"]).where((F.col("start") < F.col("end_r")) & (F.col("start_r") < F.col("end")))
     once = (F.col("_level") == F.greatest("_own", "_own_r")) & (F.floor(F.greatest("start", "start_r") / F.col("_size")) == F.col("_bin"))
