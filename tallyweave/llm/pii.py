@@ -12,6 +12,7 @@ from __future__ import annotations
 import datetime
 import functools
 import hashlib
+import math
 import re
 import unicodedata
 from collections.abc import Callable, Iterator
@@ -45,9 +46,7 @@ class Permutation:
 
     def __init__(self, key: bytes, kind: str, size: int):
         self.size, self.key, self.tweak = size, key, f"{kind}:{size}".encode()
-        self.a = max(1, int(size**0.5))
-        while self.a * self.a < size:
-            self.a += 1
+        self.a = math.isqrt(max(size, 1) - 1) + 1  # the whole root, rounded up
         self.b = -(-size // self.a)
 
     def _round(self, i: int, x: int) -> int:

@@ -138,3 +138,20 @@ def test_permutations_are_bijections():
         p = pii.Permutation(KEY, "t", size)
         images = [p.forward(x) for x in range(size)]
         assert sorted(images) == list(range(size)) and [p.backward(x) for x in images] == list(range(size))
+
+
+def test_permutations_of_any_size_start_at_once():
+    for size in (1, 2, 3, 26**41, 26**64, 10**64, 120**64):
+        p = pii.Permutation(b"k", "name", size)
+        assert p.a * p.a >= size and (p.a - 1) ** 2 < size
+        for x in {0, size // 3, size - 1}:
+            assert p.backward(p.forward(x)) == x
+
+
+@pytest.mark.parametrize("name", ["a" * 41, "abcde" * 12 + "abcd", "0123456789" * 6 + "0123", "é" * 64, "Ab1" * 21])
+def test_long_email_names(spark, name):
+    text = f"write to {name}@example.org today"
+    docs = spark.createDataFrame([(1, text)], "doc_id long, text string")
+    made = pii.pseudonymise(docs, b"key").first()["text"]
+    back = pii.pseudonymise(spark.createDataFrame([(1, made)], docs.schema), b"key", inverse=True).first()["text"]
+    assert back == text
