@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyweave.llm import decontaminate, near_dedup, nearest, packing, pii, preferences, secret_scan, substring_dedup, suffix_dedup, toxicity
+from tallyweave.llm import decontaminate, near_dedup, nearest, packing, pii, preferences, secret_scan, substring_dedup, suffix_dedup, toxicity, whitening
 
 
 def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
@@ -143,6 +143,10 @@ def op10_pii_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
     return made.select("doc_id", "text", F.size("found").cast("long").alias("n_found"), _listed(F.col("found")).alias("spans"))
 
 
+def op13_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), components=16)
+
+
 def queries() -> dict:
     return {
         "op1_secret_scan": op1_secret_scan,
@@ -155,6 +159,7 @@ def queries() -> dict:
         "op8_suffix_dedup": op8_suffix_dedup,
         "op9_best_fit_packing": op9_best_fit_packing,
         "op10_pii_pseudonyms": op10_pii_pseudonyms,
+        "op13_embedding_whitening": op13_embedding_whitening,
     }
 
 
