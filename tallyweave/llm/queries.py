@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyweave.llm import decontaminate, near_dedup, nearest, packing, pii, preferences, secret_scan, substring_dedup, suffix_dedup, toxicity, whitening
+from tallyweave.llm import decontaminate, near_dedup, nearest, packing, pii, preferences, secret_scan, spelling, substring_dedup, suffix_dedup, toxicity, whitening
 
 
 def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
@@ -143,6 +143,30 @@ def op10_pii_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
     return made.select("doc_id", "text", F.size("found").cast("long").alias("n_found"), _listed(F.col("found")).alias("spans"))
 
 
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(_documents(spark, sf_dir))
+
+
+#: crc32 is reduced over bytes with the table of its polynomial; words are near that share a word, or a word and place, less one code point.
+OP12_SQL = r"""
+with recursive crc as (select list(c order by i) t from (select i, list_reduce(list_concat([i], range(8)), lambda c, k: case when c & 1 = 1 then xor(c >> 1, 3988292384) else c >> 1 end) c from range(256) x(i))),
+runs as (select doc_id, unnest(regexp_extract_all(coalesce(text, ''), '[A-Za-zÀ-ÿ]+')) run from documents),
+low as (select doc_id, translate(run, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') run, count(*) k from runs group by all),
+bytes as (select run, k, flatten(list_transform(string_split(coalesce(cast(doc_id as varchar), '') || ':' || run, ''), lambda x: case when ord(x) < 128 then [cast(ord(x) as bigint)] else [192 + (ord(x) >> 6), 128 + (ord(x) & 63)] end)) b from low where length(run) >= 6),
+hashed as (select run, k, xor(list_reduce(list_concat([4294967295], b), lambda c, x: xor(c >> 8, t[1 + (xor(c, x) & 255)])), 4294967295) h from bytes, crc),
+made as (select case when h % 199 = 0 then substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2) else run end word, k from hashed),
+words as (select word, cast(sum(k) as bigint) n from made where length(word) >= 6 group by word having sum(k) >= 5),
+less as (select word, n, i, substr(word, 1, i - 1) || substr(word, i + 1) d from (select word, n, unnest(range(1, length(word) + 1)) i from words)),
+near as (select a.word, b.word other, b.n from less a join less b on a.d = b.d and a.i = b.i and a.word <> b.word
+  union select a.word, b.word, b.n from less a join words b on a.d = b.word union select b.word, a.word, a.n from less a join words b on a.d = b.word),
+best as (select word, count(*) n_near, max(n) m, arg_min(other, (-n, other)) o from near group by word),
+forms as (select w.word, w.n, coalesce(n_near, 0) n_near, case when m >= 5 * w.n then o end form, case when m >= 5 * w.n then m end form_n from words w left join best b on b.word = w.word),
+walk(word, reached, steps) as (select word, word, 0 from forms union all select walk.word, f.form, steps + 1 from walk join forms f on f.word = walk.reached where f.form is not null),
+ends as (select word, arg_max(reached, steps) root from walk group by word)
+select f.word, form, root, n, n_near, form_n from forms f join ends e on e.word = f.word
+"""
+
+
 def op13_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitening.whiten(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), components=16)
 
@@ -159,6 +183,7 @@ def queries() -> dict:
         "op8_suffix_dedup": op8_suffix_dedup,
         "op9_best_fit_packing": op9_best_fit_packing,
         "op10_pii_pseudonyms": op10_pii_pseudonyms,
+        "op12_spelling_variants": op12_spelling_variants,
         "op13_embedding_whitening": op13_embedding_whitening,
     }
 
@@ -169,4 +194,5 @@ def oracle_sql() -> dict[str, str]:
         "op3_near_dedup": OP3_SQL,
         "op6_block_nearest": OP6_SQL,
         "op7_preference_format": OP7_SQL,
+        "op12_spelling_variants": OP12_SQL,
     }
