@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyweave.llm import decontaminate, near_dedup, nearest, packing, pii, preferences, secret_scan, spelling, substring_dedup, suffix_dedup, toxicity, whitening
+from tallyweave.llm import decontaminate, near_dedup, nearest, packing, pii, preferences, secret_scan, span_hashes, spelling, substring_dedup, suffix_dedup, toxicity, whitening
 
 
 def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
@@ -143,6 +143,10 @@ def op10_pii_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
     return made.select("doc_id", "text", F.size("found").cast("long").alias("n_found"), _listed(F.col("found")).alias("spans"))
 
 
+def op11_span_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return span_hashes.fingerprints(_documents(spark, sf_dir))
+
+
 def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling.variants(_documents(spark, sf_dir))
 
@@ -183,6 +187,7 @@ def queries() -> dict:
         "op8_suffix_dedup": op8_suffix_dedup,
         "op9_best_fit_packing": op9_best_fit_packing,
         "op10_pii_pseudonyms": op10_pii_pseudonyms,
+        "op11_span_fingerprints": op11_span_fingerprints,
         "op12_spelling_variants": op12_spelling_variants,
         "op13_embedding_whitening": op13_embedding_whitening,
     }
