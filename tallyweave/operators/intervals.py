@@ -1,9 +1,10 @@
-"""Intervals: overlap joins by bins, coalescing, disjoint pieces, islands and gaps."""
+"""Intervals: overlap joins by bins, sums over regions, coalescing, disjoint pieces, islands and gaps."""
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Iterator, Sequence
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -48,31 +49,123 @@ def overlap_join(left: DataFrame, right: DataFrame, bin_size: int, on: Sequence[
     return both.where(once).drop("_level", "_bin", "_size", "_own", "_own_r")
 
 
-def summarise_regions(regions: DataFrame, values: DataFrame, bin_size: int, how: str = "mean", on: Sequence[str] = ("chrom",)) -> DataFrame:
-    """Mean (over all bases, uncovered ones too) or sum of per-base values over each region.
+def _area_events(regions: DataFrame, values: DataFrame, on: Sequence[str]) -> DataFrame:
+    """One row for each value, at its start, and two for each region, at its ends: side tells which, and is null for values."""
+    place = values.where("end > start").dropna(subset=list(on))
+    last = F.struct(F.col("start").alias("from"), "end", "value")
+    starts = place.select(*on, F.col("start").cast("long").alias("pos"), ((F.col("end") - F.col("start")) * F.col("value")).alias("area"), last.alias("last"))
+    ends = F.explode(F.array(F.struct(F.col("start").cast("long").alias("pos"), F.lit(-1).alias("side")), F.struct(F.col("end").cast("long").alias("pos"), F.lit(1).alias("side")))).alias("e")
+    points = regions.select(*on, F.struct(*regions.columns).alias("region"), ends).select(*on, "e.pos", "region", "e.side")
+    return starts.unionByName(points, allowMissingColumns=True)
 
-    The value intervals must not overlap each other; disjoin and keep the last
-    writer's value first where they do. Equal regions count once each.
-    """
-    covered = F.least("end", "end_r") - F.greatest("start", "start_r")
-    found = overlap_join(regions, values, bin_size, on).groupBy(*regions.columns).agg(F.sum(F.col("value_r") * covered).alias("_s"))
-    total = F.coalesce("_s", F.lit(0))
-    out = regions.join(found, regions.columns, "left")
-    return out.select(*regions.columns, (total / (F.col("end") - F.col("start")) if how == "mean" else total).alias("value"))
-
-
-def last_writer(values: DataFrame, bin_size: int, order: str = "line", on: Sequence[str] = ("chrom",)) -> DataFrame:
-    """Overlapping value intervals as disjoint ones, of which later lines overwrite earlier."""
-    closed = values.withColumn("end", F.col("end") - 1)
-    pieces = disjoin(closed, on).withColumn("end", F.col("end") + 1)
-    return overlap_join(pieces, values, bin_size, on).groupBy(*on, "start", "end").agg(F.max_by("value_r", f"{order}_r").alias("value"))
 
+def summarise_regions(regions: DataFrame, values: DataFrame, how: str = "mean", on: Sequence[str] = ("chrom",)) -> DataFrame:
+    """Mean (over all bases, uncovered ones too) or sum of per-base values over each region; of a region of no bases null or 0.
 
-def mark_counts(regions: DataFrame, marks: DataFrame, bin_size: int, on: Sequence[str] = ("chrom", "strand")) -> DataFrame:
+    The value intervals must not overlap each other; see last_writer() where
+    they do. A region's sum is the area before its end less that before its
+    start, so the work is that of sorting values and ends, however long the
+    regions are: both are dealt by range, running sums of area are carried from
+    range to range, and what the last value before a place has beyond it is
+    taken off. Sums of whole numbers are exact; fractional ones round as the
+    running sum of their chromosome does.
+    """
+    rows = dealt(_area_events(regions, values, on), [*on, "pos"])
+    rows = carried(rows, on, _area=(F.sum("area"), "sum"), _last=(F.max("last"), "max"))
+    past = inside(on, ["pos", F.col("side").asc_nulls_last()]).rowsBetween(Window.unboundedPreceding, 0)
+    last = F.coalesce(F.max("last").over(past), F.col("_last"))
+    area = F.coalesce(F.sum("area").over(past), F.lit(0)) + F.coalesce("_area", F.lit(0))
+    beyond = F.coalesce(last["value"] * F.greatest(F.lit(0), last["end"] - F.col("pos")), F.lit(0))
+    each = rows.select("region", "side", (area - beyond).alias("_a")).where("side is not null")
+    sums = each.groupBy(*(F.col(f"region.{c}").alias(c) for c in regions.columns)).agg((F.max(F.when(F.col("side") > 0, F.col("_a"))) - F.max(F.when(F.col("side") < 0, F.col("_a")))).alias("_s"), F.count("*").alias("_n"))
+    size = F.col("end") - F.col("start")
+    value = F.when(size > 0, F.col("_s")).otherwise(F.lit(0))
+    value = F.when(size > 0, value / size) if how == "mean" else value
+    return sums.select(*regions.columns, value.alias("value"), F.explode(F.array_repeat(F.lit(0), (F.col("_n") / 2).cast("int")))).drop("col")  # equal regions are as many as they were
+
+
+def _sweep(on: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Sorted pieces (keys, _range, start, end, line, value) of ranges as disjoint ones, each with the open piece of the last line.
+
+    What is held is the open pieces of one range, on a heap by line.
+    """
+    import heapq
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        out: list[tuple] = []
+        heap: list[tuple] = []  # (-line, number, end, value), of which ended ones go when they reach the top
+        key, at, n, kinds = None, 0, 0, None
+
+        def until(stop: int | None) -> None:
+            nonlocal at
+            while heap and (stop is None or at < stop):
+                if heap[0][2] <= at:
+                    heapq.heappop(heap)
+                    continue
+                _, number, end, value = heap[0]
+                to = end if stop is None else min(end, stop)
+                if out and out[-1][0] == (key, number) and out[-1][2] == at:
+                    out[-1] = (out[-1][0], out[-1][1], to, value)
+                else:
+                    out.append(((key, number), at, to, value))
+                at = to
+            if stop is not None:
+                at = stop
+
+        def made() -> Iterator[pa.RecordBatch]:
+            if out:
+                keys = [o[0][0][:on] for o in out]
+                columns = [*zip(*keys, strict=True)] if on else []
+                columns += [[o[i] for o in out] for i in (1, 2, 3)]
+                yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(columns, kinds, strict=True)], names=[str(i) for i in range(len(columns))])
+                out.clear()
+
+        for b in batches:
+            types = [b.schema.field(i).type for i in range(b.num_columns)]
+            kinds = [*types[:on], pa.int64(), pa.int64(), types[-1]]
+            for row in zip(*(c.to_pylist() for c in b.columns), strict=True):
+                if row[: on + 1] != key:
+                    until(None)
+                    key, at = row[: on + 1], row[on + 1]
+                start, end, line, value = row[on + 1 :]
+                until(start)
+                heapq.heappush(heap, (-line, n, end, value))
+                n += 1
+            yield from made()
+        until(None)
+        yield from made()
+
+    return work
+
+
+def last_writer(values: DataFrame, order: str = "line", on: Sequence[str] = ("chrom",)) -> DataFrame:
+    """Overlapping value intervals as disjoint ones, of which later lines overwrite earlier; a line's number is a whole one.
+
+    Intervals are dealt by range of their starts and cut at the ranges' borders,
+    so that each range is swept by itself, in order of start, with its open
+    intervals on a heap: rows and work grow with the intervals, not with how
+    deep they lie. Neighbouring pieces of one interval may be cut at a border.
+    """
+    keys = [f"_k{i}" for i in range(len(on))]
+    named = values.where("end > start").dropna(subset=list(on)).select(*(F.col(c).alias(k) for c, k in zip(on, keys, strict=True)), F.col("start").cast("long").alias("start"), F.col("end").cast("long").alias("end"), F.col(order).cast("long").alias("_line"), "value")
+    rows = dealt(named.withColumn("_all", F.lit(0)), [*keys, "start"])
+    borders = rows.groupBy("_all", *keys, "_p").agg(F.min("start").alias("_b")).groupBy("_all", *keys).agg(F.sort_array(F.collect_set("_b")).alias("_borders"))  # a number for each range and key
+    cut = rows.join(borders, ["_all", *keys])
+    bounds = F.concat(F.array("start"), F.filter("_borders", lambda b: (b > F.col("start")) & (b < F.col("end"))), F.array("end"))
+    pieces = cut.withColumn("_bounds", bounds).withColumn("_i", F.explode(F.sequence(F.lit(0), F.size("_bounds") - 2)))
+    start = F.get("_bounds", F.col("_i"))
+    pieces = pieces.select(*keys, F.size(F.filter("_borders", lambda b: b <= start)).alias("_range"), start.alias("start"), F.get("_bounds", F.col("_i") + 1).alias("end"), "_line", "value")
+    types = dict(pieces.dtypes)
+    schema = ", ".join([*(f"{k} {types[k]}" for k in keys), "start long", "end long", f"value {types['value']}"])
+    swept = pieces.repartition(*keys, "_range").sortWithinPartitions(*keys, "_range", "start").mapInArrow(_sweep(len(on)), schema)
+    return swept.withColumnsRenamed(dict(zip(keys, on, strict=True)))
+
+
+def mark_counts(regions: DataFrame, marks: DataFrame, on: Sequence[str] = ("chrom", "strand")) -> DataFrame:
     """How many marked bases (chrom, pos, strand), counted from 0, each region of the same strand holds, its last base aside."""
-    points = marks.select(*on, F.col("pos").alias("start"), (F.col("pos") + 1).alias("end")).distinct()
-    found = overlap_join(regions, points, bin_size, on).where("start_r + 1 <> end").groupBy(*regions.columns).agg(F.count("*").alias("_n"))
-    return regions.join(found, regions.columns, "left").select(*regions.columns, F.coalesce("_n", F.lit(0)).alias("value"))
+    points = marks.select(*on, F.col("pos").alias("start"), (F.col("pos") + 1).alias("end"), F.lit(1).cast("long").alias("value")).distinct()
+    counted = summarise_regions(regions.withColumn("end", F.col("end") - 1), points, "sum", on)
+    return counted.withColumn("end", F.col("end") + 1)
 
 
 def _islands(rows: DataFrame, on: Sequence[str], order: Sequence[str], new: Column) -> DataFrame:

@@ -9,6 +9,7 @@ maximum or sum, is one small row for each range and key.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
@@ -31,13 +32,16 @@ def carried(rows: DataFrame, on: Sequence[str], back: bool = False, **values: tu
     """Rows with, for each name, a key's value over all earlier ranges (all later ones if back).
 
     A value is a pair of an aggregate over a range and how ranges are joined:
-    "max", "min" or "sum". Without such ranges it is null.
+    "max", "min" or "sum". Without such ranges it is null. A null key is a key
+    like others.
     """
     each = rows.groupBy("_p", *on).agg(*(c.alias(name) for name, (c, _) in values.items()))
     ends = (1, Window.unboundedFollowing) if back else (Window.unboundedPreceding, -1)
     over = Window.partitionBy(*(on or [F.lit(0)])).orderBy("_p").rowsBetween(*ends)  # at most one row for each range and key
-    sums = each.select("_p", *on, *(getattr(F, how)(name).over(over).alias(name) for name, (_, how) in values.items()))
-    return rows.join(sums, ["_p", *on])
+    keys = ["_p", *on]
+    sums = each.select(*(F.col(k).alias(f"_of_{k}") for k in keys), *(getattr(F, how)(name).over(over).alias(name) for name, (_, how) in values.items()))
+    same = reduce(Column.__and__, (F.col(k).eqNullSafe(F.col(f"_of_{k}")) for k in keys))
+    return rows.join(sums, same).drop(*(f"_of_{k}" for k in keys))
 
 
 def numbered(rows: DataFrame, order: Sequence[str], name: str = "row_id", start: int = 0, parts: int | None = None) -> DataFrame:

@@ -312,7 +312,7 @@ def interval_overlap(spark, d):
 def region_means(spark, d):
     regions = _table(spark, d, "part").select((F.col("p_partkey") * 10).alias("start"), (F.col("p_partkey") * 10 + 40).alias("end"))
     values = _table(spark, d, "lineitem").select((F.col("l_partkey") * 10 + 20).alias("start"), (F.col("l_partkey") * 10 + 25).alias("end"), (F.col("l_partkey") % 7).alias("value")).distinct()
-    return intervals.summarise_regions(regions, values, 64, on=())
+    return intervals.summarise_regions(regions, values, on=())
 
 
 @_query("""with iv as (select l_suppkey chrom, l_partkey * 3 as start, l_partkey * 3 + cast(l_quantity as bigint) as "end" from lineitem),
@@ -568,7 +568,7 @@ def update_report(spark, d):
 def region_sums(spark, d):
     regions = _table(spark, d, "part").select((F.col("p_partkey") * 10).alias("start"), (F.col("p_partkey") * 10 + 40).alias("end"))
     values = _table(spark, d, "lineitem").select((F.col("l_partkey") * 10 + 20).alias("start"), (F.col("l_partkey") * 10 + 25).alias("end"), (F.col("l_partkey") % 7).alias("value")).distinct()
-    return intervals.summarise_regions(regions, values, 64, "sum", on=())
+    return intervals.summarise_regions(regions, values, "sum", on=())
 
 
 @_query("""with v as (select l_suppkey % 5 chrom, l_partkey * 4 as start, l_partkey * 4 + cast(l_quantity as bigint) as "end", l_orderkey as value, row_number() over (order by l_orderkey, l_linenumber) line from lineitem),
@@ -577,7 +577,7 @@ def last_writer_wins(spark, d):
     """Overlapping values as disjoint ones, base by base: of several lines the last counts."""
     lines = _table(spark, d, "lineitem").select((F.col("l_suppkey") % 5).alias("chrom"), (F.col("l_partkey") * 4).alias("start"), (F.col("l_partkey") * 4 + _long("l_quantity")).alias("end"), F.col("l_orderkey").alias("value"), "l_orderkey", "l_linenumber")
     lines = ranges.numbered(lines, ["l_orderkey", "l_linenumber"], "line").drop("l_orderkey", "l_linenumber")
-    flat = intervals.last_writer(lines, 64)
+    flat = intervals.last_writer(lines)
     return flat.select("chrom", F.explode(F.sequence("start", F.col("end") - 1)).alias("base"), "value")
 
 
@@ -587,7 +587,7 @@ def region_marks(spark, d):
     """Marked bases of the same strand in each region, its last base aside."""
     rows = _table(spark, d, "lineitem").select(F.col("l_returnflag").alias("chrom"), F.col("l_linestatus").alias("strand"), "l_partkey", "l_suppkey")
     regions = rows.select("chrom", (F.col("l_partkey") * 3).alias("start"), (F.col("l_partkey") * 3 + 20).alias("end"), "strand").distinct()
-    return intervals.mark_counts(regions, rows.select("chrom", "strand", (F.col("l_suppkey") * 5).alias("pos")), 64)
+    return intervals.mark_counts(regions, rows.select("chrom", "strand", (F.col("l_suppkey") * 5).alias("pos")))
 
 
 @_query("""with s as (select o_custkey, count(*) n, cast(sum(o_orderkey) as bigint) k from orders group by 1) select c_custkey as sample, c_nationkey as study, c_name, n, k from customer join s on o_custkey = c_custkey""")

@@ -92,10 +92,10 @@ def test_disjoin_and_coalesce_cover_the_same_bases(spark):
 
 def test_region_summary_with_overwritten_values(spark):
     values = spark.createDataFrame([("c", 0, 10, 1, 0), ("c", 5, 8, 4, 1)], "chrom string, start long, end long, value long, line long")
-    flat = intervals.last_writer(values, 4)
+    flat = intervals.last_writer(values)
     regions = spark.createDataFrame([("c", 4, 12), ("c", 20, 21)], "chrom string, start long, end long")
-    assert rows(intervals.summarise_regions(regions, flat, 4, "sum")) == [("c", 4, 12, 15), ("c", 20, 21, 0)]
-    assert rows(intervals.summarise_regions(regions, flat, 4)) == [("c", 4, 12, 15 / 8), ("c", 20, 21, 0.0)]
+    assert rows(intervals.summarise_regions(regions, flat, "sum")) == [("c", 4, 12, 15), ("c", 20, 21, 0)]
+    assert rows(intervals.summarise_regions(regions, flat)) == [("c", 4, 12, 15 / 8), ("c", 20, 21, 0.0)]
 
 
 def test_islands_and_gaps(spark):
