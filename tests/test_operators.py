@@ -7,7 +7,6 @@ from tallyweave.functions import scalars
 from tallyweave.operators import annotation, checks, ids, intervals, joins, junctions, matrix, qc, ranges, rejoin
 from tallyweave.plans import unify
 from tallyweave.sources import readers, writers
-from tallyweave.streaming import readiness
 
 
 def rows(df, *cols):
@@ -234,25 +233,3 @@ def test_plans(spark):
     ann = spark.createDataFrame([("c", 3, 6, "x")], "chrom string, start long, end long, sources string")
     r = unify.junction_tables(raw, ann, chunks).first()
     assert (r.motif, r.annotated, r["count"], r["sum"], r.junction_id) == ("GT-AG", 1, 2, 7, 0)
-
-
-def test_streamed_studies_are_passed_on_once(spark, tmp_path):
-    import json
-
-    src = tmp_path / "in"
-    src.mkdir()
-    expected = spark.createDataFrame([("p", 2), ("q", 1)], "study string, n long")
-    seen = []
-
-    def go():
-        stream = readiness.markers(spark, str(src))
-        readiness.start(stream, expected, lambda df: seen.extend(r.study for r in df.collect()), str(tmp_path / "ck"), str(tmp_path / "log")).awaitTermination()
-
-    (src / "1.json").write_text(json.dumps({"study": "p", "sample": "a"}) + "\n" + json.dumps({"study": "q", "sample": "z"}))
-    go()
-    assert seen == ["q"]
-    (src / "2.json").write_text(json.dumps({"study": "p", "sample": "a"}))
-    go()
-    (src / "3.json").write_text(json.dumps({"study": "p", "sample": "b"}))
-    go()
-    assert sorted(seen) == ["p", "q"]
