@@ -17,7 +17,7 @@ from tallyweave.functions import scalars
 from tallyweave import folders
 from tallyweave.operators import annotation, checks, ids, intervals, joins, junctions, matrix, metadata, qc, ranges, rejoin
 from tallyweave.plans import unify
-from tallyweave.sources import readers, writers
+from tallyweave.sources import deltas, indexed, readers, writers
 from tallyweave.streaming import readiness
 
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -1172,3 +1172,75 @@ def ready_stream(spark, d):
     stream = spark.readStream.schema(_table(spark, d, "events").schema).parquet(f"{d}/events.parquet*").select(F.col("event_type").alias("study"), F.col("user_id").cast("string").alias("sample"))
     expected = _table(spark, d, "events").groupBy(F.col("event_type").alias("study")).agg((F.count_distinct("user_id") + F.max(F.when(F.col("event_type") == "view", 1).otherwise(0))).alias("n"))
     return readiness.ready_in(readiness.counts_of(stream, _folder(spark, "ready")), expected)
+
+
+@_query("""with r as (select l_returnflag chrom, l_partkey * 1000 + l_orderkey % 1000 as start, l_partkey * 1000 + l_orderkey % 1000 + cast(l_quantity as bigint) as "end", l_orderkey id from lineitem),
+  q as (select 'A' chrom, p_partkey * 1000 + 100 as start, p_partkey * 1000 + 130 as "end" from part where p_size = 7)
+  select q.start start_r, q."end" end_r, r.id, r.start from q join r on r.chrom = q.chrom and r.start < q."end" and q.start < r."end" """)
+def region_lookup(spark, d):
+    """Rows of an indexed table that many regions overlap; only files and row groups that may hold some are read."""
+    start = F.col("l_partkey") * 1000 + F.col("l_orderkey") % 1000
+    rows = _table(spark, d, "lineitem").select(F.col("l_returnflag").alias("chrom"), start.alias("start"), (start + _long("l_quantity")).alias("end"), F.col("l_orderkey").alias("id"))
+    path = _folder(spark, "indexed")
+    indexed.write(rows, path, block_rows=1000)
+    regions = _table(spark, d, "part").where("p_size = 7").select(F.lit("A").alias("chrom"), (F.col("p_partkey") * 1000 + 100).alias("start"), (F.col("p_partkey") * 1000 + 130).alias("end"))
+    return indexed.overlapping(spark, path, regions).select("start_r", "end_r", "id", "start")
+
+
+@_query("""with e as (select event_type as study, count(distinct user_id) n from events group by 1) select study from e where study <> 'view'""")
+def studies_once(spark, d):
+    """Ready studies of a stream of several batches, each in the file sink once; of one study more samples are expected than come."""
+    markers = _table(spark, d, "events").select(F.col("event_type").alias("study"), F.col("user_id").cast("string").alias("sample"))
+    path = _folder(spark, "markers")
+    markers.repartition(3).write.parquet(f"{path}/in")
+    expected = markers.groupBy("study").agg((F.count_distinct("sample") + F.max(F.when(F.col("study") == "view", 1).otherwise(0))).alias("n"))
+    stream = readiness.markers(spark, f"{path}/in", fmt="parquet", per_trigger=1)
+    readiness.write_ready(stream, expected, f"{path}/out", f"{path}/progress").awaitTermination()
+    return spark.read.schema("study string, n long").parquet(f"{path}/out").select("study")
+
+
+_SQL["saved_rail_ids"] = _SQL["rail_ids"].replace("order by c_custkey) - 1 as counter", "order by c_custkey % 2, c_custkey) - 1 as counter").replace("select accession, c_custkey, prefix,", "select accession, c_custkey,")
+
+
+@_query(_SQL["saved_rail_ids"])
+def saved_rail_ids(spark, d):
+    """Ids given in two runs, of even and of odd numbers, with counters kept between them; a third run gives all of them again as they are."""
+    samples = _table(spark, d, "customer").select(F.concat(F.lit("SRR"), F.lpad(F.col("c_custkey").cast("string"), 6, "0")).alias("accession"), "c_custkey")
+    state = _folder(spark, "counters")
+    for run in (samples.where("c_custkey % 2 = 0"), samples.where("c_custkey % 2 = 1")):
+        ids.assign_saved(run, 1, "c_custkey", state)
+    return ids.assign_saved(samples, 1, "c_custkey", state).select("accession", "c_custkey", "counter", "rail_id")
+
+
+_PACKED = """select l_partkey, string_agg(',' || l_orderkey || ':' || cast(l_quantity as bigint), '' order by l_orderkey, l_linenumber, cast(l_quantity as bigint)) samples, count(*) n, cast(sum(cast(l_quantity as bigint)) as bigint) total from lineitem where l_linenumber <= {} group by l_partkey"""
+
+
+@_query(f"""with d1 as ({_PACKED.format(1)}), d2 as ({_PACKED.format(2)}), d3 as ({_PACKED.format(7)})
+  select 'P' || p_partkey as gene, p_name as place, case when p_partkey % 4 = 0 and d3.n is not null then d3.samples when p_partkey % 3 = 0 and d2.n is not null then d2.samples when p_partkey % 2 = 0 and d1.n is not null then d1.samples else '' end samples,
+  case when p_partkey % 4 = 0 and d3.n is not null then d3.n when p_partkey % 3 = 0 and d2.n is not null then d2.n when p_partkey % 2 = 0 and d1.n is not null then d1.n else 0 end n,
+  case when p_partkey % 4 = 0 and d3.n is not null then d3.total when p_partkey % 3 = 0 and d2.n is not null then d2.total when p_partkey % 2 = 0 and d1.n is not null then d1.total else 0 end total
+  from part left join d1 on d1.l_partkey = p_partkey left join d2 on d2.l_partkey = p_partkey left join d3 on d3.l_partkey = p_partkey""")
+def packed_upserts(spark, d):
+    """Packed samples and their statistics replaced together by three upserts, the last one after a compaction."""
+    lines, path = _table(spark, d, "lineitem"), _folder(spark, "deltas")
+    entries = F.sort_array(F.collect_list(F.struct("l_orderkey", "l_linenumber", _long("l_quantity").alias("cov"), F.col("l_orderkey").alias("sample"))))
+    gene = F.concat(F.lit("P"), F.col("l_partkey").cast("string")).alias("gene")
+    packed = lambda k: lines.where(F.col("l_linenumber") <= k).groupBy("l_partkey").agg(scalars.pack_samples(entries).alias("samples"), F.count("*").alias("n"), F.sum(_long("l_quantity")).alias("total")).withColumn("gene", gene)
+    base = _table(spark, d, "part").select(F.concat(F.lit("P"), F.col("p_partkey").cast("string")).alias("gene"), F.col("p_name").alias("place"), F.lit("").alias("samples"), F.lit(0).cast("long").alias("n"), F.lit(0).cast("long").alias("total"))
+    table = deltas.KeyedTable(spark, path)
+    table.create(base, ["gene"], ["samples", "n", "total"])
+    for most, every in ((1, 2), (2, 3), (7, 4)):
+        if every == 4:
+            table.compact()
+        table.upsert(packed(most).where(F.col("l_partkey") % every == 0).select("gene", "samples", "n", "total"))
+    return table.read()
+
+
+@_query("""select p_partkey, case when p_size % 2 = 0 then p_partkey || chr(9) || 'G' || p_partkey || ':' || p_brand || chr(9) || ',9:' || p_size || chr(9) || '1' when p_size % 3 = 0 then p_partkey || chr(9) || 'G' || p_partkey || ':' || p_brand || chr(9) || ',1:2,3:4' || chr(9) || '2' else p_partkey || chr(9) || 'none' end as line from part""")
+def updated_lines(spark, d):
+    """Text lines whose samples are replaced by key; a key stands between the last tab before the samples and the first colon."""
+    part, key = _table(spark, d, "part"), F.concat(F.lit("G"), F.col("p_partkey").cast("string"))
+    number = F.col("p_partkey").cast("string")
+    lines = part.select("p_partkey", F.when((F.col("p_size") % 2 == 0) | (F.col("p_size") % 3 == 0), F.concat(number, F.lit("\t"), key, F.lit(":"), F.col("p_brand"), F.lit("\t,1:2,3:4\t2"))).otherwise(F.concat(number, F.lit("\tnone"))).alias("line"))
+    updates = part.where("p_size % 2 = 0").select(key.alias("key"), F.concat(F.lit(",9:"), F.col("p_size").cast("string"), F.lit("\t1")).alias("new"))
+    return deltas.updated_lines(lines, updates)
