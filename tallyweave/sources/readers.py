@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tallyweave import folders
 from tallyweave.functions import scalars
+from tallyweave.sources import frames
 
 ALIGNER = "chrom string, start long, end long, strand int, motif int, annotated int, num_uniques long, num_multis long, max_overhang long"
 GTF = "chrom string, source string, feature string, start long, end long, score string, strand string, frame string, attributes string"
@@ -22,23 +23,10 @@ def tsv(spark: SparkSession, paths: str | Sequence[str], schema: str) -> DataFra
     return spark.read.csv(paths if isinstance(paths, str) else list(paths), sep="\t", schema=schema, mode="PERMISSIVE").withColumn("path", F.col("_metadata.file_path"))
 
 
-def zstd_tsv(spark: SparkSession, paths: str | Sequence[str], names: Sequence[str]) -> DataFrame:
-    """Zstandard-compressed tab-separated text as string columns, decompressed as a stream in the tasks."""
-
-    def lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import io
-
-        import zstandard
-
-        for b in batches:
-            for path, content in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
-                text = io.TextIOWrapper(zstandard.ZstdDecompressor().stream_reader(content), "utf-8")
-                while part := text.readlines(1 << 22):
-                    yield pa.RecordBatch.from_arrays([pa.array([path] * len(part)), pa.array([x.rstrip("\n") for x in part])], names=["path", "line"])
-
-    files = spark.read.format("binaryFile").load(paths if isinstance(paths, str) else list(paths)).select("path", "content")
-    fields = F.split("line", "\t")
-    return files.mapInArrow(lines, "path string, line string").select(*(F.get(fields, F.lit(i)).alias(n) for i, n in enumerate(names)), "path")
+def zstd_tsv(spark: SparkSession, paths: str | Sequence[str], names: Sequence[str], part_bytes: int = frames.PART_BYTES) -> DataFrame:
+    """Zstandard-compressed tab-separated text as string columns, with path and line, read in parts of whole frames."""
+    fields = F.split("value", "\t")
+    return frames.zstd_lines(spark, paths, part_bytes).select(*(F.get(fields, F.lit(i)).alias(n) for i, n in enumerate(names)), "path", "line")
 
 
 def with_samples(rows: DataFrame, manifest: DataFrame, parts: int = 1) -> DataFrame:
@@ -59,13 +47,6 @@ def merged_junctions(spark: SparkSession, paths: str | Sequence[str]) -> DataFra
     return tsv(spark, paths, "chrom string, start long, end long, strand string, motif string, samples string").drop("path")
 
 
-def fasta(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
-    """chrom and seq of each record, by header name; records are whole in one row."""
-    text = spark.read.text(paths if isinstance(paths, str) else list(paths), lineSep=">").where("trim(value) <> ''")
-    head = F.regexp_extract("value", r"^(\S+)", 1)
-    return text.select(head.alias("chrom"), F.regexp_replace(F.regexp_replace("value", r"^[^\n]*\n?", ""), r"\s", "").alias("seq"))
-
-
 def fasta_chunks(spark: SparkSession, paths: str | Sequence[str], size: int = 65_536) -> DataFrame:
     """(chrom, chunk, seq) of each record, one base of overlap on the right, cut while the lines are read.
 
@@ -140,11 +121,16 @@ def sizes(spark: SparkSession, path: str) -> DataFrame:
 def exon_sums(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
     """(path, line, sum) of per-sample sums, of which only the fourth column is read; line counts rows of a file from 0.
 
-    Rows come in their file's order from one split each, as such files are
-    small or compressed whole.
+    A file may be read in several splits: rows are numbered inside each, in
+    which they come in order, and the sizes of a file's splits before, by where
+    they begin, lift the numbers.
     """
-    sums = spark.read.csv(paths if isinstance(paths, str) else list(paths), sep="\t", schema=EXON_SUMS).select("sum", F.col("_metadata.file_path").alias("path"), F.monotonically_increasing_id().alias("_m"))
-    return sums.select("path", (F.row_number().over(Window.partitionBy("path").orderBy("_m")) - 1).cast("long").alias("line"), "sum")
+    block = F.col("_metadata.file_block_start").alias("block")
+    sums = spark.read.csv(paths if isinstance(paths, str) else list(paths), sep="\t", schema=EXON_SUMS).select("sum", F.col("_metadata.file_path").alias("path"), block, F.monotonically_increasing_id().alias("_m"))
+    before = Window.partitionBy("path").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)  # one row for each split
+    splits = sums.groupBy("path", "block").agg(F.min("_m").alias("_least"), F.count("*").alias("_n"))
+    splits = splits.select("path", "block", "_least", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+    return sums.join(splits, ["path", "block"]).select("path", (F.col("_m") - F.col("_least") + F.col("_before")).alias("line"), "sum")
 
 
 def gtf(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:

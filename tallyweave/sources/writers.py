@@ -1,4 +1,4 @@
-"""Writers: range-sorted tables, split layouts, and sparse matrix text."""
+"""Writers: range-sorted tables, split layouts, and text with a preamble."""
 
 from __future__ import annotations
 
@@ -38,20 +38,6 @@ def table(df: DataFrame, name: str, bucket_by: Sequence[str] = (), buckets: int
     (w.bucketBy(buckets, *bucket_by).sortBy(*bucket_by) if bucket_by else w).saveAsTable(name)
 
 
-def matrix_market(triples: DataFrame, rows: DataFrame, columns: DataFrame, path: str, comment: str = "") -> None:
-    """MatrixMarket text: banner, comment, sizes, and one line for each entry, ordered by row and column.
-
-    Sizes are counted first; lines are numbered so that the parts, read in name
-    order, are the file.
-    """
-    n, m, nnz = rows.count(), columns.count(), triples.count()
-    spark = triples.sparkSession
-    head = spark.createDataFrame([(i, t) for i, t in enumerate(["%%MatrixMarket matrix coordinate integer general", f"%{comment}", f"{n}\t{m}\t{nnz}"])], "line long, value string")
-    body = numbered(triples, ["row_idx", "col_idx"], "line", 3).select("line", F.concat_ws("\t", *(F.col(c).cast("string") for c in triples.columns)).alias("value"))
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    head.unionByName(body).repartitionByRange(parts, "line").sortWithinPartitions("line").select("value").write.text(path)
-
-
 def with_preamble(df: DataFrame, path: str, preamble: Sequence[str]) -> None:
     """Tab-separated text with ## lines and a header of column names before it, in part-name order."""
     spark = df.sparkSession

@@ -17,7 +17,7 @@ from tallyweave.functions import scalars
 from tallyweave import folders
 from tallyweave.operators import annotation, checks, ids, intervals, joins, junctions, matrix, metadata, qc, ranges, rejoin
 from tallyweave.plans import unify
-from tallyweave.sources import deltas, indexed, readers, writers
+from tallyweave.sources import deltas, frames, indexed, readers, writers
 from tallyweave.streaming import readiness
 
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -1053,8 +1053,7 @@ def sorted_table(spark, d):
 def matrix_market_file(spark, d):
     path = _folder(spark, "mm")
     long = _table(spark, d, "lineitem").groupBy("l_suppkey", "l_linenumber").agg(F.sum(_long("l_quantity")).alias("v"))
-    triples, rows, columns = matrix.sparse(long, ["l_suppkey"], "l_linenumber", "v")
-    writers.matrix_market(triples, rows, columns, path, " sums")
+    frames.matrix_market(matrix.sparse(long, ["l_suppkey"], "l_linenumber", "v")[0], path, " sums")
     return spark.read.text(path).withColumnRenamed("value", "line")
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from tallyweave.functions import scalars
 from tallyweave.operators import annotation, checks, ids, intervals, joins, junctions, matrix, qc, ranges, rejoin
 from tallyweave.plans import unify
-from tallyweave.sources import readers, writers
+from tallyweave.sources import frames, readers, writers
 
 
 def rows(df, *cols):
@@ -161,7 +161,7 @@ def test_sparse_matrix_text(spark, tmp_path):
     triples, r, c = matrix.sparse(long, ["r"], "s", "v")
     assert rows(triples) == [(1, 1, 1), (1, 2, 3), (2, 2, 4)]
     assert checks.sparse_matrix(triples, r, c).first().ok
-    writers.matrix_market(triples, r, c, str(tmp_path / "mm"), " made here")
+    frames.matrix_market(triples, str(tmp_path / "mm"), " made here")
     text = "".join(p.read_text() for p in sorted((tmp_path / "mm").glob("part-*")))
     assert text == "%%MatrixMarket matrix coordinate integer general\n% made here\n2\t2\t3\n1\t1\t1\n1\t2\t3\n2\t2\t4\n"
 
@@ -184,8 +184,6 @@ def test_readers(spark, tmp_path):
     assert rows(readers.junction_bed(spark, str(tmp_path / "a.bed")), "chrom", "start", "cov") == [("c", 1, "3")]
     (tmp_path / "x.zst").write_bytes(zstandard.compress(b"c\t1\t2\nd\t3\t4\n"))
     assert rows(readers.zstd_tsv(spark, str(tmp_path / "x.zst"), ["chrom", "start", "end"]), "chrom", "end") == [("c", "2"), ("d", "4")]
-    (tmp_path / "g.fa").write_text(">chr1 x\nACG\nTT\n>chr2\nGG\n")
-    assert rows(readers.fasta(spark, str(tmp_path / "g.fa"))) == [("chr1", "ACGTT"), ("chr2", "GG")]
     (tmp_path / "m.tsv").write_text('Study ID\tSample\tsample\n"s\n1"\ta\tb\n')
     assert rows(readers.table_with_header(spark, str(tmp_path / "m.tsv"))) == [("s 1", "a")]
     (tmp_path / "j.json").write_text('{"total_runtime": 9.5, "rules": {"a": {"min-runtime": 2.0}, "b": {"min-runtime": 3.0}}}')
