@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 
@@ -55,3 +55,24 @@ def quarantine(items: DataFrame, good: DataFrame, key: str) -> tuple[DataFrame,
 def within(diffs: DataFrame, by: str, most: int) -> DataFrame:
     """Whether each annotation's number of differences is below a bound."""
     return diffs.groupBy(by).agg(F.count("*").alias("differences")).withColumn("ok", F.col("differences") <= most)
+
+
+def written(df: DataFrame, path: str, by: Sequence[str] = (), **figures: Column) -> dict:
+    """Write df as Parquet and return figures over its rows, aggregates that the writing tasks themselves observe."""
+    seen = Observation("written")
+    df.observe(seen, *(c.alias(name) for name, c in figures.items())).write.partitionBy(*by).parquet(path)
+    return seen.get
+
+
+def matrix_written(triples: DataFrame, path: str, rows: int, columns: int, entries: int | None = None, value: str = "value") -> dict:
+    """Write sparse triples and check them in the same job: entries, blanks, the bounds of both indices, and whether all is as expected.
+
+    Indices count from 1; the last column must be used, a row needn't be.
+    """
+    blank = lambda c: F.col(c).isNull() | (F.col(c).cast("string") == "")
+    made = written(
+        triples, path, entries=F.count(F.lit(1)), blanks=F.count_if(blank("row_idx") | blank("col_idx") | blank(value)),
+        first_row=F.min("row_idx"), last_row=F.max("row_idx"), first_column=F.min("col_idx"), last_column=F.max("col_idx"),
+    )
+    inside = (made["first_row"] or 1) >= 1 and (made["first_column"] or 1) >= 1 and (made["last_row"] or 0) <= rows and (made["last_column"] or 0) == columns
+    return {**made, "ok": not made["blanks"] and inside and entries in (None, made["entries"])}

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterable, Sequence
+from typing import Any
 
+import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -58,14 +61,92 @@ def filter_by(rows: DataFrame, column: str, words: DataFrame, word: str, delimit
     return keyed.join(hits, "_id", "left_anti" if exclude else "left_semi").drop("_id")
 
 
+#: Patterns that one expression or automaton holds, and rows that a block of a search with more of them holds.
+PATTERNS, BLOCK_ROWS = 10_000, 100_000
+
+
+def _kept(rows: DataFrame, ids: DataFrame, exclude: bool) -> DataFrame:
+    return rows.join(ids.select("_id").distinct(), "_id", "left_anti" if exclude else "left_semi").drop("_id")
+
+
+def _cells(rows: DataFrame, column: str, patterns: DataFrame, shards: int) -> tuple[DataFrame, DataFrame]:
+    """Texts (_id, _t) and patterns (_w), each once in every cell of a shard of patterns and a block of rows."""
+    blocks = max(1, -(-rows.count() // BLOCK_ROWS))
+    every = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n - 1).cast("long")))
+    texts = rows.select("_id", F.col(column).cast("string").alias("_t")).where("_t is not null").withColumn("_b", F.pmod(F.xxhash64("_id"), F.lit(blocks))).withColumn("_s", every(shards))
+    words = patterns.withColumn("_s", F.pmod(F.xxhash64("_w"), F.lit(shards))).withColumn("_b", every(blocks))
+    return texts, words
+
+
 def filter_by_patterns(rows: DataFrame, column: str, patterns: DataFrame, pattern: str, exclude: bool = False, most: int = 1000) -> DataFrame:
-    """Rows that some regular expression matches; each `most` patterns become one expression. A null text matches none."""
-    found = sorted(r[0] for r in patterns.select(pattern).where(F.col(pattern).isNotNull()).distinct().toLocalIterator())
-    hit = F.lit(False)
-    for i in range(0, len(found), most):
-        hit = hit | F.col(column).rlike("|".join(f"(?:{p})" for p in found[i : i + most]))
-    hit = F.coalesce(hit, F.lit(False))
-    return rows.where(~hit if exclude else hit)
+    """Rows that some regular expression matches. A null text matches none.
+
+    Up to `most` different patterns are one expression in the scan. More are
+    joined to one expression for each `most`, inside tasks, and these meet the
+    rows in blocks; no list of patterns comes to the driver.
+    """
+    words = patterns.select(F.col(pattern).cast("string").alias("_w")).where("_w is not null").distinct()
+    few = [r[0] for r in words.limit(most + 1).collect()]
+    if not few:
+        return rows if exclude else rows.limit(0)
+    if len(few) <= most:
+        hit = F.coalesce(F.col(column).rlike("|".join(f"(?:{p})" for p in sorted(few))), F.lit(False))
+        return rows.where(~hit if exclude else hit)
+    keyed = folders.rewritten(rows.withColumn("_id", F.monotonically_increasing_id()), "filtered")
+    texts, cells = _cells(keyed, column, words, -(-words.count() // most))
+    whole = cells.groupBy("_s", "_b").agg(F.concat_ws("|", F.transform(F.collect_list("_w"), lambda p: F.concat(F.lit("(?:"), p, F.lit(")")))).alias("_w"))  # about `most` each
+    return _kept(keyed, texts.join(whole, ["_s", "_b"]).where(F.regexp_like("_t", F.col("_w"))), exclude)
+
+
+def _automaton(words: Iterable[str]) -> Any:
+    import ahocorasick
+
+    a = ahocorasick.Automaton()
+    for w in words:
+        a.add_word(w, 1)
+    a.make_automaton()
+    return a
+
+
+def _holds(automaton: Any, text: str | None) -> bool:
+    return text is not None and next(automaton.iter(text), None) is not None
+
+
+def filter_by_literals(rows: DataFrame, column: str, words: DataFrame, word: str, exclude: bool = False, ignore_case: bool = False, most: int = PATTERNS) -> DataFrame:
+    """Rows whose text holds some of the words anywhere; one pass over a text finds them all, by an Aho-Corasick automaton.
+
+    Up to `most` words are one automaton in every task. More are dealt into
+    shards of about as many, each with an automaton of its own, which meet the
+    rows in blocks. An empty word is in every text, a null one in none, and a
+    null text holds none.
+    """
+    fold = F.upper if ignore_case else (lambda c: c)
+    table = words.select(fold(F.col(word).cast("string")).alias("_w")).where("_w is not null").distinct()
+    few = [r[0] for r in table.limit(most + 1).collect()]
+    if not few:
+        return rows if exclude else rows.limit(0)
+    if "" in few or len(few) > most and table.where("_w = ''").take(1):
+        any_text = F.col(column).isNotNull()
+        return rows.where(~any_text if exclude else any_text)
+    if len(few) <= most:
+
+        @F.pandas_udf("boolean")
+        def found(texts: pd.Series) -> pd.Series:
+            automaton = _automaton(few)
+            return texts.map(lambda t: _holds(automaton, t)).astype(bool)
+
+        hit = found(fold(F.col(column).cast("string")))
+        return rows.where(~hit if exclude else hit)
+
+    def search(texts: pa.Table, own: pa.Table) -> pa.Table:
+        automaton = _automaton(own["_w"].to_pylist()) if own.num_rows else None
+        hits = [i for i, t in zip(texts["_id"].to_pylist(), texts["_t"].to_pylist(), strict=True) if automaton and _holds(automaton, t)]
+        return pa.table({"_id": pa.array(hits, pa.int64())})
+
+    keyed = folders.rewritten(rows.withColumn("_id", F.monotonically_increasing_id()), "filtered")
+    texts, cells = _cells(keyed, column, table, -(-table.count() // most))
+    texts = texts.withColumn("_t", fold(F.col("_t")))
+    return _kept(keyed, texts.groupBy("_s", "_b").cogroup(cells.groupBy("_s", "_b")).applyInArrow(search, "_id long"), exclude)
 
 
 def first_match(rows: DataFrame, table: DataFrame, keys: Sequence[str], key: str, value: str) -> DataFrame:

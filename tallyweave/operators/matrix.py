@@ -23,6 +23,15 @@ def sparse(long: DataFrame, row: Sequence[str], column: str, value: str) -> tupl
     return long.join(rows, list(row)).join(columns, column).select("row_idx", "col_idx", value), rows, columns
 
 
+#: Columns of a junction table's row attributes, in order. Fixed values.
+ROW_ATTRIBUTES = ("chromosome", "start", "end", "length", "strand", "annotated", "left_motif", "right_motif", "left_annotated", "right_annotated")
+
+
+def row_attributes(rows: DataFrame, junctions: DataFrame, key: Sequence[str] = ("chrom", "start", "end")) -> DataFrame:
+    """The ten attributes of each matrix row, with row_idx, from annotated junctions by the rows' key."""
+    return rows.join(junctions.withColumn("chromosome", F.col("chrom")), list(key)).select("row_idx", *ROW_ATTRIBUTES)
+
+
 def packed_to_long(packed: DataFrame, samples: str = "samples", kind: str = "string") -> DataFrame:
     """A row for each entry of a packed list; kind is the type of sample ids."""
     keep = [c for c in packed.columns if c != samples]

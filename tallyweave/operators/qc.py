@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -19,34 +19,64 @@ def metrics(logs: DataFrame, patterns: Mapping[str, str], text: str = "text") ->
     return each.withColumn("key", F.when(F.col("_i") > 0, F.concat("key", (F.col("_i") + 1).cast("string"))).otherwise(F.col("key"))).drop("_i")
 
 
-#: What each kind of log holds: a name and a number on a line. Fixed values of the tools' formats.
-LINES = {
-    "star": r"^\s*([^|]+?)\s+\|\t(\d+(?:\.\d+)?)",
-    "idxstats": r"^([^*\t][^\t]*)\t\d+\t(\d+)\t",
-    "bc_auc": r"^([^\t]+)\t(\d+)$",
-    "bc_frag": r"^STAT\t([^\t]+)\t(\d+(?:\.\d+)?)$",
+def _number(text: Column) -> Column:
+    """The number that a text begins with, spaces and what follows aside."""
+    return F.regexp_extract(F.ltrim(text), r"^[0-9]+(\.[0-9]+)?", 0).try_cast("double")
+
+
+def _field(line: Column, i: int, by: str = "\t") -> Column:
+    return F.get(F.split(line, by), F.lit(i))
+
+
+#: Name and value of a line of each kind of log; both are null in lines that hold none.
+LINES: dict[str, Callable[[Column], tuple[Column, Column]]] = {
+    # the aligner: name |<tab>value, of which dates and texts count nothing
+    "star": lambda t: (F.trim(F.substring_index(t, "|", 1)), _number(_field(t, 1, r"\|\t"))),
+    # reads by sequence: name, length, mapped, unmapped; * stands for those without a place
+    "idxstats": lambda t: (F.when(~t.startswith("*"), _field(t, 0)), _number(_field(t, 2))),
+    # covered bases: name and value
+    "bc_auc": lambda t: (F.when(F.size(F.split(t, "\t")) == 2, _field(t, 0)), _number(_field(t, 1))),
+    # fragment lengths: the word STAT, name and value
+    "bc_frag": lambda t: (F.when(_field(t, 0) == "STAT", _field(t, 1)), _number(_field(t, 2))),
+    # a feature counter: reads looked at, and those that some feature got, after a colon
+    "counter": lambda t: (F.when(t.contains("Successfully assigned"), "assigned").when(t.contains("Total "), "total"), _number(F.substring_index(t, ":", -1))),
 }
-#: A feature counter's log gives two numbers on two lines. Fixed values.
-COUNTER = {"total": r"Total\s+[^\s]+\s*:\s*(\d+)", "assigned": r"Successfully\s+assigned\s+[^\s]+\s*:\s*(\d+)"}
 
 
-def log_lines(logs: DataFrame, kind: str, text: str = "text") -> DataFrame:
-    """(…, key, value) of every line of a kind of log, in order: key is the kind and the line's name with underscores.
+def _numbered(each: DataFrame, keep: Sequence[str], kind: str) -> DataFrame:
+    """Rows (…, _i, _k, value) with keys kind.name, and a number behind a name that comes again, in order."""
+    n = F.row_number().over(Window.partitionBy(*keep, "_k").orderBy("_i"))
+    key = F.concat(F.lit(f"{kind}."), F.regexp_replace("_k", " ", "_"))
+    return each.withColumn("_n", n).select(*keep, F.when(F.col("_n") > 1, F.concat(key, F.col("_n").cast("string"))).otherwise(key).alias("key"), "value")
+
+
+def log_lines(logs: DataFrame, kind: str, text: str = "text", name: str | None = None) -> DataFrame:
+    """(…, key, value) of every line of a kind of log, in order: key is the kind, or the name given, and the line's name with underscores.
 
     A name that comes again is name2, name3, as where an aligner ran twice.
     """
     keep = [c for c in logs.columns if c != text]
-    names, values = (F.regexp_extract_all(F.col(text), F.lit("(?m)" + LINES[kind]), F.lit(i)) for i in (1, 2))
-    each = logs.select(*keep, F.posexplode(F.arrays_zip(names.alias("k"), values.alias("v"))).alias("_i", "_l"))
-    named = each.select(*keep, "_i", F.concat(F.lit(f"{kind}."), F.regexp_replace("_l.k", " ", "_")).alias("key"), F.col("_l.v").cast("double").alias("value"))
-    n = F.row_number().over(Window.partitionBy(*keep, "key").orderBy("_i"))
-    return named.withColumn("_n", n).withColumn("key", F.when(F.col("_n") > 1, F.concat("key", F.col("_n").cast("string"))).otherwise(F.col("key"))).drop("_n", "_i")
+    each = logs.select(*keep, F.posexplode(F.split(text, "\r?\n")).alias("_i", "_t"))
+    label, value = LINES[kind](F.col("_t"))
+    found = each.select(*keep, "_i", label.alias("_k"), value.alias("value")).where("_k <> '' and value is not null")
+    return _numbered(found, keep, name or kind)
 
 
 def counter_lines(logs: DataFrame, name: str, text: str = "text") -> DataFrame:
     """(…, key, value) of a feature counter's log: total and assigned reads."""
-    found = metrics(logs, COUNTER, text)
-    return found.withColumn("key", F.concat(F.lit(f"{name}."), "key")).withColumn("value", F.col("value").cast("double"))
+    return log_lines(logs, "counter", text, name)
+
+
+def read_quality(logs: DataFrame, text: str = "text") -> DataFrame:
+    """(…, key, value) of a read-quality table: mean quality and error quality over all positions, of the first reads and, as avgQ2 and errQ2, of their mates.
+
+    The line ALL has, after it, the bases, five shares of letters, and these two.
+    """
+    keep = [c for c in logs.columns if c != text]
+    each = logs.select(*keep, F.posexplode(F.split(text, "\r?\n")).alias("_i", "_t")).where("_t rlike '^ALL[ \t]'")
+    cells = F.array(*(F.struct(F.lit(k).alias("k"), _number(_field(F.col("_t"), i, "[ \t]+")).alias("v")) for k, i in (("avgQ", 7), ("errQ", 8))))
+    found = each.select(*keep, "_i", F.explode(cells).alias("c")).select(*keep, "_i", F.col("c.k").alias("_k"), F.col("c.v").alias("value")).where("value is not null")
+    return _numbered(found, keep, "seqtk")
 
 
 #: Ratios of the report: name, part, whole. Fixed values.

@@ -8,6 +8,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tallyweave.functions import scalars
 from tallyweave.operators import junctions, matrix, ranges, rejoin
 
 
@@ -36,7 +37,8 @@ def gene_and_exon_sums(sums: DataFrame, exons: DataFrame, samples: DataFrame, ge
 
     sums may lack rows, and hold no more than a sample's own file had. exons
     has each exon_id's piece and type, and with order a piece listed again for
-    a sample counts once, the first time. Rows of samples that aren't listed
+    a sample counts once, the first time; introns are summed as they are
+    listed, so there it counts again. Rows of samples that aren't listed
     go. The long results hold what was measured; features and studies that lack
     rows count zero in study_rows().
     """
@@ -95,3 +97,23 @@ def write_studies(rows: DataFrame, path: str, columns: Sequence[str], preamble:
 def across_tranches(tranches: Sequence[dict[str, DataFrame]]) -> dict[str, DataFrame]:
     """The long results of several tranches, each of its own samples, as one."""
     return {name: reduce(DataFrame.unionByName, (t[name] for t in tranches)) for name in ("genes", "exons", "introns")} | {name: tranches[0][name] for name in ("gene_features", "exon_features")}
+
+
+def exons_by_annotation(exons: DataFrame, masks: DataFrame, annotations: Sequence[str], exon: str = "exon", width: int = 3) -> DataFrame:
+    """Each exon as often as each annotation lists it, for different genes: with annotation, and copy counted from 1."""
+    listed = masks.select(exon, F.posexplode(scalars.mask_counts(F.col("mask"), width)).alias("_i", "_times")).where("_times > 0")
+    names = F.element_at(F.array(*map(F.lit, annotations)), F.col("_i") + 1).alias("annotation")
+    return rejoin.replicate(exons.join(listed.select(exon, names, "_times"), exon), "_times").drop("_times")
+
+
+def exon_splits(tranches: Sequence[tuple[DataFrame, DataFrame]], exons: DataFrame, gene_names: DataFrame, annotations: Sequence[str], exon: str = "exon", value: str = "sum") -> DataFrame:
+    """Rows for write_studies() of the exon sums of several tranches: each study's samples from all of them, each exon under every annotation that lists it.
+
+    tranches are pairs of long sums (exon, sample, value) and samples (study,
+    sample); gene_names has the annotated genes of each exon. Masks, copies and
+    the layout by study and annotation are one plan; sums are joined once and
+    never copied with their exons.
+    """
+    long, samples = (reduce(DataFrame.unionByName, part) for part in zip(*tranches, strict=True))
+    masks = rejoin.exon_masks(exons.select(exon).distinct(), gene_names, annotations, exon)
+    return study_rows(long, exons_by_annotation(exons, masks, annotations, exon), samples, [exon], value)

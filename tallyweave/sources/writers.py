@@ -14,10 +14,15 @@ def compressed_tsv(df: DataFrame, path: str, header: bool = False) -> None:
     df.write.csv(path, sep="\t", header=header, compression="gzip", quote="", emptyValue="")
 
 
-def range_sorted(df: DataFrame, path: str, by: Sequence[str] = ("chrom", "start"), parts: int | None = None) -> None:
-    """Parquet in coordinate order, so that a range scan reads few row groups."""
+def range_sorted(df: DataFrame, path: str, by: Sequence[str] = ("chrom", "start"), parts: int | None = None, line: str | None = None) -> None:
+    """Parquet in coordinate order, so that a range scan reads few row groups.
+
+    line names a column with the rows' order of arrival: rows alike in `by` keep
+    it, as under a stable sort.
+    """
     n = parts or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    df.repartitionByRange(n, *by).sortWithinPartitions(*by).write.parquet(path)
+    order = [*by, line] if line else list(by)
+    df.repartitionByRange(n, *order).sortWithinPartitions(*order).write.parquet(path)
 
 
 def split_by(df: DataFrame, path: str, by: Sequence[str] = ("study_lo", "study", "annotation")) -> None:

@@ -868,10 +868,11 @@ def quarantine(spark, d):
 
 @_query("""select s_suppkey, case when s_acctbal > 0 then s_nationkey + 1 else s_nationkey end s_nationkey, s_acctbal > 0 changed from supplier""")
 def guarded_update(spark, d):
-    """New counts, where a guarded key, one without new counts, must stay as it is."""
+    """New counts, where guarded keys, some of which have no new counts, must stay as they are."""
     old = _table(spark, d, "supplier").select("s_suppkey", "s_nationkey")
     new = _table(spark, d, "supplier").where("s_acctbal > 0").select("s_suppkey", (F.col("s_nationkey") + 1).alias("s_nationkey"))
-    return rejoin.guarded_update(old, new, "s_suppkey", ["s_nationkey"], [-1])
+    guard = [r[0] for r in old.join(new, "s_suppkey", "left_anti").orderBy("s_suppkey").limit(5).collect()]
+    return rejoin.guarded_update(old, new, "s_suppkey", ["s_nationkey"], guard)
 
 
 @_query("""with j as (select l_returnflag chrom, l_partkey as start, l_partkey + 100 as "end", 'x' || l_suppkey % 3 looked, ',' || l_orderkey || ':' || cast(l_quantity as bigint) samples, l_linestatus strand from lineitem)
@@ -1132,12 +1133,11 @@ def gene_sums_filled(spark, d):
     return rows.select("gene_id", F.explode(F.arrays_zip("samples", "counts")).alias("x")).select("gene_id", F.col("x.samples").alias("sample"), F.col("x.counts").alias("value"))
 
 
-@_query(f"""with {_UNIFIED} select sample, cast(sum(q) as bigint) as value from k where intron group by sample""")
+@_query(f"""with {_UNIFIED} select sample, cast(sum(q) * case when sample < 2 then 2 else 1 end as bigint) as value from k where intron group by sample""")
 def tranche_intron_sums(spark, d):
-    """Intron sums of two tranches of samples, put together."""
+    """Intron sums of two tranches of samples, put together; a piece that a file lists twice counts twice in them."""
     tranches = [_unified(spark, d, F.col("sample") % 2 == i) for i in (0, 1)]
-    # a piece that a file lists twice counts twice here: introns are summed as they are
-    return unify.across_tranches(tranches)["introns"].withColumn("value", F.when(F.col("sample") < 2, F.expr("value div 2")).otherwise(F.col("value")))
+    return unify.across_tranches(tranches)["introns"]
 
 
 @_query("""with s as (select l_partkey k, cast(sum(cast(l_quantity as bigint)) as bigint) v from lineitem where l_discount > 0.09 group by 1) select p_partkey as exon_id, coalesce(v, 0) as value from part left join s on k = p_partkey""")
@@ -1243,3 +1243,100 @@ def updated_lines(spark, d):
     lines = part.select("p_partkey", F.when((F.col("p_size") % 2 == 0) | (F.col("p_size") % 3 == 0), F.concat(number, F.lit("\t"), key, F.lit(":"), F.col("p_brand"), F.lit("\t,1:2,3:4\t2"))).otherwise(F.concat(number, F.lit("\tnone"))).alias("line"))
     updates = part.where("p_size % 2 = 0").select(key.alias("key"), F.concat(F.lit(",9:"), F.col("p_size").cast("string"), F.lit("\t1")).alias("new"))
     return deltas.updated_lines(lines, updates)
+
+
+_MOVED = """c as (select 'c' chrom, p_partkey * 50 as s, p_partkey * 50 + 40 as e, 'd' || p_partkey // 40 % 3 to_chrom, p_partkey // 40 as chain, 1000000 as size, p_partkey // 40 % 2 = 1 minus, p_partkey * 60 as t from part),
+  j as (select distinct l_orderkey % 50 id, l_partkey * 50 + l_linenumber * 6 as s, (l_partkey + l_linenumber) * 50 + cast(l_quantity as bigint) % 45 as e, translate(l_linestatus, 'OF', '+-') strand from lineitem),
+  p as (select j.*, a.chain, a.to_chrom, a.minus, a.size, a.t + j.s - 1 - a.s x, b.t + j.e - 1 - b.s y from j join c a on j.s - 1 >= a.s and j.s - 1 < a.e join c b on a.chain = b.chain and j.e - 1 >= b.s and j.e - 1 < b.e)"""
+
+
+def _chained(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+    """Spans over several blocks, lifted by chains of which every other one goes to a minus strand."""
+    part = _table(spark, d, "part")
+    chain = F.expr("p_partkey div 40")
+    chains = part.select(chain.alias("chain"), F.lit(1).alias("score"), F.lit("c").alias("chrom"), (F.col("p_partkey") * 50).alias("start"), (F.col("p_partkey") * 50 + 40).alias("end"), F.concat(F.lit("d"), (chain % 3).cast("string")).alias("to_chrom"), F.lit(1000000).alias("to_size"), F.when(chain % 2 == 1, "-").otherwise("+").alias("to_strand"), (F.col("p_partkey") * 60).alias("to_start"))
+    spans = _table(spark, d, "lineitem").select((F.col("l_orderkey") % 50).alias("id"), F.lit("c").alias("chrom"), (F.col("l_partkey") * 50 + F.col("l_linenumber") * 6).alias("start"), ((F.col("l_partkey") + F.col("l_linenumber")) * 50 + _long("l_quantity") % 45).alias("end"), F.translate("l_linestatus", "OF", "+-").alias("strand"))
+    return annotation.lift_ends(spans, chains, 1024)
+
+
+@_query(f"""with {_MOVED} select id, to_chrom as chrom, case when minus then size - y else x + 1 end as start, case when minus then size - x else y + 1 end as "end", case when minus then translate(strand, '+-', '-+') else strand end strand from p""")
+def lift_by_chains(spark, d):
+    """Both ends of a junction moved apart, by one chain; minus strands turn it round."""
+    return _chained(spark, d)[0]
+
+
+@_query(f"""with {_MOVED} select id, 'c' as chrom, s as start, e as "end", strand from j except select id, 'c', s, e, strand from p""")
+def lift_by_chains_rejects(spark, d):
+    return _chained(spark, d)[1]
+
+
+@_query("""with l as (select l_linenumber % 3 study, l_suppkey sample, l_partkey % 60 exon, cast(sum(cast(l_quantity as bigint)) as bigint) v from lineitem group by all),
+  n as (select l_partkey % 60 exon, 'A' || l_suppkey % 2 + 1 as annotation, count(distinct l_suppkey) m from lineitem where l_orderkey % 7 = 0 group by all),
+  s as (select distinct study, sample from l), r as (select exon, annotation, unnest(range(1, m + 1)) as copy from n)
+  select cast(s.study as varchar) study, r.annotation, r.exon, r.copy, s.study || '/' || s.sample as sample, coalesce(v, 0) as value from s cross join r left join l on l.study = s.study and l.sample = s.sample and l.exon = r.exon""")
+def exon_splits(spark, d):
+    """Exon sums of two tranches in files by study and annotation, each exon as often as an annotation lists it, read back."""
+    lines = _table(spark, d, "lineitem").select((F.col("l_linenumber") % 3).cast("string").alias("study"), F.col("l_suppkey").alias("own"), (F.col("l_partkey") % 60).alias("exon"), _long("l_quantity").alias("q"), "l_orderkey", "l_suppkey")
+    lines = lines.withColumn("sample", F.concat_ws("/", "study", F.col("own").cast("string")))
+    half = lambda i: lines.where(F.col("own") % 2 == i)
+    tranches = [(half(i).groupBy("exon", "sample").agg(F.sum("q").alias("sum")), half(i).select("study", "sample").distinct()) for i in (0, 1)]
+    gene = F.concat(F.lit("G"), F.col("l_suppkey").cast("string"), F.lit(".A"), (F.col("l_suppkey") % 2 + 1).cast("string"))
+    names = lines.where("l_orderkey % 7 = 0").select("exon", gene.alias("gene")).distinct()
+    rows = unify.exon_splits(tranches, lines.select("exon").distinct(), names, ["A1", "A2"])
+    path = _folder(spark, "exon-splits")
+    unify.write_studies(rows, path, ["exon", "copy"], kind="exon_sums")
+    return readers.study_cells(spark, path, ["exon", "copy"]).select("study", "annotation", _long("exon").alias("exon"), _long("copy").alias("copy"), "sample", _long("value").alias("value"))
+
+
+@_query("select doc_id from documents where exists (select 1 from (select distinct split_part(p_name, ' ', 1) w from part) where contains(lower(text), lower(w)))")
+def literal_filter(spark, d):
+    """Documents that hold some part's first word anywhere, in either case, by an automaton for each fifty words."""
+    words = _table(spark, d, "part").select(F.split_part("p_name", F.lit(" "), F.lit(1)).alias("w"))
+    return joins.filter_by_literals(_table(spark, d, "documents").select("doc_id", "text"), "text", words, "w", ignore_case=True, most=50).select("doc_id")
+
+
+@_query("""with l as (select dense_rank() over (order by l_orderkey) r, dense_rank() over (order by l_suppkey) c, cast(sum(cast(l_quantity as bigint)) as bigint) v from lineitem group by l_orderkey, l_suppkey)
+  select count(*) as entries, 0 as blanks, min(r) first_row, max(r) last_row, min(c) first_column, max(c) last_column, true as ok from l""")
+def matrix_written(spark, d):
+    """A sparse matrix written and checked by one job, the figures of which are observed while it writes."""
+    long = _table(spark, d, "lineitem").groupBy("l_orderkey", "l_suppkey").agg(F.sum(_long("l_quantity")).alias("value"))
+    triples, rows, columns = matrix.sparse(long, ["l_orderkey"], "l_suppkey", "value")
+    figures = checks.matrix_written(triples, _folder(spark, "checked"), rows.count(), columns.count())
+    names = ["entries", "blanks", "first_row", "last_row", "first_column", "last_column"]
+    return spark.createDataFrame([(*(figures[n] for n in names), figures["ok"])], ", ".join([*(f"{n} long" for n in names), "ok boolean"]))
+
+
+@_query("""select o_orderkey, o_custkey from orders where cast(o_custkey % 10 as varchar) in ('3', '7')""")
+def of_studies(spark, d):
+    """Rows of two studies, by equality."""
+    orders = _table(spark, d, "orders").withColumn("study", (F.col("o_custkey") % 10).cast("string"))
+    return metadata.of_studies(orders, ["3", "7"]).select("o_orderkey", "o_custkey")
+
+
+@_query("""select p_partkey, 'seqtk.' || k as key, v as value from (select p_partkey, unnest(['avgQ', 'errQ', 'avgQ2', 'errQ2']) k, unnest([p_size + 0.5, p_size + 0.25, p_size + 1.5, p_size + 1.25]) v from part)""")
+def read_quality_log(spark, d):
+    """Mean and error quality of both reads from their table's ALL lines."""
+    line = "ALL\t%d\t25.0\t25.0\t25.0\t24.9\t0.1\t%d.5\t%d.25\t0.0\t99.9"
+    text = F.format_string(f"min_len: 100\nPOS\tbases\n{line}\n1\t9\n{line}", F.lit(900), "p_size", "p_size", F.lit(800), F.col("p_size") + 1, F.col("p_size") + 1)
+    return qc.read_quality(_table(spark, d, "part").select("p_partkey", text.alias("text")))
+
+
+@_query(f"""with {_J}, m as (select distinct chrom, start, "end", first(strand order by {_TIE}) over (partition by chrom, start, "end") strand, first(motif order by {_TIE}) over (partition by chrom, start, "end") motif from j)
+  select dense_rank() over (order by chrom, start, "end") row_idx, chrom as chromosome, start, "end", "end" + 1 - start as length, strand, 0 as annotated, upper(split_part(motif, '-', 1)) left_motif, upper(split_part(motif, '-', 2)) right_motif, '0' left_annotated, '0' right_annotated from m""")
+def row_attributes(spark, d):
+    """The ten attributes of a junction matrix's rows."""
+    merged = folders.rewritten(junctions.merge_packed(_rows(spark, d)), "merged")
+    none = spark.createDataFrame([], "chrom string, start long, end long, sources string")
+    annotated = junctions.annotate(merged.drop("samples"), none)
+    rows = ranges.numbered(merged.select("chrom", "start", "end"), ["chrom", "start", "end"], "row_idx", 1)
+    return matrix.row_attributes(rows, annotated)
+
+
+@_query("""select o_custkey % 10 as chrom, o_orderkey % 7 as start, o_orderkey, row_number() over (order by o_custkey % 10, o_orderkey % 7, o_orderkey) - 1 as place from orders""")
+def stable_order(spark, d):
+    """Rows alike in their coordinates keep their order of arrival in a sorted table; place counts them as they are read."""
+    path = _folder(spark, "stable")
+    rows = _table(spark, d, "orders").select((F.col("o_custkey") % 10).alias("chrom"), (F.col("o_orderkey") % 7).alias("start"), "o_orderkey")
+    writers.range_sorted(rows, path, line="o_orderkey")
+    read = spark.read.parquet(path).select("*", F.col("_metadata.file_name").alias("_f"), F.col("_metadata.row_index").alias("_r"))
+    return ranges.numbered(read, ["_f", "_r"], "place").drop("_f", "_r")
