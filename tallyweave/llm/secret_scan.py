@@ -1,14 +1,18 @@
 """Secrets in text: three base patterns, and a battery of randomness tests.
 
-Every long run of encoding signs is judged under the encodings it may be
-(hexadecimal, base 32, base 64) by three tests against a uniform source: chi
-squared over the alphabet, runs about the middle of the alphabet, and serial
-correlation. Fisher's sum of the three says how unlike a random string the run
-is. How often ordinary long words, read in the same encoding and no longer,
-look as random gives the run's p-value: a fixed reference of letter strings says
-so for a start, whatever the corpus's size, and the corpus's own words refine
-it. Benjamini and Hochberg's rule over all runs of the corpus then bounds the
-share of false finds.
+Every long run of encoding signs is judged under the encoding that it may be:
+hexadecimal and base 32 by their alphabets, base 64 if it has letters of both
+cases and digits and isn't for the most part made of words, as identifiers,
+paths and addresses are. UUIDs are names, and never secrets. Three tests against
+a uniform source follow: chi squared over the alphabet, runs about the middle of
+the alphabet, and serial correlation; Fisher's sum of the three says how unlike
+a random string the run is. How often ordinary strings of that encoding, as long
+or shorter, look as random gives the run's p-value: a fixed reference, of letter
+strings and for hexadecimal of padded, repeated, ascending and dated numbers,
+says so for a start, whatever the corpus's size, and the corpus's own long words
+refine it. Benjamini and Hochberg's rule over all judged runs of the corpus then
+bounds the share of false finds; a run whose sum alone says that it isn't
+uniform is never taken.
 """
 
 from __future__ import annotations
@@ -32,8 +36,14 @@ ASSIGN_VALUE, ACCESS_LENGTH, HEX_LENGTH = 6, 20, 24
 _HINTS = (b"passw", b"secret", b"token", b"api_key", b"apikey")
 
 #: Shortest run that the battery judges, the length classes' lower ends, and the share of false finds allowed.
-RUN_LENGTH, LENGTHS, FALSE_SHARE = 20, (20, 24, 32, 48, 64, 128), 0.01
+RUN_LENGTH, LENGTHS, FALSE_SHARE = 20, (20, 22, 24, 28, 32, 36, 40, 48, 64, 96, 128), 0.01
 _ENCODINGS = (16, 32, 64)
+
+#: Fisher's sum of three tests from which on a string isn't uniform, whatever others there are: one random string in a thousand is beyond.
+NOT_UNIFORM = 23
+
+#: The share of a run's signs in words, lower-case letters of which at least so many with a capital before them or three capitals stand together, above which it is made of words.
+WORDY, WORD = 0.68, 3
 _BINS = 128
 
 #: How many of the corpus's words the reference counts for, the letter strings of each kind that it is made of, and
@@ -65,6 +75,8 @@ _VALUE16[list(b"ABCDEF")] = range(10, 16)
 _VALUE32 = np.zeros(256, np.uint8)
 for _i, _c in enumerate((_UP + "234567").encode()):
     _VALUE32[_c] = _i
+#: The alphabet of base 32 as the nine commonest letters, the other letters, and digits.
+_GROUP32 = np.array([0 if c in "ETAOINSHR" else 1 if c in _UP else 2 for c in _UP + "234567"])
 _CLASS = np.zeros(256, np.uint8)  # bits: lower, upper, digit, sign, beyond hex, beyond base 32
 for _c in _CODED.nonzero()[0].tolist():
     s = chr(_c)
@@ -90,6 +102,10 @@ def _upper_tail(z: np.ndarray) -> np.ndarray:
     return np.clip(np.where(z > 0, tail, 1 - tail), 1e-12, 1)
 
 
+def _chi_tail(chi: np.ndarray, dof: int) -> np.ndarray:
+    return _upper_tail(((chi / dof) ** (1 / 3) - (1 - 2 / (9 * dof))) / np.sqrt(2 / (9 * dof)))
+
+
 def battery(values: np.ndarray, lengths: np.ndarray, size: int) -> np.ndarray:
     """Fisher's sum for consecutive strings of values below size: small for a uniform source."""
     m = len(lengths)
@@ -100,7 +116,11 @@ def battery(values: np.ndarray, lengths: np.ndarray, size: int) -> np.ndarray:
     counts = np.bincount(who * size + values, minlength=m * size).reshape(m, size)
     chi = ((counts - n[:, None] / size) ** 2).sum(1) * size / n
     dof = size - 1
-    p_chi = _upper_tail(((chi / dof) ** (1 / 3) - (1 - 2 / (9 * dof))) / np.sqrt(2 / (9 * dof)))
+    p_chi = _chi_tail(chi, dof)
+    if size == 32:  # so few strings' worth of signs tell words from codes better by groups; the smaller of both counts, twice
+        parts = np.stack([counts[:, _GROUP32 == g].sum(1) for g in range(3)], 1)
+        expected = n[:, None] * np.bincount(_GROUP32) / 32
+        p_chi = np.minimum(1, 2 * np.minimum(p_chi, _chi_tail(((parts - expected) ** 2 / expected).sum(1), 2)))
     high = values >= size / 2
     same = who[1:] == who[:-1]
     changes = np.bincount(who[1:][same & (high[1:] != high[:-1])], minlength=m)
@@ -122,30 +142,58 @@ def _gather(buf: np.ndarray, s: np.ndarray, n: np.ndarray) -> np.ndarray:
     return buf[np.repeat(s - total[:-1], n) + np.arange(total[-1])]
 
 
+def _in_words(chars: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """How many signs of each run stand in words (lower-case letters, the capital before them with them, or capitals alone) or part them."""
+    kind = _CLASS[chars]
+    lower, upper = (kind & 1) > 0, (kind & 2) > 0
+    begins = np.zeros(len(chars), bool)
+    begins[starts] = True
+    before = np.concatenate(([False], lower[:-1]))
+    after = np.concatenate((lower[1:], [False])) & ~np.concatenate((begins[1:], [False]))
+    leads = upper & after  # a capital that a lower-case letter follows belongs to it
+    alone = upper & ~leads
+    edge = begins | leads | (lower & ~before & ~np.concatenate(([False], leads[:-1]))) | (alone & ~np.concatenate(([False], alone[:-1]))) | (~lower & ~upper)
+    piece = np.cumsum(edge) - 1
+    size = np.bincount(piece)[piece]
+    return np.add.reduceat((((lower | upper) & (size >= WORD)) | ((kind & 8) > 0)).astype(np.int64), starts)
+
+
+def _uuids(buf: np.ndarray, s: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """Which runs are of the form 8-4-4-4-12 in hexadecimal."""
+    out = np.zeros(len(s), bool)
+    some = np.flatnonzero(n == 36)
+    if len(some):
+        signs = buf[s[some][:, None] + np.arange(36)]
+        hyphen = np.isin(np.arange(36), (8, 13, 18, 23))
+        out[some] = (signs[:, hyphen] == 0x2D).all(1) & ((_CLASS[signs[:, ~hyphen]] & 16) == 0).all(1)
+    return out
+
+
 def judge(buf: np.ndarray, s: np.ndarray, e: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The cell of each run that may be a secret, -1 for an ordinary word; and the cells of the words in all encodings."""
+    """The cell of each run that may be a secret, -1 for an ordinary one; and the cells of the long words in base 32 and base 64."""
     n = e - s
     cell = np.full(len(s), -1, np.int64)
     if not len(s):
         return cell, cell
     chars = _gather(buf, s, n)
-    kinds = np.bitwise_or.reduceat(_CLASS[chars], np.concatenate(([0], np.cumsum(n)[:-1])))
+    starts = np.cumsum(n) - n
+    kinds = np.bitwise_or.reduceat(_CLASS[chars], starts)
     first = _CLASS[buf[s]]
-    rest = np.bitwise_or.reduceat(np.where(np.arange(len(chars)) == np.repeat(np.cumsum(n) - n, n), 0, _CLASS[chars]), np.cumsum(n) - n)
+    rest = np.bitwise_or.reduceat(np.where(np.arange(len(chars)) == np.repeat(starts, n), 0, _CLASS[chars]), starts)
     word = (((kinds & 0b1110) == 0) | (((rest & 0b1110) == 0) & ((first & 2) > 0))) | ((kinds & 0b1101) == 0)  # lower, Capital or UPPER
     word &= (kinds & 0b11) > 0
-    hexed = ((kinds & 16) == 0) & ((kinds & 3) != 3)
-    base32 = ((kinds & 32) == 0) & ~hexed
-    for size, values, mine in ((16, _VALUE16, hexed), (32, _VALUE32, base32), (64, _VALUE64, ~hexed & ~base32)):
-        mine = mine & ~(word & ~hexed) & ((kinds & 7) != 4)  # digits alone are numbers
+    hexed = ((kinds & 16) == 0) & ((kinds & 3) != 3) & ((kinds & 7) != 4)  # digits alone are numbers
+    base32 = ((kinds & 32) == 0) & ((kinds & 16) > 0) & ~word
+    base64 = ((kinds & 7) == 7) & (_in_words(chars, starts) <= WORDY * n) & ~_uuids(buf, s, n)
+    for size, values, mine in ((16, _VALUE16, hexed), (32, _VALUE32, base32), (64, _VALUE64, base64)):
         if mine.any():
             cell[mine] = _cells(battery(values[_gather(buf, s[mine], n[mine])].astype(np.int64), n[mine], size), n[mine], size)
     word &= ~hexed
     null = []
     if word.any():
         letters = (_gather(buf, s[word], n[word]) | 0x20).astype(np.int64) - 97
-        for size in _ENCODINGS:
-            null.append(_cells(battery(np.clip(letters, 0, 25) % size, n[word], size), n[word], size))
+        for size in (32, 64):
+            null.append(_cells(battery(np.clip(letters, 0, 25), n[word], size), n[word], size))
     return cell, np.concatenate(null) if null else np.zeros(0, np.int64)
 
 
@@ -225,21 +273,37 @@ def scan(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", false_shar
     return found.where("base is not null").select("doc_id", "base", F.transform(outside, lambda r: F.struct(r["start"].alias("start"), r["end"].alias("end"), F.lit("random").alias("kind"))).alias("random"))
 
 
+def _numbers(draw: np.random.Generator, length: int) -> np.ndarray:
+    """Hexadecimal strings that aren't random: padded with zeros, repeated, ascending, and dates followed by a counter."""
+    m = REFERENCE_STRINGS // 4
+    place, each = np.arange(length), np.arange(m)[:, None]
+    padded = np.where(place < draw.integers(length // 2, length, (m, 1)), 0, draw.integers(0, 16, (m, length)))
+    repeated = draw.integers(0, 16, (m, 8))[each, place % draw.integers(1, 9, (m, 1))]
+    ascending = (draw.integers(0, 16, (m, 1)) + place * draw.choice([1, -1], (m, 1))) % 16
+    dated = draw.integers(0, 10, (m, length))
+    dated[:, :4] = 2, 0, 1, 9
+    dated[:, 4:12] = draw.integers(0, 4, (m, 8))
+    dated[:, 14 : length - 3] = 0
+    return np.concatenate([padded, repeated, ascending, dated])
+
+
 @functools.cache
 def reference() -> np.ndarray:
-    """By encoding, length class and score bin, how likely a string of letters is to look as random.
+    """By encoding, length class and score bin, how likely an ordinary string is to look as random.
 
-    Letters are independent, which looks more random than words do, and strings
-    are as short as their class allows. The lower tail is that of a normal
-    distribution fitted to the square roots of the scores.
+    For base 32 and base 64 these are letters, which are independent and so
+    look more random than words do; for hexadecimal see _numbers. Strings are as
+    short as their class allows. The lower tail is that of a normal distribution
+    fitted to the square roots of the scores.
     """
     draw = np.random.Generator(np.random.PCG64(1))
     share = np.array(LETTER_SHARES) / sum(LETTER_SHARES)
     p = np.ones((len(_ENCODINGS), len(LENGTHS), _BINS))
     for j, length in enumerate(LENGTHS):
-        letters = draw.choice(26, REFERENCE_STRINGS * length, p=share)
+        letters = draw.choice(26, (REFERENCE_STRINGS, length), p=share)
         for i, size in enumerate(_ENCODINGS):
-            root = np.sqrt(battery(letters % size, np.full(REFERENCE_STRINGS, length), size))
+            strings = _numbers(draw, length) if size == 16 else letters
+            root = np.sqrt(battery(strings.ravel(), np.full(len(strings), length), size))
             p[i, j, :-1] = _upper_tail((root.mean() - np.sqrt(np.arange(1, _BINS))) / max(root.std(), 0.5))
     return p
 
@@ -255,6 +319,7 @@ def accept(counts: list, false_share: float) -> list[int]:
     null = null.reshape(shape).cumsum(1)
     p = ((REFERENCE_WORDS * reference() + null.cumsum(2)) / (REFERENCE_WORDS + null.sum(2, keepdims=True))).ravel()
     tested = seen.sum()
+    p[np.arange(size) % _BINS >= NOT_UNIFORM] = np.inf
     order = np.argsort(p, kind="stable")
     found = seen[order].cumsum()
     good = np.flatnonzero((p[order] * tested <= false_share * found) & (found > 0))

@@ -1,3 +1,5 @@
+from collections import Counter
+import uuid
 import base64
 import hashlib
 import os
@@ -97,3 +99,41 @@ def test_ordinary_words_are_likely_under_the_reference():
 
 def test_empty_table(spark):
     assert secret_scan.scan(documents(spark, ["x"]).where("false")).count() == 0
+
+
+WORDS = "get user account balance order item price total name first last address city country code value list map index count page size time date start end file path config data server client request response error message handler manager service factory builder table column field type string number id is to of in by on".split()
+B64 = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"
+
+
+def made_of(r, kind):
+    """A string of a kind, of twenty signs or more."""
+    w = lambda: r.choice(WORDS)
+    many = lambda sep, f=w: sep.join(f() for _ in range(r.randrange(4, 8)))
+    make = {
+        "camel": lambda: w() + many("", lambda: w().capitalize()) + r.choice(["", "", "2"]), "snake": lambda: many("_") + r.choice(["", "_12"]), "upper": lambda: many("_").upper() + r.choice(["", "_12"]), "kebab": lambda: many("-"),
+        "path": lambda: "/" + many("/", lambda: w() + r.choice(["", "", "7"])) + "/Read" + w().capitalize(), "url": lambda: f"https://www.{w()}.com/" + many("/", lambda: w().capitalize() + "-" + w()) + f"/{r.randrange(10**6)}",
+        "uuid": lambda: str(uuid.UUID(int=r.getrandbits(128))), "UUID": lambda: str(uuid.UUID(int=r.getrandbits(128))).upper(),
+        "base64, 40": lambda: "".join(r.choices(B64, k=40)), "base64, 24": lambda: "".join(r.choices(B64, k=24)), "HEX, 40": lambda: "".join(r.choices("0123456789ABCDEF", k=40)), "base32, 40": lambda: "".join(r.choices("ABCDEFGHIJKLMNOPQRSTUVWXYZ234567", k=40)),
+    }[kind]
+    while len(x := make()) < 20:
+        pass
+    return x
+
+
+ORDINARY, SECRETS = ("camel", "snake", "upper", "kebab", "path", "url", "uuid", "UUID"), ("base64, 40", "base64, 24", "HEX, 40", "base32, 40")
+
+
+@pytest.mark.parametrize(("ordinary", "secrets"), [(400, 100), (400, 0), (0, 100), (400, 3)])
+def test_identifiers_paths_and_addresses_are_left_alone_and_random_keys_found(spark, ordinary, secrets):
+    r = random.Random(5)
+    kinds = [k for k in ORDINARY for _ in range(ordinary)] + [k for k in SECRETS for _ in range(secrets)]
+    texts = [f"{r.choice(WORDS)} is {made_of(r, k)} for {r.choice(WORDS)}" for k in kinds]
+    found = Counter(kinds[x.doc_id] for x in secret_scan.scan(documents(spark, texts)).collect() if x.random)
+    assert all(found[k] <= 0.01 * ordinary for k in ORDINARY), found
+    if secrets >= 100:
+        assert all(found[k] >= 0.9 * secrets for k in SECRETS), found
+
+
+def test_repeated_and_padded_signs_are_no_keys(spark):
+    texts = ["0" * 30 + "12AB", "AB2" * 12, "0123456789ABCDEF0123", "F" * 24, "2019" * 8 + "A", "aB3" * 12]
+    assert not any(x.random for x in secret_scan.scan(documents(spark, texts)).collect())
