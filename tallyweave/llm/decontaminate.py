@@ -10,6 +10,11 @@ the lemma's count cut the documents down to stretches that may hold a passage;
 the q-grams of those are joined with the benchmark's, and counted for each
 stretch, item and overlapping band of diagonals. Only pairs that reach the
 count get their texts, and are aligned in a band.
+
+In periodic text, a rule of dashes for one, a q-gram comes again at once and
+all along. Such a run is one row with its number, runs meet as runs, and what
+their q-grams add to each diagonal follows from both numbers; so the work grows
+with lengths and not with their product. Equal stretches are looked at once.
 """
 
 from __future__ import annotations
@@ -39,12 +44,15 @@ STRETCH = 4_096
 #: Windows that are aligned at a time, and neighbouring ones whose common part is aligned first.
 WINDOW_ROWS, WINDOW_BLOCK = 2_048, 16
 
+#: Places in bands that are counted at a time, those of one pair always together.
+BAND_ROWS = 2_000_000
+
 RESULT = "doc_id long, item_id long, start int, end int, edits int"
 
-_STRETCHES = "stretch long, doc_id long, digest binary, start int, core_from int, core_to int, body binary, codes array<long>, places array<int>, short_at array<int>, short_text array<binary>"
+_STRETCHES = "stretch long, doc_id long, digest binary, start int, core_from int, core_to int, body binary, same binary, codes array<long>, places array<int>, counts array<int>, steps array<int>, short_at array<int>, short_text array<binary>"
 _STRETCH = pa.schema([
-    ("stretch", pa.int64()), ("doc_id", pa.int64()), ("digest", pa.binary()), ("start", pa.int32()), ("core_from", pa.int32()), ("core_to", pa.int32()), ("body", pa.binary()),
-    ("codes", pa.list_(pa.int64())), ("places", pa.list_(pa.int32())), ("short_at", pa.list_(pa.int32())), ("short_text", pa.list_(pa.binary())),
+    ("stretch", pa.int64()), ("doc_id", pa.int64()), ("digest", pa.binary()), ("start", pa.int32()), ("core_from", pa.int32()), ("core_to", pa.int32()), ("body", pa.binary()), ("same", pa.binary()),
+    ("codes", pa.list_(pa.int64())), ("places", pa.list_(pa.int32())), ("counts", pa.list_(pa.int32())), ("steps", pa.list_(pa.int32())), ("short_at", pa.list_(pa.int32())), ("short_text", pa.list_(pa.binary())),
 ])
 
 _WORD = np.zeros(256, bool)
@@ -81,6 +89,25 @@ def _grams_inside(buf: np.ndarray, offs: np.ndarray, q: int) -> tuple[np.ndarray
     return codes[at], owner[at], at
 
 
+def _runs(codes: np.ndarray, at: np.ndarray, q: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Code, first place, number and step of the runs that equal q-grams make which come again within q bytes, always after the same step; sorted by code.
+
+    Where a q-gram overlaps itself it has a period, and all that overlap so
+    follow each other by the least one: a run's step is the same in every text.
+    """
+    order = np.lexsort((at, codes))
+    codes, at = codes[order], at[order]
+    gap = np.diff(at, prepend=at[:1])
+    far = np.ones(len(at), bool)
+    far[1:] = (codes[1:] != codes[:-1]) | (gap[1:] >= q)
+    new = far.copy()
+    new[1:] |= (gap[1:] != gap[:-1]) & ~far[:-1]
+    first = np.flatnonzero(new)
+    count = np.diff(np.append(first, len(at)))
+    step = np.where(count > 1, gap[np.minimum(first + 1, max(len(at) - 1, 0))], 0) if len(at) else gap
+    return codes[first], at[first], count, step
+
+
 def _budget(size: Column, q: int, share: float) -> Column:
     """Edits that an item of so many bytes allows; at least one q-gram stays whole."""
     return F.least(F.floor(size * share), F.floor((size - q) / q)).cast("int")
@@ -111,11 +138,14 @@ class Benchmark:
             for batch in batches:
                 for b in textops.slices(batch):
                     buf, offs = textops.batch(b.column(1))
+                    items = b.column(0).to_numpy(zero_copy_only=False)
                     codes, owner, at = _grams_inside(buf, offs, q)
-                    item = b.column(0).to_numpy(zero_copy_only=False)[owner]
-                    yield pa.RecordBatch.from_arrays([pa.array(codes.view(np.int64)), pa.array(item), pa.array((at - offs[owner]).astype(np.int32))], names=["code", "item", "pos"])
+                    for i, (x, y) in enumerate(zip(*(np.searchsorted(owner, np.arange(b.num_rows), side=k) for k in ("left", "right")), strict=True)):
+                        code, pos, n, step = _runs(codes[x:y], at[x:y] - offs[i], q)
+                        if len(code):
+                            yield pa.RecordBatch.from_arrays([pa.array(code.view(np.int64)), pa.array(np.full(len(code), items[i])), *(pa.array(c.astype(np.int32)) for c in (pos, n, step))], names=["code", "item", "pos", "m", "own_step"])
 
-        grams = self.items.select("item", "item_body").mapInArrow(cut, "code long, item long, pos int")
+        grams = self.items.select("item", "item_body").mapInArrow(cut, "code long, item long, pos int, m int, own_step int")
         need = F.col("least")
         if self.window:
             need = F.when(F.col("size") > self.window, F.least("least", F.lit(self.window_least))).otherwise(need)
@@ -176,7 +206,8 @@ def _stretches(ids: list, raw: np.ndarray, offs: np.ndarray, bench: tuple, numbe
                 b, f = max(int(offs[d]), s, c - margin), min(int(offs[d + 1]), e, c + core + margin)
                 x, y = np.searchsorted(at, (b, f - q + 1))
                 if x < y:
-                    found.setdefault(d, []).append((b, c, min(e, c + core), buf[b:f].tobytes(), codes[at[x:y]].view(np.int64), (at[x:y] - b).astype(np.int32)))
+                    code, *runs = _runs(codes[at[x:y]], at[x:y] - b, q)
+                    found.setdefault(d, []).append((b, c, min(e, c + core), buf[b:f].tobytes(), code.view(np.int64), *(r.astype(np.int32) for r in runs)))
     shorts: dict[int, list] = {}
     if short_lengths:
         solid = _WORD[buf]
@@ -198,10 +229,11 @@ def _stretches(ids: list, raw: np.ndarray, offs: np.ndarray, bench: tuple, numbe
     for d in sorted({*found, *shorts}):
         o = int(offs[d])
         digest = hashlib.md5(raw[o : offs[d + 1]].tobytes()).digest()
-        for b, c, f, body, codes, places in found.get(d, []):
-            rows.append((number + len(rows), ids[d], digest, b - o, c - o, f - o, body, codes, places, None, None))
+        for b, c, f, body, *runs in found.get(d, []):
+            same = hashlib.blake2b(body, digest_size=16, key=b"%d %d" % (c - b, f - b)).digest()  # of stretches alike in text and core
+            rows.append((number + len(rows), ids[d], digest, b - o, c - o, f - o, body, same, *runs, None, None))
         if d in shorts:
-            rows.append((number + len(rows), ids[d], digest, 0, 0, 0, None, None, None, *zip(*shorts[d], strict=True)))
+            rows.append((number + len(rows), ids[d], digest, 0, 0, 0, *[None] * 6, *zip(*shorts[d], strict=True)))
     return rows
 
 
@@ -260,24 +292,49 @@ class Pairs:
         self._share_grams()
 
     def _share_grams(self) -> None:
-        """pair, place in the stretch and place in the item of each q-gram that both have."""
+        """pair, place in the item, and first and last place in the stretch of the runs of each q-gram that both have."""
         salt = lambda codes, pair: textops.mix(codes ^ textops.mix(pair.astype(np.uint64) + np.uint64(1)))
         codes, pair, at = _grams_inside(self.buf, self.offs, self.q)
         own, of, pos = _grams_inside(self.items, self.item_offs, self.q)
-        own = salt(own, of)
-        order = np.argsort(own, kind="stable")
-        distinct, first, count = np.unique(own[order], return_index=True, return_counts=True)
-        if not len(distinct) or not len(codes):
-            self.pair = self.place = self.pos = np.zeros(0, np.int64)
-            return
-        codes = salt(codes, pair)
-        k = np.minimum(np.searchsorted(distinct, codes), len(distinct) - 1)
-        good = distinct[k] == codes
-        k, at, pair = k[good], at[good], pair[good]
-        n = count[k]
-        total = np.concatenate(([0], np.cumsum(n)))
-        which = order[np.repeat(first[k] - total[:-1], n) + np.arange(total[-1])]
-        self.pair, self.place, self.pos = np.repeat(pair, n), np.repeat(at - self.offs[pair], n), pos[which] - self.item_offs[np.repeat(pair, n)]
+        # places of one pair lie within one text, so runs don't go on from pair to pair
+        own, pos, m, own_step = _runs(salt(own, of), pos, self.q)
+        codes, at, n, step = _runs(salt(codes, pair), at, self.q)
+        left, right = (np.searchsorted(own, codes, side=k) for k in ("left", "right"))
+        k = right - left  # runs of the item with this code
+        which = np.repeat(left, k) + np.arange(k.sum()) - np.repeat(np.cumsum(k) - k, k)
+        at, n, step = (np.repeat(x, k) for x in (at, n, step))
+        m, pos, own_step = m[which], pos[which], own_step[which]
+        inside = np.arange(m.sum()) - np.repeat(np.cumsum(m) - m, m)
+        pos, at, last = np.repeat(pos, m) + np.repeat(own_step, m) * inside, np.repeat(at, m), np.repeat(at + step * (n - 1), m)
+        pair = np.searchsorted(self.item_offs, pos, side="right") - 1
+        order = np.argsort(pair, kind="stable")
+        self.pair = pair[order]
+        self.pos = pos[order] - self.item_offs[self.pair]
+        self.first, self.last = at[order] - self.offs[self.pair], last[order] - self.offs[self.pair]
+
+    def _bands(self, half: np.ndarray, some: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Different (pair and band, place in the item) of some entries, sorted, for a few pairs at a time.
+
+        Each diagonal lies in two bands of twice half, and any budget of
+        diagonals in one. A run of places touches all bands from its first to
+        its last diagonal; those in between that a long step passes over are
+        taken along, which alignment sorts out.
+        """
+        size = self.size[self.pair]
+        low, high = ((x - self.pos + size) // half for x in (self.first, self.last))  # never below zero
+        n = np.where(some, high - low + 2, 0)
+        each = np.bincount(self.pair, weights=n, minlength=len(self.size)).cumsum()
+        chunk = (each // BAND_ROWS).astype(np.int64)[self.pair]
+        for c in np.unique(chunk):
+            x = np.flatnonzero((chunk == c) & some)
+            k = n[x]
+            band = np.repeat(low[x], k) + np.arange(k.sum()) - np.repeat(np.cumsum(k) - k, k)  # low to high + 1, for shifts of one and none
+            key, pos = np.repeat(self.pair[x], k) * (1 << 32) + band, np.repeat(self.pos[x], k)
+            order = np.lexsort((pos, key))
+            key, pos = key[order], pos[order]
+            new = np.ones(len(key), bool)
+            new[1:] = (key[1:] != key[:-1]) | (pos[1:] != pos[:-1])
+            yield key[new], pos[new]
 
     def item(self, p: int) -> np.ndarray:
         return self.items[self.item_offs[p] : self.item_offs[p + 1]]
@@ -287,15 +344,12 @@ class Pairs:
 
     def passages(self) -> list[tuple[int, int, int, int]]:
         """(pair, start, end, edits) of whole items and, with a window, of parts, in bytes of the stretch."""
-        diagonal = self.place - self.pos + self.size[self.pair]  # never below zero
-        half = self.budget[self.pair] + 1
-        # each diagonal lies in two bands of twice half, and any budget of diagonals in one
-        key = np.concatenate([self.pair * (1 << 32) + (diagonal // half - shift + 1) for shift in (0, 1)])
-        key, count = np.unique(key, return_counts=True)
-        good = count >= self.least[key >> 32]
         bands: dict[int, list[int]] = {}
-        for p, b in zip((key[good] >> 32).tolist(), (key[good] & 0xFFFFFFFF).tolist(), strict=True):
-            bands.setdefault(p, []).append(b - 1)
+        for key, _ in self._bands(self.budget[self.pair] + 1, np.ones(len(self.pair), bool)):
+            key, count = np.unique(key, return_counts=True)
+            good = count >= self.least[key >> 32]
+            for p, b in zip((key[good] >> 32).tolist(), (key[good] & 0xFFFFFFFF).tolist(), strict=True):
+                bands.setdefault(p, []).append(b - 1)
         found = []
         for p, those in bands.items():
             k, size, text = int(self.budget[p]), int(self.size[p]), self.text(p)
@@ -308,18 +362,16 @@ class Pairs:
                     done = lo = lo + max(hit[1], 1)  # a copy further on in the same bands
                     if hi - lo < size - k:
                         break
-        return found + (self._parts(diagonal, found) if self.window else [])
+        return found + (self._parts(found) if self.window else [])
 
-    def _candidates(self, diagonal: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    def _candidates(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """pair, band and start of each window of a long item that reaches the count in a band."""
-        length, k, need = self.window
-        half = k + 1
-        long = self.size[self.pair] > length
-        pair, diagonal, pos = self.pair[long], diagonal[long], self.pos[long]
-        key = np.concatenate([pair * (1 << 32) + (diagonal // half - shift + 1) for shift in (0, 1)])
-        pos = np.concatenate([pos, pos])
-        order = np.lexsort((pos, key))
-        key, pos = key[order], pos[order]
+        k = self.window[1]
+        made = [self._windows(key, pos) for key, pos in self._bands(np.full(len(self.pair), k + 1), self.size[self.pair] > self.window[0])]
+        return tuple(np.concatenate([m[i] for m in made] or [np.zeros(0, np.int64)]) for i in range(3))
+
+    def _windows(self, key: np.ndarray, pos: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        length, _, need = self.window
         lead = np.arange(max(0, len(key) - need + 1))
         lead = lead[(key[lead + need - 1] == key[lead]) & (pos[lead + need - 1] - pos[lead] <= length - self.q)]
         first = np.maximum(pos[lead + need - 1] + self.q - length, 0)
@@ -341,13 +393,16 @@ class Pairs:
         place = (self.offs[pair] + lo)[:, None] + np.arange(reach)
         inside = (place >= self.offs[pair][:, None]) & (place < self.offs[pair + 1][:, None])
         regions = np.where(inside, self.buf[np.clip(place, 0, len(self.buf) - 1)], 0xFF)  # a byte that no text has
-        return _align_rows(self.items[at], regions)
+        # in periodic text most windows and regions are alike: equal ones are aligned once
+        both = np.ascontiguousarray(np.hstack([self.items[at], regions]))
+        _, first, which = np.unique(both.view(f"V{both.shape[1]}").ravel(), return_index=True, return_inverse=True)
+        return tuple(x[which] for x in _align_rows(self.items[at[first]], regions[first]))
 
-    def _parts(self, diagonal: np.ndarray, whole: list) -> list[tuple[int, int, int, int]]:
+    def _parts(self, whole: list) -> list[tuple[int, int, int, int]]:
         """Each stretch of overlapping windows that is not in a whole passage."""
         length, k, _ = self.window
         half = k + 1
-        pair, band, start = self._candidates(diagonal)
+        pair, band, start = self._candidates()
         known: dict[int, list[tuple[int, int]]] = {}
         for p, s, e, _ in whole:
             known.setdefault(p, []).append((s, e))
@@ -439,14 +494,20 @@ def _found(docs: DataFrame, benchmark: DataFrame, doc_id: Column, text: str, ite
                     yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), _STRETCH, strict=True)], schema=_STRETCH)
 
     stretches = durable.checkpoint(docs.select(doc_id.cast("long").alias("doc_id"), F.col(text).alias("text")).mapInArrow(textops.light(look), _STRETCHES))
-    hits = stretches.where("codes is not null").select("stretch", F.explode(F.arrays_zip("codes", "places")).alias("h")).select("stretch", F.col("h.codes").alias("code"), F.col("h.places").alias("place"))
-    diagonal = F.col("place") - F.col("pos") + F.col("size")
-    band = F.floor(diagonal / F.col("half")).cast("int")
-    counted = hits.join(bench.grams, "code").select("stretch", "item", "need", F.explode(F.array(band, band - 1)).alias("band")).groupBy("stretch", "item", "band").agg(F.count("*").alias("n"), F.first("need").alias("need"))
+    places = stretches.where("codes is not null").select("stretch", "doc_id", "digest", "start", "same")
+    one = places.groupBy("same").agg(F.min("stretch").alias("stretch"))  # of equal stretches the first
+    runs = stretches.where("codes is not null").select("stretch", F.arrays_zip("codes", "places", "counts", "steps").alias("r")).join(one, "stretch", "left_semi")
+    hits = runs.select("stretch", F.explode("r").alias("h")).select("stretch", F.col("h.codes").alias("code"), F.col("h.places").alias("place"), F.col("h.counts").alias("n"), F.col("h.steps").alias("step"))
+    # of runs of n and m equal q-grams, so many pairs are t steps apart
+    apart = F.explode(F.sequence(1 - F.col("m"), F.col("n") - 1)).alias("t")
+    met = hits.join(bench.grams, "code").select("stretch", "item", "need", "half", "n", "m", (F.col("place") - F.col("pos") + F.col("size")).alias("d"), F.greatest("step", "own_step").alias("step"), apart)
+    many = F.least(F.col("n") - 1, F.col("m") - 1 + F.col("t")) - F.greatest(F.lit(0), F.col("t")) + 1
+    band = F.floor((F.col("d") + F.col("step") * F.col("t")) / F.col("half")).cast("int")
+    counted = met.select("stretch", "item", "need", many.alias("many"), F.explode(F.array(band, band - 1)).alias("band")).groupBy("stretch", "item", "band").agg(F.sum("many").alias("n"), F.first("need").alias("need"))
     pairs = counted.where("n >= need").select("stretch", "item").distinct()
-    texts = pairs.join(stretches.select("stretch", "doc_id", "digest", "start", "core_from", "core_to", "body"), "stretch").join(bench.items.select("item", "item_id", "item_body"), "item")
+    texts = pairs.join(stretches.select("stretch", "same", "start", "core_from", "core_to", "body"), "stretch").join(bench.items.select("item", "item_id", "item_body"), "item")
     limits = (bench.window, bench.window_budget, bench.window_least) if bench.window else None
-    keep = ["doc_id", "digest", "item_id"]
+    keep = ["same", "item_id"]
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -454,13 +515,15 @@ def _found(docs: DataFrame, benchmark: DataFrame, doc_id: Column, text: str, ite
                 start, lo, hi = (b.column(c).to_numpy() for c in ("start", "core_from", "core_to"))
                 found = Pairs(b.column("body"), b.column("item_body"), q, edit_share, limits).passages()
                 # what begins in a stretch's overlap is its neighbour's
-                found = [(p, int(start[p]) + s, int(start[p]) + e, x) for p, s, e, x in found if lo[p] <= start[p] + s < hi[p]]
+                found = [(p, s, e, x) for p, s, e, x in found if lo[p] <= start[p] + s < hi[p]]
                 if found:
                     p, s, e, x = (pa.array(c, pa.int32()) for c in zip(*found, strict=True))
-                    yield pa.RecordBatch.from_arrays([*(b.column(c).take(p) for c in keep), s, e, x], names=[*keep, "start", "end", "edits"])
+                    yield pa.RecordBatch.from_arrays([*(b.column(c).take(p) for c in keep), s, e, x], names=["same", "item_id", "from", "to", "edits"])
 
-    kinds = "doc_id long, digest binary, item_id long, start int, end int, edits int"
+    kinds = "same binary, item_id long, from int, to int, edits int"
     found = texts.select(*keep, "start", "core_from", "core_to", "body", "item_body").mapInArrow(textops.light(verify), kinds)
+    found = found.join(places, "same").select("doc_id", "digest", "item_id", (F.col("start") + F.col("from")).alias("start"), (F.col("start") + F.col("to")).alias("end"), "edits")
+    keep = ["doc_id", "digest", "item_id"]
     if not bench.short_lengths:
         return found
     words = stretches.where("short_at is not null").select("doc_id", "digest", F.explode(F.arrays_zip("short_at", "short_text")).alias("h"))

@@ -319,7 +319,7 @@ def accept(counts: list, false_share: float) -> list[int]:
     null = null.reshape(shape).cumsum(1)
     p = ((REFERENCE_WORDS * reference() + null.cumsum(2)) / (REFERENCE_WORDS + null.sum(2, keepdims=True))).ravel()
     tested = seen.sum()
-    p[np.arange(size) % _BINS >= NOT_UNIFORM] = np.inf
+    p[np.arange(size) % _BINS >= NOT_UNIFORM] = 2  # never
     order = np.argsort(p, kind="stable")
     found = seen[order].cumsum()
     good = np.flatnonzero((p[order] * tested <= false_share * found) & (found > 0))

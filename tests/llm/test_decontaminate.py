@@ -129,3 +129,46 @@ def test_empty_tables(case):
     assert decontaminate.passages(docs.where("false"), benchmark).count() == 0
     assert decontaminate.passages(docs, benchmark.where("false")).count() == 0
     assert decontaminate.without_passages(docs, benchmark.where("false")).count() == len(texts)
+
+
+def test_periodic_texts_and_items(spark):
+    """Rules of dashes and table lines against items of the same: found, once for equal texts, with work that doesn't multiply."""
+    import time
+
+    items = [(i, "-" * 300 + c) for i, c in enumerate("abcdefghijklmnopqrst")] + [(99, "| a | b " * 40 + "z")]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    texts = ["-" * 4000] * 200 + ["intro | a | b " + "| a | b " * 300, "-" * 50, "- " * 400]
+    began = time.time()
+    found = decontaminate.passages(documents(spark, texts), bench, window=100).collect()
+    assert time.time() - began < 120
+    by_doc = {}
+    for f in found:
+        by_doc.setdefault(f.doc_id, set()).add(f.item_id)
+    assert all(by_doc[i] == set(range(20)) for i in range(200)) and by_doc[200] == {99} and 201 not in by_doc and 202 not in by_doc
+
+
+def test_runs_of_equal_grams_count_as_their_pairs_do():
+    import numpy as np
+
+    r = random.Random(2)
+    for _ in range(200):
+        text, item = ("".join(r.choice(["ab" * 8, "-" * 15, "xyz", "a"]) for _ in range(r.randrange(1, 8))).encode() for _ in range(2))
+        q = 10
+        runs = []
+        for t in (text, item):
+            buf = np.frombuffer(t, np.uint8)
+            codes = decontaminate.gram_codes(buf, q)
+            runs.append([x for x in zip(*(v.tolist() for v in decontaminate._runs(codes, np.arange(len(codes)), q)), strict=True)])
+        got = {}
+        for c, a, n, p in runs[0]:
+            for d, b, m, s in runs[1]:
+                if c == d:
+                    for t in range(1 - m, n):
+                        k = a - b + max(p, s) * t
+                        got[k] = got.get(k, 0) + min(n - 1, m - 1 + t) - max(0, t) + 1
+        want = {}
+        for i in range(len(text) - q + 1):
+            for j in range(len(item) - q + 1):
+                if text[i : i + q] == item[j : j + q]:
+                    want[i - j] = want.get(i - j, 0) + 1
+        assert got == want
