@@ -343,15 +343,16 @@ def one_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", wor
     equal ids the smaller digest. Rows without shingles all stay. An empty
     table gives an empty result.
     """
+    key, row = (next(n for n in (f"{base}{i}" for i in range(len(docs.columns) + 1)) if n not in docs.columns) for base in ("_row_key", "_row"))  # names that no column has
     signed, nodes = _groups(_rows(docs, doc_id, text), words, percent)
     order = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "row_key")
-    first = nodes.groupBy("label").agg(F.min(order).alias("of")).select(F.col("of.row_key").alias("_row"))
+    first = nodes.groupBy("label").agg(F.min(order).alias("of")).select(F.col("of.row_key").alias(row))
     full = signed.where("n_shingles > 0")
-    copies = full.select(F.col("row_key").alias("_row")).distinct().join(first, "_row", "left_anti")
-    keyed = docs.withColumn("_row_key", _row_key(F.col(doc_id).cast("long"), F.col(text)))
-    kept = keyed.join(durable.rewritten(copies, "copies"), F.col("_row_key") == F.col("_row"), "left_anti")
-    twice = durable.rewritten(full.groupBy(F.col("row_key").alias("_row")).agg(F.count("*").alias("_n")).where("_n > 1").select("_row"), "twice")
+    copies = full.select(F.col("row_key").alias(row)).distinct().join(first, row, "left_anti")
+    keyed = docs.withColumn(key, _row_key(F.col(doc_id).cast("long"), F.col(text)))
+    again = F.col(key) == F.col(row)
+    kept = keyed.join(durable.rewritten(copies, "copies"), again, "left_anti")
+    twice = durable.rewritten(full.groupBy(F.col("row_key").alias(row)).agg(F.count("*").alias("_n")).where("_n > 1").select(row), "twice")
     if not twice.isEmpty():
-        again = F.col("_row_key") == F.col("_row")
-        kept = kept.join(twice, again, "left_anti").unionByName(kept.join(twice, again, "left_semi").dropDuplicates(["_row_key"]))
+        kept = kept.join(twice, again, "left_anti").unionByName(kept.join(twice, again, "left_semi").dropDuplicates([key]))
     return kept.select(docs.columns)

@@ -5,7 +5,7 @@ import random
 import re
 
 #: Names that operators use inside; documents may have such columns too.
-CLASHING = ("shard", "bucket", "kind", "band", "key", "node", "label", "lane", "score", "id", "a", "n", "found", "base")
+CLASHING = ("shard", "bucket", "kind", "band", "key", "node", "label", "lane", "score", "id", "a", "n", "found", "base", "_row_key", "_row_key0", "_row", "_row0", "_bad_digest")
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 SYLLABLES = ("ba", "ce", "di", "fo", "gu", "ha", "ki", "lo", "mé", "nu", "pra", "sto")
