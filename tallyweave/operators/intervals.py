@@ -4,11 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Sequence
 
+import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyweave.operators.ranges import carried, dealt, inside
+from tallyweave.operators.ranges import carried, dealt, fields, inside, scanned
 
 #: Each level's bins are so many times as long as those of the level below, and the last level's hold all that is longer.
 LEVEL, LEVELS = 16, 8
@@ -176,13 +178,27 @@ def _islands(rows: DataFrame, on: Sequence[str], order: Sequence[str], new: Colu
 
 
 def coalesce(intervals: DataFrame, gap: int = 2, on: Sequence[str] = ("chrom",)) -> DataFrame:
-    """Closed intervals merged wherever the gap to what came before is below gap."""
-    order = ("start", "end")
-    rows = carried(dealt(intervals.select(*on, *order), [*on, *order]), on, _reach=(F.max("end"), "max"))
-    before = F.greatest(F.max("end").over(inside(on, order).rowsBetween(Window.unboundedPreceding, -1)), "_reach")
-    flagged = rows.withColumn("_gap", F.col("start") - before).drop("_reach")
-    runs = _islands(flagged, on, order, F.col("_gap").isNull() | (F.col("_gap") >= gap))
-    return runs.groupBy(*on, "_island").agg(F.min("start").alias("start"), F.max("end").alias("end")).drop("_island")
+    """Closed intervals merged wherever the gap to what came before is below gap; those without a start or end are left out.
+
+    Blocks of sorted rows are merged by themselves. Of a block's results the
+    first ones may belong to an interval of earlier blocks: those that begin
+    below their reach.
+    """
+
+    def merged(t: pa.Table, key: np.ndarray) -> pa.Table:
+        start, end = t["start"].to_numpy(), t["end"].to_numpy()
+        far = pd.Series(end).groupby(key).cummax().to_numpy()
+        new = np.ones(len(key), bool)
+        new[1:] = (key[1:] != key[:-1]) | (start[1:] - far[:-1] >= gap)
+        first = np.flatnonzero(new)
+        out = t.take(pa.array(first))
+        return out.set_column(out.schema.get_field_index("end"), "end", pa.array(np.maximum.reduceat(end, first)))
+
+    rows = intervals.select(*on, F.col("start").cast("long").alias("start"), F.col("end").cast("long").alias("end")).dropna(subset=["start", "end"])
+    runs = carried(scanned(rows, on, ("start", "end"), merged, f"{fields(rows, on)}start long, end long"), on, _reach=(F.max("end"), "max"))
+    runs = runs.withColumn("_begin", F.when(F.col("_reach").isNull() | (F.col("start") - F.col("_reach") >= gap), F.col("start")))
+    known = carried(runs, on, _from=(F.max("_begin"), "max"))
+    return known.groupBy(*on, F.coalesce("_begin", "_from").alias("_island")).agg(F.min("start").alias("start"), F.max("end").alias("end")).drop("_island")
 
 
 def disjoin(intervals: DataFrame, on: Sequence[str] = ("chrom",)) -> DataFrame:
@@ -190,14 +206,23 @@ def disjoin(intervals: DataFrame, on: Sequence[str] = ("chrom",)) -> DataFrame:
 
     Each interval adds one to the depth at its start and takes it off after its
     end; a piece lies between neighbouring cuts where the depth is above zero.
+    Depths and neighbours are found inside blocks of sorted cuts; a block's
+    first depth and last neighbour come from the blocks around it.
     """
-    cuts = intervals.select(*on, F.explode(F.array(F.struct(F.col("start").alias("at"), F.lit(1).alias("step")), F.struct((F.col("end") + 1).alias("at"), F.lit(-1).alias("step")))).alias("c"))
-    steps = dealt(cuts.groupBy(*on, F.col("c.at").alias("start")).agg(F.sum("c.step").alias("step")), [*on, "start"])
-    rows = carried(carried(steps, on, _before=(F.sum("step"), "sum")), on, back=True, _after=(F.min("start"), "min"))
-    order = inside(on, ["start"])
-    depth = F.sum("step").over(order.rowsBetween(Window.unboundedPreceding, 0)) + F.coalesce("_before", F.lit(0))
-    end = F.coalesce(F.lead("start").over(order), "_after") - 1
-    return rows.select(*on, "start", end.alias("end"), depth.alias("_depth")).where("_depth > 0").drop("_depth")
+
+    def pieces(t: pa.Table, key: np.ndarray) -> pa.Table:
+        start = t["start"].to_numpy()
+        depth = pd.Series(t["step"].to_numpy()).groupby(key).cumsum().to_numpy()
+        last = np.ones(len(key), bool)
+        last[:-1] = key[1:] != key[:-1]
+        return t.append_column("depth", pa.array(depth)).append_column("next", pa.array(np.append(start[1:], 0), mask=last))
+
+    cuts = intervals.select(*on, F.explode(F.array(F.struct(F.col("start").cast("long").alias("at"), F.lit(1).cast("long").alias("step")), F.struct((F.col("end") + 1).cast("long").alias("at"), F.lit(-1).cast("long").alias("step")))).alias("c")).where("c.at is not null")
+    steps = cuts.groupBy(*on, F.col("c.at").alias("start")).agg(F.sum("c.step").alias("step"))
+    rows = scanned(steps, on, ["start"], pieces, f"{fields(steps, on)}start long, step long, depth long, next long")
+    rows = carried(carried(rows, on, _before=(F.sum("step"), "sum")), on, back=True, _after=(F.min("start"), "min"))
+    end = F.coalesce("next", "_after") - 1
+    return rows.where(F.col("depth") + F.coalesce("_before", F.lit(0)) > 0).select(*on, "start", end.alias("end"))
 
 
 def _positions(positions: DataFrame, position: str, on: Sequence[str]) -> DataFrame:

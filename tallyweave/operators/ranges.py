@@ -8,9 +8,11 @@ maximum or sum, is one small row for each range and key.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Iterator, Sequence
 from functools import reduce
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
@@ -23,6 +25,55 @@ def dealt(rows: DataFrame, order: Sequence[str], parts: int | None = None) -> Da
     return folders.rewritten(rows.repartitionByRange(parts, *order).withColumn("_p", F.spark_partition_id()), "ranges")
 
 
+#: Rows that a task scans at a time.
+BLOCK = 1 << 18
+
+
+def scanned(rows: DataFrame, on: Sequence[str], order: Sequence[str], work: Callable[[pa.Table, np.ndarray], pa.Table], schema: str, parts: int | None = None) -> DataFrame:
+    """What a function makes of rows in order, block by block, with the block's number _p, written once.
+
+    Rows are dealt by range of key and order and sorted; in the same stage each
+    task hands its blocks of BLOCK rows to work, with the number of each row's
+    key inside the block. Blocks are numbered in the rows' order, so carried()
+    joins what goes on over their borders as it does for ranges. schema is that
+    of work's result.
+    """
+    parts = parts or int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    names = list(on)
+
+    def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyspark import TaskContext
+
+        held: list[pa.RecordBatch] = []
+        number = TaskContext.get().partitionId() << 32
+
+        def made() -> Iterator[pa.RecordBatch]:
+            table = pa.Table.from_batches(held).combine_chunks()
+            new = np.zeros(table.num_rows, bool)
+            for k in names:
+                code = table[k].combine_chunks().dictionary_encode("encode").indices.to_numpy()
+                new[1:] |= code[1:] != code[:-1]
+            out = work(table, np.cumsum(new))
+            yield from out.append_column("_p", pa.array(np.full(out.num_rows, number))).to_batches()
+
+        for b in batches:
+            held.append(b)
+            if sum(x.num_rows for x in held) >= BLOCK:
+                yield from made()
+                held.clear()
+                number += 1
+        if sum(x.num_rows for x in held):
+            yield from made()
+
+    return folders.rewritten(rows.repartitionByRange(parts, *on, *order).sortWithinPartitions(*on, *order).mapInArrow(blocks, f"{schema}, _p long"), "blocks")
+
+
+def fields(rows: DataFrame, names: Sequence[str]) -> str:
+    """The named columns with their types, as a schema."""
+    types = dict(rows.dtypes)
+    return "".join(f"`{n}` {types[n]}, " for n in names)
+
+
 def inside(on: Sequence[str], order: Sequence[str]) -> WindowSpec:
     """A key's rows of one range, in order."""
     return Window.partitionBy("_p", *on).orderBy(*order)

@@ -1271,7 +1271,7 @@ def lift_by_chains_rejects(spark, d):
 
 
 @_query("""with l as (select l_linenumber % 3 study, l_suppkey sample, l_partkey % 60 exon, cast(sum(cast(l_quantity as bigint)) as bigint) v from lineitem group by all),
-  n as (select l_partkey % 60 exon, 'A' || l_suppkey % 2 + 1 as annotation, count(distinct l_suppkey) m from lineitem where l_orderkey % 7 = 0 group by all),
+  n as (select l_partkey % 60 exon, 'A' || l_suppkey % 2 + 1 as annotation, count(distinct l_suppkey % 6) m from lineitem where l_orderkey % 7 = 0 group by all),
   s as (select distinct study, sample from l), r as (select exon, annotation, unnest(range(1, m + 1)) as copy from n)
   select cast(s.study as varchar) study, r.annotation, r.exon, r.copy, s.study || '/' || s.sample as sample, coalesce(v, 0) as value from s cross join r left join l on l.study = s.study and l.sample = s.sample and l.exon = r.exon""")
 def exon_splits(spark, d):
@@ -1280,7 +1280,7 @@ def exon_splits(spark, d):
     lines = lines.withColumn("sample", F.concat_ws("/", "study", F.col("own").cast("string")))
     half = lambda i: lines.where(F.col("own") % 2 == i)
     tranches = [(half(i).groupBy("exon", "sample").agg(F.sum("q").alias("sum")), half(i).select("study", "sample").distinct()) for i in (0, 1)]
-    gene = F.concat(F.lit("G"), F.col("l_suppkey").cast("string"), F.lit(".A"), (F.col("l_suppkey") % 2 + 1).cast("string"))
+    gene = F.concat(F.lit("G"), (F.col("l_suppkey") % 6).cast("string"), F.lit(".A"), (F.col("l_suppkey") % 2 + 1).cast("string"))
     names = lines.where("l_orderkey % 7 = 0").select("exon", gene.alias("gene")).distinct()
     rows = unify.exon_splits(tranches, lines.select("exon").distinct(), names, ["A1", "A2"])
     path = _folder(spark, "exon-splits")

@@ -76,3 +76,29 @@ def test_no_values_or_regions(spark):
     region = spark.createDataFrame([("c", 1, 5)], "chrom string, start long, end long")
     assert [tuple(r) for r in intervals.summarise_regions(region, none, "sum").collect()] == [("c", 1, 5, 0)]
     assert intervals.summarise_regions(region.limit(0), none).count() == 0
+
+
+@pytest.mark.parametrize("block", [7, 1 << 18])
+@pytest.mark.parametrize("keyed", [True, False])
+def test_blocks_of_any_size_give_the_same(spark, monkeypatch, block, keyed):
+    from tallyweave.operators import ranges
+
+    monkeypatch.setattr(ranges, "BLOCK", block)
+    r = random.Random(9)
+    iv = [(r.choice(["a", "b", None]) if keyed else "a", s := r.randrange(900), s + r.choice([0, 3, 12, 300 if r.random() < 0.05 else 5])) for _ in range(250)]
+    df = spark.createDataFrame(iv, "chrom string, start long, end long").repartition(3)
+    on = ["chrom"] if keyed else []
+    for c in {x[0] for x in iv}:
+        mine = sorted((s, e) for k, s, e in iv if k == c)
+        base = {p for s, e in mine for p in range(s, e + 1)}
+        runs: list = []
+        for s, e in mine:
+            if runs and s - runs[-1][1] < 2:
+                runs[-1][1] = max(runs[-1][1], e)
+            else:
+                runs.append([s, e])
+        own = F.col("chrom").eqNullSafe(F.lit(c)) if keyed else F.lit(True)
+        assert sorted([x.start, x.end] for x in intervals.coalesce(df, 2, on).where(own).collect()) == runs
+        cut = sorted((x.start, x.end) for x in intervals.disjoin(df, on).where(own).collect())
+        bounds = sorted({s for s, _ in mine} | {e + 1 for _, e in mine})
+        assert cut == [(x, y - 1) for x, y in zip(bounds, bounds[1:], strict=False) if x in base]
