@@ -5,11 +5,12 @@ of the given length) with another place can repeat, so each shard sorts the
 suffixes of just that text: prefix doubling in the manner of Larsson and
 Sadakane, then common prefixes in text order as Kasai et al. do. That settles
 repeats inside a shard. Across shards, each shard sends the stretches of
-strings that are new to it, with their bytes, as one run in suffix order.
-Stretches of one anchor meet in one place: equal ones are settled whole, and
-of those that differ the strings are compared as they are, the runs merged by
-binary search. Anchors of very many stretches would fill one place, so their
-strings travel one by one.
+strings that are new to it, with their bytes, in suffix order. Stretches of one
+anchor meet in one place: equal ones are settled whole. The strings of those
+that differ are compared as they are, by a plain stable sort: within a stretch
+they stand by place and not by suffix, so this step is no merging of sorted
+runs. Anchors of very many stretches would fill one place, so their strings
+travel one by one.
 """
 
 from __future__ import annotations
@@ -291,7 +292,7 @@ def _repeats_in_stretches(table: pa.Table, length: int) -> pa.Table:
     head = np.flatnonzero(np.concatenate(([True], anchor[kept][1:] != anchor[kept][:-1])))
     several = shard[kept][head] != shard[kept][np.append(head[1:], len(kept)) - 1]
     open_ = kept[np.repeat(several, np.diff(np.append(head, len(kept))))]
-    open_ = np.sort(open_)  # back to the order of arrival: runs in suffix order
+    open_ = np.sort(open_)  # back to the order of arrival
     n = end[open_] - start[open_]
     total = np.concatenate(([0], np.cumsum(n)))
     which = np.repeat(np.arange(len(open_)), n)
@@ -310,12 +311,7 @@ def _repeats_in_stretches(table: pa.Table, length: int) -> pa.Table:
 
 
 def least_owners(keys: np.ndarray, rank: np.ndarray) -> np.ndarray:
-    """For each key the least rank among equal keys. Keys are bytes of one width, as sorted runs one after another.
-
-    numpy's stable sort of bytes is a run-finding merge sort: it takes the runs
-    as they are and merges them by galloping, that is by binary search for
-    where one run's next key falls in the other.
-    """
+    """For each key, bytes of one width, the least rank among equal keys."""
     order = np.argsort(keys, kind="stable")
     sorted_keys = keys[order]
     first = np.flatnonzero(np.concatenate(([True], sorted_keys[1:] != sorted_keys[:-1])))
