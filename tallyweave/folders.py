@@ -30,7 +30,17 @@ def checkpoint(df: DataFrame) -> DataFrame:
 
 
 def rewritten(df: DataFrame, name: str) -> DataFrame:
-    """Write df as Parquet in the shared folder and read it again."""
+    """Write df as Parquet in the shared folder and read it again; clean() deletes what was written."""
     path = f"{shared_folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}.parquet"
+    df.sparkSession.sparkContext.__dict__.setdefault("_tallyweave_written", []).append(path)
     df.write.parquet(path)
     return df.sparkSession.read.parquet(path)
+
+
+def clean(spark: SparkSession) -> int:
+    """Delete the tables that rewritten() wrote in this application, once no result that reads them is needed; how many there were."""
+    written: list[str] = spark.sparkContext.__dict__.pop("_tallyweave_written", [])
+    for path in written:
+        p = spark._jvm.org.apache.hadoop.fs.Path(path)
+        p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+    return len(written)

@@ -10,6 +10,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from uuid import uuid4
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -1340,3 +1341,38 @@ def stable_order(spark, d):
     writers.range_sorted(rows, path, line="o_orderkey")
     read = spark.read.parquet(path).select("*", F.col("_metadata.file_name").alias("_f"), F.col("_metadata.row_index").alias("_r"))
     return ranges.numbered(read, ["_f", "_r"], "place").drop("_f", "_r")
+
+
+@_query("""select l_linenumber as file, row_number() over (partition by l_linenumber order by l_orderkey, l_partkey, l_suppkey) - 1 as line, l_orderkey, l_partkey, l_suppkey from lineitem""")
+def zstd_files(spark, d):
+    """Zstandard text of many frames, one file for each number, read in parts with true line numbers."""
+    path = _folder(spark, "zstd")
+    columns = ["l_orderkey", "l_partkey", "l_suppkey"]
+
+    def write(rows: pd.DataFrame) -> pd.DataFrame:
+        import zstandard
+
+        system, place = frames.opened(path)
+        system.create_dir(place, recursive=True)
+        text = rows.sort_values(columns)[columns].to_csv(sep="\t", header=False, index=False).encode()
+        name = f"{place}/n{rows['l_linenumber'].iloc[0]}.zst"
+        with system.open_output_stream(name, compression=None) as f:
+            for i in range(0, len(text), 20_000):  # frames end inside lines
+                f.write(zstandard.compress(text[i : i + 20_000]))
+        return pd.DataFrame({"name": [name]})
+
+    _table(spark, d, "lineitem").select("l_linenumber", *columns).groupBy("l_linenumber").applyInPandas(write, "name string").collect()
+    read = readers.zstd_tsv(spark, path, columns, part_bytes=10_000)
+    return read.select(F.regexp_extract("path", r"n([0-9]+)\.zst$", 1).cast("int").alias("file"), "line", *(_long(c).alias(c) for c in columns))
+
+
+@_query("""select l_orderkey, cast(count(*) as bigint) as n, cast(sum(o_custkey) as bigint) as k from lineitem join orders on l_orderkey = o_orderkey group by l_orderkey""")
+def bucketed_tables(spark, d):
+    """Two catalogue tables in buckets of one key, joined and grouped without a shuffle of either."""
+    name = f"tallyweave_{uuid4().hex}"
+    writers.table(_table(spark, d, "lineitem").select("l_orderkey"), f"{name}_l", ["l_orderkey"], 8)
+    writers.table(_table(spark, d, "orders").select(F.col("o_orderkey").alias("l_orderkey"), "o_custkey"), f"{name}_o", ["l_orderkey"], 8)
+    joined = folders.rewritten(spark.table(f"{name}_l").join(spark.table(f"{name}_o"), "l_orderkey").groupBy("l_orderkey").agg(F.count("*").alias("n"), F.sum("o_custkey").alias("k")), "joined")
+    for t in (f"{name}_l", f"{name}_o"):
+        spark.sql(f"drop table {t}")
+    return joined

@@ -22,3 +22,13 @@ def test_a_cluster_must_name_the_shared_folder():
 
 def test_one_machine_has_a_folder_of_its_own():
     assert "spark-checkpoint-" in folders.shared_folder(session("local[4]"))
+
+
+def test_written_tables_are_deleted_on_demand(spark):
+    from pathlib import Path
+
+    folders.clean(spark)
+    df = folders.rewritten(spark.range(5).toDF("n"), "some")
+    place = Path(df.inputFiles()[0].removeprefix("file://")).parent
+    assert place.is_dir() and df.count() == 5
+    assert folders.clean(spark) == 1 and not place.exists() and folders.clean(spark) == 0
