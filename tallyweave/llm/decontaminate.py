@@ -14,7 +14,7 @@ count get their texts, and are aligned in a band.
 In periodic text, a rule of dashes for one, a q-gram comes again at once and
 all along. Such a run is one row with its number, runs meet as runs, and what
 their q-grams add to each diagonal follows from both numbers; so the work grows
-with lengths and not with their product. Equal stretches are looked at once.
+with lengths and not with their product. Stretches that are equal are looked at once a task.
 """
 
 from __future__ import annotations
@@ -49,10 +49,10 @@ BAND_ROWS = 2_000_000
 
 RESULT = "doc_id long, item_id long, start int, end int, edits int"
 
-_STRETCHES = "stretch long, doc_id long, digest binary, start int, core_from int, core_to int, body binary, same binary, codes array<long>, places array<int>, counts array<int>, steps array<int>, short_at array<int>, short_text array<binary>"
+_STRETCHES = "stretch long, doc_id long, digest binary, start int, core_from int, core_to int, body binary, same long, codes array<long>, places array<int>, run_codes array<long>, run_places array<int>, counts array<int>, steps array<int>, short_at array<int>, short_text array<binary>"
 _STRETCH = pa.schema([
-    ("stretch", pa.int64()), ("doc_id", pa.int64()), ("digest", pa.binary()), ("start", pa.int32()), ("core_from", pa.int32()), ("core_to", pa.int32()), ("body", pa.binary()), ("same", pa.binary()),
-    ("codes", pa.list_(pa.int64())), ("places", pa.list_(pa.int32())), ("counts", pa.list_(pa.int32())), ("steps", pa.list_(pa.int32())), ("short_at", pa.list_(pa.int32())), ("short_text", pa.list_(pa.binary())),
+    ("stretch", pa.int64()), ("doc_id", pa.int64()), ("digest", pa.binary()), ("start", pa.int32()), ("core_from", pa.int32()), ("core_to", pa.int32()), ("body", pa.binary()), ("same", pa.int64()),
+    ("codes", pa.list_(pa.int64())), ("places", pa.list_(pa.int32())), ("run_codes", pa.list_(pa.int64())), ("run_places", pa.list_(pa.int32())), ("counts", pa.list_(pa.int32())), ("steps", pa.list_(pa.int32())), ("short_at", pa.list_(pa.int32())), ("short_text", pa.list_(pa.binary())),
 ])
 
 _WORD = np.zeros(256, bool)
@@ -183,8 +183,12 @@ def dense(at: np.ndarray, doc: np.ndarray, kinds: list[tuple[int, int]]) -> np.n
     return keep
 
 
-def _stretches(ids: list, raw: np.ndarray, offs: np.ndarray, bench: tuple, number: int) -> list[tuple]:
-    """Rows of the stretches of a batch that may hold a passage, numbered from a given number."""
+def _stretches(ids: list, raw: np.ndarray, offs: np.ndarray, bench: tuple, number: int, seen: dict[bytes, int]) -> list[tuple]:
+    """Rows of the stretches of a batch that may hold a passage, numbered from a given number.
+
+    same is the number of the first stretch like it, in text and core, that
+    this task has seen; only that one's row has text and q-grams.
+    """
     q, bits, kinds, margin, core, short_lengths = bench
     buf = normalise(raw)
     found: dict[int, list] = {}
@@ -206,8 +210,7 @@ def _stretches(ids: list, raw: np.ndarray, offs: np.ndarray, bench: tuple, numbe
                 b, f = max(int(offs[d]), s, c - margin), min(int(offs[d + 1]), e, c + core + margin)
                 x, y = np.searchsorted(at, (b, f - q + 1))
                 if x < y:
-                    code, *runs = _runs(codes[at[x:y]], at[x:y] - b, q)
-                    found.setdefault(d, []).append((b, c, min(e, c + core), buf[b:f].tobytes(), code.view(np.int64), *(r.astype(np.int32) for r in runs)))
+                    found.setdefault(d, []).append((b, c, min(e, c + core), buf[b:f].tobytes(), codes[at[x:y]], at[x:y] - b))
     shorts: dict[int, list] = {}
     if short_lengths:
         solid = _WORD[buf]
@@ -229,11 +232,19 @@ def _stretches(ids: list, raw: np.ndarray, offs: np.ndarray, bench: tuple, numbe
     for d in sorted({*found, *shorts}):
         o = int(offs[d])
         digest = hashlib.md5(raw[o : offs[d + 1]].tobytes()).digest()
-        for b, c, f, body, *runs in found.get(d, []):
-            same = hashlib.blake2b(body, digest_size=16, key=b"%d %d" % (c - b, f - b)).digest()  # of stretches alike in text and core
-            rows.append((number + len(rows), ids[d], digest, b - o, c - o, f - o, body, same, *runs, None, None))
+        for b, c, f, body, codes, at in found.get(d, []):
+            key = hashlib.blake2b(body, digest_size=16, key=b"%d %d" % (c - b, f - b)).digest()
+            own = number + len(rows)
+            same = seen.setdefault(key, own)
+            if same != own:
+                rows.append((own, ids[d], digest, b - o, c - o, f - o, None, same, *[None] * 8))
+                continue
+            code, place, n, step = _runs(codes, at, q)
+            code, place, n, step = code.view(np.int64), place.astype(np.int32), n.astype(np.int32), step.astype(np.int32)
+            one = n == 1
+            rows.append((own, ids[d], digest, b - o, c - o, f - o, body, same, code[one], place[one], code[~one], place[~one], n[~one], step[~one], None, None))
         if d in shorts:
-            rows.append((number + len(rows), ids[d], digest, 0, 0, 0, *[None] * 6, *zip(*shorts[d], strict=True)))
+            rows.append((number + len(rows), ids[d], digest, 0, 0, 0, *[None] * 8, *zip(*shorts[d], strict=True)))
     return rows
 
 
@@ -485,19 +496,20 @@ def _found(docs: DataFrame, benchmark: DataFrame, doc_id: Column, text: str, ite
         from pyspark import TaskContext
 
         number = TaskContext.get().partitionId() << 40
+        seen: dict[bytes, int] = {}
         known = (q, np.unpackbits(packed.view(np.uint8), bitorder="little").view(bool), *state)
         for batch in batches:
             for b in textops.slices(batch):
-                rows = _stretches(b.column(0).to_pylist(), *textops.batch(b.column(1)), known, number)
+                rows = _stretches(b.column(0).to_pylist(), *textops.batch(b.column(1)), known, number, seen)
                 number += len(rows)
                 if rows:
                     yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), _STRETCH, strict=True)], schema=_STRETCH)
 
     stretches = durable.checkpoint(docs.select(doc_id.cast("long").alias("doc_id"), F.col(text).alias("text")).mapInArrow(textops.light(look), _STRETCHES))
-    places = stretches.where("codes is not null").select("stretch", "doc_id", "digest", "start", "same")
-    one = places.groupBy("same").agg(F.min("stretch").alias("stretch"))  # of equal stretches the first
-    runs = stretches.where("codes is not null").select("stretch", F.arrays_zip("codes", "places", "counts", "steps").alias("r")).join(one, "stretch", "left_semi")
-    hits = runs.select("stretch", F.explode("r").alias("h")).select("stretch", F.col("h.codes").alias("code"), F.col("h.places").alias("place"), F.col("h.counts").alias("n"), F.col("h.steps").alias("step"))
+    places = stretches.where("same is not null").select("same", "doc_id", "digest", "start")
+    one = F.transform(F.arrays_zip("codes", "places"), lambda h: F.struct(h["codes"].alias("code"), h["places"].alias("place"), F.lit(1).alias("n"), F.lit(0).alias("step")))
+    run = F.transform(F.arrays_zip("run_codes", "run_places", "counts", "steps"), lambda h: F.struct(h["run_codes"].alias("code"), h["run_places"].alias("place"), h["counts"].alias("n"), h["steps"].alias("step")))
+    hits = stretches.where("codes is not null").select("stretch", F.explode(F.concat(one, run)).alias("h")).select("stretch", "h.*")
     # of runs of n and m equal q-grams, so many pairs are t steps apart
     apart = F.explode(F.sequence(1 - F.col("m"), F.col("n") - 1)).alias("t")
     met = hits.join(bench.grams, "code").select("stretch", "item", "need", "half", "n", "m", (F.col("place") - F.col("pos") + F.col("size")).alias("d"), F.greatest("step", "own_step").alias("step"), apart)
@@ -520,7 +532,7 @@ def _found(docs: DataFrame, benchmark: DataFrame, doc_id: Column, text: str, ite
                     p, s, e, x = (pa.array(c, pa.int32()) for c in zip(*found, strict=True))
                     yield pa.RecordBatch.from_arrays([*(b.column(c).take(p) for c in keep), s, e, x], names=["same", "item_id", "from", "to", "edits"])
 
-    kinds = "same binary, item_id long, from int, to int, edits int"
+    kinds = "same long, item_id long, from int, to int, edits int"
     found = texts.select(*keep, "start", "core_from", "core_to", "body", "item_body").mapInArrow(textops.light(verify), kinds)
     found = found.join(places, "same").select("doc_id", "digest", "item_id", (F.col("start") + F.col("from")).alias("start"), (F.col("start") + F.col("to")).alias("end"), "edits")
     keep = ["doc_id", "digest", "item_id"]
