@@ -5,9 +5,10 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tallyweave import folders
 from tallyweave.functions import scalars
 from tallyweave.operators import junctions, matrix, ranges, rejoin
 
@@ -68,22 +69,38 @@ def study_rows(long: DataFrame, features: DataFrame, samples: DataFrame, key: Se
     samples are a bounded number, and never columns.
     """
     studies = samples.groupBy("study").agg(F.sort_array(F.collect_set("sample")).alias("samples"))
-    found = long.join(samples.select("study", "sample").distinct(), "sample").groupBy("study", *key).agg(F.map_from_entries(F.collect_list(F.struct("sample", value))).alias("_m"))
+    places = studies.select("study", F.posexplode("samples").alias("_at", "sample"))
+    measured = long.join(places, "sample").select("study", *key, "_at", F.coalesce(F.col(value), F.lit(0).cast("long")).alias("_v"))
+    zero = F.lit(0).cast(measured.schema["_v"].dataType)
+    found = measured.groupBy("study", *key).agg(F.sort_array(F.collect_list(F.struct("_at", "_v"))).alias("_e"))
     numbered = studies.select("study", "samples").withColumn("_s", F.row_number().over(Window.orderBy("study")))  # one row for each study
     grid = features.withColumn("_s", F.explode(F.sequence(F.lit(1), F.lit(samples.select("study").distinct().count())))).join(numbered, "_s").drop("_s")
-    counts = F.transform("samples", lambda s: F.coalesce(F.col("_m")[s], F.lit(0).cast("long")))
-    return grid.join(found, ["study", *key], "left").select("study", *features.columns, "samples", counts.alias("counts"))
+    entries = F.coalesce("_e", F.array().cast(found.schema["_e"].dataType))
+    rows = grid.join(found, ["study", *key], "left").select("study", *features.columns, "samples", entries.alias("_e"))
+    return rows.select("study", *features.columns, "samples", _dense(F.col("_e"), F.size("samples"), zero).alias("counts"))
 
 
-def write_studies(rows: DataFrame, path: str, columns: Sequence[str], preamble: Sequence[str] = ("annotation", "date.generated"), values: dict[str, str] | None = None, kind: str = "gene_sums") -> None:
+def _dense(entries: Column, size: Column, zero: Column) -> Column:
+    """Sorted entries (_at, _v) as an array of the given size, zero where there is no entry; the work is that size, however many entries there are."""
+    before = lambda i: F.when(i > 0, F.get(entries, i - 1)["_at"]).otherwise(-1)
+    zeros = lambda n: F.array_repeat(zero, n.cast("int"))
+    again = F.raise_error(F.lit("a sample has two values for one feature")).cast("int")
+    filled = F.transform(entries, lambda e, i: F.concat(zeros(F.when(e["_at"] > before(i), e["_at"] - before(i) - 1).otherwise(again)), F.array(e["_v"])))
+    return F.concat(F.flatten(filled), zeros(size - 1 - before(F.size(entries))))
+
+
+def write_studies(rows: DataFrame, path: str, columns: Sequence[str], preamble: Sequence[str] = ("annotation", "date.generated"), values: dict[str, str] | None = None, kind: str = "gene_sums", parts: int | None = None) -> None:
     """Text files by study and annotation, in folders named by the study's last two signs, the study and the annotation.
 
-    Each begins with ## lines (the annotation and what values gives) and a
-    header with the study's samples; lines are in the features' order. A study
-    and annotation is one sorted group of lines, written in one go.
+    Each folder's first file begins with ## lines (the annotation and what
+    values gives) and a header with the study's samples; lines are in the
+    features' order. The rows are written once, then their lines are dealt by
+    range over `parts` tasks, so a large study is several files, in the order of
+    their names, and no task has one whole; files put together as they are make
+    one gzip file of the study.
     """
     by = ("study_lo", "study", "annotation")
-    rows = rows.withColumn("study_lo", F.right("study", F.lit(2))).withColumn("kind", F.lit(kind))
+    rows = folders.rewritten(rows, "studies").withColumn("study_lo", F.right("study", F.lit(2))).withColumn("kind", F.lit(kind))
     text = F.concat_ws("\t", *(F.coalesce(F.col(c).cast("string"), F.lit("")) for c in columns), F.array_join(F.transform("counts", lambda c: c.cast("string")), "\t"))
     body = rows.select(*by, F.lit(1).alias("_o"), F.struct(*columns).alias("_k"), text.alias("value"))
     first = rows.groupBy(*by).agg(F.first("samples").alias("samples"))
@@ -91,7 +108,9 @@ def write_studies(rows: DataFrame, path: str, columns: Sequence[str], preamble:
     lines = [F.concat(F.lit(f"##{p}="), given(p)) for p in preamble] + [F.concat_ws("\t", *map(F.lit, columns), F.array_join("samples", "\t"))]
     none = F.lit(None).cast(body.schema["_k"].dataType)
     head = first.select(*by, F.posexplode(F.array(*lines)).alias("_n", "value")).select(*by, (F.col("_n") - 100).alias("_o"), none.alias("_k"), "value")
-    body.unionByName(head).repartition(*by).sortWithinPartitions(*by, "_o", "_k").select(*by, "value").write.partitionBy(*by).text(path, compression="gzip")
+    order = (*by, "_o", "_k")
+    parts = parts or int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    body.unionByName(head).repartitionByRange(parts, *order).sortWithinPartitions(*order).select(*by, "value").write.partitionBy(*by).text(path, compression="gzip")
 
 
 def across_tranches(tranches: Sequence[dict[str, DataFrame]]) -> dict[str, DataFrame]:
