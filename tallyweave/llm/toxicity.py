@@ -204,6 +204,12 @@ def _logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float = 0
     return w
 
 
+def _kinds(size: np.ndarray, weight: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """One chain of each length and weight, and how many it stands for: without a chosen feature chains differ in nothing else."""
+    _, first, times = np.unique(np.stack([size, weight], 1), axis=0, return_index=True, return_counts=True)
+    return first, times
+
+
 def fit(texts: list[str], toxic: np.ndarray, rounds: int = 60, weight: np.ndarray | None = None) -> Model:
     """Fit the field on the even rows of a sample and the curve on the odd ones; each row counts by its weight."""
     empty = np.zeros(0)
@@ -222,12 +228,11 @@ def fit(texts: list[str], toxic: np.ndarray, rounds: int = 60, weight: np.ndarra
     tag = np.zeros(n)
     tag[who] = toxic[half][tokens.doc[who]]
     of_token = weight[half][tokens.doc]
-    # chains without a chosen feature are all alike, so a part of them, weighted, stands for all
     of = np.repeat(np.arange(len(tokens.chain)), tokens.size)
     mixed = np.unique(of[who])
     plain = np.setdiff1d(np.arange(len(tokens.chain)), mixed)
-    chains = [(mixed, 1.0), (plain[:: max(1, len(plain) // 2000)], 0.0)]
-    chains[1] = (chains[1][0], len(plain) / max(1, len(chains[1][0])))
+    first, times = _kinds(tokens.size[plain], of_token[tokens.chain[plain]])
+    chains = [(mixed, np.ones(len(mixed))), (plain[first], times)]
     observed = np.zeros((2, 2))
     same = np.flatnonzero(of[1:] == of[:-1])
     np.add.at(observed, (tag[same].astype(int), tag[same + 1].astype(int)), of_token[same])
@@ -243,11 +248,11 @@ def fit(texts: list[str], toxic: np.ndarray, rounds: int = 60, weight: np.ndarra
                 continue
             chain, size = tokens.chain[chosen], tokens.size[chosen]
             rows, (r, c) = _padded(emit, chain, size)
-            got, two = forward_backward(rows, size, model.moves, of_token[chain])
+            got, two = forward_backward(rows, size, model.moves, of_token[chain] * times)
             at = np.repeat(chain, size) + c
             p[at] = got[r, c]
-            pairs += times * two
-            bias += times * (of_token[at] * (p[at] - tag[at])).sum()
+            pairs += two
+            bias += (of_token[at] * np.repeat(times, size) * (p[at] - tag[at])).sum()
         g = np.concatenate([np.bincount(what, weights=of_token[who] * (p[who] - tag[who]), minlength=size_w), [bias], (pairs - observed).ravel()]) / max(1.0, of_token @ tag) + 1e-3 * theta
         mean, power = 0.9 * mean + 0.1 * g, 0.99 * power + 0.01 * g * g
         theta = theta - 0.3 * (mean / (1 - 0.9**i)) / (np.sqrt(power / (1 - 0.99**i)) + 1e-8)

@@ -41,6 +41,20 @@ def test_marginals_equal_enumeration():
     assert pairs == pytest.approx(want)
 
 
+def test_chains_counted_by_kind_fit_as_all_of_them_do(monkeypatch):
+    texts, toxic = labelled(300)
+    # also texts of many sentences, and of repeated, one-word and very long ones
+    texts += [". ".join([prose(random.Random(i), 9)] * 40) for i in range(20)] + ["one. two. two", prose(random.Random(5), 500)] * 5
+    toxic = np.array([*toxic, *[0] * 30], bool)
+    weight = np.where(toxic, 1.0, 2.5)
+    got = toxicity.fit(texts, toxic, 20, weight)
+    monkeypatch.setattr(toxicity, "_kinds", lambda size, weight: (np.arange(len(size)), np.ones(len(size))))
+    want = toxicity.fit(texts, toxic, 20, weight)
+    assert len(got.codes) and (got.codes == want.codes).all()
+    for a, b in zip((got.weights, got.bias, got.moves, got.curve), (want.weights, want.bias, want.moves, want.curve), strict=True):
+        assert a == pytest.approx(b, rel=1e-6, abs=1e-6)
+
+
 def test_held_out_accuracy_and_spans(spark):
     texts, toxic = labelled()
     texts += [None, "", "123 --", texts[0] * 200]
