@@ -45,7 +45,8 @@ def test_chains_counted_by_kind_fit_as_all_of_them_do(monkeypatch):
     texts, toxic = labelled(300)
     # also texts of many sentences, and of repeated, one-word and very long ones
     texts += [". ".join([prose(random.Random(i), 9)] * 40) for i in range(20)] + ["one. two. two", prose(random.Random(5), 500)] * 5
-    toxic = np.array([*toxic, *[0] * 30], bool)
+    mixed = np.random.default_rng(1).permutation(len(texts))  # fitting takes every other one for the curve
+    texts, toxic = [texts[i] for i in mixed], np.array([*toxic, *[0] * (len(texts) - len(toxic))], bool)[mixed]
     weight = np.where(toxic, 1.0, 2.5)
     got = toxicity.fit(texts, toxic, 20, weight)
     monkeypatch.setattr(toxicity, "_kinds", lambda size, weight: (np.arange(len(size)), np.ones(len(size))))
