@@ -37,6 +37,10 @@ SMALL, BLOCK, BLOCK_CODES, COLUMNS, CODES = 16, 1_024, 1 << 20, 4_096, 1 << 21
 #: Members that are compared with one lead side by side; more make more parts, each with the lead's set once.
 PART = 256
 
+#: Bits of a sieve for each key in it, and at most (8 MB); with more keys than it can tell apart it lets more rows pass, and the result stays.
+#: It is broadcast in chunks, of as many bits as a bitmap of Spark's has.
+KEY_BITS, SIEVE_BITS, CHUNK_BITS = 16, 1 << 26, 1 << 15
+
 SIGNATURE = "doc_id long, row_key binary, n_shingles long, set_a long, set_b long, bands array<long>, sketch array<long>"
 
 _K = BANDS * ROWS
@@ -300,10 +304,38 @@ def _groups(rows: DataFrame, words: int, percent: int) -> tuple[DataFrame, DataF
     return signed, nodes.join(labels, "node", "left").select("node", "set_a", "set_b", "doc_id", "row_key", F.coalesce("label", "node").alias("label"))
 
 
+def _unused(taken: list[str], *names: str) -> list[str]:
+    """The names, each with a number that makes it one that no column has."""
+    return [next(n for n in (f"{name}{i}" for i in range(len(taken) + 1)) if n not in taken) for name in names]
+
+
+def _sieved(rows: DataFrame, key: str, wanted: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The rows whose key may be among the wanted ones (a single column), and those whose key surely isn't.
+
+    A broadcast bitmap of the keys' hashes tells them apart where they are read,
+    so that only the first need be shuffled, with their texts, for an exact join.
+    """
+    bits = min(SIEVE_BITS, max(CHUNK_BITS, 1 << (KEY_BITS * wanted.count()).bit_length()))
+    chunk, bitmap = _unused(rows.columns, "_chunk", "_bitmap")
+
+    def placed(column: str) -> tuple[Column, Column]:
+        at = F.xxhash64(column).bitwiseAND(F.lit(bits - 1))
+        return F.floor(at / CHUNK_BITS), at.bitwiseAND(F.lit(CHUNK_BITS - 1))
+
+    its, bit = placed(wanted.columns[0])
+    chunks = wanted.select(its.alias(chunk), bit.alias("bit")).repartition(chunk).groupBy(chunk).agg(F.bitmap_construct_agg("bit").alias(bitmap))
+    its, bit = placed(key)
+    byte = F.conv(F.hex(F.substring(F.col(bitmap), F.floor(bit / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    told = rows.join(F.broadcast(chunks), its == F.col(chunk), "left")
+    among = F.coalesce(F.getbit(byte, bit.bitwiseAND(F.lit(7)).cast("int")) == 1, F.lit(False))
+    return told.where(among).select(rows.columns), told.where(~among).select(rows.columns)
+
+
 def _texts(rows: DataFrame, nodes: DataFrame, wanted: DataFrame) -> DataFrame:
     """node and text of the wanted nodes, written once."""
-    keys = nodes.join(wanted, "node", "left_semi").select("row_key", "node")
-    return durable.checkpoint(rows.select("row_key", "text").join(keys, "row_key").dropDuplicates(["row_key"]).select("node", "text"))
+    keys = durable.checkpoint(nodes.join(wanted, "node", "left_semi").select("row_key", "node"))
+    among, _ = _sieved(rows.select("row_key", "text"), "row_key", keys.select("row_key"))
+    return durable.checkpoint(among.join(keys, "row_key").dropDuplicates(["row_key"]).select("node", "text"))
 
 
 def _rows(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
@@ -343,16 +375,17 @@ def one_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", wor
     equal ids the smaller digest. Rows without shingles all stay. An empty
     table gives an empty result.
     """
-    key, row = (next(n for n in (f"{base}{i}" for i in range(len(docs.columns) + 1)) if n not in docs.columns) for base in ("_row_key", "_row"))  # names that no column has
+    key, row = _unused(docs.columns, "_row_key", "_row")
     signed, nodes = _groups(_rows(docs, doc_id, text), words, percent)
     order = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "row_key")
     first = nodes.groupBy("label").agg(F.min(order).alias("of")).select(F.col("of.row_key").alias(row))
     full = signed.where("n_shingles > 0")
-    copies = full.select(F.col("row_key").alias(row)).distinct().join(first, row, "left_anti")
+    copies = durable.rewritten(full.select(F.col("row_key").alias(row)).distinct().join(first, row, "left_anti"), "copies")
+    twice = durable.rewritten(full.groupBy(F.col("row_key").alias(row)).agg(F.count("*").alias("_n")).where("_n > 1").select(row), "twice")
     keyed = docs.withColumn(key, _row_key(F.col(doc_id).cast("long"), F.col(text)))
     again = F.col(key) == F.col(row)
-    kept = keyed.join(durable.rewritten(copies, "copies"), again, "left_anti")
-    twice = durable.rewritten(full.groupBy(F.col("row_key").alias(row)).agg(F.count("*").alias("_n")).where("_n > 1").select(row), "twice")
+    among, others = _sieved(keyed, key, copies.unionByName(twice))
+    kept = among.join(copies, again, "left_anti")
     if not twice.isEmpty():
         kept = kept.join(twice, again, "left_anti").unionByName(kept.join(twice, again, "left_semi").dropDuplicates([key]))
-    return kept.select(docs.columns)
+    return others.unionByName(kept).select(docs.columns)

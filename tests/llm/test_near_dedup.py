@@ -103,3 +103,37 @@ def test_components_of_a_long_chain(spark):
     links = spark.createDataFrame([(i, i + 1) for i in range(100)] + [(500, 400), (400, 450)], "a long, b long")
     got = {r.node: r.label for r in components.components(links).collect()}
     assert got == {**dict.fromkeys(range(101), 0), 400: 400, 450: 400, 500: 400}
+
+
+def shuffled_bytes(spark):
+    sc = spark.sparkContext
+    stages = sc._jsc.sc().statusStore().stageList(None, False, False, sc._gateway.new_array(sc._jvm.double, 0), sc._jvm.java.util.ArrayList())
+    return sum(stages.apply(i).shuffleWriteBytes() for i in range(stages.size()))
+
+
+def test_texts_that_meet_nothing_are_not_shuffled(spark):
+    """Long texts that share no shingle, and three copies of short ones; joins aren't broadcast for their size."""
+    r = random.Random(23)
+    texts = [" ".join(f"{r.getrandbits(64):x}" for _ in range(1500)) for _ in range(150)] + [prose(r, 60) for _ in range(3)] * 2
+    docs = documents(spark, texts).localCheckpoint()
+    before, threshold = shuffled_bytes(spark), spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        got = sorted(x.doc_id for x in near_dedup.one_of_each(docs).collect())
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    assert got == list(range(153))
+    assert shuffled_bytes(spark) - before < sum(map(len, texts)) / 4
+
+
+@pytest.mark.parametrize("bits", [1 << 15, 1 << 26])
+def test_a_sieve_loses_no_key_and_no_row(spark, monkeypatch, bits):
+    monkeypatch.setattr(near_dedup, "SIEVE_BITS", bits)
+    rows = spark.range(60_000).selectExpr("id", "unhex(md5(cast(id as string))) key", "'x' _chunk0", "'y' _bitmap0")
+    among, others = near_dedup._sieved(rows, "key", rows.where("id % 3 = 0").select("key"))
+    assert among.columns == others.columns == rows.columns
+    found = {x.id for x in among.select("id").collect()}
+    assert found >= set(range(0, 60_000, 3))
+    assert found.isdisjoint(left := {x.id for x in others.select("id").collect()}) and len(found) + len(left) == 60_000
+    assert len(left) > (36_000 if bits > 1 << 15 else 15_000)
+    assert near_dedup._sieved(rows, "key", rows.where("false").select("key"))[1].count() == 60_000
