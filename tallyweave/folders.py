@@ -5,7 +5,8 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -23,10 +24,19 @@ def shared_folder(spark: SparkSession) -> str:
     return context.getCheckpointDir()
 
 
-def checkpoint(df: DataFrame) -> DataFrame:
-    """Write df to the shared folder and read it from there."""
+def checkpoint(df: DataFrame, task_rows: int = 0) -> DataFrame:
+    """Write df to the shared folder and read it from there.
+
+    With task_rows, no more tasks read it than have so many rows each: few rows
+    in many partitions are put together, as the driver keeps some memory for
+    every task. Rows are counted as they are written; all are read.
+    """
     shared_folder(df.sparkSession)
-    return df.checkpoint(eager=True)
+    if not task_rows:
+        return df.checkpoint(eager=True)
+    seen = Observation()
+    written = df.observe(seen, F.count(F.lit(1)).alias("n")).checkpoint(eager=True)
+    return written.coalesce(max(1, -(-seen.get["n"] // task_rows)))
 
 
 def rewritten(df: DataFrame, name: str) -> DataFrame:

@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyweave.llm import durable, textops
-from tallyweave.llm.components import components
+from tallyweave.llm.components import TASK_ROWS, components
 
 #: Bands and MinHash values in each: a pair of similarity 0.8 meets in none of them once in 1.4e9.
 BANDS, ROWS = 40, 4
@@ -37,6 +37,9 @@ SMALL, BLOCK, BLOCK_CODES, COLUMNS, CODES = 16, 1_024, 1 << 20, 4_096, 1 << 21
 #: Members that are compared with one lead side by side; more make more parts, each with the lead's set once.
 PART = 256
 
+#: Nodes that one task reads, if there are as many, each with its bands and sketch; of ids alone it reads TASK_ROWS.
+TASK_NODES = 4_096
+
 #: Bits of a sieve for each key in it, and at most (8 MB); with more keys than it can tell apart it lets more rows pass, and the result stays.
 #: It is broadcast in chunks, of as many bits as a bitmap of Spark's has.
 KEY_BITS, SIEVE_BITS, CHUNK_BITS = 16, 1 << 26, 1 << 15
@@ -277,28 +280,28 @@ def _groups(rows: DataFrame, words: int, percent: int) -> tuple[DataFrame, DataF
     signed = durable.checkpoint(signatures(rows, words))
     order = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "row_key")
     sets = signed.where("n_shingles > 0").groupBy("set_a", "set_b").agg(F.min(order).alias("of"), F.first("n_shingles").alias("n_shingles"), F.first("bands").alias("bands"), F.first("sketch").alias("sketch"))
-    nodes = durable.checkpoint(sets.withColumn("node", F.monotonically_increasing_id()).select("node", "set_a", "set_b", "of.doc_id", "of.row_key", "n_shingles", "bands", "sketch"))
+    nodes = durable.checkpoint(sets.withColumn("node", F.monotonically_increasing_id()).select("node", "set_a", "set_b", "of.doc_id", "of.row_key", "n_shingles", "bands", "sketch"), TASK_NODES)
     sketches = nodes.select("node", "n_shingles", "sketch")
     keyed = nodes.select("node", F.explode("bands").alias("key"))
-    buckets = durable.checkpoint(keyed.groupBy("key").agg(F.min("node").alias("lead"), F.count("*").alias("n")).where("n > 1"))
-    met = durable.checkpoint(keyed.join(buckets, "key").select("key", "node", "lead", "n"))
+    buckets = durable.checkpoint(keyed.groupBy("key").agg(F.min("node").alias("lead"), F.count("*").alias("n")).where("n > 1"), TASK_ROWS)
+    met = durable.checkpoint(keyed.join(buckets, "key").select("key", "node", "lead", "n"), TASK_ROWS)
     stars = met.where("node <> lead").select(F.col("lead").alias("a"), F.col("node").alias("b")).distinct()
     x, y = (sketches.select(F.col("node").alias(c), F.col("sketch").alias(f"sketch_{c}")) for c in "ab")
-    near = durable.checkpoint(stars.join(x, "a").join(y, "b").where(_similarity(F.col("sketch_a"), F.col("sketch_b")) >= least).select("a", "b"))
+    near = durable.checkpoint(stars.join(x, "a").join(y, "b").where(_similarity(F.col("sketch_a"), F.col("sketch_b")) >= least).select("a", "b"), TASK_ROWS)
     texts = _texts(rows, nodes, met.select("node").distinct())
-    links = durable.checkpoint(_confirm(near, texts, words, percent))
+    links = durable.checkpoint(_confirm(near, texts, words, percent), TASK_ROWS)
     labels = components(links)
 
     labelled = met.join(labels, "node", "left").select("key", "node", "n", F.coalesce("label", "node").alias("label"))
     torn = labelled.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high").select("key")
-    members = durable.checkpoint(labelled.join(torn, "key").join(sketches, "node"))
+    members = durable.checkpoint(labelled.join(torn, "key").join(sketches, "node"), TASK_NODES)
     small, large = members.where(f"n <= {SMALL}"), members.where(f"n > {SMALL}")
-    more = durable.checkpoint(_across_small(small, least).join(near, ["a", "b"], "left_anti"))
+    more = durable.checkpoint(_across_small(small, least).join(near, ["a", "b"], "left_anti"), TASK_ROWS)
     late = [_confirm(more, texts, words, percent)] if not more.isEmpty() else []
     if not large.isEmpty():
         late.append(_links_in_large(large, texts, least, words, percent))
     if late:
-        late = durable.checkpoint(reduce(DataFrame.unionByName, late))
+        late = durable.checkpoint(reduce(DataFrame.unionByName, late), TASK_ROWS)
         if not late.isEmpty():
             labels = components(links.unionByName(late))
     return signed, nodes.join(labels, "node", "left").select("node", "set_a", "set_b", "doc_id", "row_key", F.coalesce("label", "node").alias("label"))
@@ -333,7 +336,7 @@ def _sieved(rows: DataFrame, key: str, wanted: DataFrame) -> tuple[DataFrame, Da
 
 def _texts(rows: DataFrame, nodes: DataFrame, wanted: DataFrame) -> DataFrame:
     """node and text of the wanted nodes, written once."""
-    keys = durable.checkpoint(nodes.join(wanted, "node", "left_semi").select("row_key", "node"))
+    keys = durable.checkpoint(nodes.join(wanted, "node", "left_semi").select("row_key", "node"), TASK_ROWS)
     among, _ = _sieved(rows.select("row_key", "text"), "row_key", keys.select("row_key"))
     return durable.checkpoint(among.join(keys, "row_key").dropDuplicates(["row_key"]).select("node", "text"))
 

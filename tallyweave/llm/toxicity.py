@@ -257,6 +257,7 @@ def fit(texts: list[str], toxic: np.ndarray, rounds: int = 60, weight: np.ndarra
         mean, power = 0.9 * mean + 0.1 * g, 0.99 * power + 0.01 * g * g
         theta = theta - 0.3 * (mean / (1 - 0.9**i)) / (np.sqrt(power / (1 - 0.99**i)) + 1e-8)
     model.weights, model.bias, model.moves = theta[:size_w], float(theta[size_w]), theta[size_w + 1 :].reshape(2, 2)
+    del tokens  # the halves' arrays need not stand side by side
     held = part(~half)
     model.curve = _logistic(_summary(marginals(model, held), held), toxic[~half].astype(float), weight[~half])
     return model
@@ -298,7 +299,13 @@ def train(docs: DataFrame, labels: DataFrame, usable: Column | None = None, doc_
     bad = np.array(sample["toxic"].to_pylist(), int) > 0
     stands = {k: n / min(n, rows) for k, n in total.items()}  # labels for each drawn one
     least = min(stands.values())
-    return fit(sample["text"].to_pylist(), bad, weight=np.array([stands[k] / least for k in bad.tolist()]))
+    texts = sample["text"].to_pylist()
+    del sample
+    try:
+        return fit(texts, bad, weight=np.array([stands[k] / least for k in bad.tolist()]))
+    finally:  # else the driver keeps what fitting took
+        del texts
+        textops.give_back()
 
 
 def scores(model: Model, p: np.ndarray, tokens: Tokens) -> np.ndarray:

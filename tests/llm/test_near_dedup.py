@@ -137,3 +137,24 @@ def test_a_sieve_loses_no_key_and_no_row(spark, monkeypatch, bits):
     assert found.isdisjoint(left := {x.id for x in others.select("id").collect()}) and len(found) + len(left) == 60_000
     assert len(left) > (36_000 if bits > 1 << 15 else 15_000)
     assert near_dedup._sieved(rows, "key", rows.where("false").select("key"))[1].count() == 60_000
+
+
+def completed_tasks(spark):
+    sc = spark.sparkContext
+    stages = sc._jsc.sc().statusStore().stageList(None, False, False, sc._gateway.new_array(sc._jvm.double, 0), sc._jvm.java.util.ArrayList())
+    return sum(stages.apply(i).numCompleteTasks() for i in range(stages.size()))
+
+
+def test_few_links_in_many_partitions_take_few_tasks(spark):
+    """In partitions that Spark doesn't coalesce; it took 2,935 tasks while each round read its tables by all of them."""
+    held = {"spark.sql.shuffle.partitions": "40", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    plain = {k: spark.conf.get(k) for k in held}
+    for k, v in held.items():
+        spark.conf.set(k, v)
+    try:
+        before = completed_tasks(spark)
+        test_components_of_a_long_chain(spark)
+        assert completed_tasks(spark) - before < 2_000
+    finally:
+        for k, v in plain.items():
+            spark.conf.set(k, v)

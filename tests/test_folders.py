@@ -32,3 +32,12 @@ def test_written_tables_are_deleted_on_demand(spark):
     place = Path(df.inputFiles()[0].removeprefix("file://")).parent
     assert place.is_dir() and df.count() == 5
     assert folders.clean(spark) == 1 and not place.exists() and folders.clean(spark) == 0
+
+
+@pytest.mark.parametrize(("rows", "tasks"), [(0, 1), (1, 1), (100, 1), (101, 2), (950, 10), (5000, 12)])
+def test_tasks_that_read_a_checkpoint_follow_its_rows(spark, rows, tasks):
+    """Never more than it has partitions, and no row is lost."""
+    some = spark.range(0, 5000, 1, 12).where(f"id < {rows}")
+    got = folders.checkpoint(some, 100)
+    assert got.rdd.getNumPartitions() == tasks and sorted(x.id for x in got.collect()) == list(range(rows))
+    assert folders.checkpoint(some).rdd.getNumPartitions() == 12
