@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
+from functools import reduce
 from typing import Any
 
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyweave import folders
@@ -78,12 +79,45 @@ def _cells(rows: DataFrame, column: str, patterns: DataFrame, shards: int) -> tu
     return texts, words
 
 
+#: Regular expressions of plain text, of which signs may be escaped, with or without anchors; and the line's end that a text's last line may have.
+PLAIN, LAST_END = r"(?s)^(\^?)((?:[^\\^$.|?*+()\[\]{}]|\\[^A-Za-z0-9])*)(\$?)$", r"(?:\r\n|[\n\r\u0085\u2028\u2029])\z"
+
+
+def _plain(words: DataFrame) -> DataFrame:
+    """Patterns (_w) with the plain text _l that they are, null if they are more, and whether it stands at a text's beginning (_at) or end (_to)."""
+    part = lambda i: F.regexp_extract("_w", PLAIN, i)
+    plain = F.regexp_like("_w", F.lit(PLAIN))
+    return words.select("_w", F.when(plain, F.regexp_replace(part(2), r"(?s)\\(.)", "$1")).alias("_l"), (plain & (part(1) != "")).alias("_at"), (plain & (part(3) != "")).alias("_to"))
+
+
+def _anchored(texts: DataFrame, words: DataFrame) -> DataFrame:
+    """_id of texts (_id, _t) that begin with, end with or are a plain text, by equality of what stands there.
+
+    As for `$`, a text also ends before the end of its last line.
+    """
+    lengths: dict[tuple[bool, bool], list[int]] = {}
+    for at, to, n in words.select("_at", "_to", F.length("_l")).distinct().collect():  # small numbers, a few for each kind
+        lengths.setdefault((at, to), []).append(n)
+
+    def stands(t: Column, at: bool, to: bool) -> Column:
+        if at and to:
+            return F.filter(F.array(t), lambda x: F.array_contains(F.lit(sorted(lengths[at, to])), F.length(x)))
+        each = F.filter(F.lit(sorted(lengths[at, to])), lambda n: n <= F.length(t))
+        return F.transform(each, lambda n: F.left(t, n) if at else F.right(t, n))
+
+    ends = texts.withColumn("_t", F.explode(F.array_distinct(F.array("_t", F.regexp_replace("_t", LAST_END, "")))))
+    kinds = [ends.select("_id", F.explode(stands(F.col("_t"), *k)).alias("_l"), F.lit(k[0]).alias("_at"), F.lit(k[1]).alias("_to")) for k in lengths]
+    return reduce(DataFrame.unionByName, kinds).join(words.select("_l", "_at", "_to").distinct(), ["_l", "_at", "_to"], "left_semi").select("_id")
+
+
 def filter_by_patterns(rows: DataFrame, column: str, patterns: DataFrame, pattern: str, exclude: bool = False, most: int = 1000) -> DataFrame:
     """Rows that some regular expression matches. A null text matches none.
 
-    Up to `most` different patterns are one expression in the scan. More are
-    joined to one expression for each `most`, inside tasks, and these meet the
-    rows in blocks; no list of patterns comes to the driver.
+    Up to `most` different patterns are one expression in the scan. Of more,
+    those that are plain text with an anchor are joined by equality, and those
+    without one are sought by automata. The rest are joined to one expression
+    for each `most`, inside tasks, and these meet the rows in blocks, which is
+    work for each row and pattern; no list of patterns comes to the driver.
     """
     words = patterns.select(F.col(pattern).cast("string").alias("_w")).where("_w is not null").distinct()
     few = [r[0] for r in words.limit(most + 1).collect()]
@@ -93,9 +127,20 @@ def filter_by_patterns(rows: DataFrame, column: str, patterns: DataFrame, patter
         hit = F.coalesce(F.col(column).rlike("|".join(f"(?:{p})" for p in sorted(few))), F.lit(False))
         return rows.where(~hit if exclude else hit)
     keyed = folders.rewritten(rows.withColumn("_id", F.monotonically_increasing_id()), "filtered")
-    texts, cells = _cells(keyed, column, words, -(-words.count() // most))
-    whole = cells.groupBy("_s", "_b").agg(F.concat_ws("|", F.transform(F.collect_list("_w"), lambda p: F.concat(F.lit("(?:"), p, F.lit(")")))).alias("_w"))  # about `most` each
-    return _kept(keyed, texts.join(whole, ["_s", "_b"]).where(F.regexp_like("_t", F.col("_w"))), exclude)
+    words = folders.rewritten(_plain(words), "patterns")
+    texts = keyed.select("_id", F.col(column).cast("string").alias("_t")).where("_t is not null")
+    anchored, loose, others = words.where("_at or _to"), words.where("_l is not null and not _at and not _to"), words.where("_l is null")
+    n = words.select(*(F.count(F.when(c, 1)).alias(k) for k, c in (("anchored", F.expr("_at or _to")), ("others", F.col("_l").isNull()), ("all", F.lit(True))))).first()
+    hits = []
+    if n["anchored"]:
+        hits.append(_anchored(texts, anchored))
+    if n["others"]:
+        split, cells = _cells(keyed, column, others.select("_w"), -(-n["others"] // most))
+        whole = cells.groupBy("_s", "_b").agg(F.concat_ws("|", F.transform(F.collect_list("_w"), lambda p: F.concat(F.lit("(?:"), p, F.lit(")")))).alias("_w"))  # about `most` each
+        hits.append(split.join(whole, ["_s", "_b"]).where(F.regexp_like("_t", F.col("_w"))).select("_id"))
+    if n["anchored"] + n["others"] < n["all"]:
+        hits.append(filter_by_literals(texts.withColumnRenamed("_id", "_own"), "_t", loose, "_l").select(F.col("_own").alias("_id")))
+    return _kept(keyed, reduce(DataFrame.unionByName, hits), exclude)
 
 
 def _automaton(words: Iterable[str]) -> Any:

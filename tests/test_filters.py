@@ -38,6 +38,25 @@ def test_literals_and_patterns_in_one_or_many_parts(spark, most):
     assert kept(joins.filter_by_literals(df, "t", none, "w")) == [] and kept(joins.filter_by_patterns(df, "t", none, "w", exclude=True)) == list(range(6))
 
 
+def test_many_plain_patterns_are_joined_by_equality(spark, monkeypatch):
+    tails = [f"0{i}$" for i in range(40)]
+    others = ["^ab", r"^x\.y$", "^$", r"a\$b", "mid", r"z+\d$", "end\r$", "é$", r"\w\b!", "(?i)q7$", r"\n$", "^😀u", "[", ""]
+    rows = ["c007", "c07\n", "c07\r\n", "c07\n\n", "c07 ", "abc", "xab", "x.y", "xzy", "x.y\n", "", "\n", "\r\n", "1a$b2", "amidst", "zz5", "zz5x", "end\r\n", "end\r", "caf\u00e9\u2028", "a!", "Q7", "\U0001f600u", "\u2028x", None, "039", "0390", "00"]
+    df = texts(spark, rows)
+    given = spark.createDataFrame([(p,) for p in tails + others if p not in ("", "[")], "w string")
+    want = kept(joins.filter_by_patterns(df, "t", given, "w"))  # one expression
+    seen = []
+    monkeypatch.setattr(joins, "_cells", lambda r, c, p, n, made=joins._cells: seen.append(sorted(x._w for x in p.collect())) or made(r, c, p, n))
+    assert kept(joins.filter_by_patterns(df, "t", given, "w", most=3)) == want
+    assert kept(joins.filter_by_patterns(df, "t", given, "w", exclude=True, most=3)) == [i for i in range(len(rows)) if i not in want]
+    assert seen == [sorted([r"z+\d$", r"\w\b!", "(?i)q7$", r"\n$"])] * 2  # only these meet every row
+    loose = spark.range(10_001).select(F.concat(F.lit("mid"), "id").alias("w")).unionByName(spark.createDataFrame([("mids",)], "w string"))
+    assert kept(joins.filter_by_patterns(df, "t", loose, "w")) == [14]
+    for p in ("", "^", "^$"):
+        one = spark.createDataFrame([(p,), *((f"nowhere{i}$",) for i in range(5))], "w string")
+        assert kept(joins.filter_by_patterns(df, "t", one, "w", most=3)) == kept(joins.filter_by_patterns(df, "t", one, "w"))
+
+
 def test_junctions_over_two_blocks_and_minus_strands(spark):
     j = spark.createDataFrame([("c", 11, 120, "+", 1), ("c", 11, 95, "-", 2), ("c", 11, 150, "+", 3), ("d", 11, 20, "?", 4), ("c", 11, 120, "+", 1)], "chrom string, start long, end long, strand string, id long")
     blocks = [(7, 10, "c", 0, 50, "k", 1000, "+", 100), (7, 10, "c", 100, 130, "k", 1000, "+", 170), (8, 99, "c", 0, 50, "m", 500, "-", 20), (8, 99, "c", 80, 100, "m", 500, "-", 90), (9, 99, "c", 140, 160, "n", 500, "+", 0), (5, 10, "c", 0, 200, "z", 900, "+", 0), (4, 10, "c", 0, 130, "y", 900, "+", 5)]
