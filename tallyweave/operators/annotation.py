@@ -122,21 +122,44 @@ def lift_ends(junctions: DataFrame, chains: DataFrame, bin_size: int = 1 << 17,
     strand its ends change places, and its own strand, if it has one, turns.
     Equal rows count once.
     """
-    columns = junctions.columns
-    own = F.struct(*columns)
-    ends = F.explode(F.array(F.struct((F.col("start") - 1).alias("pos"), F.lit(0).alias("side")), F.struct((F.col("end") - 1).alias("pos"), F.lit(1).alias("side")))).alias("e")
-    points = junctions.distinct().select(own.alias("own"), "chrom", ends).select("own", "chrom", F.col("e.pos").alias("start"), (F.col("e.pos") + 1).alias("end"), "e.side")
-    hit = intervals.overlap_join(points, chains, bin_size)
-    along = F.col("to_start_r") + F.col("start") - F.col("start_r")
-    minus = F.col("to_strand_r") == "-"
-    place = F.when(minus, F.col("to_size_r") - 1 - along).otherwise(along)
-    both = hit.groupBy("own", F.col("chain_r").alias("chain")).agg(F.max("score_r").alias("score"), F.min(place).alias("first"), F.max(place).alias("last"), F.count_distinct("side").alias("sides"), F.first("to_chrom_r").alias("to_chrom"), F.max(minus).alias("minus")).where("sides = 2")
-    best = both.groupBy("own").agg(F.max_by(F.struct("to_chrom", "first", "last", "minus"), F.struct("score", -F.col("chain"))).alias("to"))
-    new = {"chrom": F.col("to.to_chrom"), "start": F.col("to.first") + 1, "end": F.col("to.last") + 1}
+    columns, spark = junctions.columns, junctions.sparkSession
+    blocks = chains.where("end > start").select(*(F.col(c).alias(f"_{c}") for c in chains.columns))
+    n, total = blocks.select(F.count("*"), F.coalesce(F.sum(F.col("_end") - F.col("_start")), F.lit(0))).first()
+    lowest = 0  # of blocks much longer than bins, long bins keep the copies few
+    while lowest < intervals.LEVELS and total / (bin_size * intervals.LEVEL**lowest) > 4 * n:
+        lowest += 1
+    low, high = (f("start", "end").cast("long") - 1 for f in (F.least, F.greatest))
+    steps = F.ceil(F.log(F.greatest((high - low + 1) / bin_size, F.lit(1.0))) / F.log(F.lit(float(intervals.LEVEL))) - 1e-9)
+    level = F.least(F.greatest(steps, F.lit(lowest)), F.lit(intervals.LEVELS)).cast("int")
+    size = lambda c: F.lit(bin_size).cast("long") * F.pow(F.lit(intervals.LEVEL), c).cast("long")
+    ends = junctions.where("start is not null and end is not null").withColumn("_level", level).withColumn("_bin", F.floor(low / size(F.col("_level"))))
+    have = spark.createDataFrame([(r[0],) for r in ends.select("_level").distinct().collect()], "_level int")  # a few numbers
+    at = lambda c: F.floor(F.col(c) / size(F.col("_level")))
+    blocks = blocks.withColumnRenamed("_chrom", "chrom").crossJoin(F.broadcast(have)).withColumn("_last", F.floor((F.col("_end") - 1) / size(F.col("_level"))))
+    of = lambda side, first: blocks.withColumn("_bin", F.explode(F.sequence(first, F.col("_last")))).select("chrom", "_level", "_bin", *(F.col(f"_{c}").alias(f"_{c}_{side}") for c in ("chain", "score", "to_chrom", "to_size", "to_strand", "start", "end", "to_start")))
+    key = ["chrom", "_level", "_bin"]
+    holds = lambda pos, side: (F.col(f"_start_{side}") < F.col(pos)) & (F.col(pos) <= F.col(f"_end_{side}"))
+    # in a bin are blocks that reach into it or the next one, so both ends meet theirs where they are, and rows are shuffled once
+    both = ends.join(of("a", at("_start") - 1), key).where(holds("start", "a")).join(of("b", at("_start") - 1), key).where(holds("end", "b"))
+    both = both.where((F.col("_chain_a") <= F.col("_chain_b")) & (F.col("_chain_a") >= F.col("_chain_b")))  # the same chain, but no join's key
+    minus = F.col("_to_strand_a") == "-"
+
+    def place(pos: str, side: str) -> Column:
+        along = F.col(f"_to_start_{side}") + F.col(pos) - 1 - F.col(f"_start_{side}")
+        return F.when(minus, F.col(f"_to_size_{side}") - 1 - along).otherwise(along)
+
+    x, y = place("start", "a"), place("end", "b")
+    rank = (F.col("_score_a").alias("score"), (-F.col("_chain_a")).alias("chain"))
+    best = both.groupBy(*columns, "_level", "_bin").agg(
+        F.max(F.struct(*rank, F.greatest(x, y).alias("last"), F.col("_to_chrom_a").alias("to_chrom"), minus.alias("minus"))).alias("_to"),
+        F.max(F.struct(*rank, (-F.least(x, y)).alias("first"))).alias("_from"),
+    )
+    new = {"chrom": F.col("_to.to_chrom"), "start": -F.col("_from.first") + 1, "end": F.col("_to.last") + 1}
     if strand in columns:
-        new[strand] = F.when(F.col("to.minus"), F.translate(F.col(f"own.{strand}"), "+-", "-+")).otherwise(F.col(f"own.{strand}"))
-    moved = best.select(*(new.get(c, F.col(f"own.{c}")).alias(c) for c in columns))
-    lost = points.select("own").distinct().join(best.select("own"), "own", "left_anti").select("own.*")
+        new[strand] = F.when(F.col("_to.minus"), F.translate(strand, "+-", "-+")).otherwise(F.col(strand))
+    moved = best.select(*(new.get(c, F.col(c)).alias(c) for c in columns))
+    own = F.struct(*columns).alias("own")
+    lost = junctions.distinct().select(own).join(best.select(own), "own", "left_anti").select("own.*")
     return moved, lost
 
 

@@ -69,6 +69,40 @@ def test_junctions_over_two_blocks_and_minus_strands(spark):
     assert [tuple(r) for r in moved.collect()] == [("k", 111, 190, "+", 1)]
 
 
+@pytest.mark.parametrize("longest", [30, 4000])
+def test_junctions_are_lifted_in_one_shuffle(spark, longest):
+    r = random.Random(longest)
+    blocks = [(k, k % 3, "cd"[k % 2], s, s + n, f"t{k}", 9000, "+-"[k % 5 == 0], s + 7 * k) for k in range(12) for s in [r.randrange(-50, 4000) for _ in range(40 if longest < 99 else 4)] for n in [r.randrange(longest)]]
+    chains = spark.createDataFrame(blocks, "chain int, score int, chrom string, start long, end long, to_chrom string, to_size long, to_strand string, to_start long")
+    spans = [(i % 40, r.choice("cde"), s, s + r.choice([-9, 0, 5, 60, 900]), r.choice("+-?")) for i in range(300) for s in [r.randrange(-20, 4000)]] + [(1, "c", None, 5, "+"), (2, None, 1, 5, "+")]
+    j = spark.createDataFrame(spans + spans[:9], "id int, chrom string, start long, end long, strand string")
+    want, lost = [], []
+    for id, chrom, start, end, strand in set(spans):
+        found = {}
+        for k, score, c, s, e, to, size, sign, t in blocks:
+            for side, pos in enumerate((start, end)):
+                if pos is not None and c == chrom and s <= pos - 1 < e:
+                    x = t + pos - 1 - s
+                    found.setdefault((score, -k), []).append((side, size - 1 - x if sign == "-" else x, to, sign))
+        whole = {key: v for key, v in found.items() if {x[0] for x in v} == {0, 1}}
+        if whole and start is not None:
+            v = whole[max(whole)]
+            turned = strand.translate(str.maketrans("+-", "-+")) if v[0][3] == "-" else strand
+            want.append((id, v[0][2], min(x[1] for x in v) + 1, max(x[1] for x in v) + 1, turned))
+        else:
+            lost.append((id, chrom, start, end, strand))
+    order = lambda rows: sorted(map(tuple, rows), key=str)
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        moved, rest = annotation.lift_ends(j, chains, 16)
+        assert len(want) > 30 and order(moved.collect()) == order(want) and order(rest.collect()) == order(lost)
+        plan = moved._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[-1]
+        assert plan.count("Exchange hashpartitioning") <= 3  # the rows, and the blocks for either end
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+
+
 def test_figures_of_the_write_itself(spark, tmp_path):
     t = spark.createDataFrame([(1, 1, 5), (2, 3, 7), (4, 3, None)], "row_idx int, col_idx int, value int")
     got = checks.matrix_written(t, str(tmp_path / "a"), 4, 3)
