@@ -13,8 +13,10 @@ from tallyweave.operators import intervals, rejoin
 
 def exons_of_gtf(gtf: DataFrame) -> DataFrame:
     """Exons with gene and transcript, of positive length and with both ids."""
-    at = scalars.gtf_attributes(F.col("attributes"))
-    return gtf.where("feature = 'exon' and start < end").withColumn("_a", at).select("chrom", "start", "end", "strand", F.col("_a")["gene_id"].alias("gene"), F.col("_a")["transcript_id"].alias("transcript")).where("gene is not null and transcript is not null")
+    ids = ("gene", "transcript")
+    once = F.explode(F.array(F.struct(*(scalars.gtf_attribute(F.col("attributes"), f"{i}_id").alias(i) for i in ids)))).alias("_a")  # a filter isn't pushed below it, so a text is searched once
+    rows = gtf.where("feature = 'exon' and start < end").select("chrom", "start", "end", "strand", once)
+    return rows.where(" and ".join(f"_a.{i} <> ''" for i in ids)).select("chrom", "start", "end", "strand", *(F.substring(f"_a.{i}", 2, 1 << 30).alias(i) for i in ids))
 
 
 def merged_exons(exons: DataFrame, gap: int = 2) -> DataFrame:
@@ -92,11 +94,14 @@ def unite_sources(junctions: DataFrame, sizes: DataFrame | None = None, key: Seq
 
 def gtf_statistics(exons: DataFrame) -> DataFrame:
     """Genes, transcripts, and mean lengths of exons, introns and transcripts."""
-    introns = rejoin.previous_exon_introns(exons)
     length = F.col("end") - F.col("start") + 1
-    per = exons.groupBy("gene", "transcript").agg(F.sum(length).alias("_t"), F.count("*").alias("_n"))
-    a = exons.agg(F.count_distinct("gene").alias("genes"), F.count_distinct("transcript").alias("transcripts"), F.avg(length).alias("exon_length"))
-    return a.crossJoin(introns.agg(F.avg(length).alias("intron_length"))).crossJoin(per.agg(F.avg("_t").alias("transcript_length"), F.avg("_n").alias("exons_per_transcript")))  # single rows
+    one = exons.withColumn("_i", rejoin.gap_before())  # an exon with what lies before it, so exons are shuffled once
+    per = one.groupBy("gene", "transcript").agg(F.sum(length).alias("_t"), F.count("*").alias("_n"), F.count(length).alias("_exons"), F.sum("_i").alias("_gaps"), F.count("_i").alias("_introns"))
+    mean = lambda of, n: F.try_divide(F.sum(of), F.sum(n))
+    return per.agg(
+        F.count_distinct("gene").alias("genes"), F.count_distinct("transcript").alias("transcripts"), mean("_t", "_exons").alias("exon_length"), mean("_gaps", "_introns").alias("intron_length"),
+        F.avg("_t").alias("transcript_length"), F.avg("_n").alias("exons_per_transcript"),
+    )
 
 
 def lift(junctions: DataFrame, chain: DataFrame, bin_size: int = 1 << 17) -> tuple[DataFrame, DataFrame]:

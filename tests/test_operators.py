@@ -231,3 +231,33 @@ def test_plans(spark):
     ann = spark.createDataFrame([("c", 3, 6, "x")], "chrom string, start long, end long, sources string")
     r = unify.junction_tables(raw, ann, chunks).first()
     assert (r.motif, r.annotated, r["count"], r["sum"], r.junction_id) == ("GT-AG", 1, 2, 7, 0)
+
+
+def test_gtf_ids_are_found_in_one_pass(spark):
+    r = random.Random(5)
+    bits = ['gene_id "G1";', 'transcript_id "T1";', "gene_id", ' "', '"', "; ", 'note "gene_id "', 'my.gene_id "x"', 'xgene_id "no"', 'gene_id ""', "\n", "é ", 'gene_id  "two"', 'transcript_id "a\nb"', "k 7;"]
+    texts = ["".join(r.choice(bits) for _ in range(r.randrange(9))) for _ in range(600)] + [None, 'gene_id "G', 'note "' + "x y; " * 30_000 + '"; transcript_id "far"; gene_id "G2"']
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    for key in ("gene_id", "transcript_id"):
+        got = F.nullif(scalars.gtf_attribute(F.col("t"), key), F.lit(""))
+        want = F.concat(F.lit('"'), scalars.gtf_attributes(F.col("t"))[key])
+        assert df.where(~got.eqNullSafe(want)).collect() == []
+
+
+def test_gtf_statistics_read_and_shuffle_exons_once(spark):
+    exons = [("c", 5 * i % 90, 5 * i % 90 + i % 4, "+", f"g{i % 3}", f"t{i % 7}") for i in range(60)] + [("d", 1, 3, "-", "g0", "t0")]
+    df = spark.createDataFrame(exons, "chrom string, start long, end long, strand string, gene string, transcript string")
+    stats = annotation.gtf_statistics(df)
+    length = lambda x: x[2] - x[1] + 1
+    per, gaps = {}, []
+    for x in exons:
+        per.setdefault(x[4:], []).append(length(x))
+    for t in {x[5] for x in exons}:
+        own = sorted(x[1:3] for x in exons if x[5] == t)
+        gaps += [b[0] - a[1] - 1 for a, b in zip(own, own[1:], strict=False) if b[0] - 1 >= a[1] + 1]
+    mean = lambda v: sum(v) / len(v)
+    want = (3, 7, mean([*map(length, exons)]), mean(gaps), mean([sum(v) for v in per.values()]), mean([len(v) for v in per.values()]))
+    assert tuple(stats.first()) == pytest.approx(want)
+    assert tuple(annotation.gtf_statistics(df.limit(0)).first()) == (0, 0, None, None, None, None)
+    plan = stats._jdf.queryExecution().sparkPlan().toString()
+    assert plan.count("ExistingRDD") == 1 and plan.count("Window") == 1
