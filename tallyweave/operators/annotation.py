@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyweave.functions import scalars
@@ -20,8 +20,20 @@ def exons_of_gtf(gtf: DataFrame) -> DataFrame:
 
 
 def merged_exons(exons: DataFrame, gap: int = 2) -> DataFrame:
-    """Exons of a transcript joined where less than gap bases part them."""
-    return intervals.coalesce(exons, gap, ("transcript", "chrom", "strand"))
+    """Exons of a transcript joined where less than gap bases part them.
+
+    A transcript's exons are few, so they meet in one task by their transcript,
+    where all that follows finds them; coalesce() deals a key's rows by range,
+    which is for keys of any share of the rows.
+    """
+    key = ("transcript", "chrom", "strand")
+    rows = exons.where("start is not null and end is not null").repartition("transcript")
+    rows = rows.select(*key, F.col("start").cast("long").alias("start"), F.col("end").cast("long").alias("end"))
+    before = Window.partitionBy("transcript", "chrom", "strand").orderBy("start", "end").rowsBetween(Window.unboundedPreceding, -1)
+    far = rows.withColumn("_far", F.max("end").over(before))
+    begin = F.when(F.col("_far").isNull() | (F.col("start") - F.col("_far") >= gap), F.col("start"))
+    island = F.max(begin).over(before.rowsBetween(Window.unboundedPreceding, 0))
+    return far.withColumn("_island", island).groupBy(*key, "_island").agg(F.min("start").alias("start"), F.max("end").alias("end")).drop("_island")
 
 
 def introns_of_gtf(gtf: DataFrame) -> DataFrame:

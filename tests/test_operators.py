@@ -261,3 +261,16 @@ def test_gtf_statistics_read_and_shuffle_exons_once(spark):
     assert tuple(annotation.gtf_statistics(df.limit(0)).first()) == (0, 0, None, None, None, None)
     plan = stats._jdf.queryExecution().sparkPlan().toString()
     assert plan.count("ExistingRDD") == 1 and plan.count("Window") == 1
+
+
+def test_transcripts_exons_merge_where_they_meet(spark):
+    r = random.Random(3)
+    exons = [(r.choice("cd"), s, s + r.choice([0, 1, 7, 40]), r.choice("+-"), f"g{i % 2}", r.choice(["t0", "t1", "t2", None])) for i in range(400) for s in [r.randrange(1, 1500)]] + [("c", None, 4, "+", "g", "t0"), ("c", 4, None, "+", "g", "t0")]
+    df = spark.createDataFrame(exons, "chrom string, start int, end int, strand string, gene string, transcript string")
+    names = ("transcript", "chrom", "strand", "start", "end")
+    for gap in (1, 2, 30):
+        merged = annotation.merged_exons(df, gap)
+        assert sorted(map(str, (tuple(x[c] for c in names) for x in merged.collect()))) == sorted(map(str, (tuple(x[c] for c in names) for x in intervals.coalesce(df, gap, names[:3]).collect())))
+    gtf = df.select("chrom", F.lit("exon").alias("feature"), "start", "end", "strand", F.format_string('gene_id "%s"; transcript_id "%s";', "gene", "transcript").alias("attributes"))
+    plan = annotation.introns_of_gtf(gtf)._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[-1]
+    assert plan.count("Exchange") == 2 and plan.count("ExistingRDD") == 1  # by transcript, then by intron
