@@ -10,13 +10,16 @@ from typing import Any, BinaryIO
 
 import pyarrow as pa
 from pyarrow import fs
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, DataSourceReader, InputPartition, WriterCommitMessage
 
 #: Compressed bytes from which on a part is full, and lines of a batch.
 PART_BYTES, LINES = 32 << 20, 20_000
 
+#: Parts for each core beyond which parts grow, up to PART_BYTES; parts whose counts are broadcast; and bytes that are copied at a time.
+CORE_PARTS, FEW_PARTS, COPIED = 16, 10_000, 1 << 20
+
 #: First bytes of a frame and, but for their low half byte, of one that is skipped; fixed values of the format.
 FRAME, SKIPPED = 0xFD2FB528, 0x184D2A50
 
@@ -28,11 +31,10 @@ def opened(path: str) -> tuple[fs.FileSystem, str]:
     return fs.FileSystem.from_uri(path) if "://" in path else (fs.LocalFileSystem(), path)
 
 
-def frame_sizes(f: BinaryIO, size: int) -> Iterator[tuple[int, int]]:
-    """Start and end of each frame: headers of frames and blocks are read, what they hold is passed over."""
+def frame_sizes(f: BinaryIO, size: int, at: int = 0) -> Iterator[tuple[int, int]]:
+    """Start and end of each frame from a place on: headers of frames and blocks are read, what they hold is passed over."""
     import zstandard
 
-    at = 0
     while at < size:
         f.seek(at)
         head = f.read(18)
@@ -58,47 +60,52 @@ def frame_sizes(f: BinaryIO, size: int) -> Iterator[tuple[int, int]]:
 class Part(InputPartition):
     path: str
     number: int
-    frames: list[tuple[int, int]]
-    after: list[tuple[int, int]]  # frames in which the part's last line may end
+    start: int
+    end: int  # the part's last line may end in the frames after it
 
 
 class _LineReader(DataSourceReader):
     def __init__(self, options: dict):
         self.paths, self.most = json.loads(options["files"]), int(options.get("part_bytes", PART_BYTES))
+        self.counted = options.get("counted") == "true"
 
     def partitions(self) -> Sequence[Part]:
         parts = []
         for path in self.paths:
             system, place = opened(path)
+            begin, end, number = None, 0, 0
             with system.open_input_file(place) as f:
-                every = list(frame_sizes(f, f.size()))
-            begin, number = 0, 0
-            for i, (_, end) in enumerate(every):
-                if end - every[begin][0] >= self.most or i == len(every) - 1:
-                    parts.append(Part(path, number, every[begin : i + 1], every[i + 1 :]))
-                    begin, number = i + 1, number + 1
+                for start, end in frame_sizes(f, f.size()):
+                    begin = start if begin is None else begin
+                    if end - begin >= self.most:
+                        parts.append(Part(path, number, begin, end))
+                        begin, number = None, number + 1
+            if begin is not None:
+                parts.append(Part(path, number, begin, end))
         return parts
 
     def read(self, partition: Part) -> Iterator[pa.RecordBatch]:
+        """The part's lines with their places, or only how many they are."""
+        n = 0
+        for lines in self._lines(partition):
+            if not self.counted:
+                columns = [pa.array([partition.path] * len(lines)), pa.array([partition.number] * len(lines), pa.int32()), pa.array(range(n, n + len(lines)), pa.int64()), pa.array([x.decode() for x in lines], pa.string())]
+                yield pa.RecordBatch.from_arrays(columns, names=["path", "part", "n", "value"])
+            n += len(lines)
+        if self.counted:
+            yield pa.RecordBatch.from_arrays([pa.array([partition.path]), pa.array([partition.number], pa.int32()), pa.array([n], pa.int64())], names=["path", "part", "n"])
+
+    def _lines(self, partition: Part) -> Iterator[list[bytes]]:
         """Lines that begin in the part, or right after it; the first line of a later part is the one before's to read."""
         import zstandard
 
         system, place = opened(partition.path)
-        out: list[str] = []
-        n = 0
-
-        def batch() -> pa.RecordBatch:
-            nonlocal n
-            columns = [pa.array([partition.path] * len(out)), pa.array([partition.number] * len(out), pa.int32()), pa.array(range(n, n + len(out)), pa.int64()), pa.array(out)]
-            n += len(out)
-            out.clear()
-            return pa.RecordBatch.from_arrays(columns, names=["path", "part", "n", "value"])
-
+        out: list[bytes] = []
         with system.open_input_file(place) as f:
 
             def chunks() -> Iterator[tuple[bytes, bool]]:
-                for inside, frames in ((True, partition.frames), (False, partition.after)):
-                    for start, end in frames:
+                for inside, at, stop in ((True, partition.start, partition.end), (False, partition.end, f.size())):
+                    for start, end in frame_sizes(f, stop, at):
                         f.seek(start)
                         reader = zstandard.ZstdDecompressor().stream_reader(_Limited(f, end - start))
                         while data := reader.read(1 << 20):
@@ -119,18 +126,19 @@ class _LineReader(DataSourceReader):
                         if skipping:
                             skipping = False
                         else:
-                            out.append(line.decode())
+                            out.append(line)
                         at += len(line) + 1
                         if len(out) >= LINES:
-                            yield batch()
+                            yield out
+                            out = []
                     held = lines[-1]
                 done = done or (not inside and at > length)
                 if done:
                     break
             if held and not done and not skipping and at <= length:
-                out.append(held.decode())  # the file's last line, without an end
+                out.append(held)  # the file's last line, without an end
             if out:
-                yield batch()
+                yield out
 
 
 class _Limited:
@@ -146,14 +154,14 @@ class _Limited:
 
 
 class ZstdLines(DataSource):
-    """Lines of Zstandard files: path, part, n (the line's place in the part, from 0) and value."""
+    """Lines of Zstandard files: path, part, n (the line's place in the part, from 0) and value; if counted, only how many lines (n) each part has."""
 
     @classmethod
     def name(cls) -> str:
         return "zstd_lines"
 
     def schema(self) -> str:
-        return "path string, part int, n long, value string"
+        return "path string, part int, n long" + ("" if self.options.get("counted") == "true" else ", value string")
 
     def reader(self, schema: Any) -> DataSourceReader:
         return _LineReader(self.options)
@@ -163,16 +171,89 @@ def zstd_lines(spark: SparkSession, paths: str | Sequence[str], part_bytes: int
     """path, line (from 0, true in the whole file) and value of Zstandard text, read in parts of whole frames.
 
     A file of one frame is one part, as nothing inside a frame can be read
-    alone. How many lines each part has is counted first, by reading it.
+    alone. Parts have part_bytes at least, and more, up to PART_BYTES, where
+    that would make many for each core. How many lines each part has is counted
+    first, by reading it.
     """
     spark.dataSource.register(ZstdLines)
-    files = sorted(r["path"] for r in spark.read.format("binaryFile").load(paths if isinstance(paths, str) else list(paths)).select("path").collect())
-    lines = spark.read.format("zstd_lines").option("files", json.dumps(files)).option("part_bytes", part_bytes).load()
+    files = sorted((r["path"], r["length"]) for r in spark.read.format("binaryFile").load(paths if isinstance(paths, str) else list(paths)).select("path", "length").collect())
+    total = sum(n for _, n in files)
+    most = max(part_bytes, min(PART_BYTES, total // (CORE_PARTS * spark.sparkContext.defaultParallelism)))
+    source = spark.read.format("zstd_lines").option("files", json.dumps([p for p, _ in files])).option("part_bytes", most)
+    lines, counted = source.load(), source.option("counted", "true").load()
     before = Window.partitionBy("path").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)  # one row for each part
-    counts = lines.groupBy("path", "part").agg(F.count("*").alias("k")).select("path", "part", F.coalesce(F.sum("k").over(before), F.lit(0)).alias("before"))
+    counts = counted.select("path", "part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("before"))
+    counts = F.broadcast(counts) if len(files) + total // most <= FEW_PARTS else counts
     return lines.join(counts, ["path", "part"]).select("path", (F.col("n") + F.col("before")).alias("line"), "value")
 
 
+def zstd_files(lines: DataFrame, path: str, name: str, order: Sequence[str], value: str | Column, frame_bytes: int) -> None:
+    """One Zstandard file for each value of the column name, {path}/n{name}.zst, of its lines in order, in frames of so many bytes of text.
+
+    Lines are dealt by range of file and order, and tasks write pieces of files
+    as they read them, frame by frame; then each file's pieces, whole frames,
+    are copied one after the other. So no task holds a file.
+    """
+    spark = lines.sparkSession
+    drafts = f"{path.rstrip('/')}/_drafts-{uuid.uuid4().hex}"
+    system, place = opened(drafts)
+    system.create_dir(place, recursive=True)
+
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import zstandard
+        from pyspark import TaskContext
+
+        system, place = opened(drafts)
+        number, file, f, text = TaskContext.get().partitionId(), None, None, b""
+        made = []
+
+        def flush(least: int) -> bytes:
+            at = 0
+            while len(text) - at >= least and at < len(text):
+                f.write(zstandard.compress(text[at : at + frame_bytes]))
+                at += frame_bytes
+            return text[at:]
+
+        for b in batches:
+            names = b.column(0).to_pylist()
+            values = b.column(1).to_pylist()
+            ends = [i for i in range(1, len(names)) if names[i] != names[i - 1]]
+            for i, j in zip([0, *ends], [*ends, len(names)], strict=True):
+                if i == j:
+                    continue
+                if names[i] != file:
+                    if f:
+                        flush(1)
+                        f.close()
+                    file, text, draft = names[i], b"", uuid.uuid4().hex
+                    f = system.open_output_stream(f"{place}/{draft}", compression=None)
+                    made.append((str(file), number, draft))
+                text += ("\n".join(values[i:j]) + "\n").encode()
+                text = flush(frame_bytes)
+        if f:
+            flush(1)
+            f.close()
+        yield pa.RecordBatch.from_arrays([pa.array([m[0] for m in made], pa.string()), pa.array([m[1] for m in made], pa.int32()), pa.array([m[2] for m in made], pa.string())], names=["file", "number", "draft"])
+
+    def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        system, place = opened(drafts)
+        for b in batches:
+            for file, pieces in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
+                with system.open_output_stream(f"{opened(path)[1].rstrip('/')}/n{file}.zst", compression=None) as out:
+                    for p in pieces:
+                        with system.open_input_stream(f"{place}/{p['draft']}", compression=None) as f:
+                            while data := f.read(COPIED):
+                                out.write(data)
+            yield b.select([0])
+
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    dealt = lines.repartitionByRange(parts, name, *order).sortWithinPartitions(name, *order)
+    pieces = dealt.select(name, value).mapInArrow(write, "file string, number int, draft string")
+    whole = pieces.groupBy("file").agg(F.sort_array(F.collect_list(F.struct("number", "draft"))).alias("pieces"))  # few pieces for each task
+    whole.repartition(parts, "file").mapInArrow(join, "file string").collect()
+    system.delete_dir(place)
+
+
 @dataclass
 class Written(WriterCommitMessage):
     draft: str

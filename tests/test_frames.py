@@ -1,3 +1,4 @@
+import pickle
 import random
 
 import pytest
@@ -46,6 +47,25 @@ def test_long_lines_over_whole_parts_and_empty_files(spark, tmp_path):
         frames.zstd_lines(spark, str(tmp_path / "bad.zst")).collect()
 
 
+def test_files_are_written_in_pieces_and_parts_stay_few(spark, tmp_path):
+    lines = spark.range(9000).select((F.col("id") % 3 * F.lit(2)).alias("k"), F.xxhash64("id").alias("h")).withColumn("text", F.concat_ws("\t", "h", F.lit("é")))
+    path = str(tmp_path / "out")
+    frames.zstd_files(lines, path, "k", ["h"], "text", 50)
+    assert sorted(p.name for p in (tmp_path / "out").iterdir()) == ["n0.zst", "n2.zst", "n4.zst"]
+    want = {k: [f"{h}\té" for h in sorted(x.h for x in lines.where(F.col("k") == k).collect())] for k in (0, 2, 4)}
+    for k, own in want.items():
+        data = (tmp_path / "out" / f"n{k}.zst").read_bytes()
+        text = zstandard.ZstdDecompressor().stream_reader(data, read_across_frames=True).read()
+        assert text.decode() == "".join(f"{x}\n" for x in own)
+    parts = frames._LineReader({"files": f'["{path}/n2.zst"]', "part_bytes": 1}).partitions()
+    assert len(parts) > 1000 and max(len(pickle.dumps(p)) for p in parts) < 500  # a part doesn't list the frames after it
+    got = frames.zstd_lines(spark, path, part_bytes=1).withColumn("p", F.spark_partition_id()).collect()
+    assert len({x.p for x in got}) <= frames.CORE_PARTS * 4 + 3
+    assert sorted((x.line, x.value) for x in got if x.path.endswith("n4.zst")) == list(enumerate(want[4]))
+    frames.zstd_files(lines.limit(0), str(tmp_path / "none"), "k", ["h"], "text", 50)
+    assert list((tmp_path / "none").iterdir()) == []
+
+
 def test_line_numbers_over_splits(spark, tmp_path):
     for name, n in (("s1.tsv", 3000), ("s2.tsv", 10), ("s3.tsv", 4000)):
         (tmp_path / name).write_text("".join(f"c\t{i}\t{i + 1}\t{i * 7}\n" for i in range(n)))
